@@ -1,3 +1,4 @@
 """Import every registration module (order = listing order)."""
 
 from . import clean_room  # noqa: F401
+from . import planning  # noqa: F401
