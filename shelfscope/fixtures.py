@@ -128,3 +128,107 @@ def conversions_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("decimal(18,2)").alias("total_product_sales"),
         (F.lit(1) + _mod("event_id", 3)).cast("bigint").alias("total_units_sold"),
     )
+
+
+# ---------------------------------------------------------------------------
+# vendor report payloads (nested, as the report service returns them)
+
+def _dec(c: str) -> Column:
+    return F.col(c).cast("decimal(18,2)")
+
+
+def _money(amount: Column, currency: str = "USD") -> Column:
+    return F.struct(amount.cast("double").alias("amount"), F.lit(currency).alias("currencyCode"))
+
+
+def vendor_sales_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements of a ``salesByAsin`` array: one per item and day, money as
+    struct(amount, currencyCode) (exact decimal sums, then double)."""
+    li = table(spark, sf_dir, "lineitem")
+    day = F.date_format(F.col("l_shipdate"), "yyyy-MM-dd")
+    rev = _dec("l_extendedprice")
+    cogs = rev * (F.lit(1).cast("decimal(18,2)") - _dec("l_discount"))
+    g = li.groupBy(F.col("l_partkey"), day.alias("day")).agg(
+        F.sum(rev).alias("rev"), F.sum(cogs).alias("cogs"),
+        F.sum(F.col("l_quantity").cast("bigint")).alias("units"),
+        F.count_if(F.col("l_returnflag") == "R").alias("returns"),
+        F.count_if(F.col("l_linestatus") == "F").alias("shipped"))
+    return g.select(
+        F.col("l_partkey").cast("string").alias("asin"),
+        F.col("day").alias("startDate"), F.col("day").alias("endDate"),
+        _money(F.col("rev")).alias("orderedRevenue"),
+        F.col("units").alias("orderedUnits"),
+        _money(F.col("cogs")).alias("shippedCogs"),
+        _money(F.col("rev")).alias("shippedRevenue"),
+        F.col("shipped").alias("shippedUnits"),
+        F.col("returns").alias("customerReturns"))
+
+
+def promotions_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements of ``promotions``: one per order, with its lines as
+    ``includedProducts`` (an order without lines has an empty array)."""
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    prod = F.struct(F.col("l_partkey").cast("string").alias("asin"),
+                    F.col("l_linenumber").alias("productLine"),
+                    F.col("l_quantity").cast("bigint").alias("unitsSold"),
+                    F.col("l_extendedprice").alias("revenue"))
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(prod).alias("includedProducts"))
+    return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select(
+        F.col("o_orderkey").cast("string").alias("promotionId"),
+        F.col("o_orderpriority").alias("type"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("null"))
+         .otherwise(F.concat(F.lit("FA-"), F.col("o_custkey").cast("string"))).alias("fundingAgreementId"),
+        F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("startDateTime"),
+        F.coalesce(F.col("includedProducts"), F.array().cast(lines.schema["includedProducts"].dataType))
+         .alias("includedProducts")))
+
+
+def coupons_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements of ``campaigns``: one per order; coupons = the order's lines
+    grouped by return flag; asins = the lines of each coupon."""
+    li = table(spark, sf_dir, "lineitem")
+    asin = F.struct(F.col("l_partkey").cast("string").alias("asin"),
+                    F.col("l_linenumber").alias("lineNumber"),
+                    F.col("l_extendedprice").alias("totalDiscount"))
+    coupons = li.groupBy("l_orderkey", "l_returnflag").agg(F.collect_list(asin).alias("asins"))
+    coupon = F.struct(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_returnflag")).alias("couponId"),
+                      F.col("l_returnflag").alias("name"), F.col("asins"))
+    camps = coupons.groupBy("l_orderkey").agg(F.collect_list(coupon).alias("coupons"))
+    o = table(spark, sf_dir, "orders")
+    return o.join(camps, o.o_orderkey == camps.l_orderkey, "left").select(
+        F.col("o_orderkey").cast("string").alias("campaignId"),
+        F.col("o_orderpriority").alias("name"),
+        F.date_format(F.col("o_orderdate"), "yyyy-MM-dd HH:mm:ss").alias("startDateTime"),
+        F.col("coupons"))
+
+
+def search_terms_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements of ``dataByDepartmentAndSearchTerm``: term = part name,
+    department = part type, one row per clicked item."""
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    g = (li.join(p, li.l_partkey == p.p_partkey)
+         .groupBy("p_type", "p_name", "l_partkey")
+         .agg(F.min("l_linenumber").cast("bigint").alias("searchFrequencyRank"),
+              F.count(F.lit(1)).alias("clickShareRank"),
+              F.sum(_dec("l_discount")).cast("double").alias("clickShare"),
+              F.sum(_dec("l_tax")).cast("double").alias("conversionShare")))
+    return g.select(F.col("p_type").alias("departmentName"), F.col("p_name").alias("searchTerm"),
+                    "searchFrequencyRank", F.col("l_partkey").cast("string").alias("clickedAsin"),
+                    F.col("p_name").alias("clickedItemName"), "clickShareRank", "clickShare", "conversionShare")
+
+
+def catalog_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog ``items``: asin with one-element ``summaries`` and
+    ``vendorDetails`` arrays (parts)."""
+    p = table(spark, sf_dir, "part")
+    summ = F.struct(F.col("p_brand").alias("brand"), F.col("p_name").alias("itemName"),
+                    F.col("p_type").alias("manufacturer"),
+                    F.struct(F.col("p_type").alias("displayName"),
+                             F.lower(F.col("p_type")).alias("value")).alias("productCategory"),
+                    F.lit("2024-01-15").alias("releaseDate"), F.col("p_size").cast("string").alias("size"))
+    vend = F.struct(F.col("p_brand").alias("brandCode"), F.col("p_type").alias("manufacturerCode"),
+                    F.lit("BASIC").alias("replenishmentCategory"), F.col("p_name").alias("brand"))
+    return p.select(F.col("p_partkey").cast("string").alias("asin"),
+                    F.array(summ).alias("summaries"), F.array(vend).alias("vendorDetails"))

@@ -2,3 +2,4 @@
 
 from . import clean_room  # noqa: F401
 from . import planning  # noqa: F401
+from . import vendor  # noqa: F401
