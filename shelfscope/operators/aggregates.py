@@ -61,15 +61,17 @@ def collect_sorted_path(df: DataFrame, keys: Sequence[str], ord_col: str, val_co
     return df.groupBy(*keys).agg(F.array_sort(F.collect_set(s)).alias(name))
 
 
-def sum_drop_null_keys(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def sum_drop_null_keys(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
+                       extra: Sequence[Column] = ()) -> DataFrame:
     """A10: pandas ``groupby().sum()`` semantics: groups with a NULL key are
     dropped; the sum of an all-NULL group is 0."""
     cond = None
     for k in keys:
-        c = F.col(k).isNotNull()
+        c = F.col("`" + k + "`").isNotNull()
         cond = c if cond is None else cond & c
     kept = df.where(cond) if cond is not None else df
-    return kept.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols])
+    return kept.groupBy(*[F.col("`" + k + "`") for k in keys]).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols], *extra)
 
 
 def max_value(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
