@@ -80,6 +80,29 @@ FROM events"""
 DEPS["conversions_all"] = ()
 
 
+VIEWS["ad_events"] = """
+SELECT e.event_id, e.user_id, e.ts, CAST(e.ts AS DATE) AS day, e.event_type, CAST(e.value AS DECIMAL(18,2)) AS value,
+  p.p_partkey AS campaign_id, 'cmp ' || p.p_name AS campaign_name, p.p_brand AS brand,
+  CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS progress,
+  CASE CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 3 WHEN 0 THEN 'Top of Search'
+       WHEN 1 THEN 'Rest of Search' ELSE 'Product Pages' END AS placement
+FROM events e JOIN part p ON p.p_partkey = e.event_id % 40"""
+DEPS["ad_events"] = ()
+VIEWS["ad_clicks"] = """
+SELECT user_id, ts AS click_ts, campaign_id, campaign_id AS advertised_sku FROM ad_events WHERE event_type = 'click'"""
+DEPS["ad_clicks"] = ("ad_events",)
+VIEWS["ad_purchases"] = """
+SELECT event_id, user_id, ts, day, brand, campaign_id AS sku, value AS sales, CAST(1 + event_id % 3 AS BIGINT) AS units
+FROM ad_events WHERE event_type = 'purchase'"""
+DEPS["ad_purchases"] = ("ad_events",)
+VIEWS["attributed"] = """
+SELECT p.*, c.click_ts, c.campaign_id, c.advertised_sku, CAST(c.click_ts AS DATE) AS click_day,
+  date_diff('microsecond', c.click_ts, p.ts) AS lag_us
+FROM ad_purchases p ASOF JOIN ad_clicks c ON p.user_id = c.user_id AND p.ts >= c.click_ts
+WHERE date_diff('microsecond', c.click_ts, p.ts) <= 30 * 86400000000"""
+DEPS["attributed"] = ("ad_purchases", "ad_clicks")
+
+
 def _order(names: tuple[str, ...]) -> list[str]:
     out: list[str] = []
 

@@ -232,3 +232,39 @@ def catalog_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("BASIC").alias("replenishmentCategory"), F.col("p_name").alias("brand"))
     return p.select(F.col("p_partkey").cast("string").alias("asin"),
                     F.array(summ).alias("summaries"), F.array(vend).alias("vendorDetails"))
+
+
+# ---------------------------------------------------------------------------
+# ad events for the declared reports (R*)
+
+PLACEMENTS = ["Top of Search", "Rest of Search", "Product Pages"]
+
+
+def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event on its campaign (part event_id % 40): views and clicks are
+    impressions, clicks cost their value, purchases buy the campaign's item;
+    ``progress`` (0-99 from the event properties) drives the video funnel."""
+    e = table(spark, sf_dir, "events")
+    p = (table(spark, sf_dir, "part")
+         .where((F.col("p_partkey") > -N_CAMPAIGNS) & (F.col("p_partkey") < N_CAMPAIGNS))
+         .select("p_partkey", "p_name", "p_brand"))
+    j = e.join(F.broadcast(p), F.col("p_partkey") == _mod("event_id", N_CAMPAIGNS))
+    prog = F.get_json_object("props", "$.k").cast("int")
+    return j.select(
+        "event_id", "user_id", "ts", F.col("ts").cast("date").alias("day"), "event_type",
+        F.col("value").cast("decimal(18,2)").alias("value"),
+        F.col("p_partkey").alias("campaign_id"), F.concat(F.lit("cmp "), F.col("p_name")).alias("campaign_name"),
+        F.col("p_brand").alias("brand"), prog.alias("progress"),
+        F.element_at(F.array(*[F.lit(x) for x in PLACEMENTS]), (prog % len(PLACEMENTS) + 1).cast("int"))
+         .alias("placement"))
+
+
+def ad_clicks(ev: DataFrame) -> DataFrame:
+    return ev.where(F.col("event_type") == "click").select(
+        "user_id", F.col("ts").alias("click_ts"), "campaign_id", F.col("campaign_id").alias("advertised_sku"))
+
+
+def ad_purchases(ev: DataFrame) -> DataFrame:
+    return ev.where(F.col("event_type") == "purchase").select(
+        "event_id", "user_id", "ts", "day", "brand", F.col("campaign_id").alias("sku"),
+        F.col("value").alias("sales"), (F.lit(1) + _mod("event_id", 3)).cast("bigint").alias("units"))

@@ -4,3 +4,4 @@ from . import clean_room  # noqa: F401
 from . import planning  # noqa: F401
 from . import vendor  # noqa: F401
 from . import flat_files  # noqa: F401
+from . import reports  # noqa: F401
