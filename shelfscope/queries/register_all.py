@@ -5,3 +5,4 @@ from . import planning  # noqa: F401
 from . import vendor  # noqa: F401
 from . import flat_files  # noqa: F401
 from . import reports  # noqa: F401
+from . import io  # noqa: F401
