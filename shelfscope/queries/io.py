@@ -64,6 +64,6 @@ def t1_stream_vendor_report(spark, d):
     landing, schema = _land_sales_json(spark, d)
     out = _scratch(spark, "ingest-out")
     q = start_ingest(spark, landing, schema, "salesByAsin", out, COUNTRY, NOW,
-                     checkpoint=_scratch(spark, "ingest-ckpt"))
+                     checkpoint=_scratch(spark, "ingest-ckpt"), partition_by=None)
     q.awaitTermination()
     return spark.read.parquet(out).drop("batch")

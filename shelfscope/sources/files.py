@@ -88,7 +88,8 @@ def numbered(df: DataFrame) -> DataFrame:
     a window over the file) gives the position."""
     x = df.withColumn("__id", F.monotonically_increasing_id())
     first = x.groupBy(FILE_COL).agg(F.min("__id").alias("__first"))
-    return x.join(first, FILE_COL).withColumn(POS_COL, F.col("__id") - F.col("__first") + 1).drop("__id", "__first")
+    j = x.join(first, FILE_COL)
+    return j.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__id") - F.col("__first") + 1).alias(POS_COL))
 
 
 def read_report(spark: SparkSession, path: str, **kw) -> DataFrame:
