@@ -65,9 +65,9 @@ def ad_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ad_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ad_traffic(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """V2: impressions/clicks; spend is an integer in 1e-8 currency units."""
-    b = ad_base(spark, sf_dir).where(F.col("event_type") != "purchase")
+    b = (base if base is not None else ad_base(spark, sf_dir)).where(F.col("event_type") != "purchase")
     return b.select(
         "event_dt", "user_id", "advertiser", "entity_id", "currency_iso_code", "campaign",
         "campaign_id_string", "creative", "ad_product_type", "advertiser_timezone",
@@ -78,9 +78,9 @@ def ad_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ad_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ad_conversions(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """V3: attributed conversions (purchase events) with all 18 measures."""
-    b = ad_base(spark, sf_dir).where(F.col("event_type") == "purchase")
+    b = (base if base is not None else ad_base(spark, sf_dir)).where(F.col("event_type") == "purchase")
     dec = "decimal(18,2)"
     sales = F.col("value").cast(dec)
     zero = F.lit(0).cast(dec)

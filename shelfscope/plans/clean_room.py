@@ -147,7 +147,9 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
                .agg(*[F.sum(m).alias(m) for m in CONVERSION_MEASURES],
                     F.sum(F.when(F.col("total_purchases") > 0, 1).otherwise(0)).cast("bigint")
                      .alias("interactions_count")))
-    lk_c = lookup_keys(lookup, ["brand", "currency_iso_code"], dedupe_lookup)
+    # derived from lk_t (same subtree, so its exchange is reused, not recomputed)
+    lk_c = (lk_t.groupBy(*W, "campaign_id_string", "brand", "currency_iso_code")
+            .agg((F.lit(1).cast("bigint") if dedupe_lookup else F.sum("__mult")).alias("__mult")))
     c_side = (c_user.join(lk_c, [*W, "campaign_id_string"])
               .select(*W, "brand", "campaign", "campaign_id_string", "currency_iso_code",
                       "ad_product_type", "user_id",

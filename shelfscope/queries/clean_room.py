@@ -14,7 +14,8 @@ WEEK = 7
 
 
 def _ads(spark, d):
-    return fx.ad_traffic(spark, d), fx.ad_conversions(spark, d)
+    base = fx.ad_base(spark, d)
+    return fx.ad_traffic(spark, d, base), fx.ad_conversions(spark, d, base)
 
 
 @register("q1_campaign_value", o.campaign_value_sql(START, END, None, FIXTURE_BRAND_RULES),
