@@ -109,12 +109,14 @@ def iso_date(c: str | Column, fmt: str = "yyyyMMdd", strict: bool = True) -> Col
 def date_ddmmyy(c: str | Column) -> Column:
     """``dd.MM.yy`` text -> date with the POSIX two-digit-year rule the
     reference's parser uses (69-99 -> 19xx, 00-68 -> 20xx); Spark's ``yy``
-    pattern would put every year in 20xx."""
-    m = F.regexp_extract(_c(c), r"^(\d{2})\.(\d{2})\.(\d{2})$", 0)
-    ok = m != ""
-    yy = F.substring(m, 7, 2).cast("int")
-    year = F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
-    return F.when(ok, F.make_date(year, F.substring(m, 4, 2).cast("int"), F.substring(m, 1, 2).cast("int")))
+    pattern would put every year in 20xx.  Substrings only (no regex);
+    anything else, or an impossible day, gives NULL."""
+    t = _c(c)
+    yy = F.substring(t, 7, 2).try_cast("int")
+    century = F.when(yy >= 69, F.lit("19")).otherwise(F.lit("20"))
+    iso = F.concat(century, F.substring(t, 7, 2), F.lit("-"), F.substring(t, 4, 2), F.lit("-"), F.substring(t, 1, 2))
+    ok = (F.length(t) == 8) & (F.substring(t, 3, 1) == ".") & (F.substring(t, 6, 1) == ".") & yy.isNotNull()
+    return F.when(ok, F.try_to_date(iso, "yyyy-MM-dd"))
 
 
 def require_numeric(df: DataFrame, col: str) -> DataFrame:

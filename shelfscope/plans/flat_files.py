@@ -62,7 +62,7 @@ def latest_inventory(df: DataFrame, file_col: str = "file_name",
     """Q11: rows of the files with the latest ``_dd.MM.yy`` date in the name
     (S9), repeated header rows dropped (C6), ``*Menge`` summed per row (C9)
     and per key with NULL keys dropped (A10), stamped with that date."""
-    d = cl.date_ddmmyy(F.regexp_extract(F.col(file_col), r"_([^_]+)$", 1))
+    d = cl.date_ddmmyy(F.substring_index(F.col(file_col), "_", -1))
     x = df.withColumn("__d", d)
     latest = x.agg(F.max("__d").alias("__latest"))
     x = x.join(latest, F.col("__d") == F.col("__latest"), "left_semi")

@@ -262,7 +262,7 @@ def q13_promotions_media_cn(spark, d):
 SELECT CASE WHEN o_orderstatus = 'F' THEN 'CN' ELSE o_orderstatus END AS MARKET,
   right(ltrim(lpad(CAST(o_custkey * 1000 + o_orderkey % 1000 AS VARCHAR), 12, '0'), '0'), 6) AS GMID,
   o_orderkey AS ORDER_ID, o_totalprice AS NET_SALES
-FROM orders""", "Q14", "S6", "C16", "C17", "F5")
+FROM orders""", "Q14", "C16", "C17", "F5")
 def q14_sell_in_cn(spark, d):
     o = fx.table(spark, d, "orders")
     gm = F.lpad((F.col("o_custkey") * 1000 + F.col("o_orderkey") % 1000).cast("string"), 12, "0")
@@ -319,3 +319,44 @@ def c25_format_date(spark, d):
             .when(k % 4 == 2, F.date_format("o_orderdate", "MM/dd/yyyy"))
             .otherwise(F.date_format("o_orderdate", "yyyyMMdd")))
     return o.select("o_orderkey", cl.format_date(text).alias("iso_date"))
+
+
+# ---------------------------------------------------------------------------
+# Warehouse table by name and per-country SQL text with parameters
+
+SELL_IN_SQL = {  # per-country query text (bound parameter :min_total)
+    "CN": {"sql_query": "SELECT CASE WHEN o_orderstatus = 'F' THEN 'ZZ' ELSE o_orderstatus END AS market, "
+                        "lpad(CAST(o_custkey * 1000 + o_orderkey % 1000 AS STRING), 12, '0') AS gmid, "
+                        "o_orderkey AS order_id, o_totalprice AS net_sales "
+                        "FROM shelfscope_orders WHERE o_totalprice >= :min_total"},
+}
+MIN_TOTAL = 1000.0
+
+
+@register("s6_sell_in_from_country_sql", f"""
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'CN' ELSE o_orderstatus END AS MARKET,
+  right(ltrim(lpad(CAST(o_custkey * 1000 + o_orderkey % 1000 AS VARCHAR), 12, '0'), '0'), 6) AS GMID,
+  o_orderkey AS ORDER_ID, o_totalprice AS NET_SALES
+FROM orders WHERE o_totalprice >= {MIN_TOTAL}""", "S5", "S6", "Q14")
+def s6_sell_in_from_country_sql(spark, d):
+    from ..sources.files import read_table, run_country_sql
+    fx.table(spark, d, "orders").createOrReplaceTempView("shelfscope_orders")
+    assert read_table(spark, {"table": "shelfscope_orders"}).columns  # S5: table by name
+    return ff.sell_in(run_country_sql(spark, SELL_IN_SQL, "CN", {"min_total": MIN_TOTAL}), "CN")
+
+
+@register("c22_market_filter_projection", f"""
+SELECT c_custkey FROM customer WHERE ({_market_case()}) = 'GB'""", "C22")
+def c22_market_filter_projection(spark, d):
+    # customers whose derived market code is GB (same derivation as p13)
+    c = fx.table(spark, d, "customer")
+    code = F.element_at(F.array(*[F.lit(m) for m in MARKETS]), (F.col("c_nationkey") % len(MARKETS)) + 1)
+    return c.where(code == "GB").select("c_custkey")
+
+
+@register("u5_sorted_ship_dates", """
+SELECT DISTINCT CAST(l_shipdate AS DATE) AS ship_day FROM lineitem""", "U5")
+def u5_sorted_ship_dates(spark, d):
+    from ..operators.setops import sorted_dates
+    li = fx.table(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("ship_day"))
+    return sorted_dates(li, "ship_day")

@@ -67,3 +67,19 @@ def t1_stream_vendor_report(spark, d):
                      checkpoint=_scratch(spark, "ingest-ckpt"), partition_by=None)
     q.awaitTermination()
     return spark.read.parquet(out).drop("batch")
+
+
+@register("s11_landed_weekly_reports", """
+SELECT DISTINCT strftime(CAST(CAST(l_shipdate AS DATE) - CAST((dayofweek(l_shipdate) + 1) % 7 AS INTEGER) AS DATE),
+                         '%Y-%m-%d') AS landed_date
+FROM lineitem""", "S11", "K1", "K2")
+def s11_landed_weekly_reports(spark, d):
+    from ..operators.planning import last_saturday
+    from ..sinks import write_dated_many
+    li = fx.table(spark, d, "lineitem")
+    weekly = (li.groupBy(F.col("l_partkey").cast("string").alias("ASIN"),
+                         last_saturday(F.col("l_shipdate").cast("date")).alias("ENDDATE"))
+              .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("ORDEREDUNITS")))
+    root = _scratch(spark, "landed-weekly") + "/avc/US/sp_sales_weekly"
+    write_dated_many(weekly, root, "sp_sales_weekly", "ENDDATE")
+    return src.landed_dates(spark, root)
