@@ -36,17 +36,38 @@ def explode_codes(df: DataFrame, col: str, pos_name: str | None = None) -> DataF
     return df.select(*others, F.explode_outer(code_list(col)).alias(col))
 
 
-def suffix_duplicate_ids(df: DataFrame, id_col: str, order: Sequence[str | Column],
+RANK_BUCKET = 1 << 16  # rows of one key numbered inside one task at most
+
+
+def row_number_bucketed(df: DataFrame, keys: Sequence[str], pos: str, tiebreak: Sequence[str] = (),
+                        out: str = "rn", bucket: int = RANK_BUCKET) -> DataFrame:
+    """Exact ``row_number() over (partition by keys order by pos, tiebreak)``
+    for a numeric position that keeps a hot key out of a single task: rows are
+    cut into position buckets, numbered inside (key, bucket) windows of at
+    most ``bucket`` positions, and shifted by the row counts of the key's
+    earlier buckets (a prefix sum over one row per bucket)."""
+    b = df.withColumn("__b", F.floor(q(pos) / bucket))
+    counts = b.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    w_prev = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).alias("__off"))
+    w_in = Window.partitionBy(*keys, "__b").orderBy(q(pos), *[q(t) for t in tiebreak])
+    local = b.withColumn("__rn_local", F.row_number().over(w_in))
+    return (local.join(offsets, [*keys, "__b"])
+                 .withColumn(out, F.col("__off") + F.col("__rn_local")).drop("__b", "__off", "__rn_local"))
+
+
+def suffix_duplicate_ids(df: DataFrame, id_col: str, pos: str, tiebreak: Sequence[str] = (),
                          file_col: str | None = None) -> DataFrame:
     """C2 (W2 + W3): ids that occur more than once (within a file) become
-    ``id-1, id-2, ...`` in row order; unique ids are unchanged."""
+    ``id-1, id-2, ...`` in row order (``pos``, then ``tiebreak``); unique ids
+    are unchanged.  The occurrence count is an aggregate joined back and the
+    running number is bucketed (``row_number_bucketed``), so one very common
+    id does not land in one task."""
     part = [file_col, id_col] if file_col else [id_col]
-    w_all = Window.partitionBy(*part)
-    w_ord = Window.partitionBy(*part).orderBy(*order)
-    dup = F.count(F.lit(1)).over(w_all) > 1
-    rn = F.row_number().over(w_ord)
-    return df.withColumn(id_col, F.when(dup, F.concat(q(id_col), F.lit("-"), rn.cast("string")))
-                         .otherwise(q(id_col)))
+    cnt = df.groupBy(*part).agg(F.count(F.lit(1)).alias("__cnt"))
+    x = row_number_bucketed(df.join(cnt, part), part, pos, tiebreak, out="__rn")
+    return x.withColumn(id_col, F.when(F.col("__cnt") > 1, F.concat(q(id_col), F.lit("-"), F.col("__rn").cast("string")))
+                        .otherwise(q(id_col))).drop("__cnt", "__rn")
 
 
 def unpivot_dates(df: DataFrame, ids: Sequence[str], var: str = "Date", value: str = "Value",
@@ -82,11 +103,16 @@ def skip_embedded_header(df: DataFrame, col: str) -> DataFrame:
     return df.where(~q(col).eqNullSafe(F.lit(col)))
 
 
-def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Keep the first row (in ``order``) of each key; ``dropDuplicates``
-    would keep an arbitrary one."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keep the first row (smallest ``order``) of each key;
+    ``dropDuplicates`` would keep an arbitrary one.  Written as a ``min_by``
+    aggregate (partial aggregation before the shuffle), not a window, so a
+    key holding a large share of the rows is combined map-side."""
+    others = [c for c in df.columns if c not in keys]
+    row = F.struct(*[q(c) for c in others])
+    first = df.groupBy(*[q(k) for k in keys]).agg(F.min_by(row, F.struct(*[q(o) for o in order])).alias("__r"))
+    return first.select(*[q(k) for k in keys], *[F.col("__r").getField(c).alias(c) for c in others]).select(
+        *[q(c) for c in df.columns])
 
 
 def sum_suffix(df: DataFrame, suffix: str, out: str) -> DataFrame:

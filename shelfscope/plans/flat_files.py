@@ -42,7 +42,7 @@ def media_plan(df: DataFrame, id_col: str = "ID", code_col: str = "PZN", file_co
     """Q9: codes exploded (C1), duplicate ids suffixed per file in row order
     (C2), exact duplicates dropped per file (C7), files stacked (U3)."""
     x = cl.explode_codes(df, code_col, pos_name="__code_pos")
-    x = cl.suffix_duplicate_ids(x, id_col, [F.col(pos_col), F.col("__code_pos")], file_col)
+    x = cl.suffix_duplicate_ids(x, id_col, pos_col, ["__code_pos"], file_col)
     keep = [c for c in x.columns if c not in (pos_col, "__code_pos")]
     return x.select(*keep).dropDuplicates()
 
@@ -54,7 +54,7 @@ def sellout_long(wide: DataFrame, ids: Sequence[str], keys: Sequence[str] = ("Na
     extra = [c for c in order if c not in ids]
     values = [c for c in wide.columns if c not in ids and c not in extra]
     long = cl.unpivot_dates(wide, [*ids, *extra], values=values)
-    return cl.dedup_keep_first(long, [*keys, "Date"], [F.col(c) for c in order]).drop(*extra)
+    return cl.dedup_keep_first(long, [*keys, "Date"], list(order)).drop(*extra)
 
 
 def latest_inventory(df: DataFrame, file_col: str = "file_name",

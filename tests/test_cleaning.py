@@ -14,7 +14,7 @@ def test_explode_codes_and_duplicate_ids(spark):
     got = sorted((r.file_name, r.pos, r.PZN) for r in x.collect())
     assert got == [("f1", 1, "123"), ("f1", 2, "123"), ("f1", 2, "45"), ("f1", 3, None), ("f1", 4, None),
                    ("f1", 5, None), ("f1", 6, "9"), ("f2", 1, "7")]
-    s = cl.suffix_duplicate_ids(x, "ID", [F.col("pos"), F.col("cpos")], "file_name")
+    s = cl.suffix_duplicate_ids(x, "ID", "pos", ["cpos"], "file_name")
     ids = sorted((r.file_name, r.pos, r.ID) for r in s.collect())
     # A twice in f1 -> A-1, A-2 by row order; B twice (two codes) -> B-1, B-2; f2's A untouched
     assert ("f1", 1, "A-1") in ids and ("f1", 6, "A-2") in ids and ("f2", 1, "A") in ids
@@ -31,6 +31,14 @@ def test_unpivot_keeps_nulls_and_keep_first(spark):
     assert sorted((r.Date, r.Value) for r in first.collect()) == [("2024-01-01", 1.0), ("2024-01-02", None)]
 
 
+def test_bucketed_row_number_is_exact(spark):
+    df = spark.range(0, 1000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7 % 1000).alias("pos"))
+    got = cl.row_number_bucketed(df, ["k"], "pos", bucket=16)
+    from pyspark.sql import Window
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("pos")))
+    assert sorted(map(tuple, got.select("k", "pos", "rn").collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_sum_suffix_and_null_keys(spark):
     df = spark.createDataFrame([("a", "1", 1.0, None), ("a", "1", None, None), (None, "1", 3.0, 1.0)],
                                "PZN string, `Pck.` string, `x Menge` double, `y Menge` double")
