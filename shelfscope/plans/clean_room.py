@@ -6,7 +6,8 @@ clicks, spend in 1e-8 units, one row per event) and ``conversions``
 reference's SQL; the plan shape is ours:
 
 * the brand lookup comes from one creative-level aggregate of traffic, which
-  also yields the campaign flight bounds (one scan instead of two);
+  also yields the campaign flight bounds (spread over the small lookup with a
+  window and carried by the facts: no second scan, aggregate or join);
 * both fact tables are reduced to user grain *before* the lookup join.  The
   lookup is not unique per campaign id, so it is first reduced to its
   distinct used columns with a multiplicity ``__mult`` and sums are scaled by
@@ -80,7 +81,7 @@ def creative_dims(traffic_w: DataFrame) -> DataFrame:
 
 
 def brand_lookup(creatives: DataFrame, rules=REFERENCE_BRAND_RULES, mode: str = "auto",
-                 prefer_classified: bool = False) -> DataFrame:
+                 prefer_classified: bool = False, with_flight: bool = False) -> DataFrame:
     """A3 over A2: MAX(brand label) per campaign row over its creatives.
 
     The reference's MAX compares labels as strings, so 'UNCLASSIFIED' beats
@@ -92,8 +93,10 @@ def brand_lookup(creatives: DataFrame, rules=REFERENCE_BRAND_RULES, mode: str =
                          F.lit(UNCLASSIFIED))
     else:
         agg = F.max("__brand")
+    extra = ([F.min("campaign_start_date_utc").alias("campaign_start_date_utc"),
+              F.max("campaign_end_date_utc").alias("campaign_end_date_utc")] if with_flight else [])
     return g.groupBy(*W, "advertiser", "currency_iso_code", "campaign", "campaign_id_string",
-                     "ad_product_type").agg(agg.alias("brand"))
+                     "ad_product_type").agg(agg.alias("brand"), *extra)
 
 
 def lookup_keys(lookup: DataFrame, cols: Sequence[str], dedupe: bool = False) -> DataFrame:
@@ -123,17 +126,25 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
                    dedupe_lookup: bool = False) -> DataFrame:
     t = windowed(traffic, start, end, window_days)
     c = windowed(conversions, start, end, window_days)
-    creatives = creative_dims(t)
-    lookup = brand_lookup(creatives, rules, brand_mode, prefer_classified)
+    flight = ["campaign_start_date_utc", "campaign_end_date_utc"]
+    lookup = brand_lookup(creative_dims(t), rules, brand_mode, prefer_classified, with_flight=True)
+    # J4 + A7: the flight bounds are per campaign id over all its traffic; a
+    # window over the (small) lookup spreads them to every lookup row, so the
+    # facts carry them and no separate scan, aggregate or join is needed.
+    by_cid = Window.partitionBy(*W, "campaign_id_string")
+    lookup = lookup.withColumns({flight[0]: F.min(flight[0]).over(by_cid),
+                                 flight[1]: F.max(flight[1]).over(by_cid)})
+    lk_t = (lookup.groupBy(*W, "campaign_id_string", "brand", "currency_iso_code", "ad_product_type")
+            .agg((F.lit(1).cast("bigint") if dedupe_lookup else F.count(F.lit(1))).alias("__mult"),
+                 F.min(flight[0]).alias(flight[0]), F.max(flight[1]).alias(flight[1])))
 
     # traffic side: ad type, brand and currency come from the lookup
     t_user = (t.where(F.col("user_id").isNotNull())
                .groupBy(*W, "campaign_id_string", "campaign", "user_id")
                .agg(*[F.sum(m).alias(m) for m in TRAFFIC_MEASURES]))
-    lk_t = lookup_keys(lookup, ["brand", "currency_iso_code", "ad_product_type"], dedupe_lookup)
     t_side = (t_user.join(lk_t, [*W, "campaign_id_string"])
               .select(*W, "brand", "campaign", "campaign_id_string", "currency_iso_code",
-                      "ad_product_type", "user_id",
+                      "ad_product_type", "user_id", *flight,
                       *[(F.col(m) * F.col("__mult")).alias(m) for m in TRAFFIC_MEASURES],
                       F.lit(False).alias("__shopper"),
                       F.lit(0).cast("bigint").alias("interactions_count")))
@@ -149,10 +160,11 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
                      .alias("interactions_count")))
     # derived from lk_t (same subtree, so its exchange is reused, not recomputed)
     lk_c = (lk_t.groupBy(*W, "campaign_id_string", "brand", "currency_iso_code")
-            .agg((F.lit(1).cast("bigint") if dedupe_lookup else F.sum("__mult")).alias("__mult")))
+            .agg((F.lit(1).cast("bigint") if dedupe_lookup else F.sum("__mult")).alias("__mult"),
+                 F.min(flight[0]).alias(flight[0]), F.max(flight[1]).alias(flight[1])))
     c_side = (c_user.join(lk_c, [*W, "campaign_id_string"])
               .select(*W, "brand", "campaign", "campaign_id_string", "currency_iso_code",
-                      "ad_product_type", "user_id",
+                      "ad_product_type", "user_id", *flight,
                       *[(F.col(m) * F.col("__mult")).alias(m)
                         for m in CONVERSION_MEASURES + ["interactions_count"]],
                       (F.col("total_purchases") > 0).alias("__shopper")))
@@ -166,15 +178,14 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
     measures = TRAFFIC_MEASURES + CONVERSION_MEASURES + ["interactions_count"]
     # step 1: per user (exact distinct counts without Expand)
     per_user = combined.groupBy(*dims, "user_id").agg(
-        *[F.sum(m).alias(m) for m in measures], F.max("__shopper").alias("__shopper"))
+        *[F.sum(m).alias(m) for m in measures], F.max("__shopper").alias("__shopper"),
+        F.min(flight[0]).alias(flight[0]), F.max(flight[1]).alias(flight[1]))
     agg = per_user.groupBy(*dims).agg(
         *[F.sum(m).alias(m) for m in measures],
         F.count(F.lit(1)).alias("reach"),
-        F.count_if(F.col("__shopper")).alias("shoppers_num"))
-    # Flight bounds are unique per campaign id, so joining after the
-    # aggregate gives the same MIN/MAX as the reference's join before it.
-    res = agg.join(camp_flight(creatives), [*W, "campaign_id_string"], "left")
-    return res.select(
+        F.count_if(F.col("__shopper")).alias("shoppers_num"),
+        F.min(flight[0]).alias(flight[0]), F.max(flight[1]).alias(flight[1]))
+    return agg.select(
         *dims,
         (F.col("spend").cast("double") / F.lit(MONEY_SCALE)).alias("cost_sum"),
         F.col("impressions").cast("bigint").alias("impressions_sum"),
@@ -183,7 +194,7 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
         *[_out(m, F.col(m)).alias(f"{m}_sum") for m in CONVERSION_MEASURES],
         F.col("shoppers_num").cast("bigint").alias("shoppers_num"),
         F.col("interactions_count").cast("bigint").alias("total_orders_count"),
-        "campaign_start_date_utc", "campaign_end_date_utc")
+        *flight)
 
 
 # ----------------------------------------------------------------------------
