@@ -128,7 +128,11 @@ def sum_suffix(df: DataFrame, suffix: str, out: str) -> DataFrame:
 def iso_date(c: str | Column, fmt: str = "yyyyMMdd", strict: bool = True) -> Column:
     """Date text in ``fmt`` -> 'yyyy-MM-dd' text.  Strict: a bad
     value fails the job (ANSI); lenient: NULL."""
-    d = F.to_date(_c(c), fmt) if strict else F.try_to_date(_c(c), fmt)
+    col = _c(c)
+    d = F.try_to_date(col, fmt)
+    if strict:  # fail the job on a bad value whatever the session's ANSI setting
+        d = F.when(col.isNotNull() & d.isNull(),
+                   F.raise_error(F.concat(F.lit(f"not a {fmt} date: "), col))).otherwise(d)
     return F.date_format(d, "yyyy-MM-dd")
 
 

@@ -110,3 +110,17 @@ def test_stream_equals_batch_and_resumes(spark, tmp_dir):
     assert got.count() == 9
     batch = spark.read.schema(schema).json(land).select(F.explode("salesByAsin").alias("r")).select("r.*")
     assert sorted(r.ASIN for r in got.collect()) == sorted(r.asin for r in batch.collect())
+
+
+def test_report_sinks_k1_k3_k6(spark, tmp_dir):
+    import datetime as dt
+    df = spark.createDataFrame([(2, "b", dt.date(2024, 1, 2)), (1, "a", dt.date(2024, 1, 5))],
+                               "z int, a string, d date")
+    p1 = sinks.write_report(df, tmp_dir, sinks.ADS_TEMPLATE, "US", "sp_campaign", "2024-01-09")
+    assert p1.endswith("de/amazon_ads/US/sp_campaign/sp_campaign_09012024.csv")
+    assert spark.read.option("header", True).csv(p1).columns == ["z", "a", "d"]  # K6: unsorted
+    p3 = sinks.upload_with_data_date(df, tmp_dir, sinks.FEED_TEMPLATE, "US", "omni_sales", "d")
+    assert p3.endswith("de/omni_sales/US/omni_sales_05012024.csv")
+    root = sinks.write_dated_many(df, os.path.join(tmp_dir, "many"), "t", "d")
+    got = sorted(r.landed_date for r in src.landed_dates(spark, root).collect())
+    assert got == ["2024-01-02", "2024-01-05"]
