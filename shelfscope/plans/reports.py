@@ -37,12 +37,16 @@ def _lag_us(start: str, end: str) -> Column:
 # R2 / R3 attribution
 
 def last_click(purchases: DataFrame, clicks: DataFrame, user: str = "user_id", ts: str = "ts",
-               click_cols: Sequence[str] = ("click_ts", "campaign_id", "advertised_sku")) -> DataFrame:
+               click_cols: Sequence[str] = ("click_ts", "campaign_id", "advertised_sku"),
+               bucket: str = "hour") -> DataFrame:
     """For every purchase, the latest click of the same user at or before it
     (NULL columns when none).  ``clicks`` must carry ``click_cols`` with
-    ``click_ts`` the click time."""
-    day = F.col(ts).cast("date")
-    c = clicks.select(user, *click_cols).withColumn("__day", F.col("click_ts").cast("date"))
+    ``click_ts`` the click time.  Time is cut into ``bucket`` periods: the
+    same-period click comes from a window inside one (user, period); earlier
+    clicks from a running max over the user's periods (one row per active
+    period), so no window ever holds a user's whole history of events."""
+    day = F.date_trunc(bucket, F.col(ts))
+    c = clicks.select(user, *click_cols).withColumn("__day", F.date_trunc(bucket, F.col("click_ts")))
     # last click of each earlier day, carried forward over a user's days
     # (purchase days without clicks are rows too, so they receive it)
     click_days = c.groupBy(user, "__day").agg(F.max(F.struct(*[F.col(x) for x in click_cols])).alias("__last"))

@@ -48,3 +48,13 @@ def test_first_touch_ties_are_repeatable(spark):
                                "brand string, user_id string, ad string, t int")
     out = rank_first_touch(df, ["brand", "user_id"], "t", ["ad"]).orderBy("rn").collect()
     assert [r.ad for r in out] == ["SD", "SB", "SP"]
+
+
+def test_long_rule_lists_use_the_array_form(spark):
+    from shelfscope.functions.brand import CASE_RULE_LIMIT, classify_brand
+    rules = [(f"kw{i:03d}", f"Brand{i:03d}") for i in range(CASE_RULE_LIMIT + 50)]
+    df = spark.createDataFrame([("x kw120 y", "", ""), ("", "kw007", "kw120"), ("none", None, "z")],
+                               "advertiser string, creative string, campaign string")
+    a = [r.b for r in df.select(classify_brand(rules).alias("b")).collect()]
+    b = [r.b for r in df.select(classify_brand(rules, mode="case").alias("b")).collect()]
+    assert a == b == ["Brand120", "Brand007", "UNCLASSIFIED"]
