@@ -18,8 +18,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 N_CAMPAIGNS = 40  # campaigns are parts 0..39: event_id % 40
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's parquet table (a lazy DataFrame, memoised per session and
+    path so repeated references skip the file listing and footer read)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _mod(c: str, k: int) -> Column:
@@ -40,76 +49,69 @@ def ad_base(spark: SparkSession, sf_dir: str) -> DataFrame:
          .where((F.col("p_partkey") > -N_CAMPAIGNS) & (F.col("p_partkey") < N_CAMPAIGNS))
          .select("p_partkey", "p_name", "p_brand"))
     j = e.join(F.broadcast(p), F.col("p_partkey") == _mod("event_id", N_CAMPAIGNS))
-    pk = F.col("p_partkey")
-    two_cur = ((pk % 10) == 0) & (_mod("event_id", 80) >= 40)
-    return j.select(
-        F.col("event_id"), F.col("ts").alias("event_dt"), F.col("event_type"), F.col("value"),
-        F.when(_mod("event_id", 13) == 0, F.lit(None).cast("string"))
-         .otherwise(F.col("user_id").cast("string")).alias("user_id"),
-        F.col("p_brand").alias("advertiser"),
-        F.concat(F.lit("ENT-"), F.col("p_brand")).alias("entity_id"),
-        F.when(two_cur, F.lit("EUR")).otherwise(F.lit("USD")).alias("currency_iso_code"),
-        F.when(two_cur, F.lit("Europe/Berlin")).otherwise(F.lit("America/New_York")).alias("advertiser_timezone"),
-        F.when((pk % 2) == 0, F.concat(F.lit("cmp "), F.col("p_name")))
-         .otherwise(F.concat(F.lit("cmp "), pk.cast("string"))).alias("campaign"),
-        pk.cast("string").alias("campaign_id_string"),
-        F.when(_mod("event_id", 3) == 0, F.col("p_name")).otherwise(F.lit("generic")).alias("creative"),
-        F.when((pk % 4) == 0, F.lit("sponsored_products"))
-         .when((pk % 4) == 1, F.lit("sponsored_display"))
-         .when((pk % 4) == 2, F.lit("sponsored_brands"))
-         .otherwise(F.lit(None).cast("string")).alias("ad_product_type"),
-        F.lit("2024-01-01").cast("date").alias("campaign_start_date"),
-        F.lit("2024-01-31").cast("date").alias("campaign_end_date"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (pk % 3).cast("int")).alias("campaign_start_date_utc"),
-        F.date_add(F.lit("2024-01-30").cast("date"), (pk % 2).cast("int")).alias("campaign_end_date_utc"),
+    two_cur = "(p_partkey % 10 = 0 AND event_id % 80 >= 40)"
+    return j.selectExpr(
+        "event_id", "ts AS event_dt", "event_type", "value",
+        "CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(user_id AS STRING) END AS user_id",
+        "p_brand AS advertiser", "concat('ENT-', p_brand) AS entity_id",
+        f"CASE WHEN {two_cur} THEN 'EUR' ELSE 'USD' END AS currency_iso_code",
+        f"CASE WHEN {two_cur} THEN 'Europe/Berlin' ELSE 'America/New_York' END AS advertiser_timezone",
+        "CASE WHEN p_partkey % 2 = 0 THEN concat('cmp ', p_name) ELSE concat('cmp ', CAST(p_partkey AS STRING)) END"
+        " AS campaign",
+        "CAST(p_partkey AS STRING) AS campaign_id_string",
+        "CASE WHEN event_id % 3 = 0 THEN p_name ELSE 'generic' END AS creative",
+        "CASE p_partkey % 4 WHEN 0 THEN 'sponsored_products' WHEN 1 THEN 'sponsored_display'"
+        " WHEN 2 THEN 'sponsored_brands' ELSE CAST(NULL AS STRING) END AS ad_product_type",
+        "DATE'2024-01-01' AS campaign_start_date", "DATE'2024-01-31' AS campaign_end_date",
+        "date_add(DATE'2024-01-01', CAST(p_partkey % 3 AS INT)) AS campaign_start_date_utc",
+        "date_add(DATE'2024-01-30', CAST(p_partkey % 2 AS INT)) AS campaign_end_date_utc",
     )
 
 
 def ad_traffic(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """V2: impressions/clicks; spend is an integer in 1e-8 currency units."""
     b = (base if base is not None else ad_base(spark, sf_dir)).where(F.col("event_type") != "purchase")
-    return b.select(
+    return b.selectExpr(
         "event_dt", "user_id", "advertiser", "entity_id", "currency_iso_code", "campaign",
         "campaign_id_string", "creative", "ad_product_type", "advertiser_timezone",
         "campaign_start_date", "campaign_end_date", "campaign_start_date_utc", "campaign_end_date_utc",
-        F.lit(1).cast("bigint").alias("impressions"),
-        F.when(F.col("event_type") == "click", F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("clicks"),
-        (F.round(F.col("value") * 100).cast("bigint") * F.lit(1000000)).alias("spend"),
+        "CAST(1 AS BIGINT) AS impressions",
+        "CAST(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS BIGINT) AS clicks",
+        "CAST(round(value * 100) AS BIGINT) * 1000000 AS spend",
     )
 
 
 def ad_conversions(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     """V3: attributed conversions (purchase events) with all 18 measures."""
     b = (base if base is not None else ad_base(spark, sf_dir)).where(F.col("event_type") == "purchase")
-    dec = "decimal(18,2)"
-    sales = F.col("value").cast(dec)
-    zero = F.lit(0).cast(dec)
-    total_p = F.when(_mod("event_id", 5) == 0, F.lit(0)).otherwise(F.lit(1)).cast("bigint")
-    halo = _flag("event_id", 7)
-    ntb = _flag("event_id", 4)
-    ntb_halo = _flag("event_id", 14)
-    return b.select(
+    sales = "CAST(value AS DECIMAL(18,2))"
+    zero = "CAST(0 AS DECIMAL(18,2))"
+
+    def flag(k: int) -> str:
+        return f"CASE WHEN event_id % {k} = 0 THEN 1 ELSE 0 END"
+
+    return b.selectExpr(
         "event_dt", "user_id", "advertiser", "advertiser_timezone", "campaign", "campaign_id_string",
         "ad_product_type", "campaign_start_date", "campaign_end_date",
-        (F.lit(1) + _mod("event_id", 3)).cast("bigint").alias("detail_page_view"),
-        _mod("event_id", 2).cast("bigint").alias("brand_halo_detail_page_view"),
-        (F.lit(1) + _mod("event_id", 3) + _mod("event_id", 2)).cast("bigint").alias("total_detail_page_view"),
-        F.lit(1).cast("bigint").alias("purchases"),
-        halo.alias("brand_halo_purchases"),
-        total_p.alias("total_purchases"),
-        sales.alias("product_sales"),
-        F.when(_mod("event_id", 7) == 0, sales).otherwise(zero).alias("brand_halo_product_sales"),
-        F.when(_mod("event_id", 5) == 0, zero).otherwise(sales).alias("total_product_sales"),
-        (F.lit(1) + _mod("event_id", 4)).cast("bigint").alias("units_sold"),
-        (halo * 2).cast("bigint").alias("brand_halo_units_sold"),
-        (F.lit(1) + _mod("event_id", 4) + halo * 2).cast("bigint").alias("total_units_sold"),
-        ntb.alias("new_to_brand_purchases"),
-        ntb_halo.alias("new_to_brand_brand_halo_purchases"),
-        (ntb + ntb_halo).cast("bigint").alias("new_to_brand_total_purchases"),
-        F.when(_mod("event_id", 4) == 0, sales).otherwise(zero).alias("new_to_brand_product_sales"),
-        F.when((_mod("event_id", 4) == 0) & (_mod("event_id", 5) != 0), sales).otherwise(zero)
-         .alias("new_to_brand_total_product_sales"),
-        F.when((_mod("event_id", 14) == 0), sales).otherwise(zero).alias("new_to_brand_brand_halo_product_sales"),
+        "CAST(1 + event_id % 3 AS BIGINT) AS detail_page_view",
+        "CAST(event_id % 2 AS BIGINT) AS brand_halo_detail_page_view",
+        "CAST(1 + event_id % 3 + event_id % 2 AS BIGINT) AS total_detail_page_view",
+        "CAST(1 AS BIGINT) AS purchases",
+        f"CAST({flag(7)} AS BIGINT) AS brand_halo_purchases",
+        "CAST(CASE WHEN event_id % 5 = 0 THEN 0 ELSE 1 END AS BIGINT) AS total_purchases",
+        f"{sales} AS product_sales",
+        f"CASE WHEN event_id % 7 = 0 THEN {sales} ELSE {zero} END AS brand_halo_product_sales",
+        f"CASE WHEN event_id % 5 = 0 THEN {zero} ELSE {sales} END AS total_product_sales",
+        "CAST(1 + event_id % 4 AS BIGINT) AS units_sold",
+        f"CAST({flag(7)} * 2 AS BIGINT) AS brand_halo_units_sold",
+        f"CAST(1 + event_id % 4 + {flag(7)} * 2 AS BIGINT) AS total_units_sold",
+        f"CAST({flag(4)} AS BIGINT) AS new_to_brand_purchases",
+        f"CAST({flag(14)} AS BIGINT) AS new_to_brand_brand_halo_purchases",
+        f"CAST({flag(4)} + {flag(14)} AS BIGINT) AS new_to_brand_total_purchases",
+        f"CASE WHEN event_id % 4 = 0 THEN {sales} ELSE {zero} END AS new_to_brand_product_sales",
+        f"CASE WHEN event_id % 4 = 0 AND event_id % 5 <> 0 THEN {sales} ELSE {zero} END"
+        " AS new_to_brand_total_product_sales",
+        f"CASE WHEN event_id % 14 = 0 THEN {sales} ELSE {zero} END AS new_to_brand_brand_halo_product_sales",
     )
 
 

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .sqlexpr import lit, qn
+
 # Fixed values that must equal the reference's for the same results: the
 # clean-room brand rules, in priority order (pattern searched in lower-cased
 # advertiser, creative and campaign; first match wins).
@@ -52,21 +54,18 @@ FIXTURE_BRAND_RULES: list[tuple[str, str]] = [
 CASE_RULE_LIMIT = 100
 
 
-def _hit(field: str, pattern: str) -> Column:
+def _hit(field: str, pattern: str) -> str:
     # LIKE '%p%' on LOWER(field) == contains(lower(field), p) for wildcard-free p
-    return F.lower(F.col(field)).contains(pattern)
+    return f"contains(lower({qn(field)}), {lit(pattern)})"
 
 
 def brand_case(rules: Sequence[tuple[str, str]] = REFERENCE_BRAND_RULES,
                fields: Sequence[str] = BRAND_FIELDS,
                default: str = UNCLASSIFIED) -> Column:
-    """CASE form: one WHEN per (rule, field) in rule order, then field order."""
-    expr = None
-    for pattern, label in rules:
-        for f in fields:
-            cond = _hit(f, pattern)
-            expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+    """CASE form: one WHEN per (rule, field) in rule order, then field order
+    (built as one SQL expression)."""
+    whens = " ".join(f"WHEN {_hit(f, p)} THEN {lit(label)}" for p, label in rules for f in fields)
+    return F.expr(f"CASE {whens} ELSE {lit(default)} END" if whens else lit(default))
 
 
 def brand_array(rules: Sequence[tuple[str, str]] = REFERENCE_BRAND_RULES,

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 def zero_fill(df: DataFrame, measures: Mapping[str, str]) -> DataFrame:
     """U1 helper: add each missing measure as a typed 0 (``measures`` maps
     name -> SQL type) so two fact shapes can be stacked."""
-    missing = {m: F.lit(0).cast(t) for m, t in measures.items() if m not in df.columns}
-    return df.withColumns(missing) if missing else df
+    missing = [F.expr(f"CAST(0 AS {t}) AS `{m}`") for m, t in measures.items() if m not in df.columns]
+    return df.select("*", *missing) if missing else df
 
 
 def union_facts(left: DataFrame, right: DataFrame, measures: Mapping[str, str]) -> DataFrame:

@@ -21,14 +21,15 @@ def assign_window(df: DataFrame, ts: str, start: str | dt.date, end: str | dt.da
     window.  ``days=None``: one window [start, end).  Otherwise consecutive
     windows of ``days`` days from ``start``, the last clipped at ``end``
     (so one job computes what the reference runs as one request per window)."""
-    s, e = _date(start), _date(end)
-    kept = df.where((F.col(ts) >= s.cast("timestamp_ntz")) & (F.col(ts) < e.cast("timestamp_ntz")))
+    s, e = f"DATE'{start}'", f"DATE'{end}'"
+    t = f"`{ts}`"
+    kept = df.where(F.expr(f"{t} >= CAST({s} AS TIMESTAMP_NTZ) AND {t} < CAST({e} AS TIMESTAMP_NTZ)"))
     if days is None:
-        return kept.withColumns({WINDOW_COLS[0]: s, WINDOW_COLS[1]: e})
-    off = (F.floor(F.datediff(F.col(ts).cast("date"), s) / F.lit(days)) * F.lit(days)).cast("int")
-    ws = F.date_add(s, off)
-    return kept.withColumns({WINDOW_COLS[0]: ws,
-                             WINDOW_COLS[1]: F.least(F.date_add(ws, F.lit(days)), e)})
+        ws, we = s, e
+    else:
+        ws = f"date_add({s}, CAST(floor(datediff(CAST({t} AS DATE), {s}) / {int(days)}) * {int(days)} AS INT))"
+        we = f"least(date_add({ws}, {int(days)}), {e})"
+    return kept.select("*", F.expr(f"{ws} AS {WINDOW_COLS[0]}"), F.expr(f"{we} AS {WINDOW_COLS[1]}"))
 
 
 def rank_first_touch(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = (),

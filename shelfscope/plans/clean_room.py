@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.brand import (REFERENCE_BRAND_RULES, UNCLASSIFIED, classify_brand,
                                map_ad_type, null_ad_type_as_dsp)
+from ..functions.sqlexpr import e, qn, scaled, sums
 from ..operators.setops import union_facts
 from ..operators.windows import WINDOW_COLS, assign_window
 
@@ -58,6 +59,10 @@ def _is_money(m: str) -> bool:
     return m.endswith("product_sales")
 
 
+def _out_type(m: str) -> str:
+    return "DOUBLE" if _is_money(m) else "BIGINT"
+
+
 def _out(m: str, c: Column) -> Column:
     """Final output type: money as DOUBLE (cast once after an exact decimal
     sum), counts as BIGINT."""
@@ -141,13 +146,11 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
     # traffic side: ad type, brand and currency come from the lookup
     t_user = (t.where(F.col("user_id").isNotNull())
                .groupBy(*W, "campaign_id_string", "campaign", "user_id")
-               .agg(*[F.sum(m).alias(m) for m in TRAFFIC_MEASURES]))
+               .agg(*sums(TRAFFIC_MEASURES)))
     t_side = (t_user.join(lk_t, [*W, "campaign_id_string"])
               .select(*W, "brand", "campaign", "campaign_id_string", "currency_iso_code",
-                      "ad_product_type", "user_id", *flight,
-                      *[(F.col(m) * F.col("__mult")).alias(m) for m in TRAFFIC_MEASURES],
-                      F.lit(False).alias("__shopper"),
-                      F.lit(0).cast("bigint").alias("interactions_count")))
+                      "ad_product_type", "user_id", *flight, *scaled(TRAFFIC_MEASURES, "__mult"),
+                      e("false AS __shopper"), e("CAST(0 AS BIGINT) AS interactions_count")))
 
     # conversion side: ad type from the event (NULL -> DSP), summed per user
     conv_dims = ["campaign", "campaign_id_string", "ad_product_type", "advertiser",
@@ -155,9 +158,8 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
     c_user = (c.where(F.col("user_id").isNotNull())
                .withColumn("ad_product_type", null_ad_type_as_dsp("ad_product_type"))
                .groupBy(*W, *conv_dims)
-               .agg(*[F.sum(m).alias(m) for m in CONVERSION_MEASURES],
-                    F.sum(F.when(F.col("total_purchases") > 0, 1).otherwise(0)).cast("bigint")
-                     .alias("interactions_count")))
+               .agg(*sums(CONVERSION_MEASURES),
+                    e("CAST(sum(CASE WHEN total_purchases > 0 THEN 1 ELSE 0 END) AS BIGINT) AS interactions_count")))
     # derived from lk_t (same subtree, so its exchange is reused, not recomputed)
     lk_c = (lk_t.groupBy(*W, "campaign_id_string", "brand", "currency_iso_code")
             .agg((F.lit(1).cast("bigint") if dedupe_lookup else F.sum("__mult")).alias("__mult"),
@@ -165,9 +167,8 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
     c_side = (c_user.join(lk_c, [*W, "campaign_id_string"])
               .select(*W, "brand", "campaign", "campaign_id_string", "currency_iso_code",
                       "ad_product_type", "user_id", *flight,
-                      *[(F.col(m) * F.col("__mult")).alias(m)
-                        for m in CONVERSION_MEASURES + ["interactions_count"]],
-                      (F.col("total_purchases") > 0).alias("__shopper")))
+                      *scaled(CONVERSION_MEASURES + ["interactions_count"], "__mult"),
+                      e("total_purchases > 0 AS __shopper")))
 
     zeros = {m: ("decimal(18,2)" if _is_money(m) else "bigint") for m in CONVERSION_MEASURES}
     combined = union_facts(t_side, c_side, {**zeros, "spend": "bigint", "impressions": "bigint",
@@ -177,23 +178,19 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
     dims = [*W, "brand", "campaign", "campaign_id_string", "currency_iso_code", "ad_product_type"]
     measures = TRAFFIC_MEASURES + CONVERSION_MEASURES + ["interactions_count"]
     # step 1: per user (exact distinct counts without Expand)
-    per_user = combined.groupBy(*dims, "user_id").agg(
-        *[F.sum(m).alias(m) for m in measures], F.max("__shopper").alias("__shopper"),
-        F.min(flight[0]).alias(flight[0]), F.max(flight[1]).alias(flight[1]))
-    agg = per_user.groupBy(*dims).agg(
-        *[F.sum(m).alias(m) for m in measures],
-        F.count(F.lit(1)).alias("reach"),
-        F.count_if(F.col("__shopper")).alias("shoppers_num"),
-        F.min(flight[0]).alias(flight[0]), F.max(flight[1]).alias(flight[1]))
+    bounds = [e(f"min({flight[0]}) AS {flight[0]}"), e(f"max({flight[1]}) AS {flight[1]}")]
+    per_user = combined.groupBy(*dims, "user_id").agg(*sums(measures), e("max(__shopper) AS __shopper"), *bounds)
+    agg = per_user.groupBy(*dims).agg(*sums(measures), e("count(1) AS reach"),
+                                      e("count_if(__shopper) AS shoppers_num"), *bounds)
     return agg.select(
         *dims,
-        (F.col("spend").cast("double") / F.lit(MONEY_SCALE)).alias("cost_sum"),
-        F.col("impressions").cast("bigint").alias("impressions_sum"),
-        F.col("clicks").cast("bigint").alias("clicks_sum"),
-        F.col("reach").cast("bigint").alias("reach"),
-        *[_out(m, F.col(m)).alias(f"{m}_sum") for m in CONVERSION_MEASURES],
-        F.col("shoppers_num").cast("bigint").alias("shoppers_num"),
-        F.col("interactions_count").cast("bigint").alias("total_orders_count"),
+        e(f"CAST(spend AS DOUBLE) / {MONEY_SCALE} AS cost_sum"),
+        e("CAST(impressions AS BIGINT) AS impressions_sum"),
+        e("CAST(clicks AS BIGINT) AS clicks_sum"),
+        e("CAST(reach AS BIGINT) AS reach"),
+        *[e(f"CAST({qn(m)} AS {_out_type(m)}) AS {qn(m + '_sum')}") for m in CONVERSION_MEASURES],
+        e("CAST(shoppers_num AS BIGINT) AS shoppers_num"),
+        e("CAST(interactions_count AS BIGINT) AS total_orders_count"),
         *flight)
 
 
@@ -216,20 +213,17 @@ def user_core(traffic: DataFrame, conversions: DataFrame, start, end,
     sa = (t.where(F.col("user_id").isNotNull())
            .withColumn("ad_product_type", map_ad_type("ad_product_type", default="SA_other"))
            .groupBy(*W, "campaign_id_string", "campaign", "ad_product_type", "user_id")
-           .agg(F.sum("spend").alias("spend"), F.sum("impressions").alias("impressions"),
-                F.sum("clicks").alias("clicks"), F.min("event_dt").alias("event_dt_min"))
+           .agg(*sums(["spend", "impressions", "clicks"]), e("min(event_dt) AS event_dt_min"))
            .join(lk, [*W, "campaign_id_string"])
            .select(*W, "brand", "currency_iso_code", "campaign_id_string", "ad_product_type",
-                   "user_id", "event_dt_min", *[(F.col(m) * F.col("__mult")).alias(m)
-                                                for m in ("spend", "impressions", "clicks")],
-                   F.lit(True).alias("__traffic")))
+                   "user_id", "event_dt_min", *scaled(["spend", "impressions", "clicks"], "__mult"),
+                   e("true AS __traffic")))
     ae = (c.where(F.col("user_id").isNotNull() & F.col("ad_product_type").isNotNull())
            .groupBy(*W, "campaign_id_string", "campaign", "user_id")
-           .agg(*[F.sum(m).alias(m) for m in USER_LEVEL_MEASURES])
+           .agg(*sums(USER_LEVEL_MEASURES))
            .join(lk, [*W, "campaign_id_string"])
            .select(*W, "brand", "currency_iso_code", "campaign_id_string", "user_id",
-                   *[(F.col(m) * F.col("__mult")).alias(m) for m in USER_LEVEL_MEASURES],
-                   F.lit(False).alias("__traffic")))
+                   *scaled(USER_LEVEL_MEASURES, "__mult"), e("false AS __traffic")))
 
     # J3 as a window: each traffic row receives the conversions of its
     # (brand, campaign id, user) -- the LEFT JOIN's match, NULL when none.
@@ -245,10 +239,8 @@ def user_core(traffic: DataFrame, conversions: DataFrame, start, end,
                               for m in USER_LEVEL_MEASURES])
                 .where(F.col("__traffic")))
     return attached.groupBy(*W, "brand", "currency_iso_code", "ad_product_type", "user_id").agg(
-        F.min("event_dt_min").alias("impression_dt_first"),
-        F.sum("spend").alias("spend"), F.sum("impressions").alias("impressions"),
-        F.sum("clicks").alias("clicks"),
-        *[F.sum(m).alias(m) for m in USER_LEVEL_MEASURES])
+        e("min(event_dt_min) AS impression_dt_first"),
+        *sums(["spend", "impressions", "clicks", *USER_LEVEL_MEASURES]))
 
 
 def _user_totals(core: DataFrame, set_col: str, set_expr: Column) -> DataFrame:
@@ -257,13 +249,13 @@ def _user_totals(core: DataFrame, set_col: str, set_expr: Column) -> DataFrame:
     dims = [*W, "brand", "currency_iso_code", set_col]
     tagged = core.withColumn(set_col, set_expr)
     per_user = tagged.groupBy(*dims, "user_id").agg(
-        *[F.sum(m).alias(m) for m in ["spend", "impressions", "clicks", *USER_LEVEL_MEASURES]])
+        *sums(["spend", "impressions", "clicks", *USER_LEVEL_MEASURES]))
     return per_user.groupBy(*dims).agg(
-        (F.sum("spend").cast("double") / F.lit(MONEY_SCALE)).alias("costs"),
-        F.sum("impressions").cast("bigint").alias("impressions_sum"),
-        F.count(F.lit(1)).alias("reach"),
-        F.sum("clicks").cast("bigint").alias("clicks_sum"),
-        *[_out(m, F.sum(m)).alias(f"{m}_sum") for m in USER_LEVEL_MEASURES])
+        e(f"CAST(sum(spend) AS DOUBLE) / {MONEY_SCALE} AS costs"),
+        e("CAST(sum(impressions) AS BIGINT) AS impressions_sum"),
+        e("count(1) AS reach"),
+        e("CAST(sum(clicks) AS BIGINT) AS clicks_sum"),
+        *sums(USER_LEVEL_MEASURES, "_sum", {m: _out_type(m) for m in USER_LEVEL_MEASURES}))
 
 
 def ad_type_overlap(traffic: DataFrame, conversions: DataFrame, start, end,
