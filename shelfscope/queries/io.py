@@ -83,3 +83,21 @@ def s11_landed_weekly_reports(spark, d):
     root = _scratch(spark, "landed-weekly") + "/avc/US/sp_sales_weekly"
     write_dated_many(weekly, root, "sp_sales_weekly", "ENDDATE")
     return src.landed_dates(spark, root)
+
+
+Q7_SQL = REGISTRY["q7_own_search_terms"].oracle
+
+
+@register("s10_search_terms_from_json", Q7_SQL, "S10", "Q7")
+def s10_search_terms_from_json(spark, d):
+    from .vendor import END, OWN_MIN_SIZE, START
+    rec = fx.search_terms_payload(spark, d)
+    # one record per document (no grouping, so no document grows with the
+    # data), gzip JSON Lines
+    docs = rec.select(F.array(F.struct(*rec.columns)).alias("dataByDepartmentAndSearchTerm"))
+    path = _scratch(spark, "landing-search-terms")
+    docs.write.option("compression", "gzip").json(path)
+    records = src.read_search_terms(spark, path, multi_line=False)
+    own = fx.table(spark, d, "part").where(F.col("p_size") > OWN_MIN_SIZE).select(
+        F.col("p_partkey").cast("string").alias("asin"))
+    return v.own_search_terms(records, own, START, END, COUNTRY, NOW)

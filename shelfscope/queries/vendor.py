@@ -76,7 +76,7 @@ SELECT CAST(l_partkey AS VARCHAR) AS CLICKEDASIN, p_name AS CLICKEDITEMNAME, cs
   TIMESTAMP '{NOW}' AS LAST_UPDATED_TIMESTAMP, sfr AS SEARCHFREQUENCYRANK, p_name AS SEARCHTERM,
   DATE '{START}' AS STARTDATE
 FROM s JOIN (SELECT CAST(p_partkey AS VARCHAR) AS asin FROM part WHERE p_size > {OWN_MIN_SIZE}) c
-  ON CAST(l_partkey AS VARCHAR) = c.asin""", "Q7", "S10", "F10", "F19", "J1")
+  ON CAST(l_partkey AS VARCHAR) = c.asin""", "Q7", "F10", "F19", "J1")
 def q7_own_search_terms(spark, d):
     own = fx.table(spark, d, "part").where(F.col("p_size") > OWN_MIN_SIZE).select(
         F.col("p_partkey").cast("string").alias("asin"))
@@ -89,7 +89,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS ASIN, p_name AS BRAND, p_name AS ITEMNAME,
   p_type AS PRODUCTCATEGORY_DISPLAYNAME, lower(p_type) AS PRODUCTCATEGORY_VALUE, DATE '2024-01-15' AS RELEASEDATE,
   CAST(p_size AS VARCHAR) AS SIZE, p_brand AS BRANDCODE, p_type AS MANUFACTURERCODE,
   'BASIC' AS REPLENISHMENTCATEGORY, '{COUNTRY}' AS COUNTRY_CODE, TIMESTAMP '{NOW}' AS LAST_UPDATED_TIMESTAMP
-FROM part WHERE CAST(p_partkey AS VARCHAR) IN (SELECT asin FROM wanted)""", "Q8", "U2", "F2", "F11", "F12")
+FROM part WHERE CAST(p_partkey AS VARCHAR) IN (SELECT asin FROM wanted)""", "Q8", "U2", "F2", "F11")
 def q8_build_catalog(spark, d):
     sales = v.vendor_report(fx.vendor_sales_records(spark, d), COUNTRY, NOW)
     own = fx.table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("asin"))
@@ -130,3 +130,21 @@ def f5_upper_trim_columns(spark, d):
     c = fx.table(spark, d, "customer").select("c_custkey", F.col("c_name").alias(" c_name "), "c_mktsegment")
     c = nz.rename_columns(c, {"not_there": "x"})
     return nz.upper_columns(c, trim=True)
+
+
+@register("f12_union_missing_columns", """
+SELECT CAST(p_partkey AS VARCHAR) AS asin, p_brand AS brand, CAST(NULL AS VARCHAR) AS color
+FROM part WHERE p_size <= 25
+UNION ALL
+SELECT CAST(p_partkey AS VARCHAR) AS asin, p_brand AS brand, split_part(p_name, ' ', 1) AS color
+FROM part WHERE p_size > 25""", "F12", "U3")
+def f12_union_missing_columns(spark, d):
+    # catalog answers arrive batch by batch; a later batch may carry a field
+    # (here ``color``) the earlier ones lack
+    p = fx.table(spark, d, "part")
+    a = p.where(F.col("p_size") <= 25).select(F.col("p_partkey").cast("string").alias("asin"),
+                                              F.col("p_brand").alias("brand"))
+    b = p.where(F.col("p_size") > 25).select(F.col("p_partkey").cast("string").alias("asin"),
+                                             F.col("p_brand").alias("brand"),
+                                             F.split(F.col("p_name"), " ").getItem(0).alias("color"))
+    return nz.union_missing([a, b])

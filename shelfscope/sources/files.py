@@ -161,7 +161,7 @@ def read_latest_dated(spark: SparkSession, prefix: str, fmt: str = "dd.MM.yy", r
     return read_all(spark, paths, reader, **options).withColumn("file_date", F.lit(latest))
 
 
-def read_search_terms(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_search_terms(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     """The large search-terms document: only the eight projected fields
     of each ``dataByDepartmentAndSearchTerm`` element (the schema prunes the
     rest at parse time)."""
@@ -170,7 +170,7 @@ def read_search_terms(spark: SparkSession, path: str | Sequence[str]) -> DataFra
              "conversionShare": DoubleType()}
     el = StructType([StructField(f, types.get(f, StringType())) for f in SEARCH_TERMS_FIELDS])
     schema = StructType([StructField("dataByDepartmentAndSearchTerm", ArrayType(el))])
-    return read_report_json(spark, path, key="dataByDepartmentAndSearchTerm", schema=schema)
+    return read_report_json(spark, path, key="dataByDepartmentAndSearchTerm", schema=schema, multi_line=multi_line)
 
 
 def landed_dates(spark: SparkSession, prefix: str, exts: Sequence[str] = ("csv", "parquet")) -> DataFrame:
