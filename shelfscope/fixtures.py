@@ -166,16 +166,28 @@ def vendor_sales_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("returns").alias("customerReturns"))
 
 
+# A document never holds more than one salt's share of an order's lines: a
+# deterministic hash of the line splits a very large order into this many
+# documents (exploding them gives the same rows).
+DOC_SALTS = 16
+
+
+def _salt(*cols: str) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(DOC_SALTS))
+
+
 def promotions_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elements of ``promotions``: one per order, with its lines as
-    ``includedProducts`` (an order without lines has an empty array)."""
+    """Elements of ``promotions``: one per order (split by a line salt), with
+    its lines as ``includedProducts`` (an order without lines has an empty
+    array)."""
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
     prod = F.struct(F.col("l_partkey").cast("string").alias("asin"),
                     F.col("l_linenumber").alias("productLine"),
                     F.col("l_quantity").cast("bigint").alias("unitsSold"),
                     F.col("l_extendedprice").alias("revenue"))
-    lines = li.groupBy("l_orderkey").agg(F.collect_list(prod).alias("includedProducts"))
+    lines = (li.groupBy("l_orderkey", _salt("l_partkey", "l_linenumber", "l_suppkey").alias("__salt"))
+             .agg(F.collect_list(prod).alias("includedProducts")))
     return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select(
         F.col("o_orderkey").cast("string").alias("promotionId"),
         F.col("o_orderpriority").alias("type"),
@@ -188,12 +200,14 @@ def promotions_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coupons_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements of ``campaigns``: one per order; coupons = the order's lines
-    grouped by return flag; asins = the lines of each coupon."""
+    grouped by return flag (split by a line salt); asins = the lines of each
+    coupon.  A campaign holds at most 3 flags x DOC_SALTS coupons."""
     li = table(spark, sf_dir, "lineitem")
     asin = F.struct(F.col("l_partkey").cast("string").alias("asin"),
                     F.col("l_linenumber").alias("lineNumber"),
                     F.col("l_extendedprice").alias("totalDiscount"))
-    coupons = li.groupBy("l_orderkey", "l_returnflag").agg(F.collect_list(asin).alias("asins"))
+    coupons = (li.groupBy("l_orderkey", "l_returnflag", _salt("l_partkey", "l_linenumber", "l_suppkey").alias("__salt"))
+               .agg(F.collect_list(asin).alias("asins")))
     coupon = F.struct(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_returnflag")).alias("couponId"),
                       F.col("l_returnflag").alias("name"), F.col("asins"))
     camps = coupons.groupBy("l_orderkey").agg(F.collect_list(coupon).alias("coupons"))
