@@ -40,16 +40,18 @@ RANK_BUCKET = 1 << 16  # rows of one key numbered inside one task at most
 
 
 def row_number_bucketed(df: DataFrame, keys: Sequence[str], pos: str, tiebreak: Sequence[str] = (),
-                        out: str = "rn", bucket: int = RANK_BUCKET) -> DataFrame:
+                        out: str = "rn", bucket: int = RANK_BUCKET, total: str | None = None) -> DataFrame:
     """Exact ``row_number() over (partition by keys order by pos, tiebreak)``
     for a numeric position that keeps a hot key out of a single task: rows are
     cut into position buckets, numbered inside (key, bucket) windows of at
     most ``bucket`` positions, and shifted by the row counts of the key's
-    earlier buckets (a prefix sum over one row per bucket)."""
+    earlier buckets (a prefix sum over one row per bucket).  ``total`` also
+    returns the key's row count (from the same small count table)."""
     b = df.withColumn("__b", F.floor(q(pos) / bucket))
     counts = b.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
     w_prev = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).alias("__off"))
+    extra = [F.sum("__n").over(Window.partitionBy(*keys)).alias(total)] if total else []
+    offsets = counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).alias("__off"), *extra)
     w_in = Window.partitionBy(*keys, "__b").orderBy(q(pos), *[q(t) for t in tiebreak])
     local = b.withColumn("__rn_local", F.row_number().over(w_in))
     return (local.join(offsets, [*keys, "__b"])
@@ -60,12 +62,11 @@ def suffix_duplicate_ids(df: DataFrame, id_col: str, pos: str, tiebreak: Sequenc
                          file_col: str | None = None) -> DataFrame:
     """C2 (W2 + W3): ids that occur more than once (within a file) become
     ``id-1, id-2, ...`` in row order (``pos``, then ``tiebreak``); unique ids
-    are unchanged.  The occurrence count is an aggregate joined back and the
-    running number is bucketed (``row_number_bucketed``), so one very common
-    id does not land in one task."""
+    are unchanged.  The running number is bucketed (``row_number_bucketed``)
+    and the occurrence count comes from the same per-bucket counts, so one
+    very common id does not land in one task."""
     part = [file_col, id_col] if file_col else [id_col]
-    cnt = df.groupBy(*part).agg(F.count(F.lit(1)).alias("__cnt"))
-    x = row_number_bucketed(df.join(cnt, part), part, pos, tiebreak, out="__rn")
+    x = row_number_bucketed(df, part, pos, tiebreak, out="__rn", total="__cnt")
     return x.withColumn(id_col, F.when(F.col("__cnt") > 1, F.concat(q(id_col), F.lit("-"), F.col("__rn").cast("string")))
                         .otherwise(q(id_col))).drop("__cnt", "__rn")
 
