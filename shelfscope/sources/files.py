@@ -181,3 +181,26 @@ def landed_dates(spark: SparkSession, prefix: str, exts: Sequence[str] = ("csv",
     ext_ok = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(list(exts))
     return (ls.where(ext_ok)
             .select(F.regexp_extract(F.col("path"), DATED_NAME, 1).alias("landed_date")).distinct())
+
+
+def read_two_row_header_csv(spark: SparkSession, paths: str | Sequence[str], n_fixed: int = 7,
+                            footer: int = 2, drop_last: bool = True) -> DataFrame:
+    """C4 + C5 on landed sell-out files: the first ``n_fixed`` columns are
+    named by the second header row, the rest by the first; the second header
+    row, the last ``footer`` rows of every file and (optionally) the last
+    column are dropped.  The second header row is read once on the driver
+    (one row, metadata sized); file positions come from ``numbered`` and are
+    kept (``file_name``, ``pos``) for keep-first rules downstream."""
+    from ..functions.cleaning import skip_footer
+    raw = (spark.read.option("header", True).option("multiLine", True)
+           .csv(paths if isinstance(paths, str) else list(paths)).withColumn(FILE_COL, F.col("_metadata.file_name")))
+    x = numbered(raw)
+    hdr = x.where(F.col(POS_COL) == 1).drop(FILE_COL, POS_COL).limit(1).collect()
+    if not hdr:
+        raise ValueError("no second header row")
+    data_cols = [c for c in raw.columns if c != FILE_COL]
+    header_row = {c: str(v) for c, v in zip(data_cols, hdr[0]) if v is not None}
+    body = skip_footer(x.where(F.col(POS_COL) > 1), POS_COL, FILE_COL, footer)
+    cols = data_cols[:-1] if drop_last else data_cols
+    names = [header_row.get(c, c) if i < n_fixed else c for i, c in enumerate(cols)]
+    return body.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(cols, names)], FILE_COL, POS_COL)

@@ -124,3 +124,34 @@ def test_report_sinks_k1_k3_k6(spark, tmp_dir):
     root = sinks.write_dated_many(df, os.path.join(tmp_dir, "many"), "t", "d")
     got = sorted(r.landed_date for r in src.landed_dates(spark, root).collect())
     assert got == ["2024-01-02", "2024-01-05"]
+
+
+def test_sellout_file_two_header_rows_and_footer(spark, tmp_dir):
+    from shelfscope.plans.flat_files import sellout_long
+    path = os.path.join(tmp_dir, "sellout_01.02.24.csv")
+    with open(path, "w") as f:
+        f.write("A,B,C,D,E,F,G,2024-01-01,2024-01-02,Total\n")
+        f.write("PZN,Name,Hersteller,Form,Pack,AVP,AEP,,,\n")
+        f.write("1,aspirin,maker,tab,10,1.0,0.8,5,6,11\n")
+        f.write("1,aspirin,maker,tab,10,1.0,0.8,7,8,15\n")   # later duplicate: first wins
+        f.write("2,ibu,maker,tab,20,2.0,1.6,,3,3\n")
+        f.write("Sum,,,,,,,12,17,29\n")
+        f.write("generated by export,,,,,,,,,\n")
+    df = src.read_two_row_header_csv(spark, path)
+    assert df.columns[:7] == ["PZN", "Name", "Hersteller", "Form", "Pack", "AVP", "AEP"]
+    assert "Total" not in df.columns
+    long = sellout_long(df, ["PZN", "Name", "Hersteller", "Form", "Pack", "AVP", "AEP"])
+    got = sorted((r.PZN, r.Date, r.Value) for r in long.collect())
+    assert got == [("1", "2024-01-01", 5.0), ("1", "2024-01-02", 6.0),
+                   ("2", "2024-01-01", None), ("2", "2024-01-02", 3.0)]
+
+
+def test_incremental_and_snapshot_writes(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "omni_sales")
+    a = spark.createDataFrame([("d1", 1), ("d2", 2)], "day string, v int")
+    b = spark.createDataFrame([("d2", 20), ("d3", 30)], "day string, v int")
+    sinks.write_by_date(a, root, "day", fmt="parquet")
+    sinks.write_by_date(b, root, "day", fmt="parquet")          # incremental: d1 kept, d2 replaced
+    assert sorted((r.day, r.v) for r in spark.read.parquet(root).collect()) == [("d1", 1), ("d2", 20), ("d3", 30)]
+    sinks.write_by_date(a, root, "day", fmt="parquet", incremental=False)  # snapshot: replaced
+    assert sorted((r.day, r.v) for r in spark.read.parquet(root).collect()) == [("d1", 1), ("d2", 2)]

@@ -40,3 +40,28 @@ def test_cumulative_reach_counts_each_user_once(spark):
     out = [(row.cumulativeReach, row.impressionsFrequencyAverage)
            for row in r.cumulative_reach(df).orderBy("day").collect()]
     assert out == [(2, 1.0), (2, 1.5), (3, 5 / 3)]
+
+
+def test_weekly_windows_equal_separate_runs(spark):
+    from shelfscope import fixtures as fx
+    from shelfscope.plans.clean_room import campaign_value
+    from shelfscope.functions.brand import FIXTURE_BRAND_RULES
+    d = "/root/testdata/sf0.001"
+    base = fx.ad_base(spark, d)
+    t, c = fx.ad_traffic(spark, d, base), fx.ad_conversions(spark, d, base)
+    one = campaign_value(t, c, "2024-01-01", "2024-01-15", window_days=7, rules=FIXTURE_BRAND_RULES)
+    parts = [campaign_value(t, c, s, e, rules=FIXTURE_BRAND_RULES)
+             for s, e in (("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-15"))]
+    norm = lambda df: sorted(tuple(str(v) for v in r) for r in df.select(*sorted(df.columns)).collect())
+    assert norm(one) == norm(parts[0].unionByName(parts[1]))
+
+
+def test_report_runner_rejects_unknown_measures(spark):
+    import pytest
+    facts = spark.createDataFrame([(dt.date(2024, 1, 1), 1, 10, 2, 1.5)],
+                                  "date date, campaign_id int, impressions bigint, clicks bigint, cost double")
+    spec = r.ReportSpec(group_by=["campaignId"], columns=["date", "campaignId", "clicks", "clickThroughRate"])
+    row = r.run_report(facts, spec).first()
+    assert row.clicks == 2 and abs(row.clickThroughRate - 0.2) < 1e-12
+    with pytest.raises(KeyError):
+        r.run_report(facts, r.ReportSpec(group_by=[], columns=["kindleEditionNormalizedPagesRead14d"]))
