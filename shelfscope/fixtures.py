@@ -35,10 +35,6 @@ def _mod(c: str, k: int) -> Column:
     return F.col(c) % F.lit(k)
 
 
-def _flag(c: str, k: int) -> Column:
-    return F.when(_mod(c, k) == 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-
-
 def ad_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1: one row per event, attached to campaign = part (event_id % 40)."""
     e = table(spark, sf_dir, "events")

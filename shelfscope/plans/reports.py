@@ -84,6 +84,11 @@ def attribute(purchases: DataFrame, clicks: DataFrame, days: Sequence[int] = WIN
     return out.withColumn("same_sku", F.col(sku) == F.col("advertised_sku"))
 
 
+ATTRIBUTED_BASES = ("purchases", "sales", "unitsSoldClicks", "purchasesSameSku", "attributedSalesSameSku",
+                    "unitsSoldSameSku")
+FACT_MEASURES = ["impressions", "clicks", "cost"] + [f"{b}{n}d" for b in ATTRIBUTED_BASES for n in WINDOW_DAYS]
+
+
 def attributed_sums(attributed: DataFrame, dims: Sequence[str] = ("click_day", "campaign_id"),
                     days: Sequence[int] = WINDOW_DAYS) -> DataFrame:
     """Per click day and campaign: purchases / sales / units per window,
@@ -165,7 +170,7 @@ def run_report(facts: DataFrame, spec: ReportSpec, dims_table: DataFrame | None
         f = f.where(F.col(DIMENSIONS.get(col, col)).isin(list(values)))
     dims = ["date", *[DIMENSIONS[g] for g in spec.group_by if g != "date"]]
     extra_dims = [DIMENSIONS[c] for c in spec.columns if c in DIMENSIONS and DIMENSIONS[c] not in dims]
-    base = ["impressions", "clicks", "cost"] + [c for c in facts.columns if c[-1] == "d" and c[-2].isdigit()]
+    base = [m for m in FACT_MEASURES if m in facts.columns]
     g = f.groupBy(*dims, *extra_dims).agg(*[F.sum(b).alias(b) for b in base])
     out = []
     for c in spec.columns:
