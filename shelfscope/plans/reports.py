@@ -261,15 +261,19 @@ MARKET_METRICS = ["dollar_volume", "units", "dollar_volume_yago", "units_yago",
 
 
 def market_insight(sales: DataFrame, dims: Sequence[str], period: str = "period", months_back: int = 12) -> DataFrame:
-    """Value and units per period and dimensions, the same a year
-    before (self join on the period shifted by 12 months), change, and
-    share of the period's value."""
+    """Value and units per month and dimensions, the same a year before,
+    change, and share of the month's value.
+
+    ``period`` is the first day of a month.  The year-ago values come from a
+    RANGE window over a month index (exactly ``months_back`` months earlier,
+    NULL when that month has no row) inside each dimension combination, and
+    the month total from a window over the month: one scan, no self join."""
     g = sales.groupBy(period, *dims).agg(F.sum("value").alias("dollar_volume"), F.sum("units").alias("units"))
-    prev = g.select(F.add_months(F.col(period), months_back).alias(period), *dims,
-                    F.col("dollar_volume").alias("dollar_volume_yago"), F.col("units").alias("units_yago"))
-    j = g.join(prev, [period, *dims], "left")
-    tot = g.groupBy(period).agg(F.sum("dollar_volume").alias("__tot"))
-    j = j.join(tot, period)
+    g = g.withColumn("__m", F.year(period) * 12 + F.month(period))
+    ago = Window.partitionBy(*dims).orderBy("__m").rangeBetween(-months_back, -months_back)
+    j = g.select("*", F.sum("dollar_volume").over(ago).alias("dollar_volume_yago"),
+                 F.sum("units").over(ago).alias("units_yago"),
+                 F.sum("dollar_volume").over(Window.partitionBy(period)).alias("__tot"))
     dv, u = F.col("dollar_volume").cast("double"), F.col("units").cast("double")
     dvy, uy = F.col("dollar_volume_yago").cast("double"), F.col("units_yago").cast("double")
     return j.select(period, *dims, dv.alias("dollar_volume"), u.alias("units"), dvy.alias("dollar_volume_yago"),
