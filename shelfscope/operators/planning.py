@@ -80,6 +80,21 @@ def lookback_start(end: str | Column, n: int, period: str = DAY) -> Column:
     return F.date_sub(_c(end), n - 1 if period == DAY else 7 * n - 1)
 
 
+# Days back from today where the service may have data (DAY
+# reports), by report; WEEK reports end on the last Saturday.
+AVAILABILITY_LAG_DAYS = {"default": 2, "sp_inventory": 4, "sp_search_terms": 3}
+
+
+def availability_anchor(today: str | Column, report: str = "default", period: str = DAY) -> Column:
+    """The latest period end worth asking for: today minus the report's lag
+    (DAY) or the last Saturday on or before today (WEEK); used as the anchor
+    of ``latest_available``."""
+    t = _c(today) if isinstance(today, Column) else F.lit(today).cast("date")
+    if period == WEEK:
+        return last_saturday(t)
+    return F.date_sub(t, AVAILABILITY_LAG_DAYS.get(report, AVAILABILITY_LAG_DAYS["default"]))
+
+
 def latest_available(avail: DataFrame, keys: Sequence[str], period: str, n_rows: str,
                      anchor: str | Column, out: str = "latest_available") -> DataFrame:
     """Greatest period <= anchor that has data, per key (replaces the

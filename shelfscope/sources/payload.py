@@ -14,12 +14,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The service's "no data" messages the loader skips.
+# The service's "no data" messages the loader skips (not yet
+# available, client error on a date without data, prohibited date range).
 NO_DATA_ERRORS = [
     "Error in report request: The report data for the requested date range is not yet available. "
     "Try submitting this createReport request at a later time, or modify dataEndTime to be an earlier date.",
     "A client error occurred. Please double check that your parameters are valid and fulfill the "
     "requirements of the report type.",
+    "Error in report request: The values for dataStartTime and dataEndTime provided in the createReport "
+    "request describe a prohibited date range that does not align with the requirements for the specified "
+    "reportPeriod. An example of a prohibited date range includes a dataStartTime that is not a Sunday or a "
+    "dataEndTime that is not a Saturday when reportPeriod=WEEK. dataStartTime and dataEndTime must also abide "
+    "by the maximum lookback window and reporting period limits that vary by reportPeriod. Reference the "
+    "documentation on GitHub for this report type for more information.",
 ]
 NO_DATA_REQUEST_ERROR = "Data is not available for the specified end date. Please specify an end date on or before"
 

@@ -48,3 +48,11 @@ def test_key_batches_cover_all_keys(spark):
     out = p.key_batches(df, "k", 20).orderBy("batch_id").collect()
     assert [r.batch_size for r in out] == [20, 20, 20, 20, 15]
     assert out[0].batch_keys == ",".join(str(i) for i in range(20))
+
+
+def test_availability_anchor(spark):
+    df = spark.range(1).select(
+        p.availability_anchor("2024-01-10").alias("a"), p.availability_anchor("2024-01-10", "sp_inventory").alias("b"),
+        p.availability_anchor("2024-01-10", period=p.WEEK).alias("c"))
+    r = df.first()
+    assert (str(r.a), str(r.b), str(r.c)) == ("2024-01-08", "2024-01-06", "2024-01-06")
