@@ -155,3 +155,18 @@ def test_incremental_and_snapshot_writes(spark, tmp_dir):
     assert sorted((r.day, r.v) for r in spark.read.parquet(root).collect()) == [("d1", 1), ("d2", 20), ("d3", 30)]
     sinks.write_by_date(a, root, "day", fmt="parquet", incremental=False)  # snapshot: replaced
     assert sorted((r.day, r.v) for r in spark.read.parquet(root).collect()) == [("d1", 1), ("d2", 2)]
+
+
+def test_archive_landed_keeps_listed_dates(spark, tmp_dir):
+    table_dir = os.path.join(tmp_dir, "avc", "US", "sp_sales")
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    for d in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        sinks.write_dated(df, os.path.join(tmp_dir), "avc", "US", "sp_sales", d)
+    n = sinks.archive_landed(spark, table_dir, keep_dates=["2024-01-03"])
+    assert n == 2
+    left = sorted(x for x in os.listdir(table_dir) if x.endswith(".csv"))
+    assert left == ["sp_sales_2024-01-03.csv"]
+    assert spark.read.parquet(os.path.join(table_dir, "processed")).count() == 2
+    # processed/ still counts as landed (the reference's prefix match)
+    got = sorted(r.landed_date for r in src.landed_dates(spark, table_dir, exts=("csv", "parquet")).collect())
+    assert got == ["2024-01-01", "2024-01-02", "2024-01-03"]
