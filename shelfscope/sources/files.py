@@ -63,8 +63,9 @@ def read_report_csv(spark: SparkSession, path: str | Sequence[str], skiprows: in
     if schema is None:
         schema = _csv_header_schema(spark, paths[0], skiprows)
     raw = (spark.read.schema(schema).option("header", False).option("multiLine", True).csv(paths)
-           .withColumn(FILE_COL, F.col("_metadata.file_name")))
-    out = numbered(raw).where(F.col(POS_COL) > skiprows + 1).withColumn(POS_COL, F.col(POS_COL) - (skiprows + 1))
+           .withColumns({FILE_COL: F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
+    out = (numbered(raw, "__path").where(F.col(POS_COL) > skiprows + 1)
+           .withColumn(POS_COL, F.col(POS_COL) - (skiprows + 1)).drop("__path"))
     return out if keep_position else out.drop(FILE_COL, POS_COL)
 
 
@@ -79,16 +80,17 @@ def _csv_header_schema(spark: SparkSession, path: str, skiprows: int) -> str:
     return ", ".join(f"`{n.replace('`', '``')}` STRING" for n in names)
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """1-based row position within each source file.
+def numbered(df: DataFrame, file_key: str = FILE_COL) -> DataFrame:
+    """1-based row position within each source file (``file_key``: a column
+    naming the file; use the full path when names can repeat across folders).
 
     Needs each file read whole and in order (``multiLine`` text sources):
     ``monotonically_increasing_id`` then grows along a file inside one task;
     subtracting the file's minimum (an aggregate with one row per file, not
     a window over the file) gives the position."""
     x = df.withColumn("__id", F.monotonically_increasing_id())
-    first = x.groupBy(FILE_COL).agg(F.min("__id").alias("__first"))
-    j = x.join(first, FILE_COL)
+    first = x.groupBy(file_key).agg(F.min("__id").alias("__first"))
+    j = x.join(first, file_key)
     return j.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__id") - F.col("__first") + 1).alias(POS_COL))
 
 
@@ -193,14 +195,15 @@ def read_two_row_header_csv(spark: SparkSession, paths: str | Sequence[str], n_f
     kept (``file_name``, ``pos``) for keep-first rules downstream."""
     from ..functions.cleaning import skip_footer
     raw = (spark.read.option("header", True).option("multiLine", True)
-           .csv(paths if isinstance(paths, str) else list(paths)).withColumn(FILE_COL, F.col("_metadata.file_name")))
-    x = numbered(raw)
-    hdr = x.where(F.col(POS_COL) == 1).drop(FILE_COL, POS_COL).limit(1).collect()
+           .csv(paths if isinstance(paths, str) else list(paths))
+           .withColumns({FILE_COL: F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
+    x = numbered(raw, "__path")
+    data_cols = [c for c in raw.columns if c not in (FILE_COL, "__path")]
+    hdr = x.where(F.col(POS_COL) == 1).select(*[F.col(f"`{c}`") for c in data_cols]).limit(1).collect()
     if not hdr:
         raise ValueError("no second header row")
-    data_cols = [c for c in raw.columns if c != FILE_COL]
     header_row = {c: str(v) for c, v in zip(data_cols, hdr[0]) if v is not None}
-    body = skip_footer(x.where(F.col(POS_COL) > 1), POS_COL, FILE_COL, footer)
+    body = skip_footer(x.where(F.col(POS_COL) > 1), POS_COL, "__path", footer)
     cols = data_cols[:-1] if drop_last else data_cols
     names = [header_row.get(c, c) if i < n_fixed else c for i, c in enumerate(cols)]
     return body.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(cols, names)], FILE_COL, POS_COL)

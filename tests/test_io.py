@@ -170,3 +170,13 @@ def test_archive_landed_keeps_listed_dates(spark, tmp_dir):
     # processed/ still counts as landed (the reference's prefix match)
     got = sorted(r.landed_date for r in src.landed_dates(spark, table_dir, exts=("csv", "parquet")).collect())
     assert got == ["2024-01-01", "2024-01-02", "2024-01-03"]
+
+
+def test_positions_are_per_file_path_not_name(spark, tmp_dir):
+    for sub, rows in (("US", "a,b\n1,2\n3,4\n"), ("GB", "a,b\n5,6\n")):
+        os.makedirs(os.path.join(tmp_dir, sub))
+        with open(os.path.join(tmp_dir, sub, "report.csv"), "w") as f:
+            f.write(rows)
+    df = src.read_report_csv(spark, [os.path.join(tmp_dir, "US", "report.csv"), os.path.join(tmp_dir, "GB", "report.csv")],
+                             keep_position=True)
+    assert sorted((r.a, r.pos) for r in df.collect()) == [("1", 1), ("3", 2), ("5", 1)]
