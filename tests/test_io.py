@@ -180,3 +180,19 @@ def test_positions_are_per_file_path_not_name(spark, tmp_dir):
     df = src.read_report_csv(spark, [os.path.join(tmp_dir, "US", "report.csv"), os.path.join(tmp_dir, "GB", "report.csv")],
                              keep_position=True)
     assert sorted((r.a, r.pos) for r in df.collect()) == [("1", 1), ("3", 2), ("5", 1)]
+
+
+def test_stream_whole_documents(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "docs")
+    os.makedirs(land)
+    for i in range(3):
+        with gzip.open(os.path.join(land, f"sales_2024-01-0{i + 1}.json.gz"), "wt") as f:
+            json.dump({"salesByAsin": [{"asin": f"A{i}", "n": i}, {"asin": f"B{i}", "n": i}]}, f, indent=2)
+    schema = "salesByAsin array<struct<asin:string,n:bigint>>"
+    from pyspark.sql.types import _parse_datatype_string
+    out = os.path.join(tmp_dir, "out")
+    q = start_ingest(spark, land, _parse_datatype_string(schema), "salesByAsin", out, "US",
+                     checkpoint=os.path.join(tmp_dir, "ck"), transform=lambda b: b, partition_by=None,
+                     multi_line=True)
+    q.awaitTermination()
+    assert sorted(r.asin for r in spark.read.parquet(out).collect()) == ["A0", "A1", "A2", "B0", "B1", "B2"]
