@@ -5,6 +5,7 @@ parquet tables; compares column names, row counts, types (mapped) and the
 sorted rows (floats rounded to 6 significant places).
 
     python tools/oracle_check.py [sf_dir] [name-substring ...]
+    ORACLE_EXTRA_CONF='{"spark.sql.ansi.enabled": "false"}' python tools/oracle_check.py
 """
 
 from __future__ import annotations
@@ -54,7 +55,9 @@ def norm(v):
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 and sys.argv[1].startswith("/") else "/root/testdata/sf0.01"
     filters = [a for a in sys.argv[1:] if not a.startswith("/")]
-    spark = local_session()
+    import json
+    extra = json.loads(os.environ.get("ORACLE_EXTRA_CONF", "{}"))  # e.g. other session settings
+    spark = local_session(extra=extra)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
