@@ -329,19 +329,39 @@ def search_term_ranks(clicks: DataFrame, term: str = "searchTerm", item: str = "
                     F.try_divide(F.col("__conv").cast("double"), F.col("__term_conv").cast("double")).alias("conversionShare"))
 
 
-QUANTILES = {"P70": 0.7, "P80": 0.8, "P90": 0.9}
+QUANTILES = {"P70": "0.7", "P80": "0.8", "P90": "0.9"}
+
+
+def exact_percentiles(df: DataFrame, key: str, value: str, quantiles: Mapping[str, str] = QUANTILES) -> DataFrame:
+    """Continuous percentiles (linear interpolation between order
+    statistics, as ``percentile_cont``) per key, computed in DECIMAL and cast
+    to DOUBLE once, so the result is the correctly rounded exact value rather
+    than depending on floating-point evaluation order.  One window per key
+    orders its values (a key's rows are its days, so the window is bounded)."""
+    w = Window.partitionBy(key).orderBy(value)
+    r = df.select(key, F.col(value).cast("decimal(20,0)").alias("__v"), F.row_number().over(w).alias("__rn"),
+                  F.count(F.lit(1)).over(Window.partitionBy(key)).alias("__n"))
+    aggs = []
+    for name, p in quantiles.items():
+        pos = f"((__n - 1) * CAST({p} AS DECIMAL(6,4)))"
+        lo = f"(CAST(floor({pos}) AS BIGINT) + 1)"
+        aggs += [F.expr(f"max(CASE WHEN __rn = {lo} THEN __v END) AS __lo_{name}"),
+                 F.expr(f"max(CASE WHEN __rn = {lo} + 1 THEN __v END) AS __hi_{name}"),
+                 F.expr(f"max({pos} - floor({pos})) AS __f_{name}")]
+    g = r.groupBy(key).agg(*aggs)
+    return g.select(key, *[F.expr(f"CAST(__lo_{n} + (coalesce(__hi_{n}, __lo_{n}) - __lo_{n}) * __f_{n} AS DOUBLE) AS {n}")
+                           for n in quantiles])
 
 
 def item_day_facts(lines: DataFrame, item: str, day: str) -> DataFrame:
     """Per item and day: ordered units and revenue, shipped cost,
     net margin; forecast quantiles P70/P80/P90 of the item's daily units
-    (exact ``percentile`` over its days, linear interpolation)."""
+    (exact continuous percentiles over its days)."""
     d = lines.groupBy(item, day).agg(F.sum("units").alias("orderedUnits"), F.sum("revenue").alias("orderedRevenue"),
                                      F.sum("cogs").alias("shippedCogs"))
     d = d.withColumn("netPpm", F.try_divide((F.col("orderedRevenue") - F.col("shippedCogs")).cast("double"),
                                             F.col("orderedRevenue").cast("double")))
-    q = d.groupBy(item).agg(*[F.percentile(F.col("orderedUnits").cast("double"), p).alias(n)
-                              for n, p in QUANTILES.items()])
+    q = exact_percentiles(d, item, "orderedUnits")
     return d.join(q, item).select(item, day, "orderedUnits", F.col("orderedRevenue").cast("double").alias("orderedRevenue"),
                                   F.col("shippedCogs").cast("double").alias("shippedCogs"), "netPpm", *QUANTILES)
 

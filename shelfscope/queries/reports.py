@@ -229,8 +229,17 @@ WITH d AS (SELECT l_partkey AS item, CAST(l_shipdate AS DATE) AS day, CAST(sum(C
              sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS rev,
              sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(18,2)) - CAST(l_discount AS DECIMAL(18,2)))) AS cogs
            FROM lineitem GROUP BY 1, 2),
-q AS (SELECT item, quantile_cont(CAST(orderedUnits AS DOUBLE), 0.7) AS P70, quantile_cont(CAST(orderedUnits AS DOUBLE), 0.8) AS P80,
-             quantile_cont(CAST(orderedUnits AS DOUBLE), 0.9) AS P90 FROM d GROUP BY 1)
+r AS (SELECT item, CAST(orderedUnits AS DECIMAL(20,0)) AS v,
+             row_number() OVER (PARTITION BY item ORDER BY orderedUnits) AS rn,
+             count(*) OVER (PARTITION BY item) AS n FROM d),
+q AS (SELECT item, """ + ",\n  ".join(
+    f"CAST(max(CASE WHEN rn = floor((n - 1) * {p}) + 1 THEN v END) + (coalesce("
+    f"max(CASE WHEN rn = floor((n - 1) * {p}) + 2 THEN v END), max(CASE WHEN rn = floor((n - 1) * {p}) + 1 THEN v END))"
+    f" - max(CASE WHEN rn = floor((n - 1) * {p}) + 1 THEN v END)) * max((n - 1) * {p} - floor((n - 1) * {p}))"
+    f" AS DOUBLE) AS {name}"
+    for name, p in (("P70", "CAST(0.7 AS DECIMAL(6,4))"), ("P80", "CAST(0.8 AS DECIMAL(6,4))"),
+                    ("P90", "CAST(0.9 AS DECIMAL(6,4))"))) + """
+      FROM r GROUP BY 1)
 SELECT d.item, d.day, d.orderedUnits, CAST(d.rev AS DOUBLE) AS orderedRevenue, CAST(d.cogs AS DOUBLE) AS shippedCogs,
   CASE WHEN d.rev = 0 THEN NULL ELSE CAST(d.rev - d.cogs AS DOUBLE) / CAST(d.rev AS DOUBLE) END AS netPpm, P70, P80, P90
 FROM d JOIN q ON d.item = q.item""", "R13")

@@ -65,3 +65,21 @@ def test_report_runner_rejects_unknown_measures(spark):
     assert row.clicks == 2 and abs(row.clickThroughRate - 0.2) < 1e-12
     with pytest.raises(KeyError):
         r.run_report(facts, r.ReportSpec(group_by=[], columns=["kindleEditionNormalizedPagesRead14d"]))
+
+
+def test_exact_percentiles_match_fraction_interpolation(spark):
+    from fractions import Fraction
+    rnd = random.Random(3)
+    data = {k: [rnd.randrange(0, 50) for _ in range(rnd.randrange(1, 40))] for k in range(12)}
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in vs], "k int, v bigint")
+    got = {row.k: (row.P70, row.P80, row.P90) for row in r.exact_percentiles(df, "k", "v").collect()}
+
+    def pct(vs, p):
+        s = sorted(vs)
+        pos = (len(s) - 1) * Fraction(p)
+        lo = int(pos)
+        hi = s[lo + 1] if lo + 1 < len(s) else s[lo]
+        return float(s[lo] + (hi - s[lo]) * (pos - lo))
+
+    for k, vs in data.items():
+        assert got[k] == (pct(vs, "0.7"), pct(vs, "0.8"), pct(vs, "0.9")), k

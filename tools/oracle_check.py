@@ -6,6 +6,7 @@ sorted rows (floats rounded to 6 significant places).
 
     python tools/oracle_check.py [sf_dir] [name-substring ...]
     ORACLE_EXTRA_CONF='{"spark.sql.ansi.enabled": "false"}' python tools/oracle_check.py
+    ORACLE_EXACT=1 python tools/oracle_check.py      # doubles compared bit for bit
 """
 
 from __future__ import annotations
@@ -32,13 +33,16 @@ SPARK_TO_DUCK = {
 }
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"  # compare doubles bit for bit
+
+
 def norm(v):
     if v is None:
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (1, float(f"{v:.9g}"))
+        return (1, v if EXACT else float(f"{v:.9g}"))
     if isinstance(v, decimal.Decimal):
         return (1, float(f"{float(v):.9g}"))
     if isinstance(v, bool):
