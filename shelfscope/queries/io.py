@@ -101,3 +101,17 @@ def s10_search_terms_from_json(spark, d):
     own = fx.table(spark, d, "part").where(F.col("p_size") > OWN_MIN_SIZE).select(
         F.col("p_partkey").cast("string").alias("asin"))
     return v.own_search_terms(records, own, START, END, COUNTRY, NOW)
+
+
+@register("k5_latest_workflow_status", """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS report_type,
+  arg_max(CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END, ts) AS status, max(ts) AS ts
+FROM events GROUP BY 1, 2""", "K5")
+def k5_latest_workflow_status(spark, d):
+    from ..sinks import latest_status
+    # every event stands for one run of its report type on its day
+    log = fx.table(spark, d, "events").selectExpr(
+        "CAST(CAST(ts AS DATE) AS STRING) AS date", "event_type AS report_type",
+        "CAST(event_id AS STRING) AS workflow_id",
+        "CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status", "ts")
+    return latest_status(log)
