@@ -80,7 +80,7 @@ def s11_landed_weekly_reports(spark, d):
     weekly = (li.groupBy(F.col("l_partkey").cast("string").alias("ASIN"),
                          last_saturday(F.col("l_shipdate").cast("date")).alias("ENDDATE"))
               .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("ORDEREDUNITS")))
-    root = _scratch(spark, "landed-weekly") + "/avc/US/sp_sales_weekly"
+    root = _scratch(spark, "landed-weekly") + "/vendor/US/sp_sales_weekly"
     write_dated_many(weekly, root, "sp_sales_weekly", "ENDDATE")
     return src.landed_dates(spark, root)
 

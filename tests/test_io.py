@@ -48,15 +48,15 @@ def test_dated_files_latest_and_landed_dates(spark, tmp_dir):
 
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     root = os.path.join(tmp_dir, "de")
-    sinks.write_dated(df, root, "avc", "US", "sp_sales", "2024-01-02")
-    sinks.write_dated(df, root, "avc", "US", "sp_sales", "2024-01-03")
-    got = sorted(r.landed_date for r in src.landed_dates(spark, os.path.join(root, "avc/US/sp_sales")).collect())
+    sinks.write_dated(df, root, "vendor", "US", "sp_sales", "2024-01-02")
+    sinks.write_dated(df, root, "vendor", "US", "sp_sales", "2024-01-03")
+    got = sorted(r.landed_date for r in src.landed_dates(spark, os.path.join(root, "vendor/US/sp_sales")).collect())
     assert got == ["2024-01-02", "2024-01-03"]
 
 
 def test_sorted_dated_csv_and_archive(spark, tmp_dir):
     df = spark.createDataFrame([(1, "x")], "b int, a string")
-    p = sinks.write_dated(df, tmp_dir, "avc", "US", "t", "2024-01-02")
+    p = sinks.write_dated(df, tmp_dir, "vendor", "US", "t", "2024-01-02")
     back = spark.read.option("header", True).csv(p)
     assert back.columns == ["a", "b"]
     n = sinks.archive_csv(spark, [p], os.path.join(tmp_dir, "processed"))
@@ -65,8 +65,8 @@ def test_sorted_dated_csv_and_archive(spark, tmp_dir):
 
 
 def test_report_path_template():
-    p = sinks.report_path("/r", sinks.CLEAN_ROOM_TEMPLATE, "US", "campaign_ltv", "2024-03-07")
-    assert p == "/r/de/amc/US/campaign_ltv/campaign_ltv_07032024.csv"
+    p = sinks.report_path("/r", sinks.SOURCE_TEMPLATE, "US", "campaign_ltv", "2024-03-07", source="cleanroom")
+    assert p == "/r/de/cleanroom/US/campaign_ltv/campaign_ltv_07032024.csv"
 
 
 def test_workflow_log_latest_status(spark, tmp_dir):
@@ -116,8 +116,8 @@ def test_report_sinks_k1_k3_k6(spark, tmp_dir):
     import datetime as dt
     df = spark.createDataFrame([(2, "b", dt.date(2024, 1, 2)), (1, "a", dt.date(2024, 1, 5))],
                                "z int, a string, d date")
-    p1 = sinks.write_report(df, tmp_dir, sinks.ADS_TEMPLATE, "US", "sp_campaign", "2024-01-09")
-    assert p1.endswith("de/amazon_ads/US/sp_campaign/sp_campaign_09012024.csv")
+    p1 = sinks.write_report(df, tmp_dir, sinks.SOURCE_TEMPLATE, "US", "sp_campaign", "2024-01-09")
+    assert p1.endswith("de/ads/US/sp_campaign/sp_campaign_09012024.csv")
     assert spark.read.option("header", True).csv(p1).columns == ["z", "a", "d"]  # K6: unsorted
     p3 = sinks.upload_with_data_date(df, tmp_dir, sinks.FEED_TEMPLATE, "US", "omni_sales", "d")
     assert p3.endswith("de/omni_sales/US/omni_sales_05012024.csv")
@@ -158,10 +158,10 @@ def test_incremental_and_snapshot_writes(spark, tmp_dir):
 
 
 def test_archive_landed_keeps_listed_dates(spark, tmp_dir):
-    table_dir = os.path.join(tmp_dir, "avc", "US", "sp_sales")
+    table_dir = os.path.join(tmp_dir, "vendor", "US", "sp_sales")
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     for d in ("2024-01-01", "2024-01-02", "2024-01-03"):
-        sinks.write_dated(df, os.path.join(tmp_dir), "avc", "US", "sp_sales", d)
+        sinks.write_dated(df, os.path.join(tmp_dir), "vendor", "US", "sp_sales", d)
     n = sinks.archive_landed(spark, table_dir, keep_dates=["2024-01-03"])
     assert n == 2
     left = sorted(x for x in os.listdir(table_dir) if x.endswith(".csv"))
