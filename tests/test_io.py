@@ -196,3 +196,21 @@ def test_stream_whole_documents(spark, tmp_dir):
                      multi_line=True)
     q.awaitTermination()
     assert sorted(r.asin for r in spark.read.parquet(out).collect()) == ["A0", "A1", "A2", "B0", "B1", "B2"]
+
+
+def test_search_terms_projection_from_document(spark, tmp_dir):
+    doc = {"reportSpecification": {"reportType": "x"},
+           "dataByDepartmentAndSearchTerm": [
+               {"departmentName": "Health", "searchTerm": "allergy", "searchFrequencyRank": 3, "clickedAsin": "A1",
+                "clickedItemName": "pill", "clickShareRank": 1, "clickShare": 0.25, "conversionShare": 0.5,
+                "extraField": "dropped"},
+               {"departmentName": "Health", "searchTerm": "cold", "searchFrequencyRank": 9, "clickedAsin": "B2",
+                "clickedItemName": "syrup", "clickShareRank": 2, "clickShare": 0.1, "conversionShare": 0.0}]}
+    path = os.path.join(tmp_dir, "search_terms_2024-01-01.json.gz")
+    with gzip.open(path, "wt") as f:
+        json.dump(doc, f, indent=2)
+    df = src.read_search_terms(spark, path)
+    from shelfscope.schemas import SEARCH_TERMS_FIELDS
+    assert df.columns == SEARCH_TERMS_FIELDS
+    rows = sorted((r.searchTerm, r.searchFrequencyRank, r.clickShare) for r in df.collect())
+    assert rows == [("allergy", 3, 0.25), ("cold", 9, 0.1)]
