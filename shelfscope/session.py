@@ -61,20 +61,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder the cluster names in ``spark.checkpoint.dir`` (or one
+    set on the context before), if any."""
+    return (spark.sparkContext.getConf().get("spark.checkpoint.dir")
+            or spark.sparkContext.getCheckpointDir())
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``.
+
+    Only a ``local*`` master may go without one: a machine-local folder holds
+    only a part of the data on a cluster, so there the setting is required.
+    """
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="shelfscope-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
@@ -82,4 +87,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder (never machine-local on a
     cluster): used for written intermediate tables and stream checkpoints."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), name) if "://" not in base else base.rstrip("/") + "/" + name
+    return base.rstrip("/") + "/" + name
