@@ -15,37 +15,31 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-N_CAMPAIGNS = 40  # campaigns are parts 0..39: event_id % 40
-
-
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver's parquet table (a lazy DataFrame, memoised per session and
-    path so repeated references skip the file listing and footer read)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """The driver's parquet table (a lazy DataFrame)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _mod(c: str, k: int) -> Column:
     return F.col(c) % F.lit(k)
 
 
+def campaign_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event on its campaign.  Campaigns are the parts, all of them:
+    ``campaign_no`` is event_id modulo the number of parts (a scalar subquery
+    of the plan), ``campaign_round`` how often the numbers went round before."""
+    n = table(spark, sf_dir, "part").agg(F.count("*")).scalar()
+    return table(spark, sf_dir, "events").select(
+        "*", (F.col("event_id") % n).alias("campaign_no"), F.floor(F.col("event_id") / n).alias("campaign_round"))
+
+
 def ad_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1: one row per event, attached to campaign = part (event_id % 40)."""
-    e = table(spark, sf_dir, "events")
-    # The join key event_id % 40 lies in (-40, 40); stating that range on the
-    # part side is implied by the join and bounds it (p_partkey is the part
-    # key) so the broadcast below has a proven size of at most 79 rows.
-    p = (table(spark, sf_dir, "part")
-         .where((F.col("p_partkey") > -N_CAMPAIGNS) & (F.col("p_partkey") < N_CAMPAIGNS))
-         .select("p_partkey", "p_name", "p_brand"))
-    j = e.join(F.broadcast(p), F.col("p_partkey") == _mod("event_id", N_CAMPAIGNS))
-    two_cur = "(p_partkey % 10 = 0 AND event_id % 80 >= 40)"
+    """V1: one row per event, attached to its campaign's part."""
+    e = campaign_events(spark, sf_dir)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    j = e.join(p, F.col("p_partkey") == F.col("campaign_no"))
+    two_cur = "(p_partkey % 10 = 0 AND campaign_round % 2 = 1)"
     return j.selectExpr(
         "event_id", "ts AS event_dt", "event_type", "value",
         "CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(user_id AS STRING) END AS user_id",
@@ -113,13 +107,13 @@ def ad_conversions(spark: SparkSession, sf_dir: str, base: DataFrame | None = No
 
 def conversions_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V4: all conversions with subscription event subtypes."""
-    e = table(spark, sf_dir, "events")
+    e = campaign_events(spark, sf_dir)
     subtype = (F.when(F.col("event_type") == "signup", F.lit("snsSubscription"))
                .when((F.col("event_type") == "purchase") & (_mod("event_id", 3) == 0), F.lit("firstSnSOrder"))
                .when(F.col("event_type") == "purchase", F.lit("repeatSnSOrder"))
                .otherwise(F.col("event_type")))
     return e.select(
-        _mod("event_id", N_CAMPAIGNS).cast("string").alias("tracked_item"),
+        F.col("campaign_no").cast("string").alias("tracked_item"),
         F.col("ts").cast("date").alias("event_date_utc"),
         subtype.alias("event_subtype"),
         F.when(_mod("event_id", 2) == 0, F.lit("USD")).otherwise(F.lit("EUR")).alias("purchase_currency"),
@@ -195,18 +189,19 @@ def promotions_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coupons_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elements of ``campaigns``: one per order; coupons = the order's lines
-    grouped by return flag (split by a line salt); asins = the lines of each
-    coupon.  A campaign holds at most 3 flags x DOC_SALTS coupons."""
+    """Elements of ``campaigns``: one per order and line salt (a large order is
+    split over DOC_SALTS documents); coupons = a document's lines grouped by
+    return flag; asins = the lines of each coupon.  An order without lines has one
+    document without coupons."""
     li = table(spark, sf_dir, "lineitem")
     asin = F.struct(F.col("l_partkey").cast("string").alias("asin"),
                     F.col("l_linenumber").alias("lineNumber"),
                     F.col("l_extendedprice").alias("totalDiscount"))
-    coupons = (li.groupBy("l_orderkey", "l_returnflag", _salt("l_partkey", "l_linenumber", "l_suppkey").alias("__salt"))
-               .agg(F.collect_list(asin).alias("asins")))
+    salt = _salt("l_partkey", "l_linenumber", "l_suppkey").alias("__salt")
+    coupons = li.groupBy("l_orderkey", "l_returnflag", salt).agg(F.collect_list(asin).alias("asins"))
     coupon = F.struct(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_returnflag")).alias("couponId"),
                       F.col("l_returnflag").alias("name"), F.col("asins"))
-    camps = coupons.groupBy("l_orderkey").agg(F.collect_list(coupon).alias("coupons"))
+    camps = coupons.groupBy("l_orderkey", "__salt").agg(F.collect_list(coupon).alias("coupons"))
     o = table(spark, sf_dir, "orders")
     return o.join(camps, o.o_orderkey == camps.l_orderkey, "left").select(
         F.col("o_orderkey").cast("string").alias("campaignId"),
@@ -253,30 +248,34 @@ PLACEMENTS = ["Top of Search", "Rest of Search", "Product Pages"]
 
 
 def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event on its campaign (part event_id % 40): views and clicks are
-    impressions, clicks cost their value, purchases buy the campaign's item;
-    ``progress`` (0-99 from the event properties) drives the video funnel."""
-    e = table(spark, sf_dir, "events")
-    p = (table(spark, sf_dir, "part")
-         .where((F.col("p_partkey") > -N_CAMPAIGNS) & (F.col("p_partkey") < N_CAMPAIGNS))
-         .select("p_partkey", "p_name", "p_brand"))
-    j = e.join(F.broadcast(p), F.col("p_partkey") == _mod("event_id", N_CAMPAIGNS))
+    """Every event on its campaign: views and clicks are impressions, clicks
+    cost their value, purchases buy an item; ``progress`` (1-100 from the
+    event properties) drives the video funnel.  Some users and placements are
+    not known (NULL).  Half of the clicks lead to the campaign's own item, the
+    others buy the item of the next campaign number (``bought_item``)."""
+    e = campaign_events(spark, sf_dir)
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    j = e.join(p, F.col("p_partkey") == F.col("campaign_no"))
     prog = F.get_json_object("props", "$.k").cast("int")
+    place = F.element_at(F.array(*[F.lit(x) for x in PLACEMENTS]), (prog % len(PLACEMENTS) + 1).cast("int"))
     return j.select(
-        "event_id", "user_id", "ts", F.col("ts").cast("date").alias("day"), "event_type",
+        "event_id", F.when(_mod("event_id", 13) != 0, F.col("user_id")).alias("user_id"),
+        "ts", F.col("ts").cast("date").alias("day"), "event_type",
         F.col("value").cast("decimal(18,2)").alias("value"),
         F.col("p_partkey").alias("campaign_id"), F.concat(F.lit("cmp "), F.col("p_name")).alias("campaign_name"),
-        F.col("p_brand").alias("brand"), prog.alias("progress"),
-        F.element_at(F.array(*[F.lit(x) for x in PLACEMENTS]), (prog % len(PLACEMENTS) + 1).cast("int"))
-         .alias("placement"))
+        F.col("p_brand").alias("brand"), (prog + 1).alias("progress"),
+        F.when(_mod("event_id", 17) != 0, place).alias("placement"),
+        F.concat(F.lit("grp "), F.col("p_type")).alias("ad_group"), F.col("p_name").alias("targeting"),
+        F.when(_mod("event_id", 2) == 0, F.col("p_partkey")).otherwise(F.col("p_partkey") + 1).alias("bought_item"))
 
 
 def ad_clicks(ev: DataFrame) -> DataFrame:
     return ev.where(F.col("event_type") == "click").select(
-        "user_id", F.col("ts").alias("click_ts"), "campaign_id", F.col("campaign_id").alias("advertised_sku"))
+        "user_id", F.col("ts").alias("click_ts"), "campaign_id", F.col("campaign_id").alias("advertised_sku"),
+        "ad_group", "targeting", "placement")
 
 
 def ad_purchases(ev: DataFrame) -> DataFrame:
     return ev.where(F.col("event_type") == "purchase").select(
-        "event_id", "user_id", "ts", "day", "brand", F.col("campaign_id").alias("sku"),
+        "event_id", "user_id", "ts", "day", "brand", F.col("bought_item").alias("sku"),
         F.col("value").alias("sales"), (F.lit(1) + _mod("event_id", 3)).cast("bigint").alias("units"))

@@ -49,11 +49,6 @@ FIXTURE_BRAND_RULES: list[tuple[str, str]] = [
     ("red", "Red"), ("anvil", "Anvil"), ("widget", "Widget"), ("ring", "Ring"),
 ]
 
-# Above this many rules the CASE chain is replaced by the array form so the
-# generated code stays under the JIT method-size limit.
-CASE_RULE_LIMIT = 100
-
-
 def _hit(field: str, pattern: str) -> str:
     # LIKE '%p%' on LOWER(field) == contains(lower(field), p) for wildcard-free p
     return f"contains(lower({qn(field)}), {lit(pattern)})"
@@ -91,14 +86,10 @@ def brand_array(rules: Sequence[tuple[str, str]] = REFERENCE_BRAND_RULES,
 
 def classify_brand(rules: Sequence[tuple[str, str]] = REFERENCE_BRAND_RULES,
                    fields: Sequence[str] = BRAND_FIELDS,
-                   default: str = UNCLASSIFIED, mode: str = "auto") -> Column:
-    if mode == "auto":
-        mode = "case" if len(rules) <= CASE_RULE_LIMIT else "array"
-    if mode == "case":
-        return brand_case(rules, fields, default)
-    if mode == "array":
-        return brand_array(rules, fields, default)
-    raise ValueError(f"unknown brand mode {mode!r}")
+                   default: str = UNCLASSIFIED, mode: str = "array") -> Column:
+    """A2 for any number of rules (the array form); ``mode="case"`` gives the
+    same labels as a CASE chain, whose generated code grows with the rules."""
+    return brand_case(rules, fields, default) if mode == "case" else brand_array(rules, fields, default)
 
 
 # The ad product type codes of the clean-room reports.

@@ -54,8 +54,14 @@ def row_number_bucketed(df: DataFrame, keys: Sequence[str], pos: str, tiebreak:
     offsets = counts.select(*keys, "__b", F.coalesce(F.sum("__n").over(w_prev), F.lit(0)).alias("__off"), *extra)
     w_in = Window.partitionBy(*keys, "__b").orderBy(q(pos), *[q(t) for t in tiebreak])
     local = b.withColumn("__rn_local", F.row_number().over(w_in))
-    return (local.join(offsets, [*keys, "__b"])
-                 .withColumn(out, F.col("__off") + F.col("__rn_local")).drop("__b", "__off", "__rn_local"))
+    # NULL keys are keys too: null-safe equality on both sides
+    right = offsets.select(*[q(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__kb"), "__off",
+                           *([total] if total else []))
+    same = F.col("__b").eqNullSafe(F.col("__kb"))
+    for i, k in enumerate(keys):
+        same = same & q(k).eqNullSafe(F.col(f"__k{i}"))
+    return (local.join(right, same).withColumn(out, F.col("__off") + F.col("__rn_local"))
+            .drop("__b", "__kb", "__off", "__rn_local", *[f"__k{i}" for i in range(len(keys))]))
 
 
 def suffix_duplicate_ids(df: DataFrame, id_col: str, pos: str, tiebreak: Sequence[str] = (),
@@ -72,23 +78,16 @@ def suffix_duplicate_ids(df: DataFrame, id_col: str, pos: str, tiebreak: Sequenc
 
 
 def unpivot_dates(df: DataFrame, ids: Sequence[str], var: str = "Date", value: str = "Value",
-                  values: Sequence[str] | None = None) -> DataFrame:
+                  values: Sequence[str] | None = None, lenient: bool = False) -> DataFrame:
     """Wide -> long; id columns stay, every other column becomes a
-    (Date, Value) row; NULL values are kept."""
+    (Date, Value) row; NULL values are kept.  Numeric columns become DOUBLE;
+    if any of them holds text, the values stay as they are, as text
+    (``lenient``: text becomes DOUBLE, NULL where it is no number)."""
     vals = list(values) if values is not None else [c for c in df.columns if c not in ids]
-    # value columns may differ in type; bring them to double like melt does
-    cast = df.select(*[q(c) for c in ids], *[q(c).cast("double").alias(c) for c in vals])
-    return cast.unpivot(list(ids), vals, var, value)
-
-
-def promote_header(df: DataFrame, header_row: Mapping[str, str], n_fixed: int = 7,
-                   drop_last: bool = True) -> DataFrame:
-    """C4: names of the first ``n_fixed`` columns come from the second header
-    row (``header_row``: column -> text, read once on the driver), the rest
-    keep the first row's names; the last column is dropped."""
-    cols = df.columns[:-1] if drop_last else df.columns
-    names = [header_row.get(c, c) if i < n_fixed else c for i, c in enumerate(cols)]
-    return df.select(*[q(c).alias(n) for c, n in zip(cols, names)])
+    text = any(t == "string" for c, t in df.dtypes if c in vals)
+    kind = (lambda c: numeric(c)) if lenient else (lambda c: q(c).cast("string" if text else "double"))
+    cast = df.select(*[q(c) for c in ids], *[kind(c).alias(c) for c in vals])
+    return cast.unpivot([q(c) for c in ids], [q(c) for c in vals], var, value)
 
 
 def skip_footer(df: DataFrame, pos: str, file_col: str, n: int = 2) -> DataFrame:
@@ -99,8 +98,33 @@ def skip_footer(df: DataFrame, pos: str, file_col: str, n: int = 2) -> DataFrame
     return df.join(last, file_col).where(q(pos) <= F.col("__last") - n).drop("__last")
 
 
+def promote_embedded_header(df: DataFrame, file_col: str, pos: str, first_name: str = "PZN") -> DataFrame:
+    """A file whose first row holds the column names (its first cell is
+    ``first_name``) takes its names from that row, and the row goes.
+
+    ``df`` may stack files of several layouts (a cell a file lacks is NULL);
+    distinct name rows are few (metadata) and read once.  The result has the
+    union of all names; a column a file lacks is NULL."""
+    cols = [c for c in df.columns if c not in (file_col, pos)]
+    lead = df.where((q(pos) == 1) & F.coalesce(*[q(c).cast("string") for c in cols]).eqNullSafe(F.lit(first_name)))
+    names = [tuple(r) for r in lead.select(*[q(c).cast("string") for c in cols]).distinct().collect()]
+    if not names:
+        return df
+    marks = lead.select(q(file_col).alias("__file"), F.struct(*[q(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)]).alias("__names"))
+    x = df.join(marks, q(file_col) == F.col("__file"), "left")
+    out = x.where(F.col("__names").isNull()).drop("__file", "__names")
+    for row in names:
+        mine = F.lit(True)
+        for i, n in enumerate(row):
+            mine = mine & F.col("__names")[f"c{i}"].eqNullSafe(F.lit(n))
+        part = x.where(F.col("__names").isNotNull() & mine & (q(pos) > 1))
+        part = part.select(*[q(c).alias(n) for c, n in zip(cols, row) if n], q(file_col), (q(pos) - 1).alias(pos))
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def skip_embedded_header(df: DataFrame, col: str) -> DataFrame:
-    """Drop a repeated header row (first cell equals the column name)."""
+    """Drop repeated header rows (first cell equals the column name)."""
     return df.where(~q(col).eqNullSafe(F.lit(col)))
 
 
@@ -150,14 +174,23 @@ def date_ddmmyy(c: str | Column) -> Column:
     return F.when(ok, F.try_to_date(iso, "yyyy-MM-dd"))
 
 
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def numeric(c: str | Column) -> Column:
+    """Number or number text -> DOUBLE; anything else ('nan', '5d', '') -> NULL."""
+    text = _c(c).cast("string")
+    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
+
+
 def require_numeric(df: DataFrame, col: str) -> DataFrame:
     """Numeric coercion; rows whose value is not numeric are dropped."""
-    return df.withColumn(col, _c(col).try_cast("double")).where(q(col).isNotNull())
+    return df.withColumn(col, numeric(col)).where(q(col).isNotNull())
 
 
 def zero_int(c: str | Column) -> Column:
     """NULL -> 0, then integer."""
-    return F.coalesce(_c(c).try_cast("double"), F.lit(0.0)).cast("int")
+    return F.coalesce(numeric(c), F.lit(0.0)).cast("int")
 
 
 def require_key(df: DataFrame, col: str) -> DataFrame:
@@ -168,7 +201,7 @@ def require_key(df: DataFrame, col: str) -> DataFrame:
 
 def code_text(c: str | Column) -> Column:
     """Numeric code as text: NULL or 0 -> '', else the integer digits."""
-    v = _c(c).try_cast("double")
+    v = numeric(c)
     return F.when(F.coalesce(v, F.lit(0.0)) == 0, F.lit("")).otherwise(v.cast("bigint").cast("string"))
 
 
@@ -202,11 +235,6 @@ def project(df: DataFrame, cols: Sequence[str], defaults: Mapping[str, Column] |
     return df.select(*[q(c) for c in cols])
 
 
-def to_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Columns to text."""
-    return df.withColumns({c: q(c).cast("string") for c in cols})
-
-
 # Formats tried in order by ``format_date`` (C25): ISO first, then day-first
 # dotted, month-first slashed, compact, and ISO with a time part.
 DATE_FORMATS = ["yyyy-MM-dd", "dd.MM.yyyy", "MM/dd/yyyy", "yyyyMMdd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd",

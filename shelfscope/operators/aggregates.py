@@ -1,66 +1,17 @@
-"""Aggregation operators.
+"""Aggregation operators that are steps of their own.
 
-All are ``DataFrame -> DataFrame`` and plan as hash aggregates with a
-map-side partial step, so a hot key is combined before the shuffle.
-Distinct counts are written as two aggregates (group by key + user, then by
-key) instead of an ``Expand`` when several are needed at once.
+The sums, conditional counts, distinct counts and collections of A1-A9 and A11
+are written where the reports use them (``plans/clean_room.py``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def sum_measures(df: DataFrame, dims: Sequence[str], measures: Iterable[str],
-                 suffix: str = "", extra: Sequence[Column] = ()) -> DataFrame:
-    """A1: ``GROUP BY dims`` with ``SUM(m) AS m<suffix>`` for every measure."""
-    aggs = [F.sum(m).alias(f"{m}{suffix}") for m in measures]
-    return df.groupBy(*dims).agg(*aggs, *extra)
-
-
-def reach(df: DataFrame, dims: Sequence[str], user: str = "user_id", approx: bool = False,
-          name: str = "reach") -> DataFrame:
-    """A4: distinct users per group (``approx`` = HyperLogLog++ for huge inputs)."""
-    f = F.approx_count_distinct(user) if approx else F.count_distinct(user)
-    return df.groupBy(*dims).agg(f.alias(name))
-
-
-def shoppers(df: DataFrame, dims: Sequence[str], user: str = "user_id",
-             purchases: str = "total_purchases", name: str = "shoppers_num") -> DataFrame:
-    """A5: distinct users with a positive purchase count."""
-    return df.groupBy(*dims).agg(
-        F.count_distinct(F.when(F.col(purchases) > 0, F.col(user))).alias(name))
-
-
-def orders(df: DataFrame, dims: Sequence[str], purchases: str = "total_purchases",
-           name: str = "interactions_count") -> DataFrame:
-    """Conditional count ``SUM(CASE WHEN purchases > 0 THEN 1 ELSE 0 END)``."""
-    return df.groupBy(*dims).agg(
-        F.sum(F.when(F.col(purchases) > 0, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias(name))
-
-
-def flight_bounds(traffic: DataFrame, key: Sequence[str] = ("campaign_id_string",),
-                  start: str = "campaign_start_date_utc", end: str = "campaign_end_date_utc") -> DataFrame:
-    """Campaign flight = MIN(start), MAX(end) per campaign."""
-    return traffic.groupBy(*key).agg(F.min(start).alias(start), F.max(end).alias(end))
-
-
-def collect_sorted_set(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
-    """``ARRAY_SORT(COLLECT(DISTINCT col))`` per key."""
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_set(col)).alias(name))
-
-
-def collect_sorted_path(df: DataFrame, keys: Sequence[str], ord_col: str, val_col: str,
-                        name: str, ord_name: str = "ad_product_order",
-                        val_name: str = "ad_product_type") -> DataFrame:
-    """Sorted distinct collection of ``struct(ord, val)``."""
-    s = F.struct(F.col(ord_col).alias(ord_name), F.col(val_col).alias(val_name))
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_set(s)).alias(name))
-
-
 def sum_drop_null_keys(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
                        extra: Sequence[Column] = ()) -> DataFrame:
     """A10: pandas ``groupby().sum()`` semantics: groups with a NULL key are
@@ -72,33 +23,3 @@ def sum_drop_null_keys(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     kept = df.where(cond) if cond is not None else df
     return kept.groupBy(*[F.col("`" + k + "`") for k in keys]).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols], *extra)
-
-
-def max_value(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """Global MAX of a column (one row)."""
-    return df.agg(F.max(col).alias(name or col))
-
-
-def filtered_sums(df: DataFrame, col: str, values: Sequence[str], dims: Sequence[str],
-                  sums: dict[str, str]) -> DataFrame:
-    """``WHERE col IN (values)`` then ``SUM`` per dims; ``sums`` maps
-    output name -> input column."""
-    return (df.where(F.col(col).isin(list(values)))
-              .groupBy(*dims).agg(*[F.sum(src).alias(out) for out, src in sums.items()]))
-
-
-def distinct_users_two_step(df: DataFrame, dims: Sequence[str], user: str,
-                            sums: dict[str, Column], flags: dict[str, Column]) -> DataFrame:
-    """Sums plus several exact distinct-user counts without ``Expand``.
-
-    Step 1 groups by ``dims + user`` (shuffle spread over users, partial
-    aggregation first) computing the sums and ``max(flag)`` per user; step 2
-    groups by ``dims``: distinct users = rows, conditional distinct users =
-    ``count_if(flag)``.  ``user`` must be non-NULL (callers filter it)."""
-    step1 = df.groupBy(*dims, user).agg(
-        *[c.alias(n) for n, c in sums.items()],
-        *[F.max(c).alias(f"__f_{n}") for n, c in flags.items()])
-    return step1.groupBy(*dims).agg(
-        *[F.sum(n).alias(n) for n in sums],
-        F.count(F.lit(1)).alias("__users"),
-        *[F.count_if(F.col(f"__f_{n}")).alias(n) for n in flags])

@@ -23,32 +23,3 @@ def filter_to_catalog(df: DataFrame, catalog: DataFrame, left_key: str, cat_key:
     if semi:
         return df.join(cat, cond, "left_semi")
     return df.join(cat, cond, "inner").drop("__cat_key")
-
-
-def attach_brand(fact: DataFrame, lookup: DataFrame, key: str = "campaign_id_string",
-                 dedupe_lookup: bool = False) -> DataFrame:
-    """Inner join on campaign id; the lookup is not unique on it, so rows
-    multiply (the reports' meaning) unless ``dedupe_lookup``."""
-    lk = lookup.dropDuplicates([key]) if dedupe_lookup else lookup
-    return fact.join(lk, key)
-
-
-def attach_conversions(traffic_u: DataFrame, conv_u: DataFrame,
-                       keys: Sequence[str] = ("brand", "campaign_id_string", "user_id")) -> DataFrame:
-    """Left join of user-grain traffic and conversions."""
-    return traffic_u.join(conv_u, list(keys), "left")
-
-
-def attach_flight(df: DataFrame, bounds: DataFrame, key: str = "campaign_id_string") -> DataFrame:
-    """Left join of campaign flight bounds (one row per campaign)."""
-    return df.join(bounds, key, "left")
-
-
-def join_back(df: DataFrame, per_user: DataFrame, keys: Sequence[str] = ("user_id", "brand")) -> DataFrame:
-    """Per-user set/path back onto the user-level aggregate."""
-    return df.join(per_user, list(keys))
-
-
-def anti_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key is not in ``right``."""
-    return left.join(right.select(*keys), list(keys), "left_anti")

@@ -114,10 +114,15 @@ def daily_dates(df: DataFrame, start: str | Column, end: str | Column, out: str
 
 def snapshot_is_new(snap: DataFrame, keys: Sequence[str], date: str, landed: DataFrame,
                     landed_date: str, out: str = "snapshot_date") -> DataFrame:
-    """Latest snapshot date per key, kept only when that date has not
-    been landed yet."""
+    """Latest snapshot date per key, kept only when that key has not
+    landed that date yet (``landed`` holds the same key columns; NULL keys are
+    compared like values)."""
     latest = snap.groupBy(*keys).agg(F.max(date).alias(out))
-    return latest.join(landed.select(F.col(landed_date).alias(out)).distinct(), out, "left_anti")
+    have = landed.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(landed_date).alias("__date"))
+    same = F.col(out).eqNullSafe(F.col("__date"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return latest.join(have, same, "left_anti")
 
 
 def global_rank(df: DataFrame, key: str, out: str = "key_rank") -> DataFrame:

@@ -40,11 +40,6 @@ def distinct_keys(tables: Sequence[DataFrame], key: str, country: str | None = N
     return append_all(parts).distinct()
 
 
-def distinct_dims(df: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """U4: GROUP BY used as DISTINCT over dimensions."""
-    return df.select(*dims).distinct()
-
-
 def sorted_dates(df: DataFrame, col: str) -> DataFrame:
     """Ascending list of distinct values (the ORDER BY is the feature)."""
     return df.select(col).distinct().orderBy(col)

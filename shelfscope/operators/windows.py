@@ -37,16 +37,3 @@ def rank_first_touch(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequ
     """ROW_NUMBER per key by first time; ``tiebreak`` makes it repeatable."""
     w = Window.partitionBy(*keys).orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
     return df.withColumn(name, F.row_number().over(w))
-
-
-def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  name: str = "cumcount") -> DataFrame:
-    """Pandas ``cumcount`` (0-based running count within the key)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w) - 1)
-
-
-def is_duplicated(df: DataFrame, keys: Sequence[str], name: str = "is_dup") -> DataFrame:
-    """Pandas ``duplicated(keep=False)``: key occurs more than once."""
-    w = Window.partitionBy(*keys)
-    return df.withColumn(name, F.count(F.lit(1)).over(w) > 1)

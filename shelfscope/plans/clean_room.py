@@ -81,7 +81,7 @@ def creative_dims(traffic_w: DataFrame) -> DataFrame:
                  F.max("campaign_end_date_utc").alias("campaign_end_date_utc")))
 
 
-def brand_lookup(creatives: DataFrame, rules=REFERENCE_BRAND_RULES, mode: str = "auto",
+def brand_lookup(creatives: DataFrame, rules=REFERENCE_BRAND_RULES, mode: str = "array",
                  prefer_classified: bool = False, with_flight: bool = False) -> DataFrame:
     """A3 over A2: MAX(brand label) per campaign row over its creatives.
 
@@ -112,7 +112,7 @@ def lookup_keys(lookup: DataFrame, cols: Sequence[str], dedupe: bool = False) ->
 
 def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
                    window_days: int | None = None, rules=REFERENCE_BRAND_RULES,
-                   brand_mode: str = "auto", prefer_classified: bool = False,
+                   brand_mode: str = "array", prefer_classified: bool = False,
                    dedupe_lookup: bool = False) -> DataFrame:
     t = windowed(traffic, start, end, window_days)
     c = windowed(conversions, start, end, window_days)
@@ -185,7 +185,7 @@ def campaign_value(traffic: DataFrame, conversions: DataFrame, start, end,
 
 def user_core(traffic: DataFrame, conversions: DataFrame, start, end,
               window_days: int | None = None, rules=REFERENCE_BRAND_RULES,
-              brand_mode: str = "auto", prefer_classified: bool = False,
+              brand_mode: str = "array", prefer_classified: bool = False,
               dedupe_lookup: bool = False) -> DataFrame:
     """Per (window, brand, currency, ad type, user): traffic sums, first event
     time and the conversions of the user's campaigns (NULL when none), all in

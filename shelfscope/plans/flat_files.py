@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import cleaning as cl
 from ..operators import normalize as nz
 from ..operators.aggregates import sum_drop_null_keys
+from ..operators.setops import append_all
 
 # Brand names translated in the hero mapping (Japanese -> Latin).
 JP_BRANDS_TRANSLATION = {
@@ -57,19 +58,43 @@ def sellout_long(wide: DataFrame, ids: Sequence[str], keys: Sequence[str] = ("Na
     return cl.dedup_keep_first(long, [*keys, "Date"], list(order)).drop(*extra)
 
 
+def sellout_files_long(groups: Sequence[DataFrame], n_ids: int = 7, lenient: bool = True,
+                       keys: Sequence[str] = ("Name", "PZN", "Hersteller")) -> DataFrame:
+    """Q10 over landed files (C4): each layout of ``read_two_row_header_csv`` is
+    made long by itself, since files name their own dates; then the long
+    forms are stacked and the first row per (keys, Date) in file order stays."""
+    parts = []
+    for g in groups:
+        cols = [c for c in g.columns if c not in ("file_name", "pos")]
+        parts.append(cl.unpivot_dates(g, [*cols[:n_ids], "file_name", "pos"], values=cols[n_ids:], lenient=lenient))
+    long = append_all(parts, allow_missing=True)
+    return cl.dedup_keep_first(long, [*keys, "Date"], ["file_name", "pos"]).drop("file_name", "pos")
+
+
 def latest_inventory(df: DataFrame, file_col: str = "file_name",
                      keys: Sequence[str] = ("PZN", "Pck.", "Bezeichnung")) -> DataFrame:
     """Q11: rows of the files with the latest ``_dd.MM.yy`` date in the name
-    (S9), repeated header rows dropped (C6), ``*Menge`` summed per row (C9)
-    and per key with NULL keys dropped (A10), stamped with that date."""
-    d = cl.date_ddmmyy(F.substring_index(F.col(file_col), "_", -1))
-    x = df.withColumn("__d", d)
-    latest = x.agg(F.max("__d").alias("__latest"))
-    x = x.join(latest, F.col("__d") == F.col("__latest"), "left_semi")
+    (S9; the date is found from the distinct names), repeated header rows
+    dropped, ``*Menge`` summed per row (C9) and per key with NULL keys dropped
+    (A10), stamped with that date."""
+    names = df.select(file_col).distinct().withColumn("__d", cl.date_ddmmyy(F.substring_index(F.col(file_col), "_", -1)))
+    latest = names.agg(F.max("__d").alias("__d"))
+    files = names.join(latest, "__d")
+    x = df.join(files, file_col)
+    return _inventory_sums(x, F.max("__d"), keys)
+
+
+def _inventory_sums(x: DataFrame, date, keys: Sequence[str] = ("PZN", "Pck.", "Bezeichnung")) -> DataFrame:
     x = cl.skip_embedded_header(x, keys[0])
     x = cl.sum_suffix(x, "Menge", "ORDERED_UNITS")
-    # every kept row carries the latest date, so it rides along the aggregate
-    return sum_drop_null_keys(x, list(keys), ["ORDERED_UNITS"], extra=[F.max("__d").alias("DATE")])
+    return sum_drop_null_keys(x, list(keys), ["ORDERED_UNITS"], extra=[date.alias("DATE")])
+
+
+def latest_inventory_files(df: DataFrame, date) -> DataFrame:
+    """Q11 over the files of the latest date, read with positions and paths:
+    files whose first row holds the names take them from it (C6), then the sums."""
+    x = cl.promote_embedded_header(df.drop("file_name"), "path", "pos")
+    return _inventory_sums(x, F.lit(date))
 
 
 def market_sellout(df: DataFrame, country: str, now) -> DataFrame:

@@ -5,9 +5,10 @@ tables).  Formulas follow the usual meaning of each measure name.
 Scale notes:
 * attribution (R2) needs "last click of the same user at or before the
   purchase, within n days".  Instead of a range join it uses a per-user
-  daily table (one row per user-day with a click) and running windows over
-  days, plus a window inside each (user, day) for same-day clicks.  No pair
-  of rows is ever emitted and a window partition holds one user-day.
+  hourly table (one row per user and active hour) and a running window over
+  hours, plus a window inside each (user, hour).  No pair of rows is ever
+  emitted, clicks and purchases come from one scan of the events, and events
+  without a user never meet.
 * ranks over all keys (R12) are computed from a histogram of the ranked
   value, not from a single-partition window over every key.
 * first-touch flags (R5, R7) are ``min`` aggregates joined back, not
@@ -36,73 +37,87 @@ def _lag_us(start: str, end: str) -> Column:
 # ----------------------------------------------------------------------------
 # R2 / R3 attribution
 
-def last_click(purchases: DataFrame, clicks: DataFrame, user: str = "user_id", ts: str = "ts",
-               click_cols: Sequence[str] = ("click_ts", "campaign_id", "advertised_sku"),
-               bucket: str = "hour") -> DataFrame:
-    """For every purchase, the latest click of the same user at or before it
-    (NULL columns when none).  ``clicks`` must carry ``click_cols`` with
-    ``click_ts`` the click time.  Time is cut into ``bucket`` periods: the
-    same-period click comes from a window inside one (user, period); earlier
-    clicks from a running max over the user's periods (one row per active
-    period), so no window ever holds a user's whole history of events."""
-    day = F.date_trunc(bucket, F.col(ts))
-    c = clicks.select(user, *click_cols).withColumn("__day", F.date_trunc(bucket, F.col("click_ts")))
-    # last click of each earlier day, carried forward over a user's days
-    # (purchase days without clicks are rows too, so they receive it)
-    click_days = c.groupBy(user, "__day").agg(F.max(F.struct(*[F.col(x) for x in click_cols])).alias("__last"))
-    buy_days = purchases.select(user, day.alias("__day")).distinct()
-    days_all = click_days.unionByName(buy_days, allowMissingColumns=True).groupBy(user, "__day").agg(
-        F.max("__last").alias("__last"))
-    w_days = Window.partitionBy(user).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
-    daily = days_all.select(user, "__day", F.max("__last").over(w_days).alias("__prior"))
-    # same-day clicks: running last click inside (user, day)
-    p = purchases.withColumn("__day", day).withColumn("__is_click", F.lit(False))
-    cc = c.withColumn(ts, F.col("click_ts")).withColumn("__is_click", F.lit(True))
-    both = p.unionByName(cc, allowMissingColumns=True)
-    w_in = (Window.partitionBy(user, "__day").orderBy(F.col(ts), F.col("__is_click").desc())
-            .rowsBetween(Window.unboundedPreceding, 0))
-    click_struct = F.when(F.col("__is_click"), F.struct(*[F.col(x) for x in click_cols]))
-    same_day = (both.withColumn("__same", F.max(click_struct).over(w_in))
-                .where(~F.col("__is_click")).drop("__is_click", *click_cols))
-    j = same_day.join(daily, [user, "__day"], "left")
+CLICK_COLS = ("click_ts", "campaign_id", "advertised_sku")
+
+
+def touches(purchases: DataFrame, clicks: DataFrame, ts: str = "ts") -> DataFrame:
+    """Clicks and purchases as one table with an ``is_click`` flag (columns that
+    only one of them has are NULL on the other)."""
+    return (purchases.withColumn("is_click", F.lit(False))
+            .unionByName(clicks.withColumn(ts, F.col("click_ts")).withColumn("is_click", F.lit(True)), allowMissingColumns=True))
+
+
+def last_click_of(both: DataFrame, click_cols: Sequence[str], user: str = "user_id", ts: str = "ts",
+                  bucket: str = "hour") -> DataFrame:
+    """Rows of ``touches`` -> its purchases, each with the latest click of the
+    same user at or before it (NULL columns when none, and for purchases
+    without a user).  Time is cut into ``bucket`` periods: the click of the same
+    period comes from a window inside one (user, period), an earlier one from a
+    running max over the user's active periods (one row each, combined
+    map-side), so no window ever holds a user's whole history of events."""
+    click = F.when(F.col("is_click"), F.struct(*[F.col(x) for x in click_cols]))
+    keep = [c for c in both.columns if c not in (*click_cols, "is_click")]
+    known = both.where(F.col(user).isNotNull()).withColumn("__hour", F.date_trunc(bucket, F.col(ts)))
+    hours = known.groupBy(user, "__hour").agg(F.max(click).alias("__last"))
+    before = Window.partitionBy(user).orderBy("__hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select(user, "__hour", F.max("__last").over(before).alias("__prior"))
+    inside = (Window.partitionBy(user, "__hour").orderBy(F.col(ts), F.col("is_click").desc())
+              .rowsBetween(Window.unboundedPreceding, 0))
+    bought = known.withColumn("__same", F.max(click).over(inside)).where(~F.col("is_click"))
     best = F.coalesce(F.col("__same"), F.col("__prior"))
-    return j.select(*[c for c in same_day.columns if c not in ("__same", "__day")],
-                    *[best[x].alias(x) for x in click_cols])
+    out = bought.join(hours, [user, "__hour"], "left").select(*keep, *[best[x].alias(x) for x in click_cols])
+    nobody = both.where(F.col(user).isNull() & ~F.col("is_click")).select(
+        *keep, *[F.lit(None).cast(both.schema[x].dataType).alias(x) for x in click_cols])
+    return out.unionByName(nobody)
+
+
+def last_click(purchases: DataFrame, clicks: DataFrame, user: str = "user_id", ts: str = "ts",
+               click_cols: Sequence[str] = CLICK_COLS, bucket: str = "hour") -> DataFrame:
+    """``last_click_of`` two tables; ``clicks`` has ``click_cols`` with
+    ``click_ts`` the click time."""
+    return last_click_of(touches(purchases, clicks.select(user, *click_cols), ts), click_cols, user, ts, bucket)
 
 
-def attribute(purchases: DataFrame, clicks: DataFrame, days: Sequence[int] = WINDOW_DAYS,
+def attribute(both: DataFrame, click_cols: Sequence[str] = CLICK_COLS, days: Sequence[int] = WINDOW_DAYS,
               sku: str = "sku") -> DataFrame:
-    """R2 + R3: purchases credited to the campaign of the user's last click
-    within ``max(days)`` days (last click wins), with one flag per window and
-    a same-item flag (bought item == advertised item)."""
-    lc = last_click(purchases, clicks)
+    """R2 + R3: purchases of ``touches`` credited to the campaign of the user's
+    last click within ``max(days)`` days (last click wins), with one flag per
+    window and a same-item flag (bought item == advertised item)."""
+    lc = last_click_of(both, click_cols)
     lag = _lag_us("click_ts", "ts")
     out = lc.where(F.col("click_ts").isNotNull() & (lag <= F.lit(max(days) * DAY_US)))
     out = out.withColumn("click_day", F.col("click_ts").cast("date"))
     for n in days:
         out = out.withColumn(f"in_{n}d", lag <= F.lit(n * DAY_US))
-    return out.withColumn("same_sku", F.col(sku) == F.col("advertised_sku"))
+    return out.withColumn("same_sku", F.col(sku).eqNullSafe(F.col("advertised_sku")))
 
 
-ATTRIBUTED_BASES = ("purchases", "sales", "unitsSoldClicks", "purchasesSameSku", "attributedSalesSameSku",
-                    "unitsSoldSameSku")
-FACT_MEASURES = ["impressions", "clicks", "cost"] + [f"{b}{n}d" for b in ATTRIBUTED_BASES for n in WINDOW_DAYS]
+# name of the measure: (what it sums, which purchases of the window count)
+ATTRIBUTED = {
+    "purchases": ("1", "all"), "sales": ("sales", "all"), "unitsSoldClicks": ("units", "all"),
+    "purchasesSameSku": ("1", "same"), "attributedSalesSameSku": ("sales", "same"), "unitsSoldSameSku": ("units", "same"),
+    "purchasesOtherSku": ("1", "other"), "salesOtherSku": ("sales", "other"), "unitsSoldOtherSku": ("units", "other"),
+}
+# New-to-brand measures count the purchases of a 14-day window.
+NEW_TO_BRAND = {"newToBrandPurchases": "1", "newToBrandSales": "sales", "newToBrandUnitsSold": "units"}
+NEW_TO_BRAND_DAYS = 14
+MONEY = "decimal(28,2)"
 
 
 def attributed_sums(attributed: DataFrame, dims: Sequence[str] = ("click_day", "campaign_id"),
-                    days: Sequence[int] = WINDOW_DAYS) -> DataFrame:
-    """Per click day and campaign: purchases / sales / units per window,
-    total and same-item."""
-    aggs = []
-    for n in days:
-        inn = F.col(f"in_{n}d")
-        same = inn & F.col("same_sku")
-        aggs += [F.count_if(inn).alias(f"purchases{n}d"),
-                 F.sum(F.when(inn, F.col("sales"))).cast("double").alias(f"sales{n}d"),
-                 F.sum(F.when(inn, F.col("units"))).alias(f"unitsSoldClicks{n}d"),
-                 F.count_if(same).alias(f"purchasesSameSku{n}d"),
-                 F.sum(F.when(same, F.col("sales"))).cast("double").alias(f"attributedSalesSameSku{n}d"),
-                 F.sum(F.when(same, F.col("units"))).alias(f"unitsSoldSameSku{n}d")]
+                    days: Sequence[int] = WINDOW_DAYS, money: str = "double") -> DataFrame:
+    """Per click day and dimensions: purchases / sales / units per window: total,
+    of the advertised item and of other items; new-to-brand ones if the input
+    flags them (``ntb``).  Sums without rows are 0; sums are exact and cast to ``money`` once."""
+    count = {"all": "true", "same": "same_sku", "other": "NOT same_sku"}
+
+    def total(what: str, cond: str, name: str):
+        kind = money if what == "sales" else "bigint"
+        return F.expr(f"CAST(sum(CASE WHEN {cond} THEN {what} ELSE 0 END) AS {kind}) AS {name}")
+
+    aggs = [total(what, f"in_{n}d AND {count[which]}", f"{m}{n}d") for n in days for m, (what, which) in ATTRIBUTED.items()]
+    if "ntb" in attributed.columns:
+        aggs += [total(what, f"in_{NEW_TO_BRAND_DAYS}d AND ntb", m) for m, what in NEW_TO_BRAND.items()]
     return attributed.groupBy(*dims).agg(*aggs)
 
 
@@ -113,51 +128,92 @@ def _div(a: str, b: str) -> Column:
     return F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
 
 
+# Video progress (percent watched) of each funnel step.
+FUNNEL_STEPS = {"videoFirstQuartileViews": 25, "videoMidpointViews": 50, "videoThirdQuartileViews": 75,
+                "videoCompleteViews": 100}
+TRAFFIC_MEASURES = ["impressions", "clicks", "cost", *FUNNEL_STEPS, "viewableImpressions", "video5SecondViews"]
+
+
 def _measure_registry(days: Sequence[int] = WINDOW_DAYS) -> dict[str, Callable[[], Column]]:
+    count = lambda m: (lambda: F.coalesce(F.col(m), F.lit(0)).cast("bigint"))
+    value = lambda m: (lambda: F.coalesce(F.col(m), F.lit(0)).cast("double"))
+    share = lambda a, b: (lambda: F.try_divide(F.col(a).cast("double") * 100.0, F.col(b).cast("double")))
     reg: dict[str, Callable[[], Column]] = {
-        "impressions": lambda: F.col("impressions"),
-        "clicks": lambda: F.col("clicks"),
-        "cost": lambda: F.coalesce(F.col("cost"), F.lit(0)).cast("double"),
-        "spend": lambda: F.coalesce(F.col("cost"), F.lit(0)).cast("double"),
+        "impressions": count("impressions"), "clicks": count("clicks"), "cost": value("cost"), "spend": value("cost"),
         "clickThroughRate": lambda: _div("clicks", "impressions"),
         "costPerClick": lambda: _div("cost", "clicks"),
+        "viewabilityRate": lambda: _div("viewableImpressions", "impressions"),
+        "video5SecondViews": count("video5SecondViews"),
+        "video5SecondViewRate": lambda: _div("video5SecondViews", "impressions"),
+        **{m: count(m) for m in FUNNEL_STEPS},
     }
     for n in days:
-        for base in ("purchases", "purchasesSameSku", "unitsSoldClicks", "unitsSoldSameSku"):
-            reg[f"{base}{n}d"] = (lambda m=f"{base}{n}d": F.coalesce(F.col(m), F.lit(0)).cast("bigint"))
-        for base in ("sales", "attributedSalesSameSku"):
-            reg[f"{base}{n}d"] = (lambda m=f"{base}{n}d": F.coalesce(F.col(m), F.lit(0)).cast("double"))
+        for base, (what, _) in ATTRIBUTED.items():
+            reg[f"{base}{n}d"] = value(f"{base}{n}d") if what == "sales" else count(f"{base}{n}d")
         reg[f"acosClicks{n}d"] = (lambda m=f"sales{n}d": _div("cost", m))
         reg[f"roasClicks{n}d"] = (lambda m=f"sales{n}d": _div(m, "cost"))
+    n = NEW_TO_BRAND_DAYS  # reports without a window in the name use this one
+    for name, m in (("purchases", "purchases"), ("purchasesClicks", "purchases"), ("unitsSold", "unitsSoldClicks"),
+                    ("unitsSoldClicks", "unitsSoldClicks"), ("purchasesPromoted", "purchasesSameSku")):
+        reg[name] = count(f"{m}{n}d")
+    for name, m in (("sales", "sales"), ("salesClicks", "sales"), ("salesPromoted", "attributedSalesSameSku")):
+        reg[name] = value(f"{m}{n}d")
+    for m, base in (("newToBrandPurchases", "purchases"), ("newToBrandSales", "sales"), ("newToBrandUnitsSold", "unitsSoldClicks")):
+        reg[m] = reg[f"{m}Clicks"] = value(m) if base == "sales" else count(m)
+        reg[f"{m}Percentage"] = share(m, f"{base}{n}d")
+    reg["newToBrandPurchasesRate"] = lambda: _div("newToBrandPurchases", "impressions")
     return reg
 
 
 MEASURES = _measure_registry()
-DIMENSIONS = {"date": "date", "campaignId": "campaign_id", "campaignName": "campaign_name",
-              "adProduct": "ad_product"}
+DIMENSIONS = {"date": "date", "campaignId": "campaign_id", "campaignName": "campaign_name", "adGroupName": "ad_group",
+              "targeting": "targeting", "keyword": "targeting", "placementClassification": "placement",
+              "advertisedAsin": "advertised_sku", "advertisedSku": "advertised_sku", "purchasedAsin": "sku"}
+# what each ``groupBy`` name of a declared report puts a row to (beside the date)
+GRAINS = {"campaigns": ["campaign_id", "campaign_name"], "adGroup": ["campaign_id", "campaign_name", "ad_group"],
+          "advertiser": ["campaign_id", "campaign_name", "ad_group", "advertised_sku"],
+          "targeting": ["campaign_id", "campaign_name", "ad_group", "targeting"],
+          "campaignPlacement": ["campaign_id", "campaign_name", "placement"],
+          "asin": ["campaign_id", "campaign_name", "ad_group", "targeting", "advertised_sku", "sku"]}
 
 
 @dataclass(frozen=True)
 class ReportSpec:
-    """A declared report: ``group_by`` dimension names (the time unit's
-    ``date`` is always included) and requested ``columns``."""
+    """A declared report: ``group_by`` names of GRAINS or DIMENSIONS (the time
+    unit's ``date`` is always included) and requested ``columns``."""
     group_by: Sequence[str]
     columns: Sequence[str]
     filters: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
-
-def ad_facts(traffic: DataFrame, attributed: DataFrame) -> DataFrame:
-    """Daily campaign facts: traffic sums plus attributed sums by click day
-    (zero-filled union, one aggregate)."""
-    t = traffic.groupBy(F.col("day").alias("date"), "campaign_id").agg(
-        F.count_if(F.col("event_type").isin("view", "click")).alias("impressions"),
-        F.count_if(F.col("event_type") == "click").alias("clicks"),
-        F.sum(F.when(F.col("event_type") == "click", F.col("value").cast("decimal(18,2)"))).alias("cost"))
-    a = attributed_sums(attributed).withColumnRenamed("click_day", "date")
-    measures = {c: a.schema[c].dataType.simpleString() for c in a.columns if c not in ("date", "campaign_id")}
-    measures.update({"impressions": "bigint", "clicks": "bigint", "cost": "decimal(28,2)"})
-    u = union_facts(t.withColumn("cost", F.col("cost").cast("decimal(28,2)")), a, measures)
-    return u.groupBy("date", "campaign_id").agg(*[F.sum(m).alias(m) for m in measures])
+    def dims(self) -> list[str]:
+        out = []
+        for g in self.group_by:
+            out += GRAINS.get(g) or [DIMENSIONS[g]]
+        return [d for d in dict.fromkeys(out) if d != "date"]
+
+
+def ad_facts(traffic: DataFrame, attributed: DataFrame, dims: Sequence[str] = ("campaign_id",),
+             viewable_at: int = 10, five_seconds_at: int = 20) -> DataFrame:
+    """Daily facts by ``dims``: traffic sums plus attributed sums by click day
+    (zero-filled union, one aggregate).  Traffic has no row where it lacks one of
+    the dimensions (a bought item).  ``viewable_at`` and ``five_seconds_at`` are the percent of
+    the ad that stand for a viewable impression and for five seconds watched."""
+    a = attributed_sums(attributed, ["click_day", *dims], money=MONEY).withColumnRenamed("click_day", "date")
+    measures = {c: a.schema[c].dataType.simpleString() for c in a.columns if c not in ("date", *dims)}
+    measures.update({m: MONEY if m == "cost" else "bigint" for m in TRAFFIC_MEASURES})
+    if not set(dims) <= set(traffic.columns):
+        return union_facts(a, a.limit(0), measures)
+    shown = F.col("event_type").isin("view", "click")
+    extra = []
+    if "progress" in traffic.columns:
+        steps = {**FUNNEL_STEPS, "viewableImpressions": viewable_at, "video5SecondViews": five_seconds_at}
+        extra = [F.count_if(shown & (F.col("progress") >= at)).alias(m) for m, at in steps.items()]
+    t = traffic.groupBy(F.col("day").alias("date"), *dims).agg(
+        F.count_if(shown).alias("impressions"), F.count_if(F.col("event_type") == "click").alias("clicks"),
+        F.coalesce(F.sum(F.when(F.col("event_type") == "click", F.col("value").cast("decimal(18,2)"))), F.lit(0))
+        .cast(MONEY).alias("cost"), *extra)
+    u = union_facts(t, a, measures)
+    return u.groupBy("date", *dims).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def run_report(facts: DataFrame, spec: ReportSpec, dims_table: DataFrame | None = None) -> DataFrame:
@@ -168,31 +224,37 @@ def run_report(facts: DataFrame, spec: ReportSpec, dims_table: DataFrame | None
     f = facts.join(dims_table, "campaign_id", "left") if dims_table is not None else facts
     for col, values in spec.filters.items():
         f = f.where(F.col(DIMENSIONS.get(col, col)).isin(list(values)))
-    dims = ["date", *[DIMENSIONS[g] for g in spec.group_by if g != "date"]]
-    extra_dims = [DIMENSIONS[c] for c in spec.columns if c in DIMENSIONS and DIMENSIONS[c] not in dims]
-    base = [m for m in FACT_MEASURES if m in facts.columns]
-    g = f.groupBy(*dims, *extra_dims).agg(*[F.sum(b).alias(b) for b in base])
-    out = []
-    for c in spec.columns:
-        out.append(F.col(DIMENSIONS[c]).alias(c) if c in DIMENSIONS else MEASURES[c]().alias(c))
-    return g.select(*out)
+    dims = ["date", *spec.dims()]
+    dims += [DIMENSIONS[c] for c in spec.columns if c in DIMENSIONS and DIMENSIONS[c] not in dims]
+    dims = list(dict.fromkeys(dims))
+    base = [m for m in facts.columns if m not in dims and m not in DIMENSIONS.values()]
+    g = f.groupBy(*dims).agg(*[F.sum(b).alias(b) for b in base])
+    return g.select(*[F.col(DIMENSIONS[c]).alias(c) if c in DIMENSIONS else MEASURES[c]().alias(c) for c in spec.columns])
 
 
 # ----------------------------------------------------------------------------
 # R5 new-to-brand, R6 funnel, R7 cumulative reach, R8 slot share
 
+def flag_new_to_brand(purchases: DataFrame, user: str = "user_id", brand: str = "brand", ts: str = "ts") -> DataFrame:
+    """Adds ``ntb``: the user's first purchase of that brand (in the data).  A
+    purchase without a user is never known to be the first."""
+    first = purchases.where(F.col(user).isNotNull()).groupBy(user, F.col(brand).alias("__brand")).agg(F.min(ts).alias("__first"))
+    first = first.withColumnRenamed(user, "__user")
+    p = purchases.join(first, (F.col(user) == F.col("__user")) & F.col(brand).eqNullSafe(F.col("__brand")), "left")
+    return p.withColumn("ntb", F.coalesce(F.col(ts) == F.col("__first"), F.lit(False))).drop("__user", "__brand", "__first")
+
+
 def new_to_brand(purchases: DataFrame, user: str = "user_id", brand: str = "brand", ts: str = "ts",
                  dims: Sequence[str] = ("day", "campaign_id")) -> DataFrame:
     """A purchase is new-to-brand when it is the user's first purchase of
     that brand (in the data).  Counts, sales, units and percentages."""
-    first = purchases.groupBy(user, brand).agg(F.min(ts).alias("__first"))
-    p = purchases.join(first, [user, brand], "left").withColumn("__ntb", F.col(ts) == F.col("__first"))
+    p = flag_new_to_brand(purchases, user, brand, ts)
     g = p.groupBy(*dims).agg(
         F.count(F.lit(1)).alias("purchases"),
-        F.count_if("__ntb").alias("newToBrandPurchases"),
-        F.sum(F.when(F.col("__ntb"), F.col("sales"))).cast("double").alias("newToBrandSales"),
+        F.count_if("ntb").alias("newToBrandPurchases"),
+        F.sum(F.when(F.col("ntb"), F.col("sales"))).cast("double").alias("newToBrandSales"),
         F.sum("sales").cast("double").alias("sales"),
-        F.sum(F.when(F.col("__ntb"), F.col("units"))).alias("newToBrandUnitsSold"),
+        F.sum(F.when(F.col("ntb"), F.col("units"))).alias("newToBrandUnitsSold"),
         F.sum("units").alias("unitsSold"))
     return g.select("*",
                     (F.try_divide(F.col("newToBrandPurchases") * 100.0, F.col("purchases"))).alias("newToBrandPurchasesPercentage"),
@@ -200,22 +262,17 @@ def new_to_brand(purchases: DataFrame, user: str = "user_id", brand: str = "bran
                     (F.try_divide(F.col("newToBrandUnitsSold") * 100.0, F.col("unitsSold"))).alias("newToBrandUnitsSoldPercentage"))
 
 
-# Video progress thresholds (percent watched) of each funnel step.
-FUNNEL_STEPS = {"videoFirstQuartileViews": 25, "videoMidpointViews": 50, "videoThirdQuartileViews": 75,
-                "videoCompleteViews": 95}
-VIEWABLE_AT = 10      # percent of the ad in view for a viewable impression
-FIVE_SECONDS_AT = 20  # progress that stands for five seconds watched
-
-
-def view_funnel(impressions: DataFrame, progress: str = "progress",
-                dims: Sequence[str] = ("day", "campaign_id")) -> DataFrame:
+def view_funnel(impressions: DataFrame, viewable_at: int, five_seconds_at: int, progress: str = "progress",
+                dims: Sequence[str] = ("day", "campaign_id"), steps: Mapping[str, int] = FUNNEL_STEPS) -> DataFrame:
     """Impressions -> quartiles -> complete, viewability and 5-second
-    view rates, view click-through."""
+    view rates, view click-through.  ``progress`` is percent watched;
+    ``viewable_at`` and ``five_seconds_at`` are the percent that stand for a
+    viewable impression and for five seconds (they depend on the ad's length)."""
     p = F.col(progress)
     aggs = [F.count(F.lit(1)).alias("impressions")]
-    aggs += [F.count_if(p >= t).alias(n) for n, t in FUNNEL_STEPS.items()]
-    aggs += [F.count_if(p >= VIEWABLE_AT).alias("viewableImpressions"),
-             F.count_if(p >= FIVE_SECONDS_AT).alias("video5SecondViews"),
+    aggs += [F.count_if(p >= t).alias(n) for n, t in steps.items()]
+    aggs += [F.count_if(p >= viewable_at).alias("viewableImpressions"),
+             F.count_if(p >= five_seconds_at).alias("video5SecondViews"),
              F.count_if(F.col("event_type") == "click").alias("clicks")]
     g = impressions.groupBy(*dims).agg(*aggs)
     return g.select("*",
@@ -228,8 +285,9 @@ def cumulative_reach(impressions: DataFrame, user: str = "user_id", day: str = "
                      key: Sequence[str] = ("campaign_id",)) -> DataFrame:
     """Reach to date (distinct users seen up to each day) and average
     frequency (impressions to date / reach to date), exact: each user counts
-    on its first day, then running sums over a campaign's days."""
-    first = impressions.groupBy(*key, user).agg(F.min(day).alias(day))
+    on its first day, then running sums over a campaign's days.  Impressions
+    without a user count as impressions only."""
+    first = impressions.where(F.col(user).isNotNull()).groupBy(*key, user).agg(F.min(day).alias(day))
     new = first.groupBy(*key, day).agg(F.count(F.lit(1)).alias("newUsers"))
     imp = impressions.groupBy(*key, day).agg(F.count(F.lit(1)).alias("impressions"))
     d = imp.join(new, [*key, day], "left").fillna(0, ["newUsers"])
@@ -246,8 +304,11 @@ def slot_share(impressions: DataFrame, slot: str = "placement", dims: Sequence[s
     """A campaign's impressions / all impressions of its slot and day.
     Slot totals are an aggregate joined back (one row per slot-day)."""
     g = impressions.groupBy(*dims, slot, key).agg(F.count(F.lit(1)).alias("impressions"))
-    tot = g.groupBy(*dims, slot).agg(F.sum("impressions").alias("__slot"))
-    return g.join(tot, [*dims, slot]).select(
+    tot = g.groupBy(*[F.col(c).alias(f"__{c}") for c in (*dims, slot)]).agg(F.sum("impressions").alias("__slot"))
+    same = F.lit(True)
+    for c in (*dims, slot):
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return g.join(tot, same).select(
         *dims, slot, key, "impressions",
         F.try_divide(F.col("impressions").cast("double"), F.col("__slot").cast("double")).alias("impressionShare"))
 
@@ -261,19 +322,21 @@ MARKET_METRICS = ["dollar_volume", "units", "dollar_volume_yago", "units_yago",
 
 
 def market_insight(sales: DataFrame, dims: Sequence[str], period: str = "period", months_back: int = 12) -> DataFrame:
-    """Value and units per month and dimensions, the same a year before,
-    change, and share of the month's value.
+    """Value and units per period (a day or the first day of a month) and
+    dimensions, the same ``months_back`` months before, change, and share of the
+    period's value.
 
-    ``period`` is the first day of a month.  The year-ago values come from a
-    RANGE window over a month index (exactly ``months_back`` months earlier,
-    NULL when that month has no row) inside each dimension combination, and
-    the month total from a window over the month: one scan, no self join."""
+    The year-ago values come from an equi-join of the aggregate with itself on
+    the shifted period (NULL when it has no row), the period's total from an
+    aggregate joined back, so no window holds a whole period.  NULL dimensions are values."""
     g = sales.groupBy(period, *dims).agg(F.sum("value").alias("dollar_volume"), F.sum("units").alias("units"))
-    g = g.withColumn("__m", F.year(period) * 12 + F.month(period))
-    ago = Window.partitionBy(*dims).orderBy("__m").rangeBetween(-months_back, -months_back)
-    j = g.select("*", F.sum("dollar_volume").over(ago).alias("dollar_volume_yago"),
-                 F.sum("units").over(ago).alias("units_yago"),
-                 F.sum("dollar_volume").over(Window.partitionBy(period)).alias("__tot"))
+    ago = g.select(*[F.col(c).alias(f"__{c}") for c in (period, *dims)], F.col("dollar_volume").alias("dollar_volume_yago"),
+                   F.col("units").alias("units_yago"))
+    same = F.add_months(F.col(period), -months_back) == F.col(f"__{period}")
+    for c in dims:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    total = g.groupBy(F.col(period).alias("__of")).agg(F.sum("dollar_volume").alias("__tot"))
+    j = g.join(ago, same, "left").join(total, F.col(period).eqNullSafe(F.col("__of")), "left")
     dv, u = F.col("dollar_volume").cast("double"), F.col("units").cast("double")
     dvy, uy = F.col("dollar_volume_yago").cast("double"), F.col("units_yago").cast("double")
     return j.select(period, *dims, dv.alias("dollar_volume"), u.alias("units"), dvy.alias("dollar_volume_yago"),
@@ -316,41 +379,35 @@ def rank_desc(df: DataFrame, value: str, out: str) -> DataFrame:
 def search_term_ranks(clicks: DataFrame, term: str = "searchTerm", item: str = "clickedAsin") -> DataFrame:
     """Per (term, item): frequency rank of the term, the item's click
     share and conversion share within the term, and its rank by clicks
-    within the term."""
+    within the term.
+
+    The rank within a term comes from a histogram of its items' click counts
+    (at most about sqrt(2 x clicks) rows a term), so a hot term's items are never
+    in one task.  A NULL term is a term."""
     g = clicks.groupBy(term, item).agg(F.count(F.lit(1)).alias("__clicks"),
                                        F.count_if(F.col("converted")).alias("__conv"))
-    t = g.groupBy(term).agg(F.sum("__clicks").alias("__term_clicks"), F.sum("__conv").alias("__term_conv"))
+    t = g.groupBy(F.col(term).alias("__term")).agg(F.sum("__clicks").alias("__term_clicks"), F.sum("__conv").alias("__term_conv"))
     t = rank_desc(t, "__term_clicks", "searchFrequencyRank")
-    j = g.join(t, term)
-    w = Window.partitionBy(term).orderBy(F.col("__clicks").desc())
-    return j.select(term, item, F.col("searchFrequencyRank").cast("int").alias("searchFrequencyRank"),
-                    F.rank().over(w).alias("clickShareRank"),
+    h = g.groupBy(F.col(term).alias("__t"), F.col("__clicks").alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
+    more = Window.partitionBy("__t").orderBy(F.col("__c").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    h = h.select("__t", "__c", (F.coalesce(F.sum("__n").over(more), F.lit(0)) + 1).cast("int").alias("clickShareRank"))
+    j = (g.join(t, F.col(term).eqNullSafe(F.col("__term")))
+         .join(h, F.col(term).eqNullSafe(F.col("__t")) & (F.col("__clicks") == F.col("__c"))))
+    return j.select(term, item, F.col("searchFrequencyRank").cast("int").alias("searchFrequencyRank"), "clickShareRank",
                     F.try_divide(F.col("__clicks").cast("double"), F.col("__term_clicks").cast("double")).alias("clickShare"),
                     F.try_divide(F.col("__conv").cast("double"), F.col("__term_conv").cast("double")).alias("conversionShare"))
 
 
-QUANTILES = {"P70": "0.7", "P80": "0.8", "P90": "0.9"}
+QUANTILES = {"P70": 0.7, "P80": 0.8, "P90": 0.9}
 
 
-def exact_percentiles(df: DataFrame, key: str, value: str, quantiles: Mapping[str, str] = QUANTILES) -> DataFrame:
-    """Continuous percentiles (linear interpolation between order
-    statistics, as ``percentile_cont``) per key, computed in DECIMAL and cast
-    to DOUBLE once, so the result is the correctly rounded exact value rather
-    than depending on floating-point evaluation order.  One window per key
-    orders its values (a key's rows are its days, so the window is bounded)."""
-    w = Window.partitionBy(key).orderBy(value)
-    r = df.select(key, F.col(value).cast("decimal(20,0)").alias("__v"), F.row_number().over(w).alias("__rn"),
-                  F.count(F.lit(1)).over(Window.partitionBy(key)).alias("__n"))
-    aggs = []
-    for name, p in quantiles.items():
-        pos = f"((__n - 1) * CAST({p} AS DECIMAL(6,4)))"
-        lo = f"(CAST(floor({pos}) AS BIGINT) + 1)"
-        aggs += [F.expr(f"max(CASE WHEN __rn = {lo} THEN __v END) AS __lo_{name}"),
-                 F.expr(f"max(CASE WHEN __rn = {lo} + 1 THEN __v END) AS __hi_{name}"),
-                 F.expr(f"max({pos} - floor({pos})) AS __f_{name}")]
-    g = r.groupBy(key).agg(*aggs)
-    return g.select(key, *[F.expr(f"CAST(__lo_{n} + (coalesce(__hi_{n}, __lo_{n}) - __lo_{n}) * __f_{n} AS DOUBLE) AS {n}")
-                           for n in quantiles])
+def exact_percentiles(df: DataFrame, key: str, value: str, quantiles: Mapping[str, float] = QUANTILES) -> DataFrame:
+    """Continuous percentiles (linear interpolation between order statistics,
+    as ``percentile_cont``) per key: one aggregate, combined map-side.  Of whole numbers
+    and tenths as quantiles the result is exact; it is rounded to six digits."""
+    qs = ", ".join(str(x) for x in quantiles.values())
+    g = df.groupBy(key).agg(F.expr(f"percentile(`{value}`, array({qs}))").alias("__q"))
+    return g.select(key, *[F.round(F.col("__q")[i], 6).alias(n) for i, n in enumerate(quantiles)])
 
 
 def item_day_facts(lines: DataFrame, item: str, day: str) -> DataFrame:
@@ -362,7 +419,8 @@ def item_day_facts(lines: DataFrame, item: str, day: str) -> DataFrame:
     d = d.withColumn("netPpm", F.try_divide((F.col("orderedRevenue") - F.col("shippedCogs")).cast("double"),
                                             F.col("orderedRevenue").cast("double")))
     q = exact_percentiles(d, item, "orderedUnits")
-    return d.join(q, item).select(item, day, "orderedUnits", F.col("orderedRevenue").cast("double").alias("orderedRevenue"),
+    q = q.withColumnRenamed(item, "__item")
+    return d.join(q, F.col(item).eqNullSafe(F.col("__item"))).select(item, day, "orderedUnits", F.col("orderedRevenue").cast("double").alias("orderedRevenue"),
                                   F.col("shippedCogs").cast("double").alias("shippedCogs"), "netPpm", *QUANTILES)
 
 

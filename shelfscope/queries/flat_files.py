@@ -18,7 +18,7 @@ NOW = "2024-06-01 00:00:00"
 # Q9 media plan (V5)
 
 MEDIA_PLAN_SQL = """SELECT o_orderkey AS pos, 'f' || CAST(o_orderkey % 3 AS VARCHAR) AS file_name,
-  '2024-' || CAST(o_orderkey % 9000 AS VARCHAR) AS ID,
+  CASE WHEN o_orderkey % 23 <> 0 THEN '2024-' || CAST(o_orderkey % 9000 AS VARCHAR) END AS ID,
   CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS VARCHAR) || ', ' || CAST(o_orderkey AS VARCHAR) || 'x,zz'
        WHEN 1 THEN CAST(o_custkey AS VARCHAR) || ' abc' WHEN 2 THEN 'abc' ELSE NULL END AS PZN FROM orders"""
 CODES_SQL = """list_filter(list_transform(string_split(trim(PZN), ','), lambda x: regexp_extract(trim(x), '^(\\d+)', 1)),
@@ -32,7 +32,7 @@ def _media_plan(spark, d):
            .when(k % 4 == 1, F.concat(F.col("o_custkey").cast("string"), F.lit(" abc")))
            .when(k % 4 == 2, F.lit("abc")).otherwise(F.lit(None).cast("string")))
     return o.select(k.alias("pos"), F.concat(F.lit("f"), (k % 3).cast("string")).alias("file_name"),
-                    F.concat(F.lit("2024-"), (k % 9000).cast("string")).alias("ID"), pzn.alias("PZN"))
+                    F.when(k % 23 != 0, F.concat(F.lit("2024-"), (k % 9000).cast("string"))).alias("ID"), pzn.alias("PZN"))
 
 
 @register("q9_media_plan", f"""
@@ -135,7 +135,7 @@ SELECT CAST(l_partkey AS VARCHAR) AS PZN, CAST(l_suppkey AS VARCHAR) AS "Pck.",
   'item ' || CAST(l_partkey AS VARCHAR) AS Bezeichnung,
   coalesce(sum(""" + " + ".join(f"coalesce(m{k}, 0)" for k in LINES) + """), 0) AS ORDERED_UNITS,
   (SELECT d FROM latest) AS DATE
-FROM rows GROUP BY 1, 2, 3""", "Q11", "S9", "C6", "C9", "A10")
+FROM rows GROUP BY 1, 2, 3""", "Q11", "C9", "A10")
 def q11_latest_inventory(spark, d):
     return ff.latest_inventory(_inventory(spark, d))
 
@@ -153,7 +153,7 @@ def _market(spark, d):
         F.when(k % 11 == 0, F.lit("[NULL]")).otherwise(F.col("o_totalprice").cast("string")).alias("value_eur"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
          .otherwise(F.date_format("o_orderdate", "yyyyMM")).alias("Year Month"),
-        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a"))
+        F.when(F.col("o_orderpriority") == "5-LOW", F.element_at(F.array(*[F.lit(x) for x in ("n/a", "nan", "5d")]), (k % 3 + 1).cast("int")))
          .otherwise(F.year("o_orderdate").cast("string")).alias("Year"),
         F.when(k % 10 == 0, F.lit(" ")).when(k % 10 == 1, F.lit("NULL"))
          .otherwise(F.concat(F.lit(" SKU-"), F.col("o_custkey").cast("string"), F.lit(" "))).alias("SKU"))
@@ -164,7 +164,7 @@ WITH m AS (SELECT strftime(o_orderdate, '%Y%m%d') AS sell_date,
   CASE WHEN o_orderkey % 7 = 0 THEN '[NULL]' ELSE CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR) END AS units,
   CASE WHEN o_orderkey % 11 = 0 THEN '[NULL]' ELSE CAST(o_totalprice AS VARCHAR) END AS value_eur,
   CASE WHEN o_orderstatus = 'P' THEN NULL ELSE strftime(o_orderdate, '%Y%m') END AS "Year Month",
-  CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS "Year",
+  CASE WHEN o_orderpriority = '5-LOW' THEN (['n/a', 'nan', '5d'])[o_orderkey % 3 + 1] ELSE CAST(year(o_orderdate) AS VARCHAR) END AS "Year",
   CASE WHEN o_orderkey % 10 = 0 THEN ' ' WHEN o_orderkey % 10 = 1 THEN 'NULL'
        ELSE ' SKU-' || CAST(o_custkey AS VARCHAR) || ' ' END AS SKU FROM orders)
 SELECT strftime(strptime(sell_date, '%Y%m%d'), '%Y-%m-%d') AS sell_date,
@@ -173,7 +173,7 @@ SELECT strftime(strptime(sell_date, '%Y%m%d'), '%Y-%m-%d') AS sell_date,
   CAST(coalesce(TRY_CAST("Year Month" AS DOUBLE), 0) AS INTEGER) AS "Year Month",
   TRY_CAST("Year" AS DOUBLE) AS "Year", trim(SKU) AS SKU,
   'DE' AS COUNTRY_CODE, TIMESTAMP '{NOW}' AS last_updated_timestamp
-FROM m WHERE TRY_CAST("Year" AS DOUBLE) IS NOT NULL AND trim(SKU) <> '' AND lower(trim(SKU)) <> 'null'
+FROM m WHERE regexp_full_match("Year", '[0-9]+') AND trim(SKU) <> '' AND lower(trim(SKU)) <> 'null'
 """, "Q12", "C10", "C12", "C13", "C14", "F15")
 def q12_market_sellout(spark, d):
     return ff.market_sellout(_market(spark, d), "DE", NOW)

@@ -50,7 +50,7 @@ def s2_vendor_report_from_orc(spark, d):
     return v.vendor_report(src.read_report(spark, path), COUNTRY, NOW)
 
 
-@register("s3_market_sellout_from_csv", Q12_SQL, "S3", "S8", "Q12")
+@register("s3_market_sellout_from_csv", Q12_SQL, "S3", "Q12")
 def s3_market_sellout_from_csv(spark, d):
     path = _scratch(spark, "landing-csv")
     _market(spark, d).write.mode("overwrite").option("header", True).option(

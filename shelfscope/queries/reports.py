@@ -15,85 +15,140 @@ from ..registry import register
 DAYS = r.WINDOW_DAYS
 
 
-def _attr_sums_sql() -> str:
+def _attr_sums_sql(dims: str = "campaign_id", view: str = "attributed", ntb: bool = False) -> str:
+    what = {"purchases": "1", "sales": "sales", "units": "units"}
     cols = []
     for n in DAYS:
-        inn = f"lag_us <= {n} * 86400000000"
-        same = f"{inn} AND sku = advertised_sku"
-        cols += [f"count(*) FILTER (WHERE {inn}) AS purchases{n}d",
-                 f"CAST(sum(CASE WHEN {inn} THEN sales END) AS DOUBLE) AS sales{n}d",
-                 f"CAST(sum(CASE WHEN {inn} THEN units END) AS BIGINT) AS unitsSoldClicks{n}d",
-                 f"count(*) FILTER (WHERE {same}) AS purchasesSameSku{n}d",
-                 f"CAST(sum(CASE WHEN {same} THEN sales END) AS DOUBLE) AS attributedSalesSameSku{n}d",
-                 f"CAST(sum(CASE WHEN {same} THEN units END) AS BIGINT) AS unitsSoldSameSku{n}d"]
-    return "SELECT click_day, campaign_id, " + ",\n  ".join(cols) + "\nFROM attributed GROUP BY 1, 2"
-
-
-def _attributed(spark, d):
-    ev = fx.ad_events(spark, d)
-    return r.attribute(fx.ad_purchases(ev), fx.ad_clicks(ev))
+        for names, cond in ((("purchases", "sales", "unitsSoldClicks"), "true"),
+                            (("purchasesSameSku", "attributedSalesSameSku", "unitsSoldSameSku"), "sku = advertised_sku"),
+                            (("purchasesOtherSku", "salesOtherSku", "unitsSoldOtherSku"), "sku <> advertised_sku")):
+            for name, v in zip(names, what.values()):
+                typ = "DOUBLE" if v == "sales" else "BIGINT"
+                cols.append(f"CAST(coalesce(sum({v}) FILTER (lag_us <= {n} * 86400000000 AND {cond}), 0) AS {typ}) AS {name}{n}d")
+    if ntb:
+        for name, v in zip(("newToBrandPurchases", "newToBrandSales", "newToBrandUnitsSold"), what.values()):
+            typ = "DOUBLE" if v == "sales" else "BIGINT"
+            cols.append(f"CAST(coalesce(sum({v}) FILTER (lag_us <= 14 * 86400000000 AND ntb), 0) AS {typ}) AS {name}")
+    return f"SELECT click_day, {dims}, " + ",\n  ".join(cols) + f"\nFROM {view} GROUP BY click_day, {dims}"
+
+
+CLICK_COLS = ("click_ts", "campaign_id", "campaign_name", "advertised_sku", "ad_group", "targeting", "placement")
+
+
+def _touches(spark, d, ntb: bool = False):
+    """Clicks and purchases from one filtered scan of the events."""
+    ev = fx.ad_events(spark, d).where(F.col("event_type").isin("click", "purchase"))
+    is_click = F.col("event_type") == "click"
+    both = ev.select(
+        "event_id", "user_id", "ts", "day", is_click.alias("is_click"), F.when(~is_click, F.col("brand")).alias("brand"),
+        F.when(~is_click, F.col("bought_item")).alias("sku"), F.when(~is_click, F.col("value")).alias("sales"),
+        F.when(~is_click, F.lit(1) + F.col("event_id") % 3).cast("bigint").alias("units"),
+        *[F.when(is_click, F.col(src)).alias(c) for c, src in zip(CLICK_COLS, (
+            "ts", "campaign_id", "campaign_name", "campaign_id", "ad_group", "targeting", "placement"))])
+    if not ntb:
+        return both
+    buys = r.flag_new_to_brand(both.where(~F.col("is_click")))
+    return buys.unionByName(both.where(F.col("is_click")).withColumn("ntb", F.lit(False)))
 
 
 @register("r2_attribution_windows", with_views(_attr_sums_sql(), "attributed"), "R2", "R3")
 def r2_attribution_windows(spark, d):
-    return r.attributed_sums(_attributed(spark, d))
-
-
-SP_CAMPAIGN_COLUMNS = (["date", "campaignId", "campaignName", "impressions", "clicks", "cost", "spend",
-                        "clickThroughRate", "costPerClick"]
-                       + [f"{m}{n}d" for m in ("purchases", "sales", "unitsSoldClicks", "purchasesSameSku",
-                                               "attributedSalesSameSku", "unitsSoldSameSku") for n in DAYS]
-                       + ["acosClicks14d", "roasClicks14d"])
-
-
-def _r1_sql() -> str:
-    ms = []
-    order = [f"{m}{n}d" for m in ("purchases", "sales", "unitsSoldClicks", "purchasesSameSku",
-                                  "attributedSalesSameSku", "unitsSoldSameSku") for n in DAYS]
-    for c in order:
-        typ = "DOUBLE" if "ales" in c else "BIGINT"
-        ms.append(f"CAST(coalesce(sum(a.{c}), 0) AS {typ}) AS {c}")
-    body = f"""
-SELECT k.date AS date, k.campaign_id AS campaignId, n.campaign_name AS campaignName,
-  CAST(coalesce(sum(t.impressions), 0) AS BIGINT) AS impressions, CAST(coalesce(sum(t.clicks), 0) AS BIGINT) AS clicks,
-  CAST(coalesce(sum(t.cost), 0) AS DOUBLE) AS cost, CAST(coalesce(sum(t.cost), 0) AS DOUBLE) AS spend,
-  CASE WHEN coalesce(sum(t.impressions), 0) = 0 THEN NULL
-       ELSE CAST(coalesce(sum(t.clicks), 0) AS DOUBLE) / CAST(sum(t.impressions) AS DOUBLE) END AS clickThroughRate,
-  CASE WHEN coalesce(sum(t.clicks), 0) = 0 THEN NULL
-       ELSE CAST(coalesce(sum(t.cost), 0) AS DOUBLE) / CAST(sum(t.clicks) AS DOUBLE) END AS costPerClick,
-  {", ".join(ms)},
-  CASE WHEN coalesce(sum(a.sales14d), 0) = 0 THEN NULL
-       ELSE CAST(coalesce(sum(t.cost), 0) AS DOUBLE) / CAST(sum(a.sales14d) AS DOUBLE) END AS acosClicks14d,
-  CASE WHEN coalesce(sum(t.cost), 0) = 0 THEN NULL
-       ELSE CAST(coalesce(sum(a.sales14d), 0) AS DOUBLE) / CAST(sum(t.cost) AS DOUBLE) END AS roasClicks14d
-FROM keys k
-LEFT JOIN tr t ON t.date = k.date AND t.campaign_id = k.campaign_id
-LEFT JOIN asums a ON a.click_day = k.date AND a.campaign_id = k.campaign_id
-LEFT JOIN names n ON n.campaign_id = k.campaign_id
-GROUP BY 1, 2, 3"""
+    return r.attributed_sums(r.attribute(_touches(spark, d), CLICK_COLS))
+
+
+# ---------------------------------------------------------------------------
+# Declared reports.  Columns of the specs that the events can give; budgets, statuses, bids, reading
+# royalties, cart, list and search measures have no source here.
+
+WINDOWED = [f"{m}{n}d" for m in ("purchases", "sales", "unitsSoldClicks", "purchasesSameSku", "attributedSalesSameSku",
+                                 "unitsSoldSameSku") for n in DAYS]
+OTHER = [f"{m}{n}d" for m in ("purchasesOtherSku", "salesOtherSku", "unitsSoldOtherSku") for n in DAYS]
+COST = ["impressions", "clicks", "cost", "spend", "clickThroughRate", "costPerClick"]
+RATIOS = ["acosClicks7d", "acosClicks14d", "roasClicks7d", "roasClicks14d"]
+VIDEO = ["videoFirstQuartileViews", "videoMidpointViews", "videoThirdQuartileViews", "videoCompleteViews",
+         "video5SecondViews", "video5SecondViewRate", "viewabilityRate"]
+BRAND = [m + s for m in ("newToBrandPurchases", "newToBrandSales", "newToBrandUnitsSold") for s in ("", "Clicks", "Percentage")]
+SPECS = {
+    "r1_sp_campaigns_report": (["campaigns"], ["date", "campaignId", "campaignName", *COST, *WINDOWED, "acosClicks14d", "roasClicks14d"]),
+    "r1_sp_advertised_product": (["advertiser"], ["date", "campaignId", "campaignName", "adGroupName", "advertisedAsin",
+                                 "advertisedSku", *COST, *WINDOWED, "salesOtherSku7d", "unitsSoldOtherSku7d", *RATIOS]),
+    "r1_sp_purchased_product": (["asin"], ["date", "campaignId", "campaignName", "adGroupName", "advertisedAsin", "advertisedSku",
+                                "keyword", "purchasedAsin", *[c for c in WINDOWED if c.startswith(("purchases1", "purchases7",
+                                "purchases3", "sales", "unitsSoldClicks"))], *OTHER]),
+    "r1_sp_targeting": (["targeting"], ["date", "campaignId", "campaignName", "adGroupName", "targeting", "keyword", *COST, *WINDOWED,
+                        "salesOtherSku7d", "unitsSoldOtherSku7d", *RATIOS]),
+    "r1_sb_ad_group": (["adGroup"], ["date", "campaignId", "campaignName", "adGroupName", "impressions", "clicks", "cost", *VIDEO, *BRAND,
+                       "newToBrandPurchasesRate", "purchases", "purchasesClicks", "purchasesPromoted", "sales", "salesClicks",
+                       "salesPromoted", "unitsSold", "unitsSoldClicks"]),
+    "r1_sb_placement": (["campaignPlacement"], ["date", "campaignId", "campaignName", "placementClassification", "impressions", "clicks",
+                        "cost", "clickThroughRate", *VIDEO, "purchases", "sales", "unitsSold"]),
+}
+VIEWABLE_AT, FIVE_SECONDS_AT = 10, 20  # percent of the ad: half a second and five seconds of a 25-second ad, roughly
+# the same names as SQL: dimension of a column, and the measures that are not plain sums
+_DIM = {"campaignId": "campaign_id", "campaignName": "campaign_name", "adGroupName": "ad_group", "targeting": "targeting",
+        "keyword": "targeting", "placementClassification": "placement", "advertisedAsin": "advertised_sku",
+        "advertisedSku": "advertised_sku", "purchasedAsin": "sku"}
+
+
+def _ratio(a: str, b: str, times: str = "") -> str:
+    return f"CASE WHEN coalesce(sum({b}), 0) = 0 THEN NULL ELSE CAST(coalesce(sum({a}), 0) AS DOUBLE){times} / CAST(sum({b}) AS DOUBLE) END"
+
+
+def _column_sql(c: str) -> str:
+    ratios = {"clickThroughRate": ("clicks", "impressions"), "costPerClick": ("cost", "clicks"),
+              "viewabilityRate": ("viewable", "impressions"), "video5SecondViewRate": ("video5SecondViews", "impressions"),
+              "newToBrandPurchasesRate": ("newToBrandPurchases", "impressions")}
+    ratios |= {f"acosClicks{n}d": ("cost", f"sales{n}d") for n in DAYS} | {f"roasClicks{n}d": (f"sales{n}d", "cost") for n in DAYS}
+    if c in ratios:
+        return _ratio(*ratios[c])
+    if c.endswith("Percentage"):
+        m = c.removesuffix("Percentage")
+        base = {"newToBrandPurchases": "purchases14d", "newToBrandSales": "sales14d", "newToBrandUnitsSold": "unitsSoldClicks14d"}[m]
+        return _ratio(m, base, " * 100.0")
+    same = {"spend": "cost", "purchases": "purchases14d", "purchasesClicks": "purchases14d", "purchasesPromoted": "purchasesSameSku14d",
+            "sales": "sales14d", "salesClicks": "sales14d", "salesPromoted": "attributedSalesSameSku14d",
+            "unitsSold": "unitsSoldClicks14d", "unitsSoldClicks": "unitsSoldClicks14d",
+            **{f"{m}Clicks": m for m in ("newToBrandPurchases", "newToBrandSales", "newToBrandUnitsSold")}}
+    typ = "DOUBLE" if "ales" in c or c in ("cost", "spend") else "BIGINT"
+    return f"CAST(coalesce(sum({same.get(c, c)}), 0) AS {typ})"
+
+
+def _spec_sql(group_by, columns) -> str:
+    dims = list(dict.fromkeys(x for g in group_by for x in r.GRAINS[g]))
+    names = ", ".join(dims)
+    traffic_dims = ", ".join({"advertised_sku": "campaign_id AS advertised_sku", "sku": "NULL AS sku"}.get(x, x) for x in dims)
+    steps = ", ".join(f"CAST(event_type <> 'purchase' AND progress >= {at} AS INTEGER) AS {m}" for m, at in r.FUNNEL_STEPS.items())
     extra = {
-        "tr": """SELECT day AS date, campaign_id, count(*) FILTER (WHERE event_type IN ('view', 'click')) AS impressions,
-                   count(*) FILTER (WHERE event_type = 'click') AS clicks,
-                   sum(CASE WHEN event_type = 'click' THEN value END) AS cost
-                 FROM ad_events GROUP BY 1, 2""",
-        "asums": _attr_sums_sql(),
-        "keys": "SELECT date, campaign_id FROM tr UNION SELECT click_day, campaign_id FROM asums",
-        "names": "SELECT DISTINCT campaign_id, campaign_name FROM ad_events",
+        "bought": """SELECT p.*, user_id IS NOT NULL AND ts = min(ts) OVER (PARTITION BY user_id, brand) AS ntb FROM ad_purchases p""",
+        "credited": """SELECT a.*, b.ntb, n.campaign_name FROM attributed a JOIN bought b USING (event_id)
+          JOIN (SELECT DISTINCT campaign_id, campaign_name FROM ad_events) n ON n.campaign_id = a.campaign_id""",
+        "won": _attr_sums_sql(names, "credited", ntb=True),
+        "shown": f"""SELECT day AS date, {traffic_dims}, 1 AS impressions, CAST(event_type = 'click' AS INTEGER) AS clicks,
+          CASE WHEN event_type = 'click' THEN value ELSE 0 END AS cost, {steps},
+          CAST(progress >= {VIEWABLE_AT} AS INTEGER) AS viewable, CAST(progress >= {FIVE_SECONDS_AT} AS INTEGER) AS video5SecondViews
+        FROM ad_events WHERE event_type IN ('view', 'click')""" + (" AND false" if "sku" in dims else ""),
+        # a day and campaign of other events alone has a row of zeros too
+        "quiet": f"SELECT DISTINCT day AS date, {traffic_dims} FROM ad_events" + (" WHERE false" if "sku" in dims else ""),
+        "facts": f"SELECT * FROM quiet UNION ALL BY NAME SELECT * FROM shown UNION ALL BY NAME SELECT click_day AS date, * EXCLUDE (click_day) FROM won",
     }
-    return with_views(body, "ad_events", "attributed", extra=extra)
+    cols = ", ".join(f"date" if c == "date" else f"{_DIM[c]} AS {c}" if c in _DIM else f"{_column_sql(c)} AS {c}" for c in columns)
+    return with_views(f"SELECT {cols} FROM facts GROUP BY date, {names}", "ad_events", "ad_purchases", "attributed", extra=extra)
+
+
+def _declared(name):
+    group_by, columns = SPECS[name]
 
+    def run(spark, d):
+        ev = fx.ad_events(spark, d).withColumn("advertised_sku", F.col("campaign_id"))
+        spec = r.ReportSpec(group_by=group_by, columns=columns)
+        facts = r.ad_facts(ev, r.attribute(_touches(spark, d, ntb=True), CLICK_COLS), spec.dims(), VIEWABLE_AT, FIVE_SECONDS_AT)
+        return r.run_report(facts, spec)
+    run.__name__ = name
+    return run
 
-@register("r1_sp_campaigns_report", _r1_sql(), "R1", "R4")
-def r1_sp_campaigns_report(spark, d):
-    ev = fx.ad_events(spark, d)
-    attributed = r.attribute(fx.ad_purchases(ev), fx.ad_clicks(ev))
-    facts = r.ad_facts(ev, attributed)
-    names = (fx.table(spark, d, "part")
-             .where((F.col("p_partkey") > -fx.N_CAMPAIGNS) & (F.col("p_partkey") < fx.N_CAMPAIGNS))
-             .select(F.col("p_partkey").alias("campaign_id"),
-                     F.concat(F.lit("cmp "), F.col("p_name")).alias("campaign_name")))
-    spec = r.ReportSpec(group_by=["campaignId"], columns=SP_CAMPAIGN_COLUMNS)
-    return r.run_report(facts, spec, dims_table=names)
+
+for _name, (_group, _columns) in SPECS.items():
+    register(_name, _spec_sql(_group, _columns), "R1", "R4", *(["R3"] if "product" in _name else []))(_declared(_name))
 
 
 @register("r5_new_to_brand", with_views("""
@@ -103,7 +158,8 @@ SELECT day, campaign_id, count(*) AS purchases, count(*) FILTER (WHERE ntb) AS n
   count(*) FILTER (WHERE ntb) * 100.0 / count(*) AS newToBrandPurchasesPercentage,
   CAST(sum(CASE WHEN ntb THEN sales END) AS DOUBLE) * 100.0 / CAST(sum(sales) AS DOUBLE) AS newToBrandSalesPercentage,
   CAST(sum(CASE WHEN ntb THEN units END) AS DOUBLE) * 100.0 / CAST(sum(units) AS DOUBLE) AS newToBrandUnitsSoldPercentage
-FROM (SELECT p.*, p.sku AS campaign_id, p.ts = min(p.ts) OVER (PARTITION BY user_id, brand) AS ntb FROM ad_purchases p)
+FROM (SELECT p.*, p.sku AS campaign_id,
+        user_id IS NOT NULL AND p.ts = min(p.ts) OVER (PARTITION BY user_id, brand) AS ntb FROM ad_purchases p)
 GROUP BY 1, 2""", "ad_purchases"), "R5")
 def r5_new_to_brand(spark, d):
     p = fx.ad_purchases(fx.ad_events(spark, d)).withColumn("campaign_id", F.col("sku"))
@@ -117,8 +173,8 @@ SELECT *, CASE WHEN impressions = 0 THEN NULL ELSE viewableImpressions / impress
   CASE WHEN impressions = 0 THEN NULL ELSE video5SecondViews / impressions END AS video5SecondViewRate,
   CASE WHEN viewableImpressions = 0 THEN NULL ELSE CAST(clicks AS DOUBLE) / viewableImpressions END AS viewClickThroughRate
 FROM (SELECT day, campaign_id, count(*) AS impressions, {steps},
-        count(*) FILTER (WHERE progress >= {r.VIEWABLE_AT}) AS viewableImpressions,
-        count(*) FILTER (WHERE progress >= {r.FIVE_SECONDS_AT}) AS video5SecondViews,
+        count(*) FILTER (WHERE progress >= {VIEWABLE_AT}) AS viewableImpressions,
+        count(*) FILTER (WHERE progress >= {FIVE_SECONDS_AT}) AS video5SecondViews,
         count(*) FILTER (WHERE event_type = 'click') AS clicks
       FROM ad_events WHERE event_type IN ('view', 'click') GROUP BY 1, 2)""", "ad_events")
 
@@ -126,14 +182,14 @@ FROM (SELECT day, campaign_id, count(*) AS impressions, {steps},
 @register("r6_view_funnel", _funnel_sql(), "R6")
 def r6_view_funnel(spark, d):
     ev = fx.ad_events(spark, d).where(F.col("event_type").isin("view", "click"))
-    return r.view_funnel(ev)
+    return r.view_funnel(ev, VIEWABLE_AT, FIVE_SECONDS_AT)
 
 
 @register("r7_cumulative_reach", with_views("""
 SELECT d.campaign_id, d.day, d.impressions,
   (SELECT count(DISTINCT user_id) FROM imp i WHERE i.campaign_id = d.campaign_id AND i.day <= d.day) AS cumulativeReach,
   CAST((SELECT count(*) FROM imp i WHERE i.campaign_id = d.campaign_id AND i.day <= d.day) AS DOUBLE)
-   / (SELECT count(DISTINCT user_id) FROM imp i WHERE i.campaign_id = d.campaign_id AND i.day <= d.day)
+   / nullif((SELECT count(DISTINCT user_id) FROM imp i WHERE i.campaign_id = d.campaign_id AND i.day <= d.day), 0)
    AS impressionsFrequencyAverage
 FROM d""", "ad_events", extra={
     "imp": "SELECT campaign_id, day, user_id FROM ad_events WHERE event_type IN ('view', 'click')",
@@ -182,6 +238,37 @@ def r9_market_insight(spark, d):
     return r.market_insight(s, MARKET_DIMS)
 
 
+DAY_DIMS = {"entity_brand_name": "p_brand", "department": "p_type", "classified_code": "l_returnflag", "super_category": "c_mktsegment",
+            "category": "l_linestatus", "sub_category": "n_name"}
+
+
+@register("r9_market_insight_daily", f"""
+WITH s AS (SELECT CAST(l_shipdate AS DATE) AS period, {", ".join(f"{src} AS {c}" for c, src in DAY_DIMS.items())},
+             CAST(l_extendedprice AS DECIMAL(18,2)) AS value, CAST(l_quantity AS BIGINT) AS units
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+             JOIN nation ON c_nationkey = n_nationkey LEFT JOIN part ON l_partkey = p_partkey AND p_partkey % 11 <> 0),
+g AS (SELECT * EXCLUDE (value, units), sum(value) AS dv, CAST(sum(units) AS BIGINT) AS u FROM s GROUP BY ALL)
+SELECT g.period, {", ".join("g." + c for c in DAY_DIMS)}, CAST(g.dv AS DOUBLE) AS dollar_volume, CAST(g.u AS DOUBLE) AS units,
+  CAST(y.dv AS DOUBLE) AS dollar_volume_yago, CAST(y.u AS DOUBLE) AS units_yago,
+  CASE WHEN y.dv IS NULL OR y.dv = 0 THEN NULL ELSE (CAST(g.dv AS DOUBLE) - CAST(y.dv AS DOUBLE)) / CAST(y.dv AS DOUBLE) END
+    AS dollar_volume_yago_change,
+  CASE WHEN y.u IS NULL OR y.u = 0 THEN NULL ELSE (CAST(g.u AS DOUBLE) - CAST(y.u AS DOUBLE)) / CAST(y.u AS DOUBLE) END
+    AS units_yago_change,
+  CAST(g.dv AS DOUBLE) / CAST(sum(g.dv) OVER (PARTITION BY g.period) AS DOUBLE) AS dollar_volume_share
+FROM g LEFT JOIN g y ON y.period = CAST(g.period - INTERVAL 12 MONTH AS DATE)
+  AND {" AND ".join(f"y.{c} IS NOT DISTINCT FROM g.{c}" for c in DAY_DIMS)}""", "R9")
+def r9_market_insight_daily(spark, d):
+    # every eleventh part is not in the catalog: its brand and department are NULL
+    p = fx.table(spark, d, "part").where(F.col("p_partkey") % 11 != 0).select("p_partkey", "p_brand", "p_type")
+    s = (fx.table(spark, d, "lineitem").join(fx.table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(fx.table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+         .join(fx.table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+         .select(F.col("l_shipdate").cast("date").alias("period"), *[F.col(src).alias(c) for c, src in DAY_DIMS.items()],
+                 F.col("l_extendedprice").cast("decimal(18,2)").alias("value"), F.col("l_quantity").cast("bigint").alias("units")))
+    return r.market_insight(s, list(DAY_DIMS))
+
+
 @register("r11_repeat_purchase", """
 WITH l AS (SELECT CAST(CAST(l_shipdate AS DATE) - CAST((dayofweek(l_shipdate) + 1) % 7 AS INTEGER) AS DATE) AS period,
              l_partkey AS item, o_custkey AS customer, l_orderkey, CAST(l_extendedprice AS DECIMAL(18,2)) AS revenue
@@ -205,7 +292,7 @@ def r11_repeat_purchase(spark, d):
 
 
 @register("r12_search_term_ranks", """
-WITH g AS (SELECT p_name AS searchTerm, l_partkey AS clickedAsin, count(*) AS clicks,
+WITH g AS (SELECT CASE WHEN p_partkey % 40 <> 0 THEN p_name END AS searchTerm, l_partkey AS clickedAsin, count(*) AS clicks,
              count(*) FILTER (WHERE l_returnflag <> 'R') AS conv
            FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
 t AS (SELECT searchTerm, sum(clicks) AS tc, sum(conv) AS tv FROM g GROUP BY 1),
@@ -214,39 +301,31 @@ SELECT g.searchTerm, g.clickedAsin, tr.searchFrequencyRank,
   CAST(rank() OVER (PARTITION BY g.searchTerm ORDER BY g.clicks DESC) AS INTEGER) AS clickShareRank,
   CAST(g.clicks AS DOUBLE) / CAST(tr.tc AS DOUBLE) AS clickShare,
   CASE WHEN tr.tv = 0 THEN NULL ELSE CAST(g.conv AS DOUBLE) / CAST(tr.tv AS DOUBLE) END AS conversionShare
-FROM g JOIN tr ON g.searchTerm = tr.searchTerm""", "R12")
+FROM g JOIN tr ON g.searchTerm IS NOT DISTINCT FROM tr.searchTerm""", "R12")
 def r12_search_term_ranks(spark, d):
     li = fx.table(spark, d, "lineitem")
     p = fx.table(spark, d, "part").select("p_partkey", "p_name")
     c = li.join(p, li.l_partkey == p.p_partkey).select(
-        F.col("p_name").alias("searchTerm"), F.col("l_partkey").alias("clickedAsin"),
+        F.when(F.col("p_partkey") % 40 != 0, F.col("p_name")).alias("searchTerm"), F.col("l_partkey").alias("clickedAsin"),
         (F.col("l_returnflag") != "R").alias("converted"))
     return r.search_term_ranks(c)
 
 
 @register("r13_item_day_facts", """
-WITH d AS (SELECT l_partkey AS item, CAST(l_shipdate AS DATE) AS day, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS orderedUnits,
+WITH d AS (SELECT CASE WHEN l_partkey % 50 <> 0 THEN l_partkey END AS item, CAST(l_shipdate AS DATE) AS day, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS orderedUnits,
              sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS rev,
              sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(18,2)) - CAST(l_discount AS DECIMAL(18,2)))) AS cogs
            FROM lineitem GROUP BY 1, 2),
-r AS (SELECT item, CAST(orderedUnits AS DECIMAL(20,0)) AS v,
-             row_number() OVER (PARTITION BY item ORDER BY orderedUnits) AS rn,
-             count(*) OVER (PARTITION BY item) AS n FROM d),
-q AS (SELECT item, """ + ",\n  ".join(
-    f"CAST(max(CASE WHEN rn = floor((n - 1) * {p}) + 1 THEN v END) + (coalesce("
-    f"max(CASE WHEN rn = floor((n - 1) * {p}) + 2 THEN v END), max(CASE WHEN rn = floor((n - 1) * {p}) + 1 THEN v END))"
-    f" - max(CASE WHEN rn = floor((n - 1) * {p}) + 1 THEN v END)) * max((n - 1) * {p} - floor((n - 1) * {p}))"
-    f" AS DOUBLE) AS {name}"
-    for name, p in (("P70", "CAST(0.7 AS DECIMAL(6,4))"), ("P80", "CAST(0.8 AS DECIMAL(6,4))"),
-                    ("P90", "CAST(0.9 AS DECIMAL(6,4))"))) + """
-      FROM r GROUP BY 1)
+q AS (SELECT item, """ + ", ".join(f"round(quantile_cont(CAST(orderedUnits AS DOUBLE), {p}), 6) AS {n}" for n, p in r.QUANTILES.items()) + """
+      FROM d GROUP BY item)
 SELECT d.item, d.day, d.orderedUnits, CAST(d.rev AS DOUBLE) AS orderedRevenue, CAST(d.cogs AS DOUBLE) AS shippedCogs,
   CASE WHEN d.rev = 0 THEN NULL ELSE CAST(d.rev - d.cogs AS DOUBLE) / CAST(d.rev AS DOUBLE) END AS netPpm, P70, P80, P90
-FROM d JOIN q ON d.item = q.item""", "R13")
+FROM d JOIN q ON d.item IS NOT DISTINCT FROM q.item""", "R13")
 def r13_item_day_facts(spark, d):
     li = fx.table(spark, d, "lineitem")
     rev = F.col("l_extendedprice").cast("decimal(18,2)")
-    lines = li.select(F.col("l_partkey").alias("item"), F.col("l_shipdate").cast("date").alias("day"),
+    lines = li.select(F.when(F.col("l_partkey") % 50 != 0, F.col("l_partkey")).alias("item"),
+                      F.col("l_shipdate").cast("date").alias("day"),
                       F.col("l_quantity").cast("bigint").alias("units"), rev.alias("revenue"),
                       (rev * (F.lit(1).cast("decimal(18,2)") - F.col("l_discount").cast("decimal(18,2)"))).alias("cogs"))
     return r.item_day_facts(lines, "item", "day")

@@ -125,10 +125,10 @@ def s12_classify_payload(spark, d):
 
 
 @register("f5_upper_trim_columns", f"""
-SELECT c_custkey AS C_CUSTKEY, c_name AS C_NAME, c_mktsegment AS C_MKTSEGMENT FROM customer""", "F5", "F16")
+SELECT c_custkey AS C_CUSTKEY, c_name AS C_NAME, c_mktsegment AS SEGMENT FROM customer""", "F5", "F16")
 def f5_upper_trim_columns(spark, d):
     c = fx.table(spark, d, "customer").select("c_custkey", F.col("c_name").alias(" c_name "), "c_mktsegment")
-    c = nz.rename_columns(c, {"not_there": "x"})
+    c = nz.rename_columns(c, {"c_mktsegment": "segment", "not_there": "x"})
     return nz.upper_columns(c, trim=True)
 
 

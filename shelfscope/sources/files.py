@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.setops import append_all
 from ..schemas import SEARCH_TERMS_FIELDS
 
 FILE_COL = "file_name"
@@ -22,10 +23,6 @@ POS_COL = "pos"
 DATED_NAME = r"_([^_/]+?)\.(?:csv|parquet|orc|json|gz|xlsx)(?:/|$)"
 
 
-def _with_file(df: DataFrame) -> DataFrame:
-    return df.withColumn(FILE_COL, F.col("_metadata.file_name"))
-
-
 def read_report_json(spark: SparkSession, path: str | Sequence[str], key: str | None = None,
                      schema: StructType | None = None, multi_line: bool = True) -> DataFrame:
     """Report documents (``.json`` or ``.json.gz``).  With ``key`` the
@@ -46,40 +43,66 @@ def read_report_orc(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     return spark.read.orc(path if isinstance(path, str) else list(path))
 
 
-def read_report_csv(spark: SparkSession, path: str | Sequence[str], skiprows: int = 0,
-                    schema: StructType | str | None = None, keep_position: bool = False) -> DataFrame:
-    """S3: CSV report with a header.  ``skiprows`` leading lines (before the
-    header) are dropped.  The header line is read first (a few lines of the
-    first file's first block, on the driver); data files are then read whole
-    (``multiLine``: one split per file, lines in order) with an all-string
-    schema of those names, numbered within their file, and the first
-    ``skiprows + 1`` lines dropped.  ``keep_position`` adds the file name and
-    the 1-based data-row position."""
-    paths = [path] if isinstance(path, str) else list(path)
-    if skiprows == 0 and not keep_position:
-        r = spark.read.option("header", True)
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
-        return r.csv(paths)
-    if schema is None:
-        schema = _csv_header_schema(spark, paths[0], skiprows)
-    raw = (spark.read.schema(schema).option("header", False).option("multiLine", True).csv(paths)
-           .withColumns({FILE_COL: F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
-    out = (numbered(raw, "__path").where(F.col(POS_COL) > skiprows + 1)
-           .withColumn(POS_COL, F.col(POS_COL) - (skiprows + 1)).drop("__path"))
-    return out if keep_position else out.drop(FILE_COL, POS_COL)
-
-
-def _csv_header_schema(spark: SparkSession, path: str, skiprows: int) -> str:
+def header_groups(spark: SparkSession, paths: str | Sequence[str], lines: int = 1) -> dict[tuple[str, ...], list[str]]:
+    """The first ``lines`` lines of every file -> the files that have them.
+
+    Landed files need not share a layout, and Spark names all columns of one
+    read after one header; so files are grouped by their own header and read
+    group by group.  One pass over the text, an aggregate with one row per file; the
+    result (paths and headers) is metadata."""
+    raw = (spark.read.text(paths if isinstance(paths, str) else list(paths))
+           .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+                   F.monotonically_increasing_id().alias("n")).where("at = 0"))
+    # the line numbers of a file's first block grow from the block's smallest
+    first = raw.groupBy("path").agg(F.min("n").alias("first"))
+    head = (raw.join(first, "path").where(F.col("n") < F.col("first") + lines)
+            .groupBy("path").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("head")))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in head.collect():
+        out.setdefault(tuple(h.value for h in r["head"]), []).append(r.path)
+    return {k: sorted(v) for k, v in sorted(out.items())}
+
+
+def _names(line: str) -> list[str]:
     import csv
-    lines = (spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
-             .withColumn("__id", F.monotonically_increasing_id()).orderBy("__id")
-             .limit(skiprows + 1).collect())
-    if len(lines) <= skiprows:
-        raise ValueError(f"no header line in {path}")
-    names = next(csv.reader([lines[skiprows].value]))
+    return next(csv.reader([line]), [])
+
+
+def _text_schema(names: Sequence[str]) -> str:
     return ", ".join(f"`{n.replace('`', '``')}` STRING" for n in names)
 
 
+def read_report_csv(spark: SparkSession, path: str | Sequence[str], skiprows: int = 0,
+                    schema: StructType | str | None = None, keep_position: bool = False,
+                    path_col: str | None = None) -> DataFrame:
+    """S3: CSV report with a header.  ``skiprows`` leading lines (before the
+    header) are dropped.  Every file is read under its own header (files of
+    one layout in one read) and the layouts are stacked by name.  With
+    ``skiprows`` or ``keep_position`` (adds the file name and the 1-based
+    data-row position; ``path_col`` also the whole path) files are read whole,
+    lines in order (``multiLine``)."""
+    if schema is not None and skiprows == 0 and not keep_position:
+        return spark.read.option("header", True).schema(schema).csv([path] if isinstance(path, str) else list(path))
+    groups = header_groups(spark, path, skiprows + 1)
+    parts = []
+    for head, files in groups.items():
+        if len(head) <= skiprows:
+            raise ValueError(f"no header line in {files[0]}")
+        names = schema or _text_schema(_names(head[skiprows]))
+        if skiprows == 0 and not keep_position:
+            parts.append(spark.read.schema(names).option("header", True).csv(files))
+            continue
+        raw = (spark.read.schema(names).option("header", False).option("multiLine", True).csv(files)
+               .withColumns({FILE_COL: F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
+        parts.append(numbered(raw, "__path").where(F.col(POS_COL) > skiprows + 1)
+                     .withColumn(POS_COL, F.col(POS_COL) - (skiprows + 1)).withColumnRenamed("__path", path_col or "__path"))
+    if not parts:
+        raise FileNotFoundError(f"no rows under {path}")
+    out = append_all(parts, allow_missing=True)
+    out = out if path_col else out.drop("__path")
+    return out if keep_position or skiprows == 0 else out.drop(FILE_COL, POS_COL)
+
+
 def numbered(df: DataFrame, file_key: str = FILE_COL) -> DataFrame:
     """1-based row position within each source file (``file_key``: a column
     naming the file; use the full path when names can repeat across folders).
@@ -133,12 +156,20 @@ def latest_file(spark: SparkSession, prefix: str, glob: str | None = None) -> Da
         "path", F.regexp_extract(F.col("path"), DATED_NAME, 1).alias("file_date"))
 
 
-def read_all(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv", **options) -> DataFrame:
-    """Every file of a table in one read, the file name as a column."""
-    r = spark.read.format(fmt)
-    for k, v in {"header": True, **options}.items() if fmt == "csv" else options.items():
-        r = r.option(k, v)
-    return _with_file(r.load(paths if isinstance(paths, str) else list(paths)))
+def read_all(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv", path_col: str | None = None, **options) -> DataFrame:
+    """Every file of a table, the file name as a column (``path_col``: the
+    whole path too).  CSV files are read under their own headers and stacked
+    by name (a column that a file lacks is NULL there)."""
+    extra = {path_col: F.col("_metadata.file_path")} if path_col else {}
+    where = paths if isinstance(paths, str) else list(paths)
+    if fmt != "csv" or str(options.get("header", True)).lower() == "false":
+        return spark.read.format(fmt).options(**options).load(where).withColumns({FILE_COL: F.col("_metadata.file_name"), **extra})
+    parts = [spark.read.options(**{**options, "header": True}).schema(_text_schema(_names(head[0]))).csv(files)
+             .withColumns({FILE_COL: F.col("_metadata.file_name"), **extra})
+             for head, files in header_groups(spark, where).items()]
+    if not parts:
+        raise FileNotFoundError(f"no rows under {paths}")
+    return append_all(parts, allow_missing=True)
 
 
 def dated_files(spark: SparkSession, prefix: str, fmt: str = "dd.MM.yy", glob: str | None = None) -> DataFrame:
@@ -150,16 +181,21 @@ def dated_files(spark: SparkSession, prefix: str, fmt: str = "dd.MM.yy", glob: s
     return ls.select("path", d.alias("file_date"))
 
 
-def read_latest_dated(spark: SparkSession, prefix: str, fmt: str = "dd.MM.yy", reader: str = "csv",
-                      glob: str | None = None, **options) -> DataFrame:
-    """Only the files whose name carries the latest date.  The file list
-    is planned first (a listing on the driver -- metadata sized) so other
-    files are never opened."""
+def latest_dated_paths(spark: SparkSession, prefix: str, fmt: str = "dd.MM.yy", glob: str | None = None):
+    """The latest date among the file names and the files that carry it (a
+    listing: no file is opened; the list is metadata)."""
     files = dated_files(spark, prefix, fmt, glob)
     latest = files.agg(F.max("file_date")).first()[0]
     paths = [r.path for r in files.where(F.col("file_date") == latest).select("path").collect()]
     if not paths:
         raise FileNotFoundError(f"no dated files under {prefix}")
+    return latest, sorted(paths)
+
+
+def read_latest_dated(spark: SparkSession, prefix: str, fmt: str = "dd.MM.yy", reader: str = "csv",
+                      glob: str | None = None, **options) -> DataFrame:
+    """Only the files whose name carries the latest date, each under its own header."""
+    latest, paths = latest_dated_paths(spark, prefix, fmt, glob)
     return read_all(spark, paths, reader, **options).withColumn("file_date", F.lit(latest))
 
 
@@ -185,25 +221,31 @@ def landed_dates(spark: SparkSession, prefix: str, exts: Sequence[str] = ("csv",
             .select(F.regexp_extract(F.col("path"), DATED_NAME, 1).alias("landed_date")).distinct())
 
 
+def landed_names(spark: SparkSession, prefix: str, exts: Sequence[str] = ("csv", "parquet", "xlsx")) -> DataFrame:
+    """S11, second form: the names (without suffix) of all files of a table,
+    spreadsheets included; a folder that Spark wrote counts as its file."""
+    name = F.regexp_extract(F.col("path"), r"([^/]+)\.(?:" + "|".join(exts) + r")(?:/[^/]*)?$", 1)
+    return listing(spark, prefix).select(name.alias("name")).where("name <> ''").distinct()
+
+
 def read_two_row_header_csv(spark: SparkSession, paths: str | Sequence[str], n_fixed: int = 7,
-                            footer: int = 2, drop_last: bool = True) -> DataFrame:
+                            footer: int = 2, drop_last: bool = True) -> list[DataFrame]:
     """C4 + C5 on landed sell-out files: the first ``n_fixed`` columns are
     named by the second header row, the rest by the first; the second header
     row, the last ``footer`` rows of every file and (optionally) the last
-    column are dropped.  The second header row is read once on the driver
-    (one row, metadata sized); file positions come from ``numbered`` and are
-    kept (``file_name``, ``pos``) for keep-first rules downstream."""
+    column are dropped.  One DataFrame for each pair of header rows that occurs, since
+    files name their own dates; positions (``file_name``, ``pos``) are kept for
+    keep-first rules downstream."""
     from ..functions.cleaning import skip_footer
-    raw = (spark.read.option("header", True).option("multiLine", True)
-           .csv(paths if isinstance(paths, str) else list(paths))
-           .withColumns({FILE_COL: F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
-    x = numbered(raw, "__path")
-    data_cols = [c for c in raw.columns if c not in (FILE_COL, "__path")]
-    hdr = x.where(F.col(POS_COL) == 1).select(*[F.col(f"`{c}`") for c in data_cols]).limit(1).collect()
-    if not hdr:
-        raise ValueError("no second header row")
-    header_row = {c: str(v) for c, v in zip(data_cols, hdr[0]) if v is not None}
-    body = skip_footer(x.where(F.col(POS_COL) > 1), POS_COL, "__path", footer)
-    cols = data_cols[:-1] if drop_last else data_cols
-    names = [header_row.get(c, c) if i < n_fixed else c for i, c in enumerate(cols)]
-    return body.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(cols, names)], FILE_COL, POS_COL)
+    out = []
+    for head, files in header_groups(spark, paths, 2).items():
+        if len(head) < 2:
+            raise ValueError(f"no second header row in {files[0]}")
+        first, second = _names(head[0]), _names(head[1])
+        last = len(first) - 1 if drop_last else len(first)
+        names = [(second[i] if i < n_fixed and i < len(second) and second[i] else first[i]) for i in range(last)]
+        raw = (spark.read.schema(_text_schema([f"c{i}" for i in range(len(first))])).option("header", False).option("multiLine", True)
+               .csv(files).withColumns({FILE_COL: F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
+        body = skip_footer(numbered(raw, "__path").where(F.col(POS_COL) > 2), POS_COL, "__path", footer)
+        out.append(body.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], FILE_COL, POS_COL))
+    return out

@@ -83,6 +83,22 @@ def test_header_rows_and_footer(spark):
                                 (5, "f", "sum", "s")], "pos int, file_name string, PZN string, v string")
     body = cl.skip_embedded_header(cl.skip_footer(df, "pos", "file_name", 2), "PZN")
     assert [r.PZN for r in body.orderBy("pos").collect()] == ["1", "2"]
-    hdr = cl.promote_header(spark.createDataFrame([("a", "b", "c")], "c0 string, c1 string, last string"),
-                            {"c0": "PZN", "c1": "Name"}, n_fixed=2)
-    assert hdr.columns == ["PZN", "Name"]
+
+
+def test_embedded_header_row_names_the_columns(spark):
+    df = spark.createDataFrame([(1, "a", "PZN", "Menge"), (2, "a", "1", "5"), (1, "b", "7", "x"), (2, "b", "8", "y")],
+                               "pos int, file_name string, c0 string, c1 string")
+    out = cl.promote_embedded_header(df, "file_name", "pos")
+    rows = {(r.file_name, r.pos, r.c0, r.c1, r.PZN, r.Menge) for r in out.collect()}
+    assert rows == {("a", 1, None, None, "1", "5"), ("b", 1, "7", "x", None, None), ("b", 2, "8", "y", None, None)}
+
+
+def test_null_ids_and_lenient_numbers(spark):
+    df = spark.createDataFrame([(1, "f", None), (2, "f", "x"), (3, "f", "x"), (4, "f", None)], "pos int, file_name string, id string")
+    out = cl.suffix_duplicate_ids(df, "id", "pos", file_col="file_name")
+    assert sorted((r.pos, r.id) for r in out.collect()) == [(1, None), (2, "x-1"), (3, "x-2"), (4, None)]
+    df = spark.createDataFrame([("2024",), ("nan",), ("NaN",), ("5d",), (" 7 ",), ("1e2",), (None,), ("",)], "y string")
+    assert [r.y for r in cl.require_numeric(df, "y").collect()] == [2024.0, 7.0, 100.0]
+    wide = spark.createDataFrame([("a", "1", "n/a")], "id string, d1 string, d2 string")
+    assert {r.Value for r in cl.unpivot_dates(wide, ["id"]).collect()} == {"1", "n/a"}
+    assert {r.Value for r in cl.unpivot_dates(wide, ["id"], lenient=True).collect()} == {1.0, None}

@@ -127,7 +127,7 @@ def test_report_sinks_k1_k3_k6(spark, tmp_dir):
 
 
 def test_sellout_file_two_header_rows_and_footer(spark, tmp_dir):
-    from shelfscope.plans.flat_files import sellout_long
+    from shelfscope.plans.flat_files import sellout_files_long
     path = os.path.join(tmp_dir, "sellout_01.02.24.csv")
     with open(path, "w") as f:
         f.write("A,B,C,D,E,F,G,2024-01-01,2024-01-02,Total\n")
@@ -137,10 +137,10 @@ def test_sellout_file_two_header_rows_and_footer(spark, tmp_dir):
         f.write("2,ibu,maker,tab,20,2.0,1.6,,3,3\n")
         f.write("Sum,,,,,,,12,17,29\n")
         f.write("generated by export,,,,,,,,,\n")
-    df = src.read_two_row_header_csv(spark, path)
+    [df] = src.read_two_row_header_csv(spark, path)
     assert df.columns[:7] == ["PZN", "Name", "Hersteller", "Form", "Pack", "AVP", "AEP"]
     assert "Total" not in df.columns
-    long = sellout_long(df, ["PZN", "Name", "Hersteller", "Form", "Pack", "AVP", "AEP"])
+    long = sellout_files_long([df])
     got = sorted((r.PZN, r.Date, r.Value) for r in long.collect())
     assert got == [("1", "2024-01-01", 5.0), ("1", "2024-01-02", 6.0),
                    ("2", "2024-01-01", None), ("2", "2024-01-02", 3.0)]
@@ -214,3 +214,38 @@ def test_search_terms_projection_from_document(spark, tmp_dir):
     assert df.columns == SEARCH_TERMS_FIELDS
     rows = sorted((r.searchTerm, r.searchFrequencyRank, r.clickShare) for r in df.collect())
     assert rows == [("allergy", 3, 0.25), ("cold", 9, 0.1)]
+
+
+def test_files_of_different_layouts(spark, tmp_dir):
+    """Every file is read under its own header; the archive keeps values under their names."""
+    import pytest
+    files = {"t_2024-01-01.csv": "A,B\n1,2\n", "t_2024-01-02.csv": "B,A\n20,10\n", "t_2024-01-03.csv": "A,B,C\n100,200,300\n"}
+    for name, text in files.items():
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    paths = [os.path.join(tmp_dir, n) for n in files]
+    want = {("1", "2", None), ("10", "20", None), ("100", "200", "300")}
+    assert {(r.A, r.B, r.C) for r in src.read_all(spark, paths).collect()} == want
+    out = os.path.join(tmp_dir, "processed")
+    assert sinks.archive_csv(spark, paths, out, delete_source=False) == 3
+    assert sinks.archive_csv(spark, paths, out) == 3  # a repeated run replaces, it does not add
+    assert not any(os.path.exists(p) for p in paths)
+    assert {(r.A, r.B, r.C) for r in spark.read.parquet(out).collect()} == want
+    clash = [os.path.join(tmp_dir, x, "same_1.csv") for x in "ab"]
+    for p in clash:
+        os.makedirs(os.path.dirname(p))
+        with open(p, "w") as f:
+            f.write("A\n1\n")
+    with pytest.raises(ValueError):
+        sinks.archive_csv(spark, clash, out)
+
+
+def test_one_large_date_is_written_by_many_tasks(spark, tmp_dir):
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        df = spark.range(400_000).selectExpr("date'2024-01-01' AS day", "id", "uuid() AS v")
+        root = sinks.write_by_date(df, os.path.join(tmp_dir, "o"), "day", fmt="parquet")
+        assert len([f for f in os.listdir(os.path.join(root, "day=2024-01-01")) if f.endswith(".parquet")]) > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
