@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import importable, through_table
+from .common import importable, partitions, through_table
 from .components import connected_components
 
 SEED = 42
@@ -79,22 +79,32 @@ def with_fingerprint(docs: DataFrame, shingle: int = 3, text: str = "text", name
 
 
 def _variants(batches):
-    """(variant key, fingerprint) of every distinct fingerprint."""
+    """(variant, rest) for every distinct fingerprint: the variant has the left-out
+    block's bits at zero; rest holds those 16 bits, the flipped bit's number (0:
+    none) and the block, so that the two give the fingerprint back."""
     import pyarrow as pa
-    flips = {}
+    flips = []
     for b in range(BITS // BLOCK):
-        mask = np.uint64((1 << 64) - 1) ^ np.uint64(0xFFFF << (16 * b))
         out = [i for i in range(BITS) if i // BLOCK != b]
-        flips[b] = (mask, np.array([0] + [1 << i for i in out], dtype=np.uint64))
+        flips.append((np.uint64((1 << 64) - 1) ^ np.uint64(0xFFFF << (16 * b)), np.uint64(16 * b),
+                      np.array([0] + [1 << i for i in out], dtype=np.uint64),
+                      (np.array([0] + [i + 1 for i in out], dtype=np.uint32) << np.uint32(16)) | np.uint32(b << 23)))
     for batch in batches:
         fps = batch.column(0).to_numpy().astype(np.int64).view(np.uint64)
         for lo in range(0, len(fps), 4096):
             f = fps[lo:lo + 4096]
-            for b, (mask, flip) in flips.items():
-                keys = (((f & mask)[:, None] ^ flip[None, :]) | np.uint64(b << (16 * b))).ravel()
-                own = np.repeat(f, len(flip))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), b, np.int8)),
-                                                  pa.array(own.view(np.int64))], names=["key", "block", "fp"])
+            for mask, shift, flip, code in flips:
+                keys = ((f & mask)[:, None] ^ flip[None, :]).ravel()
+                left = ((f >> shift) & np.uint64(0xFFFF)).astype(np.uint32)
+                rest = (left[:, None] | code[None, :]).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(rest.view(np.int32))], names=["key", "rest"])
+
+
+def _fingerprints(key: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    key, rest = key.view(np.uint64), rest.view(np.uint32).astype(np.uint64)
+    bit = (rest >> np.uint64(16)) & np.uint64(0x7F)
+    flip = np.where(bit > 0, np.uint64(1) << ((bit - np.uint64(1)) & np.uint64(63)), np.uint64(0))
+    return (key ^ flip) | ((rest & np.uint64(0xFFFF)) << ((rest >> np.uint64(23)) * np.uint64(16)))
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -122,11 +132,12 @@ class _Forest:
 
 def _links(radius: int):
     def run(batches):
-        """Rows come sorted by (block, key).  Yields (fingerprint, root) of the
+        """Rows come sorted by key (chance collisions between blocks are
+        verified like any other).  Yields (fingerprint, root) of the
         forest that the verified collisions of this partition span."""
         import pyarrow as pa
         forest = _Forest()
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def pairs(group: np.ndarray) -> None:
             group = np.unique(group)
@@ -139,8 +150,8 @@ def _links(radius: int):
                             if x[lo + a] != y[b]:
                                 forest.join(int(x[lo + a]), int(y[b]))
 
-        def work(block, key, fp):
-            new = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1
+        def work(key, fp):
+            new = np.flatnonzero(key[1:] != key[:-1]) + 1
             starts = np.concatenate(([0], new))
             sizes = np.diff(np.concatenate((starts, [len(key)])))
             two = starts[sizes == 2]
@@ -152,19 +163,19 @@ def _links(radius: int):
                 pairs(fp[s:s + n])
 
         for batch in batches:
-            block, key, fp = (batch.column(i).to_numpy() for i in range(3))
-            fp = fp.view(np.uint64)
+            key, rest = (batch.column(i).to_numpy() for i in range(2))
             if not len(key):
                 continue
+            fp = _fingerprints(key, rest)
             if held:
-                block, key, fp = (np.concatenate(x) for x in zip(*held, (block, key, fp)))
+                key, fp = (np.concatenate(x) for x in zip(*held, (key, fp)))
                 held = []
             # the last bucket may go on in the next batch
-            last = np.flatnonzero((key != key[-1]) | (block != block[-1]))
+            last = np.flatnonzero(key != key[-1])
             cut = int(last[-1]) + 1 if len(last) else 0
             if cut:
-                work(block[:cut], key[:cut], fp[:cut])
-            held = [(block[cut:], key[cut:], fp[cut:])]
+                work(key[:cut], fp[:cut])
+            held = [(key[cut:], fp[cut:])]
         if held:
             work(*held[0])
         nodes = np.array(list(forest.up), dtype=np.uint64)
@@ -180,8 +191,9 @@ def fingerprint_links(fps: DataFrame, radius: int = 3) -> DataFrame:
     if not 0 <= radius <= 3:
         raise ValueError("four blocks and one flip a side cover at most 3 differing bits")
     importable(fps.sparkSession)
-    variants = fps.select("fp").mapInArrow(_variants, "key long, block byte, fp long")
-    return (variants.repartition("key").sortWithinPartitions("block", "key")
+    # 196 rows come of each: spread them evenly first
+    variants = fps.select("fp").repartition(partitions(fps.sparkSession)).mapInArrow(_variants, "key long, rest int")
+    return (variants.repartition("key").sortWithinPartitions("key")
             .mapInArrow(_links(radius), "u long, v long"))
 
 
