@@ -40,5 +40,13 @@ def through_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

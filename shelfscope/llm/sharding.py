@@ -18,7 +18,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,15 +87,16 @@ def _clock(name: Column, weight: Column, key: Column) -> Column:
 
 def _number(batches):
     """Numbers rows within (this partition, shard) in stream order."""
+    import pyarrow as pa
     seen: dict[int, int] = {}
-    for pdf in batches:
-        shard = pdf["shard"].to_numpy()
-        local = np.zeros(len(pdf), dtype=np.int64)
+    for batch in batches:
+        shard = batch.column(batch.schema.get_field_index("shard")).to_numpy(zero_copy_only=False)
+        local = np.zeros(len(shard), dtype=np.int64)
         for s in np.unique(shard):
             at = np.flatnonzero(shard == s)
             local[at] = seen.get(int(s), 0) + np.arange(len(at))
             seen[int(s)] = seen.get(int(s), 0) + len(at)
-        yield pdf.assign(local=local)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(local)], names=[*batch.schema.names, "local"])
 
 
 def shard_rows(docs: DataFrame, root: Node, grown: Node | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -115,7 +115,7 @@ def shard_rows(docs: DataFrame, root: Node, grown: Node | None = None, key: str
                        (draw(grown, k) if grown else F.lit(None)).cast("int").alias("grown_shard"),
                        F.spark_partition_id().alias("part"))
     # written once, so that counts and numbers see the same partitions
-    rows = through_table(rows.mapInPandas(_number, _numbered(rows)), "shard-rows")
+    rows = through_table(rows.mapInArrow(_number, _numbered(rows)), "shard-rows")
     counts = rows.groupBy("part", "shard").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     lift = counts.select("part", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lift"))

@@ -109,6 +109,7 @@ def encoder(path: str, end: int) -> Encoder:
 
 def _writer(path: str, end: int):
     def run(batches):
+        import pyarrow as pa
         file_no, enc = TaskContext.get().partitionId(), encoder(path, end)
         ids, pieces = [], []           # of blocks not yet written
         waiting, row, start, block_no = 0, 0, 0, 0
@@ -137,11 +138,13 @@ def _writer(path: str, end: int):
                 rest["n"] = np.diff(np.concatenate(([whole], ends[first:])))
             pieces = [tuple(p) for p in rest]
             waiting = len(flat) - whole
-            return pd.DataFrame(out, columns=["file_no", "block_no", "frame"])
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
+                                               pa.array([x[2] for x in out], pa.binary())], names=["file_no", "block_no", "frame"])
 
-        for pdf in batches:
-            texts, docs = pdf["text"].tolist(), pdf["doc"]
-            null, docs = docs.isna().to_numpy(), docs.fillna(0).to_numpy(np.int64)
+        for batch in batches:
+            docs, texts = batch.column(0), batch.column(1).to_pylist()
+            null = docs.is_null().to_numpy(zero_copy_only=False)
+            docs = docs.fill_null(0).to_numpy(zero_copy_only=False)
             i = 0
             while i < len(texts):
                 j, size = i, 0
@@ -169,12 +172,12 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end: int = END
     apart; an empty table writes no frames.
     """
     importable(docs.sparkSession)
-    rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("text"))
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text"))
     order = [F.col("doc").asc_nulls_first(), F.xxhash64("text")]
     # the row number spreads a key that repeats over more than one file
     (rows.withColumn("n", F.monotonically_increasing_id())
      .repartitionByRange(partitions(docs.sparkSession), *order, "n").sortWithinPartitions(*order, "n").drop("n")
-     .mapInPandas(_writer(tokenizer, end), "file_no int, block_no int, frame binary").write.parquet(path))
+     .mapInArrow(_writer(tokenizer, end), "file_no int, block_no int, frame binary").write.parquet(path))
 
 
 def _reader(batches):
