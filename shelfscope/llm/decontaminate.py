@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import importable
+from .common import fresh, importable
 
 BLOCK_WORDS = 2_000_000
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -244,11 +244,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_span: int
             out.append((not words or n <= max_coverage * len(words), remove(t, spans) if spans else t))
         return pd.DataFrame(out, columns=["keep", "text"])
 
-    out = docs.withColumn("_cut", cut(F.col(f"`{text}`"))).where("_cut.keep")
-    new = {text: F.col("_cut.text")}
+    made = fresh(docs, "_cut")
+    out = docs.withColumn(made, cut(F.col(f"`{text}`"))).where(F.col(made)["keep"])
+    new = {text: F.col(made)["text"]}
     if "n_chars" in cols:
-        same = F.col("_cut.text").eqNullSafe(F.col(f"`{text}`"))
-        new["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length("_cut.text")).cast(docs.schema["n_chars"].dataType)
+        same = F.col(made)["text"].eqNullSafe(F.col(f"`{text}`"))
+        new["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length(F.col(made)["text"])).cast(docs.schema["n_chars"].dataType)
     return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in cols])
 
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import importable
+from .common import fresh, importable
 
 POSITIVES, UNLABELLED = 8_000, 12_000
 PAIRS = 512
@@ -192,6 +192,6 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that the classifier rejects."""
-    name = "_quality_score"
+    name = fresh(docs, "_quality_score")
     return with_score(docs, fit(docs, labels), name=name).where(F.col(name) >= threshold).select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import importable, partitions, through_table
+from .common import fresh, importable, partitions, through_table
 from .components import connected_components
 
 SEED = 42
@@ -230,7 +230,7 @@ def query(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with exactly one row of each group: the one with the smallest key
     (null keys last; of equal keys the first in the table).  Columns are kept."""
-    fp, row = "_simhash_fp", "_simhash_row"
+    fp, row = fresh(docs, "_simhash_fp"), fresh(docs, "_simhash_row")
     rows = through_table(with_fingerprint(docs, shingle, text, fp).withColumn(row, F.monotonically_increasing_id()), "simhash")
     first = F.min(F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("k"), F.col(row).alias("row")))
     per_fp = rows.groupBy(F.col(fp).alias("fp")).agg(first.alias("first"))

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -77,7 +79,7 @@ def judge(urls: DataFrame, rules=RULES, default: str = "allow", url_col: str = "
         T.StructField("rule", T.StringType()), T.StructField("size", T.IntegerType()),
         T.StructField("regex", T.StringType()), T.StructField("tokens", T.ArrayType(T.StringType()))]))
 
-    one = (urls.select(F.col(url_col).alias("_url")).where("_url is not null").distinct()
+    one = (urls.select(F.col(f"`{url_col}`").alias("_url")).where("_url is not null").distinct()
            .withColumn("_at", F.concat(host_of(F.col("_url")), path_of(F.col("_url")))))
     # '' is a token of every URL: rules without a literal token are always candidates
     tokens = one.select("_url", "_at", F.explode(F.array_distinct(F.split("_at", "[^A-Za-z0-9]+"))).alias("token"))
@@ -96,10 +98,12 @@ def judge(urls: DataFrame, rules=RULES, default: str = "allow", url_col: str = "
             .select("_url", "best.rule", "best.action"))
     keep = [c for c in urls.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     rows_ = urls.select(*[F.col(f"`{c}`") for c in keep])
-    out = rows_.join(best, F.col(f"`{url_col}`") == F.col("_url"), "left")
-    return out.select(*[F.col(f"`{c}`") for c in keep], host_of(F.col(url_col)).alias("host"),
-                      path_of(F.col(url_col)).alias("path"), "rule",
-                      F.coalesce("action", F.lit(default)).alias("verdict"))
+    key, rule, action = (fresh(rows_, c) for c in ("_url", "_rule", "_action"))
+    best = best.select(F.col("_url").alias(key), F.col("rule").alias(rule), F.col("action").alias(action))
+    out = rows_.join(best, F.col(f"`{url_col}`") == F.col(key), "left")
+    return out.select(*[F.col(f"`{c}`") for c in keep], host_of(F.col(f"`{url_col}`")).alias("host"),
+                      path_of(F.col(f"`{url_col}`")).alias("path"), F.col(rule).alias("rule"),
+                      F.coalesce(F.col(action), F.lit(default)).alias("verdict"))
 
 
 def query(pages: DataFrame) -> DataFrame:
