@@ -196,8 +196,8 @@ def _reader(batches):
                                        codec.zlib.crc32(raw[4 * at:4 * (at + k)]))):
                     c.append(v)
                 at += k
-        out = pd.DataFrame(dict(zip(("file_no", "row", "doc", "start", "n", "crc"), cols)))
-        return out.assign(doc=out["doc"].astype("Int64"))
+        cols[2] = pd.array(cols[2], dtype="Int64")  # nulls without a detour over doubles
+        return pd.DataFrame(dict(zip(("file_no", "row", "doc", "start", "n", "crc"), cols)))
 
     held: list = []
     for pdf in batches:

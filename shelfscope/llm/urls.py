@@ -50,7 +50,7 @@ def path_of(url: Column) -> Column:
 
 def rule_regex(rule: Rule) -> str:
     quote = lambda s: re.sub(r"([^A-Za-z0-9/_-])", r"\\\1", s)
-    return rf"(?s)^(?:[^/]*\.)?{quote(rule.host)}{quote(rule.path)}" + ("" if rule.path else "(?:$|/)")
+    return rf"(?s)^(?:[^/]*\.)?{quote(rule.host)}{quote(rule.path)}" + ("" if rule.path else r"(?:\z|/)")
 
 
 def rule_tokens(rule: Rule) -> list[str]:
