@@ -39,17 +39,6 @@ def flatten_structs(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*_flat_cols(df.schema, [], sep))
 
 
-def first_elem_flat(df: DataFrame, col: str, prefix: str, keep: Sequence[str] = ("asin",)) -> DataFrame:
-    """element 0 of an array of structs, flattened under ``prefix.``.
-    ``get`` gives NULL for an empty/NULL array instead of failing."""
-    g = df.select(*[q(k) for k in keep], F.get(q(col), 0).alias("__g"))
-    return _first_elem(g, g.schema["__g"].dataType, prefix, keep)
-
-
-def _first_elem(g: DataFrame, st: StructType, prefix: str, keep: Sequence[str]) -> DataFrame:
-    return g.select(*[q(k) for k in keep], *_walk(st, F.col("__g"), [prefix]))
-
-
 def _walk(st: StructType, base: Column, path: list[str]) -> list[Column]:
     cols: list[Column] = []
     for f in st.fields:

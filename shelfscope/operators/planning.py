@@ -60,8 +60,8 @@ def backfill_count(last: str | Column, start: str | Column, period: str = DAY) -
 
 
 def missing_dates(wanted: DataFrame, landed: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
-    """P5 (J7): wanted minus landed, by key and date."""
-    return wanted.join(landed, [*keys, date], "left_anti")
+    """P5 (J7): wanted minus landed, by key and date, in ascending order."""
+    return wanted.join(landed, [*keys, date], "left_anti").orderBy(*keys, date)
 
 
 def period_window(date: str | Column, period: str = DAY) -> tuple[Column, Column]:

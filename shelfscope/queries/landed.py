@@ -95,6 +95,37 @@ def k3_upload_with_data_date(spark, d):
     return src.read_report_csv(spark, path).select("customer", "name")
 
 
+@register("r14_star_from_feeds", """
+SELECT n_name AS store_nation, p_type AS item_type, p_brand AS brand, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sales, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+GROUP BY 1, 2, 3, 4""", "R14", "K1")
+def r14_star_from_feeds(spark, d):
+    """One incremental feed (sales by month, a second load replaces the months it
+    carries) and three snapshots (items, products, stores), landed and joined."""
+    from ..plans import reports as r
+    root = _scratch(spark, "omni")
+    li = fx.table(spark, d, "lineitem").select(
+        "l_partkey", "l_suppkey", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"), F.col("l_quantity").cast("bigint").alias("qty"))
+    last = F.col("month") >= "1998-01-01"
+    sinks.write_by_date(li.where(~last).unionByName(li.where(last).limit(5)), root + "/sales", "month", fmt="parquet")
+    sinks.write_by_date(li.where(last), root + "/sales", "month", fmt="parquet")
+    part = fx.table(spark, d, "part")
+    snapshots = {"items": part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("item_type")),
+                 "products": part.select(F.col("p_partkey").alias("product"), F.col("p_brand").alias("brand")),
+                 "stores": fx.table(spark, d, "supplier").join(fx.table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+                 .select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("store_nation"))}
+    for name, df in snapshots.items():
+        for load in (df.limit(3), df):  # a snapshot replaces the one before
+            load.write.mode("overwrite").parquet(f"{root}/{name}")
+    items, products, stores = (spark.read.parquet(f"{root}/{x}") for x in snapshots)
+    items = items.join(products, F.col("l_partkey") == F.col("product")).drop("product")
+    out = r.omni_star(spark.read.parquet(root + "/sales"), items, stores, "l_partkey", "l_suppkey",
+                      ["store_nation", "item_type", "brand", "month"], {"sales": "price", "units": "qty"})
+    return out.withColumn("sales", F.col("sales").cast("double"))
+
+
 @register("s5_table_by_name", "SELECT p_partkey, p_name FROM part", "S5")
 def s5_table_by_name(spark, d):
     name = "landed_" + _scratch(spark, "t").rsplit("-", 1)[1]

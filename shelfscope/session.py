@@ -7,7 +7,8 @@ caller.  ``local_session`` is only for tests, the bench and ad-hoc runs.
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -78,6 +79,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="shelfscope-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
