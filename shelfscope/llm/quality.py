@@ -91,19 +91,30 @@ def _sigmoid(z):
 def train(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.02, l2: float = 1e-4) -> Model:
     """Non-negative risk by Adam over the whole sample; where the bracket is negative, its gradient is turned
     around, as the non-negative estimator asks for."""
-    both = np.concatenate([pos, unl]).astype(np.float64)
-    mean, scale = both.mean(0), both.std(0) + 0.02
-    p, u = (pos - mean) / scale, (unl - mean) / scale
-    p, u = np.clip(p, -8, 8), np.clip(u, -8, 8)
+    n = len(pos) + len(unl)
+    mean = (pos.sum(0, dtype=np.float64) + unl.sum(0, dtype=np.float64)) / n
+    square = np.zeros(pos.shape[1])
+    for x in (pos, unl):  # in pieces: the driver holds each sample once more, in single precision
+        for i in range(0, len(x), 1024):
+            square += ((x[i:i + 1024] - mean) ** 2).sum(0)
+    scale = np.sqrt(square / n) + 0.02
+
+    def standard(x):
+        out = (x - mean.astype(np.float32)).astype(np.float32)
+        out /= scale.astype(np.float32)
+        return np.clip(out, -8, 8, out=out)
+
+    p, u = standard(pos), standard(unl)
     w, b = np.zeros(p.shape[1]), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        zp, zu = p @ w + b, u @ w + b
+        w32 = w.astype(np.float32)
+        zp, zu = (p @ w32).astype(np.float64) + b, (u @ w32).astype(np.float64) + b
         sp, su = _sigmoid(zp), _sigmoid(zu)
         bracket = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        minus_w = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
+        minus_w = (su.astype(np.float32) @ u).astype(np.float64) / len(u) - prior * (sp.astype(np.float32) @ p) / len(p)
         minus_b = su.mean() - prior * sp.mean()
-        plus_w, plus_b = prior * (p.T @ (sp - 1)) / len(p), prior * (sp - 1).mean()
+        plus_w, plus_b = prior * ((sp - 1).astype(np.float32) @ p).astype(np.float64) / len(p), prior * (sp - 1).mean()
         gw, gb = (plus_w + minus_w, plus_b + minus_b) if bracket >= 0 else (-minus_w, -minus_b)
         gw = gw + l2 * w
         m, v = 0.9 * m + 0.1 * gw, 0.999 * v + 0.001 * gw * gw
@@ -162,7 +173,10 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     got = rows.select(F.coalesce("p", F.lit(False)).alias("p"), F.coalesce("u", F.lit(False)).alias("u"), feats("t").alias("x"),
                       F.xxhash64("_k", "t").alias("h")).toPandas().sort_values("h", kind="stable")
     x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(-1, DIM)
-    pos, unl = x[got["p"].to_numpy(bool)], x[got["u"].to_numpy(bool)]
+    is_pos, is_unl = got["p"].to_numpy(bool), got["u"].to_numpy(bool)
+    del got
+    pos, unl = x[is_pos], x[is_unl]
+    del x
     if not len(pos) or not len(unl):
         return Model(np.zeros(DIM), np.zeros(DIM), np.ones(DIM), 0.0, 0.5)
     return train(pos, unl, estimate_prior(pos, unl))
