@@ -238,10 +238,16 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_span: int
     def cut(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in texts:
-            words = words_of(t)
-            spans = merge([s for one in shared for s in one.value.scan(words)[0] if s[1] - s[0] >= min_span])
-            n = sum(b - a for a, b in spans)
-            out.append((not words or n <= max_coverage * len(words), remove(t, spans) if spans else t))
+            total, cut_words = None, 0
+            while True:  # the words around a cut become neighbours: look again
+                words = words_of(t)
+                total = len(words) if total is None else total
+                spans = merge([s for one in shared for s in one.value.scan(words)[0] if s[1] - s[0] >= min_span])
+                if not spans:
+                    break
+                cut_words += sum(b - a for a, b in spans)
+                t = remove(t, spans)
+            out.append((not total or cut_words <= max_coverage * total, t))
         return pd.DataFrame(out, columns=["keep", "text"])
 
     made = fresh(docs, "_cut")
