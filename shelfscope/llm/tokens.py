@@ -31,9 +31,10 @@ from ..session import scratch_path
 from . import codec
 from .common import importable, partitions
 
-CACHE_WORDS = 300_000        # a worker's memory of encoded words
+CACHE_WORDS = 800_000        # a worker's memory of encoded words: about 200 bytes each
 PART = 1 << 21               # characters encoded at once
 END = 2
+_TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _ODD = re.compile("[\x00\x1c-\x1f]|<\\|")
 
 
@@ -60,7 +61,21 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
+        """Put the ids of new words into the cache.  Marks behind a word's last
+        letter or digit are tokens of their own, so a word is learnt as its
+        core and its tail, which most new words share with others."""
+        whole, ask = [], set()
+        for w in new:
+            core = w.rstrip(_TAIL)
+            if core and len(core) < len(w) and core[-1].isalnum() and core[-1] < "\u0100":
+                whole.append((w, core, w[len(core):]))
+                ask.add(core)
+                ask.add(w[len(core):])
+            else:
+                ask.add(w)
+        ask.difference_update(self.words)
+        words = sorted(ask)
         for i in range(0, len(words), 20_000):
             part = words[i:i + 20_000]
             got = self.tok.encode_batch_fast([" \x00 ".join(part)], add_special_tokens=False)[0].ids
@@ -70,6 +85,7 @@ class Encoder:
                 raise ValueError("the separator is part of a word")
             raw, cuts = ids.tobytes(), [-1, *at.tolist(), len(ids)]
             self.words.update((w, raw[2 * a + 2:2 * b]) for w, a, b in zip(part, cuts, cuts[1:]))
+        self.words.update((w, self.words[core] + self.words[tail]) for w, core, tail in whole)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian 16-bit numbers."""
@@ -90,7 +106,7 @@ class Encoder:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
         new = set(chain.from_iterable(w for _, w in plain)).difference(self.words)
-        self._learn(sorted(new))
+        self._learn(new)
         get = self.words.__getitem__
         for i, w in plain:
             out[i] = b"".join(map(get, w)) + self.end
@@ -212,7 +228,10 @@ def _reader(batches):
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Per document: doc, start (ids of all documents before it), n_tokens, ids_crc32."""
     importable(spark)
-    pieces = spark.read.schema("file_no int, block_no int, frame binary").parquet(path).select("file_no", "frame").mapInPandas(
+    frames = spark.read.schema("file_no int, block_no int, frame binary").parquet(path).select("file_no", "frame")
+    # decoding advances up to LANES blocks at once: tasks of about as many (the count comes from the files' footers)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-frames.count() // codec.LANES))
+    pieces = frames.coalesce(tasks).mapInPandas(
         _reader, "file_no int, row long, doc long, start long, n long, crc long")
 
     @F.pandas_udf("long")
