@@ -3,7 +3,8 @@
 Texts fall into units at spaces (the model's pieces hold a space mark in front
 only) and at characters that no piece holds, such as line ends.  Distinct
 units are encoded once, in batches: units of equal length advance together,
-character by character.  Rolling hashes of all substrings probe the sorted hashes of
+character by character; a unit is first cut between characters that stand side
+by side in no piece, since no piece can reach across, so units share their parts.  Rolling hashes of all substrings probe the sorted hashes of
 the pieces of that length (hits are compared in full); at every position the candidates are
 scored and the best one is stored as a backpointer.
 
@@ -21,20 +22,23 @@ tie, go through the library.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import importable
 
 SPACE = "▁"
-CACHE_UNITS = 300_000
+CACHE_UNITS = 700_000  # units and parts of units that a worker remembers, about 200 bytes each
 BATCH = 8192          # units that advance together
 PART = 1 << 21        # characters cut into units at once
 _P = np.uint64(0x9E3779B97F4A7C15)
 _NONE, _START = -9, -2
+_CUT = 0xE000  # a private character; units that hold it are not cut
 
 
 class Pieces:
@@ -66,7 +70,9 @@ class Pieces:
         self.longest = max(map(len, self.text))
         self._merges()
         self._hashes()
-        self.units: dict[str, bytes] = {}
+        self._borders()
+        self.units: dict[str, bytes] = {}   # as texts hold them
+        self.parts: dict[str, bytes] = {}   # with space marks
 
     def _merges(self) -> None:
         merged = sorted((p for p in self.text if len(p) > 1), key=lambda p: -self.score[self.text[p]])
@@ -117,6 +123,26 @@ class Pieces:
             order = np.argsort(h)
             self.by_length[n] = (h[order], np.array([i for _, i in own])[order], codes[order])
 
+    def _borders(self) -> None:
+        """The pairs of characters that stand side by side in some piece."""
+        pairs = np.array(sorted({(ord(a) << 32) | ord(b) for p in self.usable for a, b in zip(p, p[1:])}), dtype=np.int64)
+        self.side_by_side = pairs
+        self.common = np.zeros((512, 512), bool)  # the same for Latin letters, as a table
+        a, b = pairs >> 32, pairs & 0xFFFFFFFF
+        low = (a < 512) & (b < 512)
+        self.common[a[low], b[low]] = True
+
+    def _parts(self, units: list[str]) -> list[list[str]]:
+        """Every unit (space marks as such, without line ends) cut where no piece reaches across."""
+        codes = np.frombuffer("\n".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        a, b = codes[:-1], codes[1:]
+        keep = self.common[np.minimum(a, 511), np.minimum(b, 511)] & (a < 512) & (b < 512)
+        rare = np.flatnonzero((a >= 512) | (b >= 512))
+        keep[rare] = np.isin((a[rare] << 32) | b[rare], self.side_by_side)
+        keep |= (a == 10) | (b == 10)
+        marked = np.insert(codes, np.flatnonzero(~keep) + 1, _CUT).astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+        return [x.split(chr(_CUT)) for x in marked.split("\n")]
+
     def _found(self, key: np.ndarray) -> np.ndarray:
         """Rank of the piece that two pieces merge into, or a rank beyond all."""
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
@@ -184,42 +210,61 @@ class Pieces:
                 best[lost, j] = best[lost, j - 1] - (0 if self.bpe else 1e6)
         if (last[:, n] == _NONE).any():
             raise ValueError("no segmentation")
-        out: list[list[int]] = [[] for _ in range(count)]
-        at, rows = np.full(count, n), np.arange(count)
+        # walk all paths back at once; a step holds the rows that are not yet at their start
+        at, rows, steps = np.full(count, n), np.arange(count), []
         while len(rows):
-            for r, piece, j in zip(rows.tolist(), last[rows, at].tolist(), at.tolist()):
-                if piece == self.size:
-                    out[r] += [self.bytes_id[x] for x in reversed(units[r][j - 1].encode("utf-8", "surrogatepass"))]
-                else:
-                    out[r].append(piece)
-            at = at - back[rows, at]
-            rows, at = rows[at > 0], at[at > 0]
-        return [np.array(x[::-1], dtype="<u2").tobytes() for x in out]
-
-    def _learn(self, new: list[str]) -> None:
-        by: dict[int, list[str]] = {}
+            steps.append((rows, last[rows, at[rows]], at[rows] - 1))
+            at[rows] -= back[rows, at[rows]]
+            rows = rows[at[rows] > 0]
+        rows, found, ends = (np.concatenate(x[::-1]) for x in zip(*steps))
+        order = np.argsort(rows, kind="stable")  # by unit; within a unit first things first
+        rows, found, ends = rows[order], found[order], ends[order]
+        cuts = np.searchsorted(rows, np.arange(count + 1)) * 2
+        raw = found.astype("<u2").tobytes()
+        out = [raw[i:j] for i, j in zip(cuts.tolist(), cuts[1:].tolist())]
+        unknown = found == self.size
+        for r in np.unique(rows[unknown]).tolist():  # unknown characters become their bytes
+            mine = slice(cuts[r] // 2, cuts[r + 1] // 2)
+            ids: list[int] = []
+            for piece, end in zip(found[mine].tolist(), ends[mine].tolist()):
+                ids += [piece] if piece < self.size else [self.bytes_id[x] for x in units[r][end].encode("utf-8", "surrogatepass")]
+            out[r] = np.array(ids, dtype="<u2").tobytes()
+        return out
+
+    def _learn(self, new: set[str]) -> None:
+        plain, whole = [], []
         for u in new:
             if u.startswith("  ") and self.bpe:
                 self.units[u] = np.array(self.library.encode(u[1:], num_threads=1), dtype="<u2").tobytes()
+            elif "\n" in u or chr(_CUT) in u:
+                whole.append((u, [u.replace(" ", SPACE)]))
             else:
-                by.setdefault(len(u), []).append(u)
+                plain.append(u)
+        if plain:
+            whole += zip(plain, self._parts([u.replace(" ", SPACE) for u in plain]))
+        by: dict[int, list[str]] = {}
+        for x in set(chain.from_iterable(p for _, p in whole)).difference(self.parts):
+            by.setdefault(len(x), []).append(x)
         for same in by.values():
-            # long units in smaller batches: a batch holds a bounded number of characters
+            # long parts in smaller batches: a batch holds a bounded number of characters
             step = max(1, min(BATCH, (1 << 20) // len(same[0])))
             for i in range(0, len(same), step):
                 part = same[i:i + step]
-                marked = [u.replace(" ", SPACE) for u in part]
-                self.units.update(zip(part, self._viterbi(marked)))
+                self.parts.update(zip(part, self._viterbi(part)))
+        get = self.parts.__getitem__
+        self.units.update((u, b"".join(map(get, p))) for u, p in whole)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each whole text; null or empty: none."""
         cut, out = [], []
         for t in texts:
             cut.append(self.cut.findall(" " + t) if t else [])
-        if len(self.units) > CACHE_UNITS:
+        if len(self.units) + len(self.parts) > CACHE_UNITS:
             self.units.clear()
+        if len(self.parts) > CACHE_UNITS // 2:
+            self.parts.clear()
         new = set().union(*cut).difference(self.units) if cut else set()
-        self._learn(sorted(new))
+        self._learn(new)
         get = self.units.__getitem__
         for units in cut:
             out.append(np.frombuffer(b"".join(map(get, units)), "<u2").astype(np.int32))
@@ -245,25 +290,47 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode_docs(docs: DataFrame, path: str, text: str = "text", name: str = "ids") -> DataFrame:
+def _encoded(path: str, column: str, check: bool):
+    """Arrow batches with the ids of a text column behind them (and, on demand,
+    whether the ids decode to the text); small batches, whatever the input's are."""
+    def run(batches):
+        import pyarrow as pa
+        p = pieces(path)
+        for batch in batches:
+            at = batch.schema.get_field_index(column)
+            i, sizes = 0, batch.column(at).is_null().to_numpy(zero_copy_only=False)
+            sizes = np.where(sizes, 0, np.diff(np.frombuffer(batch.column(at).buffers()[1], np.int32)[batch.column(at).offset:][:len(batch) + 1])) \
+                if pa.types.is_string(batch.schema.field(at).type) else np.full(len(batch), 4096)
+            while i < batch.num_rows:
+                j, size = i, 0
+                while j < batch.num_rows and (size < PART or j == i):
+                    size += int(sizes[j])
+                    j += 1
+                part = batch.slice(i, j - i)
+                texts = part.column(at).to_pylist()
+                ids = p.encode(texts)
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                columns = [*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))]
+                if check:
+                    columns.append(pa.array([p.decode(x) == (t or "") for x, t in zip(ids, texts)]))
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "made_ids", *["made_check"] * check])
+                i = j
+    return run
+
+
+def encode_docs(docs: DataFrame, path: str, text: str = "text", name: str = "ids", check: str | None = None) -> DataFrame:
     """Adds the ids (array<int>) of each whole text; null and empty texts have none.
-    Columns are kept; one named ``name`` is replaced."""
+    Columns are kept; one named ``name`` is replaced.  ``check`` names a column that tells
+    whether the ids decode to the text (a null text counts as an empty one)."""
     importable(docs.sparkSession)
-
-    @F.pandas_udf("array<int>")
-    def run(texts: pd.Series) -> pd.Series:
-        p, out, all_ = pieces(path), [], texts.tolist()
-        i = 0
-        while i < len(all_):
-            j, size = i, 0
-            while j < len(all_) and (size < PART or j == i):
-                size += len(all_[j] or "")
-                j += 1
-            out += p.encode(all_[i:j])
-            i = j
-        return pd.Series(out, dtype=object)
-
-    return docs.withColumn(name, run(F.col(f"`{text}`")))
+    keep = [c for c in docs.columns if c.lower() not in (name.lower(), (check or name).lower())]
+    if len({c.lower() for c in [*keep, text]}) > len(keep):
+        raise ValueError("the text column would be replaced")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep])
+    schema = T.StructType([*rows.schema.fields, T.StructField("made_ids", T.ArrayType(T.IntegerType())),
+                           *[T.StructField("made_check", T.BooleanType())] * bool(check)])
+    out = rows.mapInArrow(_encoded(path, text, bool(check)), schema)
+    return out.toDF(*keep, name, *[check] * bool(check))
 
 
 def decode_docs(rows: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -279,7 +346,5 @@ def decode_docs(rows: DataFrame, path: str, ids: str = "ids", name: str = "decod
 
 
 def query(docs: DataFrame) -> DataFrame:
-    path = model_path()
-    rows = decode_docs(encode_docs(docs.select("doc_id", "text"), path), path)
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
-                       (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+    rows = encode_docs(docs.select("doc_id", "text"), model_path(), check="round_trip")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip")
