@@ -33,9 +33,9 @@ from pyspark.sql import types as T
 from .common import importable
 
 SPACE = "▁"
-CACHE_UNITS = 700_000  # units and parts of units that a worker remembers, about 200 bytes each
-BATCH = 8192          # units that advance together
-PART = 1 << 21        # characters cut into units at once
+CACHE_UNITS = 400_000  # units and parts of units that a worker remembers, about 200 bytes each
+BATCH = 8192           # units that advance together
+PART = 1 << 20         # characters cut into units at once
 _P = np.uint64(0x9E3779B97F4A7C15)
 _NONE, _START = -9, -2
 _CUT = 0xE000  # a private character; units that hold it are not cut
@@ -71,8 +71,7 @@ class Pieces:
         self._merges()
         self._hashes()
         self._borders()
-        self.units: dict[str, bytes] = {}   # as texts hold them
-        self.parts: dict[str, bytes] = {}   # with space marks
+        self.units: dict[str, bytes] = {}  # ids of units and of their parts
 
     def _merges(self) -> None:
         merged = sorted((p for p in self.text if len(p) > 1), key=lambda p: -self.score[self.text[p]])
@@ -125,7 +124,8 @@ class Pieces:
 
     def _borders(self) -> None:
         """The pairs of characters that stand side by side in some piece."""
-        pairs = np.array(sorted({(ord(a) << 32) | ord(b) for p in self.usable for a, b in zip(p, p[1:])}), dtype=np.int64)
+        shown = [p.replace(SPACE, " ") for p in self.usable]
+        pairs = np.array(sorted({(ord(a) << 32) | ord(b) for p in shown for a, b in zip(p, p[1:])}), dtype=np.int64)
         self.side_by_side = pairs
         self.common = np.zeros((512, 512), bool)  # the same for Latin letters, as a table
         a, b = pairs >> 32, pairs & 0xFFFFFFFF
@@ -133,7 +133,7 @@ class Pieces:
         self.common[a[low], b[low]] = True
 
     def _parts(self, units: list[str]) -> list[list[str]]:
-        """Every unit (space marks as such, without line ends) cut where no piece reaches across."""
+        """Every unit (without line ends) cut where no piece reaches across."""
         codes = np.frombuffer("\n".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         a, b = codes[:-1], codes[1:]
         keep = self.common[np.minimum(a, 511), np.minimum(b, 511)] & (a < 512) & (b < 512)
@@ -236,33 +236,31 @@ class Pieces:
         for u in new:
             if u.startswith("  ") and self.bpe:
                 self.units[u] = np.array(self.library.encode(u[1:], num_threads=1), dtype="<u2").tobytes()
-            elif "\n" in u or chr(_CUT) in u:
-                whole.append((u, [u.replace(" ", SPACE)]))
+            elif "\n" in u or SPACE in u or chr(_CUT) in u:
+                whole.append((u, [u]))
             else:
                 plain.append(u)
         if plain:
-            whole += zip(plain, self._parts([u.replace(" ", SPACE) for u in plain]))
+            whole += zip(plain, self._parts(plain))
         by: dict[int, list[str]] = {}
-        for x in set(chain.from_iterable(p for _, p in whole)).difference(self.parts):
+        for x in set(chain.from_iterable(p for _, p in whole)).difference(self.units):
             by.setdefault(len(x), []).append(x)
         for same in by.values():
             # long parts in smaller batches: a batch holds a bounded number of characters
             step = max(1, min(BATCH, (1 << 20) // len(same[0])))
             for i in range(0, len(same), step):
                 part = same[i:i + step]
-                self.parts.update(zip(part, self._viterbi(part)))
-        get = self.parts.__getitem__
-        self.units.update((u, b"".join(map(get, p))) for u, p in whole)
+                self.units.update(zip(part, self._viterbi([x.replace(" ", SPACE) for x in part])))
+        get = self.units.__getitem__
+        self.units.update((u, b"".join(map(get, p))) for u, p in whole if len(p) > 1)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each whole text; null or empty: none."""
         cut, out = [], []
         for t in texts:
             cut.append(self.cut.findall(" " + t) if t else [])
-        if len(self.units) + len(self.parts) > CACHE_UNITS:
+        if len(self.units) > CACHE_UNITS:
             self.units.clear()
-        if len(self.parts) > CACHE_UNITS // 2:
-            self.parts.clear()
         new = set().union(*cut).difference(self.units) if cut else set()
         self._learn(new)
         get = self.units.__getitem__
