@@ -40,9 +40,11 @@ notice notification outbrain overlay pagination pager paywall popup popular prom
 rail search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription taboola tags teaser toc toolbar topbar
 trending warning widget widgets""".split())
 GOOD_NAME = frozenset("article articlebody body content entry maincontent post postbody story text".split())
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>"[^"]{0,10000}"|'[^']{0,10000}'|[^>"'])*+|[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""",
-                 re.S)
-ATTR = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I | re.S)
+# A quote opens a value only behind "=", and the value ends at the next such quote, however far; a quote that the page never closes is
+# an ordinary character, so its value ends as an unquoted one does.  Nothing is read twice: only a page's last quote can lack its close.
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+{VALUE}|[^>=]++)*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
+ATTR = re.compile(rf"""([^\s/>=]++)(?:\s*+=\s*+({VALUE}))?""")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SMOOTH, SIBLING = 1.2, 0.8
 

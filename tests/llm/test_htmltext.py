@@ -53,6 +53,18 @@ def test_odd_markup():
     assert h.extract(long).count("\n") == 4999
 
 
+def test_attribute_values_of_any_length():
+    for n in (10, 9_999, 10_001, 300_000):
+        for inside in ("<nav> > ", "<script> > ", " class='ad' id='ad' > "):
+            value = inside + "x" * n + inside
+            page = f'<article data-a="{value}"><p srcdoc="{value}">{SENTENCE}</p><p data-b = "{value}" title=it\'s>{SENTENCE}</p></article>'
+            assert h.extract(page) == f"{SENTENCE}\n{SENTENCE}"
+        # a quote without its close, and quotes that open no value, are ordinary characters
+        assert h.extract(f'<article><p title="a > b" class="{"x" * n}>{SENTENCE}</p><p>{SENTENCE}</p></article>') == f"{SENTENCE}\n{SENTENCE}"
+        assert h.extract(f"<article><p title=don't>{SENTENCE}</p><p>{'word ' * n}isn't it.</p></article>").startswith(f"{SENTENCE}\nword word")
+    assert h.extract("<p a='" * 100_000 + "<p a=\"" * 100_001 + f"><article><p>{SENTENCE}</p></article>") == SENTENCE
+
+
 def test_query_rows(spark):
     rows = [(1, "u", f"<article><p>é {SENTENCE}</p></article>"), (1, "u", f"<article><p>é {SENTENCE}</p></article>"), (2, None, None), (None, "", ""), (3, "x", "<br>")]
     got = sorted((str(r.page_id), str(r.url), r.text, r.n_chars) for r in h.query(spark.createDataFrame([(*r, 1, "b") for r in rows], PAGES)).collect())
