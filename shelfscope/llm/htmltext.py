@@ -3,7 +3,7 @@
 A page is read into blocks of text (runs between block-level tags) with their
 place in the tree.  A small classifier turns each block's surroundings and
 shape into a cost: its capacity to the source (content) or to the sink
-(boilerplate).  Smoothness edges tie neighbouring blocks and blocks of the
+(boilerplate); certain boilerplate has no limit to the sink.  Smoothness edges tie neighbouring blocks and blocks of the
 same container, more strongly the closer they are in the tree.  The
 minimum cut separates content from boilerplate: sure blocks stay what they
 are, doubtful ones follow the company they keep.
@@ -46,6 +46,7 @@ VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
 TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+{VALUE}|[^>=]++)*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
 ATTR = re.compile(rf"""([^\s/>=]++)(?:\s*+=\s*+({VALUE}))?""")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+SURE = -9.0  # certain boilerplate: joined to the sink without limit, whatever its length, place and neighbours
 SMOOTH, SIBLING = 1.2, 0.8
 
 
@@ -93,6 +94,8 @@ class _Page:
         self.linked = 0
 
     def _cost(self, text: str, tag: str, bad: float, good: float) -> float:
+        if bad <= SURE:
+            return -math.inf
         words = text.count(" ") + 1
         density = min(1.0, self.linked / max(1, len(text)))
         cost = -1.2 + 0.7 * math.log(words) - 5.0 * density + good

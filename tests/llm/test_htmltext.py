@@ -65,6 +65,17 @@ def test_attribute_values_of_any_length():
     assert h.extract("<p a='" * 100_000 + "<p a=\"" * 100_001 + f"><article><p>{SENTENCE}</p></article>") == SENTENCE
 
 
+def test_certain_boilerplate_of_any_length():
+    around = f"<p>{SENTENCE}</p>" * 3
+    for words in (15, 47, 48, 50, 500, 5_000, 200_000):
+        text = "Buy " + "it now " * (words // 2) + "at once."
+        for a, b in (("<div class=ad>", "</div>"), ("<div class='notice'><p>", "</p></div>"), ("<section id=comments><article><p>", "</p></article></section>"),
+                     ("<aside><p>", "</p></aside>"), ("<div role=complementary><blockquote>", "</blockquote></div>"), ("<p hidden>", "</p>"),
+                     ("<div style='display: none'><p>", "</p></div>"), ("<form><p>", "</p></form>")):
+            for doc in ("<article>{}</article>", "<main>{}</main>", "<body><div>{}</div></body>"):
+                assert h.extract(doc.format(around + a + text + b + around)).split("\n") == [SENTENCE] * 6, (words, a, doc)
+
+
 def test_query_rows(spark):
     rows = [(1, "u", f"<article><p>é {SENTENCE}</p></article>"), (1, "u", f"<article><p>é {SENTENCE}</p></article>"), (2, None, None), (None, "", ""), (3, "x", "<br>")]
     got = sorted((str(r.page_id), str(r.url), r.text, r.n_chars) for r in h.query(spark.createDataFrame([(*r, 1, "b") for r in rows], PAGES)).collect())
