@@ -19,6 +19,7 @@ import html as _html
 import math
 import re
 from collections import deque
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,29 +47,57 @@ VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
 TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+{VALUE}|[^>=]++)*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
 ATTR = re.compile(rf"""([^\s/>=]++)(?:\s*+=\s*+({VALUE}))?""")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# names of what others wrote or what leads elsewhere: an <article> in there is a comment, an advert or a teaser
+OTHERS = frozenset("""ad ads advert adverts advertisement advertising adsense comment comments commentlist disqus outbrain popular promo promoted
+promotion recommended recommendations related replies respond sponsor sponsored taboola teaser trending""".split())
+WRAP = frozenset("col column container grid holder inner layout outer row wrap wrapper wrapping".split())
+PART = WRAP | frozenset("area bar block box button buttons cell form group icon icons item items link links list panel region section slot".split())
+COLUMNS = frozenset("content main page".split())
+WITHOUT = frozenset("backface has no not overflow with without".split())
+STATE = frozenset("active closed enabled free layout off on open page template visible".split())
 SURE = -9.0  # certain boilerplate: joined to the sink without limit, whatever its length, place and neighbours
 SMOOTH, SIBLING = 1.2, 0.8
 
 
-def _attributes(tag: str, raw: str) -> float:
-    """What an element's attributes say: negative for boilerplate."""
-    cost = 0.0
+@lru_cache(1 << 14)
+def name_kind(name: str) -> int:
+    """A class or id: 0 says nothing, 1 names a boilerplate part, 2 one of OTHERS.  The whole name, its first or its last
+    word says so, the last before words such as box or list.  "has-sidebar", "comments-open" and "content-sidebar-wrap" are of the page."""
+    words = [w.lower() for w in NAME.findall(name)]
+    if name.lower() not in BAD_NAME:
+        if not BAD_NAME.intersection(words) or words[-1] in STATE or WITHOUT.intersection(words[:-1]) or words[0] in COLUMNS and words[-1] in WRAP:
+            return 0
+        while len(words) > 1 and words[-1] in PART:
+            words.pop()
+        words = [w for w in (words[0], words[-1]) if w in BAD_NAME]
+    else:
+        words = [name.lower()]
+    return max((2 if w in OTHERS else 1 for w in words), default=0)
+
+
+def _attributes(tag: str, raw: str) -> tuple[float, int, float, bool]:
+    """What an element's attributes say: certain boilerplate, kind of a boilerplate name, content, main part of the page."""
+    bad, named, good, main = 0.0, 0, 0.0, tag == "main"
     for key, value in ATTR.findall(raw):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            cost = min(cost, -9.0)
+            bad = SURE
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            cost = min(cost, -9.0)
+            bad = SURE
         elif key == "role" and value.lower() in BAD_ROLE:
-            cost = min(cost, -9.0)
+            bad = SURE
+        elif key == "role" and value.lower() == "main":
+            main = True
         elif key in ("class", "id"):
-            for name in re.split(r"\s+", value):
+            for name in value.split():
                 words = {w.lower() for w in NAME.findall(name)} | {name.lower()}
-                if words & BAD_NAME and tag not in ("body", "html", "main", "article"):
-                    cost = min(cost, -9.0)
-                elif words & GOOD_NAME and cost >= 0:
-                    cost = max(cost, 2.0)
-    return cost
+                if not words & BAD_NAME:
+                    good = 2.0 if words & GOOD_NAME else good
+                elif tag not in ("body", "html", "main", "article"):
+                    named = max(named, name_kind(name))
+                elif words & GOOD_NAME:
+                    good = 2.0
+    return bad, 0 if main else named, good if not (bad or named) else 0.0, main
 
 
 class _Page:
@@ -77,19 +106,27 @@ class _Page:
     def __init__(self, source: str):
         self.parent, self.depth = [-1], [0]
         self.blocks: list[tuple[str, float, int]] = []
-        self.stack: list[tuple[str, int, float, float]] = [("", 0, 0.0, 0.0)]  # tag, node, worst cost around, best
+        # tag, node, worst cost around, best, kind of the worst name around, and of that within the article or main part
+        self.stack: list[tuple[str, int, float, float, int, int]] = [("", 0, 0.0, 0.0, 0, 0)]
+        self.names: list[tuple[int, int]] = []
+        self.plain = False  # the page has an article or main part with text outside all boilerplate names
         self.buffer: list[str] = []
         self.linked = 0
         self.in_link = 0
         self._read(source)
+        # A name is certain, too.  But if all articles lie in parts with boilerplate names, such a part is the page's layout:
+        # there only names within the article count, and those of OTHERS.
+        self.blocks = [(text, -math.inf if names[not self.plain] else cost, node) for (text, cost, node), names in zip(self.blocks, self.names)]
 
     def _end_block(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             if text:
-                tag, node, bad, good = self.stack[-1]
+                tag, node, bad, good, named, within = self.stack[-1]
                 near = next((t for t, *_ in reversed(self.stack) if t in BLOCK), "")
                 self.blocks.append((text, self._cost(text, near, bad, good), node))
+                self.names.append((named, within))
+                self.plain |= good >= 3.0 and bad > SURE and not named
             self.buffer = []
         self.linked = 0
 
@@ -117,21 +154,25 @@ class _Page:
                 self.linked += len(text.strip())
 
     def _open(self, tag: str, raw: str) -> None:
-        _, node, bad, good = self.stack[-1]
-        cost = _attributes(tag, raw) if raw else 0.0
+        _, node, bad, good, named, within = self.stack[-1]
+        sure, name, content, main = _attributes(tag, raw)
+        if main:
+            named = within = 0
+        elif tag == "article" and within < 2:
+            within = 0
         if tag == "header" and good >= 3.0:
             pass  # an article's own header holds its headline
         else:
             bad = min(bad, BAD_TAG.get(tag, 0.0))
-        bad = min(bad, cost)
-        good = max(good, GOOD_TAG.get(tag, 0.0), cost)
+        bad = min(bad, sure)
+        good = max(good, GOOD_TAG.get(tag, 0.0), content, GOOD_TAG["main"] if main else 0.0)
         if tag in BLOCK:
             self.parent.append(node)
             self.depth.append(self.depth[node] + 1)
             node = len(self.parent) - 1
         if tag == "a":
             self.in_link += 1
-        self.stack.append((tag, node, bad, good))
+        self.stack.append((tag, node, bad, good, max(named, name), max(within, name)))
 
     def _pop(self, to: int) -> None:
         for tag, *_ in self.stack[to:]:

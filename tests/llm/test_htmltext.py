@@ -76,6 +76,27 @@ def test_certain_boilerplate_of_any_length():
                 assert h.extract(doc.format(around + a + text + b + around)).split("\n") == [SENTENCE] * 6, (words, a, doc)
 
 
+def test_names_of_the_layout_around_the_article():
+    for words in (5, 30, 100, 5_000):
+        text = "word " * (words - 1) + "end."
+        inner = f"<p>{text}</p><div class=ad>Buy. {text}</div><section class=comments><p>{text}</p></section><p>{text}</p>"
+        side = f"<div class=sidebar><p>{text}</p></div><div class=ad-container><p>{text}</p></div><div id=comment-list><p>{text}</p></div>"
+        side += f"<section class=related-posts><article><p>{text}</p></article></section>"
+        for name in ("content-sidebar-wrap", "has-sidebar", "page with-comments", "overflow-hidden", "comments-open", "page-with-sidebar", "no-ads", "contentSidebarWrap",
+                     "sidebar", "search-results", "sidebar-wrap", "paywall"):
+            for kind in (f"class='{name}'", f"id='{name}'"):
+                for a, b in (("<article>", "</article>"), ("<main>", "</main>"), ("<div role=main>", "</div>")):
+                    assert h.extract(f"<body><div {kind}>{a}{inner}{b}{side}</div></body>") == f"{text}\n{text}", (words, name, a)
+        for name in ("content-sidebar-wrap", "has-sidebar", "page with-comments"):  # no article element
+            assert h.extract(f"<div class='{name}'><div class=content>{inner * 3}</div>{side}</div>").split("\n") == [text] * 6, (words, name)
+    for name in ("ad", "ad-container", "top-ad", "comments", "comment-body", "related-posts", "sidebarLeft", "post-share-buttons", "cookie_notice", "div-comment-5"):
+        assert h.name_kind(name), name
+    # comments and teasers written as articles stay out, also where the text has no article element
+    for a, b in (("<article>", "</article>"), ("<div>", "</div>")):
+        page = f"{a}{f'<p>{SENTENCE}</p>' * 3}{b}<div id=comments><article><p>{SENTENCE}</p></article></div><div class=related><article><p>{SENTENCE}</p></article></div>"
+        assert h.extract(page).split("\n") == [SENTENCE] * 3
+
+
 def test_query_rows(spark):
     rows = [(1, "u", f"<article><p>é {SENTENCE}</p></article>"), (1, "u", f"<article><p>é {SENTENCE}</p></article>"), (2, None, None), (None, "", ""), (3, "x", "<br>")]
     got = sorted((str(r.page_id), str(r.url), r.text, r.n_chars) for r in h.query(spark.createDataFrame([(*r, 1, "b") for r in rows], PAGES)).collect())
