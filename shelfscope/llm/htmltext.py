@@ -30,7 +30,8 @@ from .common import importable
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th
 thead tr ul""".split())
-RAW = frozenset("script style noscript template textarea select svg math iframe object canvas title button audio video".split())
+RAW = frozenset("script style noscript textarea iframe title".split())  # raw text: without a close, up to the page's end
+SKIP = frozenset("template select svg math object canvas button audio video".split())  # ordinary elements that are certain boilerplate
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BAD_TAG = {"nav": -9.0, "footer": -9.0, "aside": -9.0, "form": -9.0, "menu": -9.0, "dialog": -9.0, "header": -7.0, "head": -9.0, "fieldset": -9.0}
 GOOD_TAG = {"article": 4.0, "main": 3.0}
@@ -113,6 +114,7 @@ class _Page:
         self.buffer: list[str] = []
         self.linked = 0
         self.in_link = 0
+        self.skipped = 0  # open SKIP elements
         self._read(source)
         # A name is certain, too.  But if all articles lie in parts with boilerplate names, such a part is the page's layout:
         # there only names within the article count, and those of OTHERS.
@@ -147,7 +149,7 @@ class _Page:
         return cost + bad
 
     def _text(self, raw: str) -> None:
-        if raw:
+        if raw and not self.skipped:
             text = _html.unescape(raw) if "&" in raw else raw
             self.buffer.append(text)
             if self.in_link:
@@ -172,12 +174,14 @@ class _Page:
             node = len(self.parent) - 1
         if tag == "a":
             self.in_link += 1
+        self.skipped += tag in SKIP
         self.stack.append((tag, node, bad, good, max(named, name), max(within, name)))
 
     def _pop(self, to: int) -> None:
         for tag, *_ in self.stack[to:]:
             if tag == "a":
                 self.in_link -= 1
+            self.skipped -= tag in SKIP
         del self.stack[to:]
 
     def _find(self, tag: str, stop) -> int:
@@ -188,44 +192,86 @@ class _Page:
                 return 0
         return 0
 
+    @staticmethod
+    def _tags(source: str) -> list[tuple[int, int, str, str, str]]:
+        """Tags of the page: from, to, "/" if closing, name, attributes.  A raw-text element is one tag, comments are of no name."""
+        out, at, end = [], 0, len(source)
+        while at < end and (m := TAG.search(source, at)):
+            at, tag = m.end(), (m[2] or "").lower()
+            if tag in RAW and not m[1] and not m[3].endswith("/"):
+                close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
+                at = close.end() if close else end
+            out.append((m.start(), at, m[1] or "", tag, m[3] or ""))
+        return out
+
+    @staticmethod
+    def _skips(tags) -> dict[int, int]:
+        """Places of the SKIP elements that are closed within their parent -> place of their close."""
+        out: dict[int, int] = {}
+        stack: list[tuple[str, int]] = []
+        opened: dict[str, int] = {}
+        for i, (_, _, closing, tag, raw) in enumerate(tags):
+            if tag not in SKIP and tag not in BLOCK or tag in VOID:
+                continue
+            if not closing:
+                if tag in BLOCK or not raw.endswith("/"):
+                    stack.append((tag, i))
+                    opened[tag] = opened.get(tag, 0) + 1
+            elif opened.get(tag):
+                while True:
+                    name, j = stack.pop()
+                    opened[name] -= 1
+                    if name == tag:
+                        break
+                if tag in SKIP:
+                    out[j] = i
+        return out
+
     def _read(self, source: str) -> None:
-        at, end = 0, len(source)
-        while at < end:
-            m = TAG.search(source, at)
-            if not m:
-                self._text(source[at:])
-                break
-            self._text(source[at:m.start()])
-            at = m.end()
-            if not m[2]:
+        tags = self._tags(source)
+        closes = self._skips(tags) if any(t[3] in SKIP for t in tags) else {}
+        at = i = 0
+        while i < len(tags):
+            start, end, closing, tag, raw = tags[i]
+            self._text(source[at:start])
+            at = end
+            i += 1
+            if not tag:
+                continue
+            if self.skipped and tag in ("option", "optgroup"):
                 continue
-            tag = m[2].lower()
-            if m[1]:
+            if closing:
                 self._close(tag)
                 continue
-            if tag in RAW:
-                if not m[3].endswith("/"):
-                    close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
-                    at = close.end() if close else end
+            if tag in RAW or tag in SKIP:
                 if tag not in ("svg", "math", "object"):
                     self.buffer.append(" ")
+                if tag in SKIP and not raw.endswith("/"):
+                    if i - 1 in closes:  # all of it is left out, with what is nested in it
+                        i = closes[i - 1] + 1
+                        at = tags[i - 1][1]
+                    else:  # never closed: ends with its parent, or before the next block
+                        self._open(tag, "")
                 continue
             if tag == "br":
                 self.buffer.append(" ")
                 continue
             if tag in BLOCK:
+                if self.skipped:
+                    self._pop(next(k for k, e in enumerate(self.stack) if e[0] in SKIP))
                 self._end_block()
                 # open paragraphs end at the next block, list and table parts at the next of their kind
-                if i := self._find("p", lambda t: t in BLOCK):
-                    self._pop(i)
+                if k := self._find("p", lambda t: t in BLOCK):
+                    self._pop(k)
                 if tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
                     same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
                     for s in same:
-                        if i := self._find(s, lambda t: t in ("ul", "ol", "dl", "table", "menu", "select")):
-                            self._pop(i)
-            if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
+                        if k := self._find(s, lambda t: t in ("ul", "ol", "dl", "table", "menu", "select")):
+                            self._pop(k)
+            if tag in VOID or raw.endswith("/") and tag not in BLOCK:
                 continue
-            self._open(tag, m[3])
+            self._open(tag, raw)
+        self._text(source[at:])
         self._end_block()
 
     def _close(self, tag: str) -> None:
@@ -350,7 +396,8 @@ def min_cut(costs: list[float], edges: dict[tuple[int, int], float]) -> list[boo
 def extract(source: str | None) -> str:
     """The main text of a page: its content blocks in page order, joined by line
     ends.  White space inside a block is one space; ``br`` is white space.  Null, empty or
-    markup alone: empty.  Unclosed tags, comments and quotes end with the page."""
+    markup alone: empty.  Unclosed tags, comments and raw-text elements end with the page; an unclosed quote opens no value, and
+    buttons, media, drawings and the like that are not closed within their parent end with it, or before the next block."""
     if not source:
         return ""
     page = _Page(source)

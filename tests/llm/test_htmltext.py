@@ -97,6 +97,26 @@ def test_names_of_the_layout_around_the_article():
         assert h.extract(page).split("\n") == [SENTENCE] * 3
 
 
+def test_buttons_and_media_without_a_close_or_nested():
+    good = f"<p>{SENTENCE}</p>"
+    for tag in ("button", "select", "object", "canvas", "svg", "math", "audio", "video", "template"):
+        o, c = f"<{tag} class=x>", f"</{tag}>"
+        assert h.extract(f"<body>{o}<article>{good}{good}</article></body>").split("\n") == [SENTENCE] * 2, tag
+        assert h.extract(f"<article>{good}{o}Share {good}<div>{o}Share</div>{good}</article>{good}").split("\n")[:3] == [SENTENCE] * 3, tag
+        assert h.extract(f"<article><p>{SENTENCE} <b>{o}no</b> {SENTENCE}</p>{good}</article>") == f"{SENTENCE} {SENTENCE}\n{SENTENCE}", tag
+        assert h.extract(f"<article>{good}<div>{o}no</div>{good}{o}no {c}{good}</article>").split("\n") == [SENTENCE] * 3, tag
+        # closed: all of it is left out, nested ones too; the paragraph around it stays one
+        nested = f"{o}no {o}no <g>no</g>{c} outer rest {SENTENCE}{c}"
+        assert h.extract(f"<article>{good}{nested}{good}<p>{SENTENCE}{nested} {SENTENCE}</p></article>") == f"{SENTENCE}\n{SENTENCE}\n{SENTENCE} {SENTENCE}", tag
+        assert h.extract(f"<article>{good}{o}<div>{good}</div>{c}{good}</article>") == f"{SENTENCE}\n{SENTENCE}", tag
+        assert h.extract(f"<article>{good}<script>'{o}'</script><!--{o}-->{good}</article>") == f"{SENTENCE}\n{SENTENCE}", tag
+        assert h.extract(o * 50_000 + f"<article>{good}</article>") == SENTENCE
+        assert h.extract(o * 50_000 + c * 50_000 + f"<article>{good}</article>") == SENTENCE
+    assert h.extract(f"<article>{good}<select><option>One<optgroup><option>Two</optgroup>{good}</article>") == f"{SENTENCE}\n{SENTENCE}"
+    for tag in ("script", "style", "textarea", "title"):
+        assert h.extract(f"<article>{good}<{tag}>{good}</article>") == SENTENCE
+
+
 def test_query_rows(spark):
     rows = [(1, "u", f"<article><p>é {SENTENCE}</p></article>"), (1, "u", f"<article><p>é {SENTENCE}</p></article>"), (2, None, None), (None, "", ""), (3, "x", "<br>")]
     got = sorted((str(r.page_id), str(r.url), r.text, r.n_chars) for r in h.query(spark.createDataFrame([(*r, 1, "b") for r in rows], PAGES)).collect())
