@@ -17,10 +17,15 @@ union of the candidates needs no pair to be shuffled.  Tasks give, for each
 vector, its number of partners and one link per merge of a union-find.
 
 Copies are joined before: one row per distinct vector, with its count.
+
+Only vectors of one length can be near, so every length has its own rotation,
+shares, blocks and bins; all lengths go through the same join.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,6 +41,7 @@ SLACK = 1e-9         # rounding of the rotation and the sums
 SEED = 20240101
 
 
+@lru_cache(4)
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
     q, r = np.linalg.qr(np.random.RandomState(seed).standard_normal((dim, dim)))
     return q * np.sign(np.diag(r))
@@ -57,26 +63,24 @@ def _unit(vecs) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _tiles(dim: int, threshold: float):
-    """Every vector -> one row for each block: its bin there and its unit vector."""
-    turn, edges, shares = rotation(dim), block_edges(dim), _shares(dim, threshold)
-
+def _tiles(threshold: float):
+    """Every vector -> one row for each block: its length, its bin there and its bytes."""
     def run(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x = np.stack(pdf["vec"].to_numpy())
-            turned = _unit(x) @ turn
-            raw = [r.tobytes() for r in x]
-            for b in range(len(shares)):
-                bins = np.floor(turned[:, edges[b]] / (np.sqrt(shares[b]) * 1.0001)).astype(np.int32)
-                yield pd.DataFrame({"block": np.int32(b), "bin": bins, "k": pdf["k"], "n": pdf["n"], "raw": raw})
+        for batch in batches:
+            for dim, pdf in batch.groupby(batch["vec"].map(len)):
+                dim = int(dim)
+                turn, edges, shares = rotation(dim), block_edges(dim), _shares(dim, threshold)
+                x = np.stack(pdf["vec"].to_numpy())
+                turned = _unit(x) @ turn
+                raw = [r.tobytes() for r in x]
+                for b in range(len(shares)):
+                    bins = np.floor(turned[:, edges[b]] / (np.sqrt(shares[b]) * 1.0001)).astype(np.int32)
+                    yield pd.DataFrame({"dim": np.int32(dim), "block": np.int32(b), "bin": bins, "k": pdf["k"].to_numpy(),
+                                        "n": pdf["n"].to_numpy(), "raw": raw})
     return run
 
 
-def _pairs(dim: int, threshold: float, kind: str):
-    turn, edges, shares = rotation(dim), block_edges(dim), _shares(dim, threshold)
-
+def _pairs(threshold: float, kind: str):
     def root(up: dict, x):
         while up.setdefault(x, x) != x:
             up[x] = up[up[x]]
@@ -84,7 +88,8 @@ def _pairs(dim: int, threshold: float, kind: str):
         return x
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        block, (one, other) = int(key[0]), key[1].split(":")
+        dim, block, (one, other) = int(key[0]), int(key[1]), key[2].split(":")
+        turn, edges, shares = rotation(dim), block_edges(dim), _shares(dim, threshold)
         same = one == other
         left = rows[rows["side"] == 0]
         right = left if same else rows[rows["side"] == 1]
@@ -133,35 +138,34 @@ def _floats(rows: DataFrame, vec: str):
     return F.col(f"`{vec}`") if kind == "array<float>" else F.col(f"`{vec}`").cast("array<double>")
 
 
-def usable(vec, dim: int):
-    """Vectors of ``dim`` finite components, not all zero."""
+def usable(vec):
+    """Vectors of finite components, not all zero."""
     v = F.col(vec)
-    return (F.size(v) == dim) & F.forall(v, lambda x: x.isNotNull() & (F.abs(x) <= F.lit(1.7976931348623157e308)) & ~F.isnan(x)) & \
-        F.exists(v, lambda x: x != 0)
+    return F.forall(v, lambda x: x.isNotNull() & (F.abs(x) <= F.lit(1.7976931348623157e308)) & ~F.isnan(x)) & F.exists(v, lambda x: x != 0)
 
 
-def near_links(vectors: DataFrame, dim: int, threshold: float = 0.9) -> DataFrame:
+def near_links(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Distinct vectors (k string, vec array<float or double>, n) -> per vector with partners: k, links (partners, counted n times), root (a link)."""
     spark = vectors.sparkSession
     importable(spark)
     kind = "float32" if dict(vectors.dtypes)["vec"] == "array<float>" else "float64"
-    placed = through_table(vectors.mapInPandas(_tiles(dim, threshold), "block int, bin int, k string, n long, raw binary"), "tiles")
+    placed = through_table(vectors.mapInPandas(_tiles(threshold), "dim int, block int, bin int, k string, n long, raw binary"), "tiles")
     # tiles of each bin: one row per bin; the unit cube has 2 / root(share) bins a block
-    counts = placed.groupBy("block", "bin").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    counts = placed.groupBy("dim", "block", "bin").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     grid = through_table(counts, "tile-grid")
-    near = (grid.select("block", "bin", "tiles", F.explode(F.array(F.col("bin"), F.col("bin") + 1)).alias("to"))
-            .join(grid.select("block", F.col("bin").alias("to"), F.col("tiles").alias("to_tiles")), ["block", "to"])
-            .select("block", "bin", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("t"), "to", "to_tiles")
-            .select("block", "bin", "t", "to", F.explode(F.sequence(F.lit(0), F.col("to_tiles") - 1)).alias("to_t"))
+    near = (grid.select("dim", "block", "bin", "tiles", F.explode(F.array(F.col("bin"), F.col("bin") + 1)).alias("to"))
+            .join(grid.select("dim", "block", F.col("bin").alias("to"), F.col("tiles").alias("to_tiles")), ["dim", "block", "to"])
+            .select("dim", "block", "bin", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("t"), "to", "to_tiles")
+            .select("dim", "block", "bin", "t", "to", F.explode(F.sequence(F.lit(0), F.col("to_tiles") - 1)).alias("to_t"))
             .where("to > bin or to_t >= t")
             .withColumn("pair", F.format_string("%d.%d:%d.%d", "bin", "t", "to", "to_t")))
-    dealt = placed.join(grid, ["block", "bin"]).withColumn("t", F.expr("pmod(xxhash64(k), tiles)").cast("int")).drop("tiles")
+    dealt = placed.join(grid, ["dim", "block", "bin"]).withColumn("t", F.expr("pmod(xxhash64(k), tiles)").cast("int")).drop("tiles")
     near = through_table(near, "tile-pairs")
-    sides = (near.select("block", "bin", "t", "pair", F.lit(0).alias("side"))
-             .union(near.where("not (bin = to and t = to_t)").select("block", "to", "to_t", "pair", F.lit(1))))
-    return (dealt.join(sides, ["block", "bin", "t"])
-            .select(*[F.col(c).alias(c) for c in ("block", "pair", "side", "k", "n", "raw")])
-            .groupBy("block", "pair").applyInPandas(_pairs(dim, threshold, kind), "k string, links long, root string"))
+    sides = (near.select("dim", "block", "bin", "t", "pair", F.lit(0).alias("side"))
+             .union(near.where("not (bin = to and t = to_t)").select("dim", "block", "to", "to_t", "pair", F.lit(1))))
+    return (dealt.join(sides, ["dim", "block", "bin", "t"])
+            .select(*[F.col(c).alias(c) for c in ("dim", "block", "pair", "side", "k", "n", "raw")])
+            .groupBy("dim", "block", "pair").applyInPandas(_pairs(threshold, kind), "k string, links long, root string"))
 
 
 def embedding_groups(rows: DataFrame, threshold: float = 0.9, key: str = "vec_id", vec: str = "embedding",
@@ -170,9 +174,9 @@ def embedding_groups(rows: DataFrame, threshold: float = 0.9, key: str = "vec_id
 
     Vectors link at cosine >= ``threshold`` (0 to 1) in double precision.
     n_links counts the other rows linked directly, copies included.  Null,
-    empty, zero vectors, vectors with null, NaN or infinite components, and
-    vectors of another length than ``dim`` (default: the commonest length) link with
-    nothing and are components of their own.  component_id is the smallest key reachable; null keys
+    empty, zero vectors and vectors with null, NaN or infinite components link with
+    nothing and are components of their own; so are, if ``dim`` is given, vectors of another length.
+    Vectors of unequal length never link; those of equal length are compared whatever it is.  component_id is the smallest key reachable; null keys
     are no candidates (a component of null keys only has a null id, and a row with a null key is kept
     only then).  Repeated keys stay apart rows.  Extra columns play no part; an empty table gives no rows.
     """
@@ -180,16 +184,12 @@ def embedding_groups(rows: DataFrame, threshold: float = 0.9, key: str = "vec_id
     importable(spark)
     base = through_table(rows.select(F.col(f"`{key}`").alias("id"), _floats(rows, vec).alias("v"))
                          .withColumn("row", F.monotonically_increasing_id()), "vectors")
-    if dim is None:
-        got = (base.where("size(v) > 0").groupBy(F.size("v").alias("d")).count()
-               .orderBy(F.desc("count"), "d").first())
-        dim = got["d"] if got else 1
-    good = usable("v", dim)
+    good = usable("v") if dim is None else usable("v") & (F.size("v") == dim)
     k = F.when(good, F.concat(F.hex(F.xxhash64(F.lit(1), "v")), F.lit("-"), F.hex(F.xxhash64(F.lit(2), "v"))))
     keyed = through_table(base.select("id", "row", k.alias("k"), F.when(good, F.col("v")).alias("v")), "vectors")
     distinct = through_table(keyed.where("k is not null").groupBy("k").agg(
         F.first("v").alias("vec"), F.count("*").alias("n"), F.min("id").alias("low")), "vectors")
-    links = through_table(near_links(distinct.select("k", "vec", "n"), dim, threshold), "links")
+    links = through_table(near_links(distinct.select("k", "vec", "n"), threshold), "links")
     totals = links.groupBy("k").agg(F.sum("links").alias("links"))
     roots = connected_components(links.select(F.col("k").alias("u"), F.col("root").alias("v")))
     info = (distinct.select("k", "n", "low").join(totals, "k", "left")

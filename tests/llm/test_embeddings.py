@@ -52,6 +52,18 @@ def test_clusters_match_brute_force(spark, monkeypatch):
     assert run(spark, rows) == brute(rows, 16)
 
 
+def test_every_length_is_compared_with_its_own(spark, monkeypatch):
+    short, middle, long = ([(at + i, v) for i, v in enumerate(clusters(dim, dim))] for at, dim in ((0, 3), (1000, 8), (2000, 16)))
+    short, middle = short + [(900, short[0][1]), (901, short[0][1])], middle[:20] + [(1900, middle[0][1])]
+    want = sorted(brute(short, 3) + brute(middle, 8) + brute(long, 16))
+    assert all(any(n for _, n, *_ in brute(rows, dim)) for rows, dim in ((short, 3), (middle, 8), (long, 16)))
+    assert run(spark, middle + short + long) == want
+    monkeypatch.setattr(e, "TILE", 7)
+    assert run(spark, short + long + middle, "double") == want
+    ones = [(1, [2.0]), (2, [3.0]), (3, [2.0, 0.0]), (4, [2.0, 0.0, 0.0]), (5, [1.0, 0.0, 0.0])]
+    assert [r[1] for r in run(spark, ones)] == [1, 1, 0, 1, 1]
+
+
 def test_unusable_vectors_and_doubles(spark):
     good = clusters(5, 2)
     nan, inf = float("nan"), float("inf")
