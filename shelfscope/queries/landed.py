@@ -136,14 +136,16 @@ def s5_table_by_name(spark, d):
 # ---------------------------------------------------------------------------
 # Q10 on files (C3, C4, C5, C8): every file has two header rows, its own dates and a footer
 
-BUCKETS = 8  # files of a delivery
+BUCKETS = 8  # least number of files of a delivery
+ROWS_A_FILE = 20_000  # a file is read as a whole by one task, so the number of files grows with the table
 
 
 def _sellout_files(spark, d, path: str, dates: list[str], factor: int, where: str) -> None:
     ids = ["PZN", "Name", "Hersteller", "Form", "Pack", "AVP", "AEP"]
     p = fx.table(spark, d, "part").where(where)
+    n = max(BUCKETS, -(-p.count() // ROWS_A_FILE))
     rows = p.select(
-        (F.col("p_partkey") % BUCKETS).alias("bucket"), F.col("p_partkey").alias("ord"),
+        F.expr(f"pmod(xxhash64(p_partkey), {n})").alias("bucket"), F.col("p_partkey").alias("ord"),
         F.col("p_partkey").cast("string").alias("c0"), F.col("p_name").alias("c1"), F.col("p_brand").alias("c2"),
         F.col("p_type").alias("c3"), F.col("p_size").cast("string").alias("c4"), F.lit("1").alias("c5"), F.lit("2").alias("c6"),
         F.when(F.col("p_size") >= 10, F.col("p_size") * factor).cast("string").alias("c7"),
@@ -155,7 +157,7 @@ def _sellout_files(spark, d, path: str, dates: list[str], factor: int, where: st
     feet = [files.select("bucket", F.lit((1 << 62) + k).alias("ord"), *lit([w, *[None] * 9])) for k, w in enumerate(("Sum", "end"))]
     out = rows.unionByName(head).unionByName(feet[0]).unionByName(feet[1])
     names = [*"ABCDEFG", *dates, "Total"]
-    (out.repartition("bucket").sortWithinPartitions("bucket", "ord")
+    (out.repartition(n, "bucket").sortWithinPartitions("bucket", "ord")
         .select("bucket", *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
         .write.option("header", True).partitionBy("bucket").csv(path))
 
@@ -194,6 +196,7 @@ def q11_latest_inventory_files(spark, d):
     names = ["PZN", "Pck.", "Bezeichnung", *[f"{k} Menge" for k in LINES]]
     rows = li.select(
         F.concat(F.lit("inventory_"), month, F.lit(".csv")).alias("file"), (F.col("l_suppkey") % 2).alias("odd"),
+        F.xxhash64("l_orderkey", "l_linenumber").alias("deal"),
         F.lit(1).alias("ord"), F.col("l_partkey").cast("string").alias("c0"), F.col("l_suppkey").cast("string").alias("c1"),
         F.concat(F.lit("item "), F.col("l_partkey").cast("string")).alias("c2"),
         *[F.when(F.col("l_linenumber") == k, F.col("l_quantity")).cast("string").alias(f"c{2 + i}") for i, k in enumerate(LINES, 1)])
@@ -201,10 +204,14 @@ def q11_latest_inventory_files(spark, d):
     plain = rows.where("odd = 0").select("file", *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
     sinks.gathered(plain, "file").write.option("header", True).partitionBy("file").csv(root + "/plain")
     odd = rows.where("odd = 1").drop("odd")
-    head = odd.select("file").distinct().select("file", F.lit(0).alias("ord"), *[F.lit(n).alias(f"c{i}") for i, n in enumerate(names)])
-    # a file's first row must stay its first: one task a month here
-    (odd.unionByName(head).repartition("file").sortWithinPartitions("file", "ord").drop("ord")
-        .write.option("header", True).partitionBy("file").csv(root + "/named"))
+    pieces = odd.groupBy("file").agg(F.ceil(F.count("*") / ROWS_A_FILE).alias("pieces"))
+    n = pieces.agg(F.sum("pieces")).first()[0] or 1
+    head = pieces.select("file", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)).alias("piece"), F.lit(0).alias("ord"),
+                         *[F.lit(v).alias(f"c{i}") for i, v in enumerate(names)])
+    odd = odd.join(pieces, "file", "left").withColumn("piece", F.expr("pmod(deal, coalesce(pieces, 1))")).drop("deal", "pieces")
+    # a file's first row must stay its first: one task a file here, of which a month has as many as its rows need
+    (odd.unionByName(head).repartition(n, "file", "piece").sortWithinPartitions("file", "piece", "ord").drop("ord")
+        .write.option("header", True).partitionBy("file", "piece").csv(root + "/named"))
     date, paths = src.latest_dated_paths(spark, root)
     rows = src.read_report_csv(spark, paths, keep_position=True, path_col="path")
     return ff.latest_inventory_files(rows, date)
