@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -59,6 +60,20 @@ def s3_market_sellout_from_csv(spark, d):
     return ff.market_sellout(raw, "DE", NOW)
 
 
+@register("s3_market_sellout_skipped_rows", Q12_SQL, "S3", "S4", "Q12")
+def s3_market_sellout_skipped_rows(spark, d):
+    """A title line above the header of every file; the suffix picks the reader."""
+    path = _scratch(spark, "landing-titled") + "/sellout.csv"
+    m = _market(spark, d)
+    (m.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path + ".plain"))
+    titled = spark.read.text(path + ".plain").select("value", F.xxhash64(F.input_file_name()).alias("part"), F.monotonically_increasing_id().alias("n"))
+    title = titled.groupBy("part").agg(F.min("n").alias("n")).select(F.lit('"Sell-out, all stores"').alias("value"), "part", (F.col("n") - 1).alias("n"))
+    (titled.union(title).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").sortWithinPartitions("part", "n")
+        .select("value", "part").write.partitionBy("part").text(path))
+    raw = src.read_report(spark, path, skiprows=1)
+    return ff.market_sellout(raw, "DE", NOW)
+
+
 @register("t1_stream_vendor_report", Q5_SQL, "T1")
 def t1_stream_vendor_report(spark, d):
     landing, schema = _land_sales_json(spark, d)
@@ -103,6 +118,40 @@ def s10_search_terms_from_json(spark, d):
     return v.own_search_terms(records, own, START, END, COUNTRY, NOW)
 
 
+def _land_documents(rec, path: str, group, key: str) -> None:
+    """One JSON document a group, with all its records in the array under ``key``, as the service hands them out."""
+    items = rec.select(group.alias("doc"), F.to_json(F.struct(*rec.columns)).alias("value"))
+    w = Window.partitionBy("doc")
+    items = items.withColumn("nth", F.row_number().over(w.orderBy("value"))).withColumn("n", F.count("*").over(w))
+    head = '{"reportSpecification":{"reportOptions":{"reportPeriod":"WEEK"}},"%s":[\n' % key
+    line = F.concat(F.when(F.col("nth") == 1, head).otherwise(","), F.col("value"), F.when(F.col("nth") == F.col("n"), "]}").otherwise(""))
+    n = int(rec.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number given: a document's lines stay in one task
+    (items.select("doc", "nth", line.alias("value")).repartition(n, "doc").sortWithinPartitions("doc", "nth").select("doc", "value")
+        .write.partitionBy("doc").text(path))
+
+
+@register("s10_search_terms_documents", Q7_SQL, "S10", "S1", "Q7")
+def s10_search_terms_documents(spark, d):
+    """A few documents of any size, each cut into its elements by many tasks."""
+    from .vendor import END, OWN_MIN_SIZE, START
+    path = _scratch(spark, "landing-documents")
+    rec = fx.search_terms_payload(spark, d)
+    _land_documents(rec, path, F.split(F.coalesce("departmentName", F.lit("")), " ")[0], "dataByDepartmentAndSearchTerm")
+    own = fx.table(spark, d, "part").where(F.col("p_size") > OWN_MIN_SIZE).select(
+        F.col("p_partkey").cast("string").alias("asin"))
+    return v.own_search_terms(src.read_search_terms(spark, path), own, START, END, COUNTRY, NOW)
+
+
+@register("s1_vendor_report_documents", Q5_SQL, "S1", "Q5")
+def s1_vendor_report_documents(spark, d):
+    """The vendor report as documents of many records, under the schema of the document."""
+    path = _scratch(spark, "landing-sales-documents")
+    rec = fx.vendor_sales_records(spark, d)
+    schema = rec.select(F.array(F.struct(*rec.columns)).alias("salesByAsin")).schema
+    _land_documents(rec, path, F.pmod(F.xxhash64("asin"), F.lit(4)).cast("string"), "salesByAsin")
+    return v.vendor_report(src.read_report_json(spark, path, key="salesByAsin", schema=schema), COUNTRY, NOW)
+
+
 @register("k5_latest_workflow_status", """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type AS report_type,
   arg_max(CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END, ts) AS status, max(ts) AS ts

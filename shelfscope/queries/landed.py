@@ -136,8 +136,8 @@ def s5_table_by_name(spark, d):
 # ---------------------------------------------------------------------------
 # Q10 on files (C3, C4, C5, C8): every file has two header rows, its own dates and a footer
 
-BUCKETS = 8  # least number of files of a delivery
-ROWS_A_FILE = 20_000  # a file is read as a whole by one task, so the number of files grows with the table
+BUCKETS = 1  # least number of files of a delivery
+ROWS_A_FILE = 2_000_000  # a file is written by one task (first row, footer) and read by many
 
 
 def _sellout_files(spark, d, path: str, dates: list[str], factor: int, where: str) -> None:

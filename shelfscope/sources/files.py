@@ -9,6 +9,7 @@ Listings read paths only (``binaryFile`` with the ``content`` column pruned).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.setops import append_all
 from ..schemas import SEARCH_TERMS_FIELDS
+from .splits import CsvFiles, first_lines, json_elements
 
 FILE_COL = "file_name"
 POS_COL = "pos"
@@ -28,7 +30,13 @@ def read_report_json(spark: SparkSession, path: str | Sequence[str], key: str |
     """Report documents (``.json`` or ``.json.gz``).  With ``key`` the
     array under that key is exploded to one row per record (record fields as
     columns); documents without records give no rows.  ``multi_line=False``
-    reads JSON Lines (one document per line, splittable when uncompressed)."""
+    reads JSON Lines (one document per line, splittable when uncompressed).
+
+    With ``key`` and ``schema`` (that of the document, which holds the array) a document is cut into its elements
+    by many tasks (see ``splits.json_elements``); without a schema Spark reads each document whole."""
+    if key is not None and schema is not None and multi_line:
+        element = schema[key].dataType.elementType
+        return json_elements(spark, path, key).select(F.from_json("element", element).alias("__rec")).select("__rec.*")
     r = spark.read.option("multiLine", multi_line)
     if schema is not None:
         r = r.schema(schema)
@@ -43,31 +51,15 @@ def read_report_orc(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     return spark.read.orc(path if isinstance(path, str) else list(path))
 
 
-def header_groups(spark: SparkSession, paths: str | Sequence[str], lines: int = 1) -> dict[tuple[str, ...], list[str]]:
-    """The first ``lines`` lines of every file -> the files that have them.
-
-    Landed files need not share a layout, and Spark names all columns of one
-    read after one header; so files are grouped by their own header and read
-    group by group.  One pass over the text, an aggregate with one row per file; the
-    result (paths and headers) is metadata."""
-    raw = (spark.read.text(paths if isinstance(paths, str) else list(paths))
-           .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
-                   F.monotonically_increasing_id().alias("n")).where("at = 0"))
-    # the line numbers of a file's first block grow from the block's smallest
-    first = raw.groupBy("path").agg(F.min("n").alias("first"))
-    head = (raw.join(first, "path").where(F.col("n") < F.col("first") + lines)
-            .groupBy("path").agg(F.sort_array(F.collect_list(F.struct("n", "value"))).alias("head")))
-    out: dict[tuple[str, ...], list[str]] = {}
-    for r in head.collect():
-        out.setdefault(tuple(h.value for h in r["head"]), []).append(r.path)
-    return {k: sorted(v) for k, v in sorted(out.items())}
-
-
 def _names(line: str) -> list[str]:
     import csv
     return next(csv.reader([line]), [])
 
 
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def _text_schema(names: Sequence[str]) -> str:
     return ", ".join(f"`{n.replace('`', '``')}` STRING" for n in names)
 
@@ -79,23 +71,21 @@ def read_report_csv(spark: SparkSession, path: str | Sequence[str], skiprows: in
     header) are dropped.  Every file is read under its own header (files of
     one layout in one read) and the layouts are stacked by name.  With
     ``skiprows`` or ``keep_position`` (adds the file name and the 1-based
-    data-row position; ``path_col`` also the whole path) files are read whole,
-    lines in order (``multiLine``)."""
-    if schema is not None and skiprows == 0 and not keep_position:
-        return spark.read.option("header", True).schema(schema).csv([path] if isinstance(path, str) else list(path))
-    groups = header_groups(spark, path, skiprows + 1)
-    parts = []
-    for head, files in groups.items():
-        if len(head) <= skiprows:
-            raise ValueError(f"no header line in {files[0]}")
-        names = schema or _text_schema(_names(head[skiprows]))
-        if skiprows == 0 and not keep_position:
-            parts.append(spark.read.schema(names).option("header", True).csv(files))
-            continue
-        raw = (spark.read.schema(names).option("header", False).option("multiLine", True).csv(files)
-               .withColumns({FILE_COL: F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
-        parts.append(numbered(raw, "__path").where(F.col(POS_COL) > skiprows + 1)
-                     .withColumn(POS_COL, F.col(POS_COL) - (skiprows + 1)).withColumnRenamed("__path", path_col or "__path"))
+    data-row position; ``path_col`` also the whole path) rows are counted by split
+    (``splits.CsvFiles``), so a large file is still read by many tasks."""
+    if skiprows == 0 and not keep_position:
+        if schema is not None:
+            return spark.read.option("header", True).schema(schema).csv([path] if isinstance(path, str) else list(path))
+        parts = [spark.read.schema(_text_schema(_names(head))).option("header", True).csv([unquote(f) for f in files])
+                 for head, files in first_lines(spark, path).items()]
+    else:
+        parts, table = [], CsvFiles(spark, path, skiprows + 1)
+        for head, files in table.layouts().items():
+            if len(head) <= skiprows:
+                raise ValueError(f"no header line in {files[0]}")
+            names = schema if isinstance(schema, str) else _ddl(schema) if schema is not None else _text_schema(_names(head[skiprows]))
+            parts.append(table.read(files, names, skip=skiprows + 1).withColumn(POS_COL, F.col(POS_COL) - (skiprows + 1))
+                         .withColumnRenamed("path", path_col or "__path"))
     if not parts:
         raise FileNotFoundError(f"no rows under {path}")
     out = append_all(parts, allow_missing=True)
@@ -164,9 +154,9 @@ def read_all(spark: SparkSession, paths: str | Sequence[str], fmt: str = "csv",
     where = paths if isinstance(paths, str) else list(paths)
     if fmt != "csv" or str(options.get("header", True)).lower() == "false":
         return spark.read.format(fmt).options(**options).load(where).withColumns({FILE_COL: F.col("_metadata.file_name"), **extra})
-    parts = [spark.read.options(**{**options, "header": True}).schema(_text_schema(_names(head[0]))).csv(files)
+    parts = [spark.read.options(**{**options, "header": True}).schema(_text_schema(_names(head))).csv([unquote(f) for f in files])
              .withColumns({FILE_COL: F.col("_metadata.file_name"), **extra})
-             for head, files in header_groups(spark, where).items()]
+             for head, files in first_lines(spark, where).items()]
     if not parts:
         raise FileNotFoundError(f"no rows under {paths}")
     return append_all(parts, allow_missing=True)
@@ -236,16 +226,13 @@ def read_two_row_header_csv(spark: SparkSession, paths: str | Sequence[str], n_f
     column are dropped.  One DataFrame for each pair of header rows that occurs, since
     files name their own dates; positions (``file_name``, ``pos``) are kept for
     keep-first rules downstream."""
-    from ..functions.cleaning import skip_footer
-    out = []
-    for head, files in header_groups(spark, paths, 2).items():
+    out, table = [], CsvFiles(spark, paths, 2)
+    for head, files in table.layouts().items():
         if len(head) < 2:
             raise ValueError(f"no second header row in {files[0]}")
         first, second = _names(head[0]), _names(head[1])
         last = len(first) - 1 if drop_last else len(first)
         names = [(second[i] if i < n_fixed and i < len(second) and second[i] else first[i]) for i in range(last)]
-        raw = (spark.read.schema(_text_schema([f"c{i}" for i in range(len(first))])).option("header", False).option("multiLine", True)
-               .csv(files).withColumns({FILE_COL: F.col("_metadata.file_name"), "__path": F.col("_metadata.file_path")}))
-        body = skip_footer(numbered(raw, "__path").where(F.col(POS_COL) > 2), POS_COL, "__path", footer)
+        body = table.read(files, _text_schema([f"c{i}" for i in range(len(first))]), skip=2, footer=footer)
         out.append(body.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], FILE_COL, POS_COL))
     return out
