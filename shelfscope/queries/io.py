@@ -164,3 +164,23 @@ def k5_latest_workflow_status(spark, d):
         "CAST(event_id AS STRING) AS workflow_id",
         "CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCEEDED' END AS status", "ts")
     return latest_status(log)
+
+
+@register("t1_stream_repull", Q5_SQL, "T1", "Q5")
+def t1_stream_repull(spark, d):
+    """Three pulls of overlapping periods, a file each batch: the first with preliminary units, the second
+    corrects the later periods and the last one, landed late, is older than both."""
+    from ..streaming.ingest import read_repull, start_repull
+    landing = _scratch(spark, "repull")
+    rec = fx.vendor_sales_records(spark, d)
+    wrong = rec.withColumn("orderedUnits", F.col("orderedUnits") + 1000)
+    later = F.col("endDate") >= "1995-01-01"
+    pulls = [("2024-01-02", rec.where(~later).unionByName(wrong.where(later))), ("2024-01-03", rec.where(later)), ("2024-01-01", wrong)]
+    schema = rec.select(F.array(F.struct(*rec.columns)).alias("salesByAsin"), F.lit("").alias("pulledAt")).schema
+    out, ckpt = _scratch(spark, "repull-out"), _scratch(spark, "repull-ckpt")
+    for at, rows in pulls:
+        rows.select(F.array(F.struct(*rec.columns)).alias("salesByAsin"), F.lit(at).alias("pulledAt")).write.mode("append").json(landing)
+        q = start_repull(spark, landing, schema, "salesByAsin", out, ["asin", "startDate", "endDate"], "month", "pulledAt", checkpoint=ckpt,
+                         transform=lambda b: b.withColumn("month", F.regexp_replace(F.substring("endDate", 1, 7), "-", "").cast("int")))
+        q.awaitTermination()
+    return v.vendor_report(read_repull(spark, out, "month").drop("pulled_at", "month"), COUNTRY, NOW)

@@ -7,3 +7,4 @@ from . import flat_files  # noqa: F401
 from . import reports  # noqa: F401
 from . import io  # noqa: F401
 from . import landed  # noqa: F401
+from . import stock  # noqa: F401
