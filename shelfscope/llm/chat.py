@@ -73,21 +73,56 @@ def preference_rows(segments: DataFrame) -> DataFrame:
     return got.select("pair_id", text("prompt"), text("chosen"), text("rejected"), mask("chosen"), mask("rejected"))
 
 
+SALTS = 8
+
+
 def pair_by_id(conversations: DataFrame) -> DataFrame:
-    """Conversations 2k and 2k + 1 are pair k: the even one is the chosen, the odd one the rejected one."""
+    """For tables that hold pairs: conversations 2k and 2k + 1 are pair k, the even one the chosen, the odd one the rejected one."""
     return conversations.select(F.expr("(conv_id - pmod(conv_id, 2)) div 2").alias("pair_id"),
                                 F.when(F.expr("pmod(conv_id, 2)") == 0, "chosen").otherwise("rejected").alias("side"),
                                 "turn", "role", "text")
 
 
+def pairs_by_last_reply(conversations: DataFrame) -> DataFrame:
+    """Preference pairs that share a prefix, for a table that has none: the chosen side is the conversation; the
+    rejected side has the same turns before its last assistant turn and, in that turn's place, the last assistant turn of the
+    conversation that shares all but the last bit of its number.
+
+    Columns conv_id (which names the pair), turn, role, text.  The last assistant turn is the one with the greatest number,
+    of several with that number the greatest text (a null text counts as empty).  Conversations without one, with no other
+    conversation to take one from, or with a null number make no pair.  Turns with a null number are of the chosen side only.
+    Turns meet their conversation's one row on (number, salt), so the turns of one that holds much of the table are spread."""
+    says = F.col("role") == TRAINED_ROLE
+    last = (conversations.where(says & F.col("turn").isNotNull()).groupBy("conv_id")
+            .agg(F.max(F.struct(F.col("turn").alias("turn"), F.coalesce("text", F.lit("")).alias("text"))).alias("x"))
+            .select("conv_id", F.col("x.turn").alias("last"), F.col("x.text").alias("reply")))
+    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("reply").alias("other"))
+    ends = last.drop("reply").join(other, "conv_id")
+    salted = ends.select("conv_id", "last", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    turns = (conversations.select("conv_id", "turn", "role", "text", F.pmod(F.xxhash64("turn", "role", "text"), F.lit(SALTS)).cast("int").alias("salt"))
+             .join(salted, ["conv_id", "salt"]))
+    sides = F.when(F.col("turn") < F.col("last"), F.array(F.lit("chosen"), F.lit("rejected"))).otherwise(F.array(F.lit("chosen")))
+    kept = turns.select(F.col("conv_id").alias("pair_id"), F.explode(sides).alias("side"), "turn", "role", "text")
+    replies = ends.select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), F.col("last").alias("turn"),
+                          F.lit(TRAINED_ROLE).alias("role"), F.col("other").alias("text"))
+    return kept.unionByName(replies)
+
+
 def query(conversations: DataFrame) -> DataFrame:
-    s = preference_segments(pair_by_id(conversations))
-    return s.select("pair_id", "part", "turn", "role", "segment", "n_chars", "trained")
+    """Within a part, segments are in order by seq_turn (null numbers last), role, segment, seq_copy."""
+    s = preference_segments(pairs_by_last_reply(conversations.select(F.col("conv_id").cast("long"), "turn", "role", "text")))
+    return s.select("pair_id", "part", "turn", F.col("seq.turn").alias("seq_turn"), F.col("seq.copy").alias("seq_copy"), "role", "segment", "n_chars", "trained")
 
 
 ORACLE = """
-WITH t AS (SELECT (conv_id - ((conv_id % 2) + 2) % 2) // 2 AS pair_id, ((conv_id % 2) + 2) % 2 AS odd, turn, role, text FROM conversations),
-one AS (SELECT pair_id, turn, role, text, count(*) FILTER (odd = 0) AS c, count(*) FILTER (odd <> 0 OR odd IS NULL) AS r
+WITH l AS (SELECT conv_id, turn AS last, max(coalesce(text, '')) AS reply FROM (
+    SELECT *, rank() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations
+    WHERE role = 'assistant' AND turn IS NOT NULL AND conv_id IS NOT NULL) WHERE back = 1 GROUP BY conv_id, turn),
+e AS (SELECT l.conv_id, l.last, o.reply AS other FROM l JOIN l o ON o.conv_id = xor(CAST(l.conv_id AS BIGINT), 1)),
+t AS (SELECT c.conv_id AS pair_id, 0 AS odd, c.turn, c.role, c.text FROM conversations c JOIN e USING (conv_id)
+  UNION ALL SELECT c.conv_id, 1, c.turn, c.role, c.text FROM conversations c JOIN e USING (conv_id) WHERE c.turn < e.last
+  UNION ALL SELECT conv_id, 1, last, 'assistant', other FROM e),
+one AS (SELECT pair_id, turn, role, text, count(*) FILTER (odd = 0) AS c, count(*) FILTER (odd = 1) AS r
   FROM t GROUP BY ALL),
 ends AS (SELECT pair_id AS p, min(coalesce(turn, 9223372036854775807)) FILTER (c <> r) AS stop FROM one GROUP BY pair_id),
 j AS (SELECT one.*, stop IS NULL OR coalesce(turn, 9223372036854775807) < stop AS shared
@@ -96,7 +131,8 @@ parts AS (SELECT pair_id, 'prompt' AS part, turn, role, text, c AS n FROM j WHER
   UNION ALL SELECT pair_id, 'chosen', turn, role, text, c FROM j WHERE NOT shared
   UNION ALL SELECT pair_id, 'rejected', turn, role, text, r FROM j WHERE NOT shared),
 copies AS (SELECT *, unnest(range(n)) AS k FROM parts WHERE n > 0)
-SELECT pair_id, part, turn, role, '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS segment,
+SELECT pair_id, part, turn, CAST(coalesce(turn, 9223372036854775807) AS BIGINT) AS seq_turn, CAST(k AS BIGINT) AS seq_copy, role,
+  '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS segment,
   CAST(length('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10)) AS BIGINT) AS n_chars,
   part <> 'prompt' AND coalesce(role = 'assistant', false) AS trained
 FROM copies
