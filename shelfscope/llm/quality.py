@@ -152,8 +152,9 @@ def fold(key: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED,
         key: str = "doc_id", text: str = "text") -> Model:
-    """Fit on a bounded sample of rows that are not held out: ``positives`` labelled good, and about
-    ``unlabelled`` of all rows by a hash of key and text, whatever their labels.  With no
+    """Fit on a bounded sample of rows that are not held out: the rows of ``positives`` keys labelled good, and about
+    ``unlabelled`` of all rows by a hash of key and text, whatever their labels.  Equal rows count once, and
+    positives + 1.25 * unlabelled rows, the first by that hash, are the most that the driver takes.  With no
     positives or no text at all, every text scores the prior 0.5."""
     importable(docs.sparkSession)
     k = F.col(f"`{key}`")
@@ -170,8 +171,10 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     def feats(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t).tobytes() for t in texts], dtype=object)
 
-    got = rows.select(F.coalesce("p", F.lit(False)).alias("p"), F.coalesce("u", F.lit(False)).alias("u"), feats("t").alias("x"),
-                      F.xxhash64("_k", "t").alias("h")).toPandas().sort_values("h", kind="stable")
+    # equal rows count once; what comes to the driver is bounded whatever repeats, the first by hash
+    rows = rows.select(F.coalesce("p", F.lit(False)).alias("p"), F.coalesce("u", F.lit(False)).alias("u"), "t",
+                       F.xxhash64("_k", "t").alias("h")).dropDuplicates(["h"])
+    got = rows.select("p", "u", feats("t").alias("x"), "h").orderBy("h").limit(positives + unlabelled * 5 // 4).toPandas()
     x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(-1, DIM)
     is_pos, is_unl = got["p"].to_numpy(bool), got["u"].to_numpy(bool)
     del got

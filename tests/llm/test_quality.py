@@ -55,3 +55,15 @@ def test_edge_tables(spark):
     assert q.query(df, lab).count() == 5
     assert q.keep_good(df, none).columns == df.columns and q.keep_good(df, none).count() == 5
     assert q.query(spark.createDataFrame([], DOCS), lab).count() == 0
+
+
+def test_a_row_that_repeats_very_often_comes_to_the_driver_once(spark, monkeypatch):
+    """Keys and texts repeated 30,000 times: the sample stays within its bound."""
+    from pyspark.sql import functions as F
+    docs = spark.range(30000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("good plain text.").alias("text"))
+    docs = docs.unionByName(spark.range(2, 400).select(F.col("id").alias("doc_id"), F.concat(F.lit("words "), F.col("id").cast("string")).alias("text")))
+    labels = spark.range(1, 300).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    taken = []
+    monkeypatch.setattr(q, "train", lambda pos, unl, prior, **kw: taken.append((len(pos), len(unl))) or q.Model(np.zeros(q.DIM), np.zeros(q.DIM), np.ones(q.DIM), 0.0, 0.5))
+    q.fit(docs, labels, positives=100, unlabelled=200)
+    assert all(a <= 350 and b <= 350 for a, b in taken)
