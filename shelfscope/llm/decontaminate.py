@@ -178,11 +178,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "do
     """One row per row of ``docs``: key, the columns ``keep``, n_words, spans
     (merged [from, to) word ranges inside windows' occurrences) and items
     (ids as strings, sorted; a null id is none).  Null or wordless texts have no words
-    and no spans, null or wordless items no windows; repeated items both count.
+    and no spans, null or wordless items no windows; repeated items both count.  A kept column named
+    like a made one (n_words, spans, items) gives way to it.
     """
     spark = docs.sparkSession
     importable(spark)
-    cols = [F.col(f"`{c}`") for c in dict.fromkeys((key, *keep))]
+    names = [c for c in dict.fromkeys((key, *keep)) if c.lower() not in ("n_words", "spans", "items")]
+    cols, made = [F.col(f"`{c}`") for c in names], fresh(docs, "_scan")
     shared = [spark.sparkContext.broadcast(Automaton(b, window)) for b in _blocks(benchmark, item, item_text, block_words)]
 
     @F.pandas_udf("n_words long, spans array<struct<a:long,b:long>>, items array<string>")
@@ -200,7 +202,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "do
             out.append((len(words), [{"a": a, "b": b} for a, b in spans], sorted(x for x in items if x is not None)))
         return pd.DataFrame(out, columns=["n_words", "spans", "items"])
 
-    return docs.select(*cols, stream(F.col(f"`{text}`")).alias("_s")).select(*cols, "_s.n_words", "_s.spans", "_s.items")
+    out = docs.select(*cols, stream(F.col(f"`{text}`")).alias(made))
+    return out.select(*cols, *[F.col(made)[c].alias(c) for c in ("n_words", "spans", "items")])
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

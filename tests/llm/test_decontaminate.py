@@ -90,3 +90,10 @@ def test_removal_is_exact():
     text = "Aé-b c,  D e"
     assert d.remove(text, [(1, 3)]) == "Aé-,  D e" and d.remove(text, [(0, 5)]) == ""
     assert (np.array(d.merge([(3, 5), (0, 1), (1, 2), (4, 9)])) == [[0, 2], [3, 9]]).all()
+
+
+def test_kept_columns_may_have_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k", "s", "scan", 7)], "doc_id long, text string, _s string, _scan string, n_words int")
+    bench = spark.createDataFrame([("x", "a b c d e f g h i j")], "item_id string, text string")
+    r = d.scan(docs, bench, keep=("_s", "_scan", "n_words")).collect()
+    assert len(r) == 1 and r[0].asDict() == {"doc_id": 1, "_s": "s", "_scan": "scan", "n_words": 11, "spans": [(0, 10)], "items": ["x"]}
