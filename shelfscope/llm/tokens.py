@@ -74,8 +74,7 @@ class Encoder:
                 ask.add(w[len(core):])
             else:
                 ask.add(w)
-        ask.difference_update(self.words)
-        words = sorted(ask)
+        words = sorted(ask.difference(self.words))  # difference_update would walk through all the words known
         for i in range(0, len(words), 20_000):
             part = words[i:i + 20_000]
             got = self.tok.encode_batch_fast([" \x00 ".join(part)], add_special_tokens=False)[0].ids
