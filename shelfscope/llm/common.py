@@ -21,10 +21,23 @@ def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from the folder the driver runs
     it from (a cluster ships it with --py-files; the entry then does no harm)."""
     env = spark.sparkContext.environment
+    # workers hand freed Arrow memory back to the system; they share a container with the JVM
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    env.setdefault("MALLOC_ARENA_MAX", "2")
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
 
 
+def give_back() -> None:
+    """Hand freed memory of a Python worker back to the system: workers live on from stage to stage, beside the JVM."""
+    import ctypes
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

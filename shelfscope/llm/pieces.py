@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import importable
+from .common import fresh, give_back, importable
 
 SPACE = "▁"
-CACHE_UNITS = 400_000  # units and parts of units that a worker remembers, about 200 bytes each
+CACHE_UNITS = 150_000  # units and parts of units in a generation, about 200 bytes each; a worker remembers two generations
+MEMO = 1 << 20         # pairs of pieces whose feasibility a worker remembers, 9 bytes each
 BATCH = 8192           # units that advance together
 PART = 1 << 20         # characters cut into units at once
-_P = np.uint64(0x9E3779B97F4A7C15)
+_P, _SALT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _NONE, _START = -9, -2
 _CUT = 0xE000  # a private character; units that hold it are not cut
 
@@ -72,6 +73,8 @@ class Pieces:
         self._hashes()
         self._borders()
         self.units: dict[str, bytes] = {}  # ids of units and of their parts
+        self.older: dict[str, bytes] = {}  # the generation before: what is met again moves up, the rest goes
+        self.memo_pair, self.memo_ok = np.full(MEMO, -1, np.int64), np.zeros(MEMO, bool)
 
     def _merges(self) -> None:
         merged = sorted((p for p in self.text if len(p) > 1), key=lambda p: -self.score[self.text[p]])
@@ -110,17 +113,21 @@ class Pieces:
         self.pair_keys, self.pair_rank = keys, self.rank[[pairs[k] for k in keys.tolist()]]
 
     def _hashes(self) -> None:
-        self.by_length = {}
-        for n in range(1, self.longest + 1):
-            own = sorted((p, i) for p, i in self.usable.items() if len(p) == n)
-            if not own:
-                continue
-            codes = np.frombuffer("".join(p for p, _ in own).encode("utf-32-le"), np.uint32).reshape(-1, n)
-            h = np.zeros(len(own), np.uint64)
-            for k in range(n):
-                h = h * _P + codes[:, k]
-            order = np.argsort(h)
-            self.by_length[n] = (h[order], np.array([i for _, i in own])[order], codes[order])
+        """All pieces in one table sorted by hash (which the length is mixed into); their characters lie at the right of a row."""
+        own = sorted((p, i) for p, i in self.usable.items())
+        self.sizes = np.array(sorted({len(p) for p, _ in own}))
+        self.power = np.array([pow(int(_P), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
+        self.salt = np.arange(self.longest + 1, dtype=np.uint64) * _SALT
+        texts = np.zeros((len(own), self.longest), np.uint32)
+        hashes = np.zeros(len(own), np.uint64)
+        for r, (p, _) in enumerate(own):
+            texts[r, self.longest - len(p):] = np.frombuffer(p.encode("utf-32-le"), np.uint32)
+        for k in range(self.longest):
+            hashes = hashes * _P + texts[:, k]
+        hashes ^= self.salt[[len(p) for p, _ in own]]
+        order = np.argsort(hashes)
+        self.keys, self.ids, self.texts = hashes[order], np.array([i for _, i in own])[order], texts[order]
+        self.single = np.unique(np.array([ord(p) for p, _ in own if len(p) == 1], np.uint32))
 
     def _borders(self) -> None:
         """The pairs of characters that stand side by side in some piece."""
@@ -149,6 +156,17 @@ class Pieces:
         return np.where(self.pair_keys[at] == key, self.pair_rank[at], 1 << 40)
 
     def feasible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``stays_two``, looked up by pair first; a pair overwrites the one that had its place."""
+        pair = a * (self.size + 1) + b
+        place = ((pair.view(np.uint64) * _P) >> np.uint64(44)).astype(np.int64) & (MEMO - 1)
+        ok = self.memo_ok[place]
+        miss = np.flatnonzero(self.memo_pair[place] != pair)
+        if len(miss):
+            ok[miss] = self.stays_two(a[miss], b[miss])
+            self.memo_pair[place[miss]], self.memo_ok[place[miss]] = pair[miss], ok[miss]
+        return ok
+
+    def stays_two(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether two neighbouring pieces stay two: undoes the later one's last
         merge, again and again, and looks whether the border would have merged before."""
         width = self.size + 1
@@ -180,31 +198,32 @@ class Pieces:
         back = np.zeros((count, n + 1), np.int64)
         best = np.full((count, n + 1), -np.inf)
         last[:, 0], best[:, 0] = _START, 0.0
-        power = [np.uint64(1)]
-        for _ in range(self.longest):
-            power.append(np.uint64((int(power[-1]) * int(_P)) & ((1 << 64) - 1)))
+        wide = np.concatenate((np.zeros((count, self.longest), np.uint32), codes), axis=1)
+        column = np.arange(self.longest)
         for j in range(1, n + 1):
-            for size, (keys, ids, texts) in self.by_length.items():
-                i = j - size
-                if i < 0:
-                    continue
-                sub = h[:, j] - h[:, i] * power[size]
-                at = np.minimum(np.searchsorted(keys, sub), len(keys) - 1)
-                rows = np.flatnonzero((keys[at] == sub) & (last[:, i] != _NONE))
-                rows = rows[(texts[at[rows]] == codes[rows, i:j]).all(axis=1)]
-                if not len(rows):
-                    continue
-                piece = ids[at[rows]]
-                score = best[rows, i] + self.score[piece]
+            size = self.sizes[self.sizes <= j]
+            sub = (h[:, j, None] - h[:, j - size] * self.power[size]) ^ self.salt[size]  # every substring that ends here
+            at = np.minimum(np.searchsorted(self.keys, sub), len(self.keys) - 1)
+            rows, k = np.nonzero((self.keys[at] == sub) & (last[:, j - size] != _NONE))
+            if len(rows):
+                at, size = at[rows, k], size[k]
+                same = ((wide[rows, j:j + self.longest] == self.texts[at]) | (column < self.longest - size[:, None])).all(axis=1)
+                rows, at, size = rows[same], at[same], size[same]  # shorter pieces first; what is written last stays
+                piece, i = self.ids[at], j - size
                 if self.bpe:
+                    ok = np.ones(len(rows), bool)
+                    inner = np.flatnonzero(i)
+                    ok[inner] = self.feasible(last[rows[inner], i[inner]], piece[inner])
+                    rows, piece, size = rows[ok], piece[ok], size[ok]
                     score = np.zeros(len(rows))
-                    if i:
-                        score[~self.feasible(last[rows, i], piece)] = -np.inf
-                up = score > best[rows, j]
-                last[rows[up], j], back[rows[up], j], best[rows[up], j] = piece[up], size, score[up]
+                else:
+                    score = best[rows, i] + self.score[piece]
+                    up = np.argsort(score, kind="stable")  # the maximum is written last, of equal ones the longest piece
+                    rows, piece, size, score = rows[up], piece[up], size[up], score[up]
+                last[rows, j], back[rows, j], best[rows, j] = piece, size, score
             lost = last[:, j] == _NONE
             if lost.any():  # an unknown character, if nothing else ends here
-                known = np.isin(codes[:, j - 1], self.by_length[1][2][:, 0])
+                known = np.isin(codes[:, j - 1], self.single)
                 lost &= ~known
                 last[lost, j], back[lost, j] = self.size, 1
                 best[lost, j] = best[lost, j - 1] - (0 if self.bpe else 1e6)
@@ -243,7 +262,7 @@ class Pieces:
         if plain:
             whole += zip(plain, self._parts(plain))
         by: dict[int, list[str]] = {}
-        for x in set(chain.from_iterable(p for _, p in whole)).difference(self.units):
+        for x in self._unknown(set(chain.from_iterable(p for _, p in whole))):
             by.setdefault(len(x), []).append(x)
         for same in by.values():
             # long parts in smaller batches: a batch holds a bounded number of characters
@@ -259,15 +278,26 @@ class Pieces:
         cut, out = [], []
         for t in texts:
             cut.append(self.cut.findall(" " + t) if t else [])
-        if len(self.units) > CACHE_UNITS:
-            self.units.clear()
-        new = set().union(*cut).difference(self.units) if cut else set()
-        self._learn(new)
+        self._learn(self._unknown(set().union(*cut)))
         get = self.units.__getitem__
         for units in cut:
             out.append(np.frombuffer(b"".join(map(get, units)), "<u2").astype(np.int32))
+        if len(self.units) > CACHE_UNITS:
+            self.units, self.older = {}, self.units
         return out
 
+    def _unknown(self, units: set[str]) -> set[str]:
+        """Those of ``units`` that neither generation knows; what the older one knows moves up."""
+        new = units.difference(self.units)
+        again = {u for u in new if u in self.older}
+        self.units.update((u, self.older[u]) for u in again)
+        return new.difference(again)
+
+    def rest(self) -> None:
+        """Between tasks: one generation is kept, the rest of the memory goes back."""
+        self.older = {}
+        give_back()
+
     def decode(self, ids) -> str:
         """The text of ids: the mark in front goes; bytes that are no UTF-8 become the replacement character."""
         raw = b"".join(map(self.raw.__getitem__, np.asarray(ids, dtype=np.int64).tolist()))
@@ -288,7 +318,7 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _encoded(path: str, column: str, check: bool):
+def _encoded(path: str, column: str, check: bool, made: list[str]):
     """Arrow batches with the ids of a text column behind them (and, on demand,
     whether the ids decode to the text); small batches, whatever the input's are."""
     def run(batches):
@@ -311,23 +341,27 @@ def _encoded(path: str, column: str, check: bool):
                 columns = [*part.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))]
                 if check:
                     columns.append(pa.array([p.decode(x) == (t or "") for x, t in zip(ids, texts)]))
-                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "made_ids", *["made_check"] * check])
+                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *made])
                 i = j
+        p.rest()
     return run
 
 
 def encode_docs(docs: DataFrame, path: str, text: str = "text", name: str = "ids", check: str | None = None) -> DataFrame:
     """Adds the ids (array<int>) of each whole text; null and empty texts have none.
-    Columns are kept; one named ``name`` is replaced.  ``check`` names a column that tells
-    whether the ids decode to the text (a null text counts as an empty one)."""
+    Columns are kept, whatever their names; one named ``name`` (or ``check``) is replaced.  ``check`` names a column that tells
+    whether the ids decode to the text (a null text counts as an empty one).  Each row has its ids, repeated
+    rows the same; texts of any length are encoded whole; an empty table gives no rows.  Of equal scores the
+    longest last piece stays, as in the library (a BPE model has one feasible piece and no ties)."""
     importable(docs.sparkSession)
     keep = [c for c in docs.columns if c.lower() not in (name.lower(), (check or name).lower())]
     if len({c.lower() for c in [*keep, text]}) > len(keep):
         raise ValueError("the text column would be replaced")
     rows = docs.select(*[F.col(f"`{c}`") for c in keep])
-    schema = T.StructType([*rows.schema.fields, T.StructField("made_ids", T.ArrayType(T.IntegerType())),
-                           *[T.StructField("made_check", T.BooleanType())] * bool(check)])
-    out = rows.mapInArrow(_encoded(path, text, bool(check)), schema)
+    made = [fresh(rows, "made_ids"), *[fresh(rows, "made_check")] * bool(check)]
+    schema = T.StructType([*rows.schema.fields, T.StructField(made[0], T.ArrayType(T.IntegerType())),
+                           *[T.StructField(x, T.BooleanType()) for x in made[1:]]])
+    out = rows.mapInArrow(_encoded(path, text, bool(check), made), schema)
     return out.toDF(*keep, name, *[check] * bool(check))
 
 
