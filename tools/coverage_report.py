@@ -20,14 +20,14 @@ from shelfscope.registry import load_all  # noqa: E402
 IMPL = {
     "S1": ("gzip JSON report -> rows", ["sources.files:read_report_json"]),
     "S2": ("ORC report", ["sources.files:read_report_orc"]),
-    "S3": ("CSV report, skipped rows, file position", ["sources.files:read_report_csv", "sources.files:numbered", "sources.files:header_groups"]),
+    "S3": ("CSV report, skipped rows, file position", ["sources.files:read_report_csv", "sources.splits:CsvFiles", "sources.splits:first_lines"]),
     "S4": ("dispatch on suffix", ["sources.files:read_report"]),
     "S5": ("warehouse table by name", ["sources.files:read_table"]),
     "S6": ("per-country SQL text", ["sources.files:run_country_sql"]),
     "S7": ("latest file by string order", ["sources.files:latest_file"]),
-    "S8": ("read every file of a table", ["sources.files:read_all", "sources.files:header_groups"]),
+    "S8": ("read every file of a table", ["sources.files:read_all", "sources.splits:first_lines"]),
     "S9": ("files of the latest dd.MM.yy date", ["sources.files:read_latest_dated", "sources.files:latest_dated_paths"]),
-    "S10": ("search-terms projection", ["sources.files:read_search_terms"]),
+    "S10": ("search-terms projection", ["sources.files:read_search_terms", "sources.splits:json_elements"]),
     "S11": ("landed dates and file names", ["sources.files:landed_dates", "sources.files:landed_names"]),
     "S12": ("payload outcome", ["sources.payload:classify_payload"]),
     "P1": ("daily half-open windows", ["operators.planning:daily_windows", "operators.windows:assign_window"]),
