@@ -141,15 +141,17 @@ IMPL = {
     "R10": ("market basket -- NOT BUILT (needs all item pairs within an order; see README)", []),
     "R11": ("repeat purchase", ["plans.reports:repeat_purchase"]),
     "R12": ("search-term ranks", ["plans.reports:search_term_ranks", "plans.reports:rank_desc"]),
-    "R13": ("item-day facts, quantiles", ["plans.reports:item_day_facts", "plans.reports:exact_percentiles"]),
-    "R14": ("omnichannel star, incremental vs snapshot", ["plans.reports:omni_star", "sinks:write_by_date"]),
+    "R13": ("item-day facts, quantiles", ["plans.reports:item_day_facts", "plans.reports:exact_percentiles", "plans.inventory:fifo_match",
+                                             "plans.inventory:inventory_day_facts"]),
+    "R14": ("omnichannel star, incremental vs snapshot", ["plans.reports:omni_star", "sinks:write_by_date", "plans.history:snapshot_history",
+                                                                 "plans.history:join_valid"]),
     "K1": ("CSV at a path template", ["sinks:write_report", "sinks:write_by_date"]),
     "K2": ("dated CSV, sorted columns", ["sinks:write_dated", "sinks:write_dated_many"]),
     "K3": ("upload with date from data", ["sinks:upload_with_data_date"]),
     "K4": ("archive to Parquet", ["sinks:archive_csv", "sinks:archive_landed"]),
     "K5": ("workflow log", ["sinks:append_workflow_log", "sinks:latest_status"]),
     "K6": ("plain dated CSV, unsorted", ["sinks:write_report"]),
-    "T1": ("landing-folder stream ingest", ["streaming.ingest:start_ingest"]),
+    "T1": ("landing-folder stream ingest", ["streaming.ingest:start_ingest", "streaming.ingest:start_repull", "streaming.ingest:read_repull"]),
 }
 
 
