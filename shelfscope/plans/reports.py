@@ -17,7 +17,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,30 +47,42 @@ def touches(purchases: DataFrame, clicks: DataFrame, ts: str = "ts") -> DataFram
             .unionByName(clicks.withColumn(ts, F.col("click_ts")).withColumn("is_click", F.lit(True)), allowMissingColumns=True))
 
 
-def last_click_of(both: DataFrame, click_cols: Sequence[str], user: str = "user_id", ts: str = "ts",
+def last_touch_of(both: DataFrame, cols: Sequence[str], kinds: Sequence[str], user: str = "user_id", ts: str = "ts",
                   bucket: str = "hour") -> DataFrame:
-    """Rows of ``touches`` -> its purchases, each with the latest click of the
-    same user at or before it (NULL columns when none, and for purchases
-    without a user).  Time is cut into ``bucket`` periods: the click of the same
-    period comes from a window inside one (user, period), an earlier one from a
-    running max over the user's active periods (one row each, combined
-    map-side), so no window ever holds a user's whole history of events."""
-    click = F.when(F.col("is_click"), F.struct(*[F.col(x) for x in click_cols]))
-    keep = [c for c in both.columns if c not in (*click_cols, "is_click")]
+    """Rows with a ``touch`` column (a kind, NULL on a purchase) -> the purchases,
+    each with one struct ``last_<kind>`` of ``cols`` for every kind: the latest
+    touch of that kind by the same user at or before it (NULL when none, and for
+    purchases without a user).  ``cols`` start with the time of the touch.
+
+    Time is cut into ``bucket`` periods: the touch of the same period comes from a
+    window inside one (user, period), an earlier one from a running max over the
+    user's active periods (one row each, combined map-side), so no window ever
+    holds a user's whole history of events.  All kinds share both shuffles."""
+    of = {k: F.when(F.col("touch") == k, F.struct(*[F.col(x) for x in cols])) for k in kinds}
+    keep = [c for c in both.columns if c not in (*cols, "touch")]
     known = both.where(F.col(user).isNotNull()).withColumn("__hour", F.date_trunc(bucket, F.col(ts)))
-    hours = known.groupBy(user, "__hour").agg(F.max(click).alias("__last"))
+    hours = known.groupBy(user, "__hour").agg(*[F.max(of[k]).alias(f"__last_{k}") for k in kinds])
     before = Window.partitionBy(user).orderBy("__hour").rowsBetween(Window.unboundedPreceding, -1)
-    hours = hours.select(user, "__hour", F.max("__last").over(before).alias("__prior"))
-    inside = (Window.partitionBy(user, "__hour").orderBy(F.col(ts), F.col("is_click").desc())
+    hours = hours.select(user, "__hour", *[F.max(f"__last_{k}").over(before).alias(f"__prior_{k}") for k in kinds])
+    inside = (Window.partitionBy(user, "__hour").orderBy(F.col(ts), F.col("touch").isNull())
               .rowsBetween(Window.unboundedPreceding, 0))
-    bought = known.withColumn("__same", F.max(click).over(inside)).where(~F.col("is_click"))
-    best = F.coalesce(F.col("__same"), F.col("__prior"))
-    out = bought.join(hours, [user, "__hour"], "left").select(*keep, *[best[x].alias(x) for x in click_cols])
-    nobody = both.where(F.col(user).isNull() & ~F.col("is_click")).select(
-        *keep, *[F.lit(None).cast(both.schema[x].dataType).alias(x) for x in click_cols])
+    bought = known.select("*", *[F.max(of[k]).over(inside).alias(f"__same_{k}") for k in kinds]).where(F.col("touch").isNull())
+    out = bought.join(hours, [user, "__hour"], "left").select(
+        *keep, *[F.coalesce(F.col(f"__same_{k}"), F.col(f"__prior_{k}")).alias(f"last_{k}") for k in kinds])
+    nobody = both.where(F.col(user).isNull() & F.col("touch").isNull()).select(
+        *keep, *[F.lit(None).cast(out.schema[f"last_{k}"].dataType).alias(f"last_{k}") for k in kinds])
     return out.unionByName(nobody)
 
 
+def last_click_of(both: DataFrame, click_cols: Sequence[str], user: str = "user_id", ts: str = "ts",
+                  bucket: str = "hour") -> DataFrame:
+    """Rows of ``touches`` -> its purchases, each with the columns of the latest
+    click of the same user at or before it (``last_touch_of`` with one kind)."""
+    one = both.withColumn("touch", F.when(F.col("is_click"), F.lit("click"))).drop("is_click")
+    out = last_touch_of(one, click_cols, ["click"], user, ts, bucket)
+    return out.select(*[c for c in out.columns if c != "last_click"], *[F.col("last_click")[x].alias(x) for x in click_cols])
+
+
 def last_click(purchases: DataFrame, clicks: DataFrame, user: str = "user_id", ts: str = "ts",
                click_cols: Sequence[str] = CLICK_COLS, bucket: str = "hour") -> DataFrame:
     """``last_click_of`` two tables; ``clicks`` has ``click_cols`` with
@@ -78,6 +90,14 @@ def last_click(purchases: DataFrame, clicks: DataFrame, user: str = "user_id", t
     return last_click_of(touches(purchases, clicks.select(user, *click_cols), ts), click_cols, user, ts, bucket)
 
 
+def _in_windows(credited: DataFrame, days: Sequence[int], sku: str) -> DataFrame:
+    lag = _lag_us("click_ts", "ts")
+    out = credited.withColumn("click_day", F.col("click_ts").cast("date"))
+    for n in days:
+        out = out.withColumn(f"in_{n}d", lag <= F.lit(n * DAY_US))
+    return out.withColumn("same_sku", F.col(sku).eqNullSafe(F.col("advertised_sku")))
+
+
 def attribute(both: DataFrame, click_cols: Sequence[str] = CLICK_COLS, days: Sequence[int] = WINDOW_DAYS,
               sku: str = "sku") -> DataFrame:
     """R2 + R3: purchases of ``touches`` credited to the campaign of the user's
@@ -85,11 +105,30 @@ def attribute(both: DataFrame, click_cols: Sequence[str] = CLICK_COLS, days: Seq
     window and a same-item flag (bought item == advertised item)."""
     lc = last_click_of(both, click_cols)
     lag = _lag_us("click_ts", "ts")
-    out = lc.where(F.col("click_ts").isNotNull() & (lag <= F.lit(max(days) * DAY_US)))
-    out = out.withColumn("click_day", F.col("click_ts").cast("date"))
-    for n in days:
-        out = out.withColumn(f"in_{n}d", lag <= F.lit(n * DAY_US))
-    return out.withColumn("same_sku", F.col(sku).eqNullSafe(F.col("advertised_sku")))
+    return _in_windows(lc.where(F.col("click_ts").isNotNull() & (lag <= F.lit(max(days) * DAY_US))), days, sku)
+
+
+def attribute_views(both: DataFrame, click_cols: Sequence[str] = CLICK_COLS, days: Sequence[int] = WINDOW_DAYS,
+                    sku: str = "sku", view_days: int = 14) -> DataFrame:
+    """The credits of ``attribute``, and view-through ones (``by_view``) for display
+    ads: a purchase without a click in the ``view_days`` before it goes to the
+    user's last view in them.  ``both`` has ``touch``: 'click', 'view', or NULL on a
+    purchase; ``click_cols`` hold the touch of either kind.  A purchase has at
+    most one credit of each kind, found in one pass."""
+    lt = last_touch_of(both, click_cols, ["click", "view"])
+
+    def within(kind: str, n: int) -> Column:
+        return F.coalesce(_lag_us(f"last_{kind}.click_ts", "ts") <= F.lit(n * DAY_US), F.lit(False))
+
+    def credit(kind: str) -> Column:
+        return F.struct(F.col(f"last_{kind}").alias("touch"), F.lit(kind == "view").alias("by_view"))
+
+    credits = F.array_compact(F.array(F.when(within("click", max(days)), credit("click")),
+                                      F.when(~within("click", view_days) & within("view", view_days), credit("view"))))
+    keep = [c for c in lt.columns if c not in ("last_click", "last_view")]
+    out = lt.select(*keep, F.explode(credits).alias("__credit"))
+    return _in_windows(out.select(*keep, F.col("__credit.by_view").alias("by_view"),
+                                  *[F.col("__credit.touch")[x].alias(x) for x in click_cols]), days, sku)
 
 
 # name of the measure: (what it sums, which purchases of the window count)
@@ -98,34 +137,60 @@ ATTRIBUTED = {
     "purchasesSameSku": ("1", "same"), "attributedSalesSameSku": ("sales", "same"), "unitsSoldSameSku": ("units", "same"),
     "purchasesOtherSku": ("1", "other"), "salesOtherSku": ("sales", "other"), "unitsSoldOtherSku": ("units", "other"),
 }
-# New-to-brand measures count the purchases of a 14-day window.
+# New-to-brand measures count the purchases of a 14-day window, view-through ones too.
 NEW_TO_BRAND = {"newToBrandPurchases": "1", "newToBrandSales": "sales", "newToBrandUnitsSold": "units"}
+VIEW_THROUGH = {"purchasesViews": "1", "salesViews": "sales", "unitsSoldViews": "units"}
 NEW_TO_BRAND_DAYS = 14
 MONEY = "decimal(28,2)"
 
 
 def attributed_sums(attributed: DataFrame, dims: Sequence[str] = ("click_day", "campaign_id"),
-                    days: Sequence[int] = WINDOW_DAYS, money: str = "double") -> DataFrame:
+                    days: Sequence[int] = WINDOW_DAYS, money: str = "double", wanted: Sequence[str] | None = None) -> DataFrame:
     """Per click day and dimensions: purchases / sales / units per window: total,
     of the advertised item and of other items; new-to-brand ones if the input
-    flags them (``ntb``).  Sums without rows are 0; sums are exact and cast to ``money`` once."""
+    flags them (``ntb``).  Rows that a view won (``by_view``) are summed apart, in
+    measures that end in ``Views``.  Sums without rows are 0; sums are exact and
+    cast to ``money`` once.  ``wanted`` leaves out every other measure."""
     count = {"all": "true", "same": "same_sku", "other": "NOT same_sku"}
-
-    def total(what: str, cond: str, name: str):
-        kind = money if what == "sales" else "bigint"
-        return F.expr(f"CAST(sum(CASE WHEN {cond} THEN {what} ELSE 0 END) AS {kind}) AS {name}")
-
-    aggs = [total(what, f"in_{n}d AND {count[which]}", f"{m}{n}d") for n in days for m, (what, which) in ATTRIBUTED.items()]
+    aggs = {f"{m}{n}d": (what, f"in_{n}d AND {count[which]}") for n in days for m, (what, which) in ATTRIBUTED.items()}
+    last = f"in_{NEW_TO_BRAND_DAYS}d"
     if "ntb" in attributed.columns:
-        aggs += [total(what, f"in_{NEW_TO_BRAND_DAYS}d AND ntb", m) for m, what in NEW_TO_BRAND.items()]
-    return attributed.groupBy(*dims).agg(*aggs)
+        aggs |= {m: (what, f"{last} AND ntb") for m, what in NEW_TO_BRAND.items()}
+    if "by_view" in attributed.columns:
+        aggs = {m: (what, f"NOT by_view AND {cond}") for m, (what, cond) in aggs.items()}
+        aggs |= {m: (what, f"by_view AND {last}") for m, what in VIEW_THROUGH.items()}
+        if "ntb" in attributed.columns:
+            aggs |= {f"{m}Views": (what, f"by_view AND {last} AND ntb") for m, what in NEW_TO_BRAND.items()}
+    sums = [F.expr(f"CAST(sum(CASE WHEN {cond} THEN {what} ELSE 0 END) AS {money if what == 'sales' else 'bigint'}) AS {m}")
+            for m, (what, cond) in aggs.items() if wanted is None or m in wanted]
+    rows = attributed.groupBy(*dims)
+    return rows.agg(*sums) if sums else attributed.select(*dims).distinct()
 
 
 # ----------------------------------------------------------------------------
 # R1 / R4 report spec runner and measure registry
 
-def _div(a: str, b: str) -> Column:
-    return F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
+@dataclass(frozen=True)
+class Measure:
+    """A column of a declared report: the summed measures it reads, and its SQL."""
+    needs: tuple[str, ...]
+    sql: str
+
+
+def _total(names: Sequence[str], kind: str) -> str:
+    return f"CAST({' + '.join(f'coalesce({m}, 0)' for m in names)} AS {kind})"
+
+
+def _count(*names: str) -> Measure:
+    return Measure(names, _total(names, "bigint"))
+
+
+def _value(*names: str) -> Measure:
+    return Measure(names, _total(names, "double"))
+
+
+def _ratio(a: str, b: str, times: str = "") -> Measure:
+    return Measure((a, b), f"try_divide({_total([a], 'double')}{times}, {_total([b], 'double')})")
 
 
 # Video progress (percent watched) of each funnel step.
@@ -134,102 +199,215 @@ FUNNEL_STEPS = {"videoFirstQuartileViews": 25, "videoMidpointViews": 50, "videoT
 TRAFFIC_MEASURES = ["impressions", "clicks", "cost", *FUNNEL_STEPS, "viewableImpressions", "video5SecondViews"]
 
 
-def _measure_registry(days: Sequence[int] = WINDOW_DAYS) -> dict[str, Callable[[], Column]]:
-    count = lambda m: (lambda: F.coalesce(F.col(m), F.lit(0)).cast("bigint"))
-    value = lambda m: (lambda: F.coalesce(F.col(m), F.lit(0)).cast("double"))
-    share = lambda a, b: (lambda: F.try_divide(F.col(a).cast("double") * 100.0, F.col(b).cast("double")))
-    reg: dict[str, Callable[[], Column]] = {
-        "impressions": count("impressions"), "clicks": count("clicks"), "cost": value("cost"), "spend": value("cost"),
-        "clickThroughRate": lambda: _div("clicks", "impressions"),
-        "costPerClick": lambda: _div("cost", "clicks"),
-        "viewabilityRate": lambda: _div("viewableImpressions", "impressions"),
-        "video5SecondViews": count("video5SecondViews"),
-        "video5SecondViewRate": lambda: _div("video5SecondViews", "impressions"),
-        **{m: count(m) for m in FUNNEL_STEPS},
+def _measure_registry(days: Sequence[int] = WINDOW_DAYS) -> dict[str, Measure]:
+    reg = {
+        "impressions": _count("impressions"), "clicks": _count("clicks"), "cost": _value("cost"), "spend": _value("cost"),
+        "clickThroughRate": _ratio("clicks", "impressions"),
+        "costPerClick": _ratio("cost", "clicks"),
+        "viewableImpressions": _count("viewableImpressions"), "impressionsViews": _count("viewableImpressions"),
+        "viewabilityRate": _ratio("viewableImpressions", "impressions"),
+        "viewClickThroughRate": _ratio("clicks", "viewableImpressions"),
+        "video5SecondViews": _count("video5SecondViews"),
+        "video5SecondViewRate": _ratio("video5SecondViews", "impressions"),
+        **{m: _count(m) for m in FUNNEL_STEPS},
     }
     for n in days:
         for base, (what, _) in ATTRIBUTED.items():
-            reg[f"{base}{n}d"] = value(f"{base}{n}d") if what == "sales" else count(f"{base}{n}d")
-        reg[f"acosClicks{n}d"] = (lambda m=f"sales{n}d": _div("cost", m))
-        reg[f"roasClicks{n}d"] = (lambda m=f"sales{n}d": _div(m, "cost"))
+            reg[f"{base}{n}d"] = _value(f"{base}{n}d") if what == "sales" else _count(f"{base}{n}d")
+        reg[f"acosClicks{n}d"] = _ratio("cost", f"sales{n}d")
+        reg[f"roasClicks{n}d"] = _ratio(f"sales{n}d", "cost")
     n = NEW_TO_BRAND_DAYS  # reports without a window in the name use this one
     for name, m in (("purchases", "purchases"), ("purchasesClicks", "purchases"), ("unitsSold", "unitsSoldClicks"),
-                    ("unitsSoldClicks", "unitsSoldClicks"), ("purchasesPromoted", "purchasesSameSku")):
-        reg[name] = count(f"{m}{n}d")
-    for name, m in (("sales", "sales"), ("salesClicks", "sales"), ("salesPromoted", "attributedSalesSameSku")):
-        reg[name] = value(f"{m}{n}d")
+                    ("unitsSoldClicks", "unitsSoldClicks"), ("purchasesPromoted", "purchasesSameSku"),
+                    ("purchasesPromotedClicks", "purchasesSameSku"), (f"orders{n}d", "purchases"),
+                    (f"ordersClicks{n}d", "purchases"), (f"unitsSold{n}d", "unitsSoldClicks")):
+        reg[name] = _count(f"{m}{n}d")
+    for name, m in (("sales", "sales"), ("salesClicks", "sales"), ("salesPromoted", "attributedSalesSameSku"),
+                    ("salesPromotedClicks", "attributedSalesSameSku"), (f"salesClicks{n}d", "sales")):
+        reg[name] = _value(f"{m}{n}d")
     for m, base in (("newToBrandPurchases", "purchases"), ("newToBrandSales", "sales"), ("newToBrandUnitsSold", "unitsSoldClicks")):
-        reg[m] = reg[f"{m}Clicks"] = value(m) if base == "sales" else count(m)
-        reg[f"{m}Percentage"] = share(m, f"{base}{n}d")
-    reg["newToBrandPurchasesRate"] = lambda: _div("newToBrandPurchases", "impressions")
+        reg[m] = reg[f"{m}Clicks"] = reg[f"{m}{n}d"] = _value(m) if base == "sales" else _count(m)
+        reg[f"{m}Percentage"] = reg[f"{m}Percentage{n}d"] = _ratio(m, f"{base}{n}d", " * 100.0")
+    reg["newToBrandPurchasesRate"] = _ratio("newToBrandPurchases", "impressions")
     return reg
 
 
 MEASURES = _measure_registry()
+# Display reports: names without "Clicks" count what a view won too.
+DISPLAY_MEASURES = MEASURES | {
+    "purchases": _count(f"purchases{NEW_TO_BRAND_DAYS}d", "purchasesViews"),
+    "sales": _value(f"sales{NEW_TO_BRAND_DAYS}d", "salesViews"),
+    "unitsSold": _count(f"unitsSoldClicks{NEW_TO_BRAND_DAYS}d", "unitsSoldViews"),
+    "newToBrandPurchases": _count("newToBrandPurchases", "newToBrandPurchasesViews"),
+    "newToBrandSales": _value("newToBrandSales", "newToBrandSalesViews"),
+    "newToBrandUnitsSold": _count("newToBrandUnitsSold", "newToBrandUnitsSoldViews"),
+}
+BASE_MEASURES = frozenset(b for m in DISPLAY_MEASURES.values() for b in m.needs)
+# Not sums: from ``cumulative_reach`` by the report's own grain.
+REACH_MEASURES = ("cumulativeReach", "impressionsFrequencyAverage")
 DIMENSIONS = {"date": "date", "campaignId": "campaign_id", "campaignName": "campaign_name", "adGroupName": "ad_group",
-              "targeting": "targeting", "keyword": "targeting", "placementClassification": "placement",
-              "advertisedAsin": "advertised_sku", "advertisedSku": "advertised_sku", "purchasedAsin": "sku"}
+              "targeting": "targeting", "keyword": "targeting", "keywordText": "targeting", "targetingText": "targeting",
+              "targetingExpression": "targeting", "placementClassification": "placement",
+              "advertisedAsin": "advertised_sku", "advertisedSku": "advertised_sku", "promotedAsin": "advertised_sku",
+              "promotedSku": "advertised_sku", "purchasedAsin": "sku"}
+BOUGHT = "sku"  # the dimension that traffic lacks
 # what each ``groupBy`` name of a declared report puts a row to (beside the date)
-GRAINS = {"campaigns": ["campaign_id", "campaign_name"], "adGroup": ["campaign_id", "campaign_name", "ad_group"],
+GRAINS = {"campaigns": ["campaign_id", "campaign_name"], "campaign": ["campaign_id", "campaign_name"], "adGroup": ["campaign_id", "campaign_name", "ad_group"],
           "advertiser": ["campaign_id", "campaign_name", "ad_group", "advertised_sku"],
           "targeting": ["campaign_id", "campaign_name", "ad_group", "targeting"],
           "campaignPlacement": ["campaign_id", "campaign_name", "placement"],
-          "asin": ["campaign_id", "campaign_name", "ad_group", "targeting", "advertised_sku", "sku"]}
+          "asin": ["campaign_id", "campaign_name", "ad_group", "targeting", "advertised_sku", "sku"],
+          "purchasedAsin": ["campaign_id", "campaign_name", "ad_group", "sku"]}
 
 
 @dataclass(frozen=True)
 class ReportSpec:
     """A declared report: ``group_by`` names of GRAINS or DIMENSIONS (the time
-    unit's ``date`` is always included) and requested ``columns``."""
+    unit's ``date`` is always included) and requested ``columns``; ``display``
+    reports count view-through purchases."""
     group_by: Sequence[str]
     columns: Sequence[str]
     filters: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    display: bool = False
 
     def dims(self) -> list[str]:
+        """What a row stands for, beside the date: the grain and the dimensions asked for."""
         out = []
         for g in self.group_by:
             out += GRAINS.get(g) or [DIMENSIONS[g]]
+        out += [DIMENSIONS[c] for c in self.columns if c in DIMENSIONS]
         return [d for d in dict.fromkeys(out) if d != "date"]
 
+    def measures(self) -> dict[str, Measure]:
+        """The requested measures; unknown names fail."""
+        known = DISPLAY_MEASURES if self.display else MEASURES
+        unknown = [c for c in self.columns if c not in known and c not in DIMENSIONS and c not in REACH_MEASURES]
+        if unknown:
+            raise KeyError(f"unknown report columns: {unknown}")
+        return {c: known[c] for c in self.columns if c in known}
 
-def ad_facts(traffic: DataFrame, attributed: DataFrame, dims: Sequence[str] = ("campaign_id",),
-             viewable_at: int = 10, five_seconds_at: int = 20) -> DataFrame:
-    """Daily facts by ``dims``: traffic sums plus attributed sums by click day
-    (zero-filled union, one aggregate).  Traffic has no row where it lacks one of
-    the dimensions (a bought item).  ``viewable_at`` and ``five_seconds_at`` are the percent of
-    the ad that stand for a viewable impression and for five seconds watched."""
-    a = attributed_sums(attributed, ["click_day", *dims], money=MONEY).withColumnRenamed("click_day", "date")
-    measures = {c: a.schema[c].dataType.simpleString() for c in a.columns if c not in ("date", *dims)}
-    measures.update({m: MONEY if m == "cost" else "bigint" for m in TRAFFIC_MEASURES})
-    if not set(dims) <= set(traffic.columns):
-        return union_facts(a, a.limit(0), measures)
+    def needs(self) -> list[str]:
+        """The summed measures that the requested columns read."""
+        return list(dict.fromkeys(b for m in self.measures().values() for b in m.needs))
+
+
+def traffic_sums(traffic: DataFrame, dims: Sequence[str], wanted: Sequence[str] | None = None, viewable_at: int = 10,
+                 five_seconds_at: int = 20) -> DataFrame:
+    """Daily sums of views and clicks by ``dims`` (a day of other events alone is
+    a row of zeros).  ``viewable_at`` and ``five_seconds_at`` are the percent of the
+    ad that stand for a viewable impression and for five seconds watched."""
     shown = F.col("event_type").isin("view", "click")
-    extra = []
+    click = F.col("event_type") == "click"
+    aggs = {"impressions": F.count_if(shown), "clicks": F.count_if(click),
+            "cost": F.coalesce(F.sum(F.when(click, F.col("value").cast("decimal(18,2)"))), F.lit(0)).cast(MONEY)}
     if "progress" in traffic.columns:
         steps = {**FUNNEL_STEPS, "viewableImpressions": viewable_at, "video5SecondViews": five_seconds_at}
-        extra = [F.count_if(shown & (F.col("progress") >= at)).alias(m) for m, at in steps.items()]
-    t = traffic.groupBy(F.col("day").alias("date"), *dims).agg(
-        F.count_if(shown).alias("impressions"), F.count_if(F.col("event_type") == "click").alias("clicks"),
-        F.coalesce(F.sum(F.when(F.col("event_type") == "click", F.col("value").cast("decimal(18,2)"))), F.lit(0))
-        .cast(MONEY).alias("cost"), *extra)
-    u = union_facts(t, a, measures)
-    return u.groupBy("date", *dims).agg(*[F.sum(m).alias(m) for m in measures])
-
-
-def run_report(facts: DataFrame, spec: ReportSpec, dims_table: DataFrame | None = None) -> DataFrame:
-    """Evaluate a declared report.  Unknown column names fail."""
-    unknown = [c for c in spec.columns if c not in MEASURES and c not in DIMENSIONS]
-    if unknown:
-        raise KeyError(f"unknown report columns: {unknown}")
+        aggs |= {m: F.count_if(shown & (F.col("progress") >= at)) for m, at in steps.items()}
+    aggs = {m: a for m, a in aggs.items() if wanted is None or m in wanted}
+    days = [F.col("day").alias("date"), *dims]
+    return traffic.groupBy(*days).agg(*[a.alias(m) for m, a in aggs.items()]) if aggs else traffic.select(*days).distinct()
+
+
+def _measure_types(wanted: Sequence[str] | None, *tables: DataFrame) -> dict[str, str]:
+    found = {c: t.schema[c].dataType.simpleString() for t in tables for c in t.columns if c in BASE_MEASURES}
+    found |= {m: MONEY if m == "cost" else "bigint" for m in TRAFFIC_MEASURES if m not in found}
+    return {m: k for m, k in found.items() if wanted is None or m in wanted}
+
+
+def _summed(df: DataFrame, dims: Sequence[str], measures: Mapping[str, str | None]) -> DataFrame:
+    """One row per ``dims``: the measures summed (and cast, where a type is given)."""
+    sums = [(F.sum(m).cast(k) if k else F.sum(m)).alias(m) for m, k in measures.items()]
+    return df.groupBy(*dims).agg(*sums) if sums else df.select(*dims).distinct()
+
+
+def ad_facts(traffic: DataFrame, attributed: DataFrame, dims: Sequence[str] = ("campaign_id",),
+             viewable_at: int = 10, five_seconds_at: int = 20, wanted: Sequence[str] | None = None) -> DataFrame:
+    """Daily facts by ``dims``, one row each: traffic sums plus attributed sums by
+    click day (zero-filled union, one aggregate).  Traffic has no row where it
+    lacks one of the dimensions (a bought item).  ``wanted`` (``ReportSpec.needs``)
+    leaves out every other measure, so nothing else is read or summed."""
+    a = attributed_sums(attributed, ["click_day", *dims], money=MONEY, wanted=wanted).withColumnRenamed("click_day", "date")
+    if not set(dims) <= set(traffic.columns):
+        return union_facts(a, a.limit(0), _measure_types(wanted, a))
+    t = traffic_sums(traffic, dims, wanted, viewable_at, five_seconds_at)
+    measures = _measure_types(wanted, t, a)
+    return _summed(union_facts(t, a, measures), ["date", *dims], dict.fromkeys(measures))
+
+
+def run_report(facts: DataFrame, spec: ReportSpec, dims_table: DataFrame | None = None, summed: bool = False,
+               reach: DataFrame | None = None) -> DataFrame:
+    """Evaluate a declared report.  Unknown column names fail.  ``summed``
+    says that ``facts`` has one row per date and dimensions of the report already
+    (as ``ad_facts`` of ``spec.dims()`` returns it), so nothing is summed again.
+    ``reach``: ``cumulative_reach`` by the report's dimensions, for the columns
+    that read it; a day without impressions keeps the reach of the day before."""
+    measures = spec.measures()
     f = facts.join(dims_table, "campaign_id", "left") if dims_table is not None else facts
     for col, values in spec.filters.items():
         f = f.where(F.col(DIMENSIONS.get(col, col)).isin(list(values)))
     dims = ["date", *spec.dims()]
-    dims += [DIMENSIONS[c] for c in spec.columns if c in DIMENSIONS and DIMENSIONS[c] not in dims]
-    dims = list(dict.fromkeys(dims))
-    base = [m for m in facts.columns if m not in dims and m not in DIMENSIONS.values()]
-    g = f.groupBy(*dims).agg(*[F.sum(b).alias(b) for b in base])
-    return g.select(*[F.col(DIMENSIONS[c]).alias(c) if c in DIMENSIONS else MEASURES[c]().alias(c) for c in spec.columns])
+    g = f if summed else _summed(f, dims, dict.fromkeys(spec.needs()))
+    asked = [c for c in spec.columns if c in REACH_MEASURES]
+    if asked:
+        if reach is None:
+            raise ValueError(f"no reach given for {asked}")
+        r = reach.select(*[F.col("day" if c == "date" else c).alias(f"__{c}") for c in dims], *REACH_MEASURES)
+        same = F.lit(True)
+        for c in dims:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        g = g.join(r, same, "left")
+        so_far = Window.partitionBy(*dims[1:]).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+        g = g.select(*[c for c in g.columns if c not in REACH_MEASURES],
+                     F.coalesce(F.last("cumulativeReach", True).over(so_far), F.lit(0)).alias("cumulativeReach"),
+                     F.last("impressionsFrequencyAverage", True).over(so_far).alias("impressionsFrequencyAverage"))
+    return g.select(*[F.col(DIMENSIONS[c]).alias(c) if c in DIMENSIONS else F.col(c) if c in REACH_MEASURES
+                      else F.expr(measures[c].sql).alias(c) for c in spec.columns])
+
+
+def run_reports(traffic: DataFrame, attributed: DataFrame, specs: Mapping[str, ReportSpec], folder: str,
+                viewable_at: int = 10, five_seconds_at: int = 20) -> dict[str, DataFrame]:
+    """R1, many declared reports from one scan of the events: a lattice of grains.
+
+    The finest facts of all specs are summed once and written under ``folder``
+    (shared by driver and executors); every other grain is summed from the
+    smallest written grain that holds its dimensions and written in turn, so
+    reports of one grain share it.  Runs one job a grain.
+
+    Traffic knows no bought item: grains with one come from the credited part of
+    the facts, all others from both.  Reach is no sum and has no place here."""
+    spark = traffic.sparkSession
+    wanted = list(dict.fromkeys(b for s in specs.values() for b in s.needs()))
+    reach = [c for s in specs.values() for c in s.columns if c in REACH_MEASURES]
+    if reach:
+        raise KeyError(f"not a sum: {reach}")
+    need = {name: frozenset([*s.dims(), *[DIMENSIONS.get(c, c) for c in s.filters]]) for name, s in specs.items()}
+    dims = sorted(frozenset().union(*need.values()))
+    views = ["by_view"] if "by_view" in attributed.columns else []
+    a = attributed_sums(attributed, ["click_day", *dims, *views], money=MONEY, wanted=wanted).withColumnRenamed("click_day", "date")
+    t = traffic_sums(traffic, [d for d in dims if d != BOUGHT], wanted, viewable_at, five_seconds_at)
+    measures = _measure_types(wanted, t, a)
+    if BOUGHT in dims:
+        t = t.withColumn(BOUGHT, F.lit(None).cast(a.schema[BOUGHT].dataType))
+    won = F.when(F.col("by_view"), F.lit("view")).otherwise(F.lit("click")) if views else F.lit("click")
+    facts = union_facts(t.withColumn("source", F.lit("traffic")), a.withColumn("source", won).drop(*views), measures)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder.rstrip('/')}/{name}")
+
+    finest = stored(facts, "facts")
+    # a grain and where its rows come from: all, or what clicks (and views) won of bought items
+    node = {name: (need[name], ("click", "view") if s.display else ("click",)) if BOUGHT in need[name] else (need[name], None)
+            for name, s in specs.items()}
+    made: dict[tuple, DataFrame] = {}
+    for i, (grain, sources) in enumerate(sorted(set(node.values()), key=lambda g: (-len(g[0]), sorted(g[0]), str(g[1])))):
+        finer = [g for g in made if grain < g[0] and g[1] == sources]
+        if finer:
+            src = made[min(finer, key=lambda g: (len(g[0]), sorted(g[0])))]
+        else:
+            src = finest.where(F.col("source").isin(*sources)) if sources else finest
+        made[grain, sources] = stored(_summed(src, ["date", *sorted(grain)], measures), f"grain{i}")
+    return {name: run_report(made[node[name]], s, summed=need[name] == frozenset(s.dims())) for name, s in specs.items()}
 
 
 # ----------------------------------------------------------------------------

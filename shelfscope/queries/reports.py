@@ -4,13 +4,17 @@ find the last click)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..fixture_sql import with_views
 from ..operators.planning import last_saturday
+from ..operators.setops import append_all
 from ..plans import reports as r
 from ..registry import register
+from ..session import scratch_path
 
 DAYS = r.WINDOW_DAYS
 
@@ -35,20 +39,23 @@ def _attr_sums_sql(dims: str = "campaign_id", view: str = "attributed", ntb: boo
 CLICK_COLS = ("click_ts", "campaign_id", "campaign_name", "advertised_sku", "ad_group", "targeting", "placement")
 
 
-def _touches(spark, d, ntb: bool = False):
-    """Clicks and purchases from one filtered scan of the events."""
-    ev = fx.ad_events(spark, d).where(F.col("event_type").isin("click", "purchase"))
-    is_click = F.col("event_type") == "click"
+def _touches(spark, d, ntb: bool = False, views: bool = False):
+    """Clicks (and views) and purchases from one filtered scan of the events."""
+    kinds = ["click", "view"] if views else ["click"]
+    ev = fx.ad_events(spark, d).where(F.col("event_type").isin(*kinds, "purchase"))
+    touch = F.col("event_type").isin(*kinds)
+    mark = F.when(touch, F.col("event_type")).alias("touch") if views else touch.alias("is_click")
     both = ev.select(
-        "event_id", "user_id", "ts", "day", is_click.alias("is_click"), F.when(~is_click, F.col("brand")).alias("brand"),
-        F.when(~is_click, F.col("bought_item")).alias("sku"), F.when(~is_click, F.col("value")).alias("sales"),
-        F.when(~is_click, F.lit(1) + F.col("event_id") % 3).cast("bigint").alias("units"),
-        *[F.when(is_click, F.col(src)).alias(c) for c, src in zip(CLICK_COLS, (
+        "event_id", "user_id", "ts", "day", mark, F.when(~touch, F.col("brand")).alias("brand"),
+        F.when(~touch, F.col("bought_item")).alias("sku"), F.when(~touch, F.col("value")).alias("sales"),
+        F.when(~touch, F.lit(1) + F.col("event_id") % 3).cast("bigint").alias("units"),
+        *[F.when(touch, F.col(src)).alias(c) for c, src in zip(CLICK_COLS, (
             "ts", "campaign_id", "campaign_name", "campaign_id", "ad_group", "targeting", "placement"))])
     if not ntb:
         return both
-    buys = r.flag_new_to_brand(both.where(~F.col("is_click")))
-    return buys.unionByName(both.where(F.col("is_click")).withColumn("ntb", F.lit(False)))
+    bought = F.col("touch").isNull() if views else ~F.col("is_click")
+    buys = r.flag_new_to_brand(both.where(bought))
+    return buys.unionByName(both.where(~bought).withColumn("ntb", F.lit(False)))
 
 
 @register("r2_attribution_windows", with_views(_attr_sums_sql(), "attributed"), "R2", "R3")
@@ -68,6 +75,12 @@ RATIOS = ["acosClicks7d", "acosClicks14d", "roasClicks7d", "roasClicks14d"]
 VIDEO = ["videoFirstQuartileViews", "videoMidpointViews", "videoThirdQuartileViews", "videoCompleteViews",
          "video5SecondViews", "video5SecondViewRate", "viewabilityRate"]
 BRAND = [m + s for m in ("newToBrandPurchases", "newToBrandSales", "newToBrandUnitsSold") for s in ("", "Clicks", "Percentage")]
+SOLD = ["purchases", "purchasesClicks", "purchasesPromoted", "sales", "salesClicks", "salesPromoted"]
+DISPLAY = ["impressions", "impressionsViews", "clicks", "cost", "viewabilityRate", "viewClickThroughRate", *VIDEO[:4],
+           *[m + s for m in ("newToBrandPurchases", "newToBrandSales", "newToBrandUnitsSold") for s in ("", "Clicks")],
+           "purchases", "purchasesClicks", "purchasesPromotedClicks", "sales", "salesClicks", "salesPromotedClicks", "unitsSold",
+           "unitsSoldClicks"]
+REACH = list(r.REACH_MEASURES)
 SPECS = {
     "r1_sp_campaigns_report": (["campaigns"], ["date", "campaignId", "campaignName", *COST, *WINDOWED, "acosClicks14d", "roasClicks14d"]),
     "r1_sp_advertised_product": (["advertiser"], ["date", "campaignId", "campaignName", "adGroupName", "advertisedAsin",
@@ -82,38 +95,58 @@ SPECS = {
                        "salesPromoted", "unitsSold", "unitsSoldClicks"]),
     "r1_sb_placement": (["campaignPlacement"], ["date", "campaignId", "campaignName", "placementClassification", "impressions", "clicks",
                         "cost", "clickThroughRate", *VIDEO, "purchases", "sales", "unitsSold"]),
+    "r1_sb_targeting": (["targeting"], ["date", "campaignId", "campaignName", "adGroupName", "keywordText", "targetingText",
+                        "targetingExpression", "impressions", "clicks", "cost", *BRAND, "newToBrandPurchasesRate", *SOLD, "unitsSold"]),
+    "r1_sb_purchased_product": (["purchasedAsin"], ["date", "campaignId", "campaignName", "adGroupName", "purchasedAsin",
+                                *[f"newToBrand{m}14d" for m in ("Purchases", "PurchasesPercentage", "Sales", "SalesPercentage",
+                                "UnitsSold", "UnitsSoldPercentage")], "orders14d", "ordersClicks14d", "sales14d", "salesClicks14d",
+                                "unitsSold14d", "unitsSoldClicks14d"]),
+    "r1_sd_campaigns": (["campaign"], ["date", "campaignId", "campaignName", *DISPLAY, *REACH]),
+    "r1_sd_targeting": (["targeting"], ["date", "campaignId", "campaignName", "adGroupName", "targetingText", "targetingExpression",
+                        *DISPLAY]),
+    "r1_sd_advertised_product": (["advertiser"], ["date", "campaignId", "campaignName", "adGroupName", "promotedAsin", "promotedSku",
+                                 *DISPLAY, *REACH]),
 }
 VIEWABLE_AT, FIVE_SECONDS_AT = 10, 20  # percent of the ad: half a second and five seconds of a 25-second ad, roughly
 # the same names as SQL: dimension of a column, and the measures that are not plain sums
 _DIM = {"campaignId": "campaign_id", "campaignName": "campaign_name", "adGroupName": "ad_group", "targeting": "targeting",
         "keyword": "targeting", "placementClassification": "placement", "advertisedAsin": "advertised_sku",
-        "advertisedSku": "advertised_sku", "purchasedAsin": "sku"}
+        "advertisedSku": "advertised_sku", "purchasedAsin": "sku", "promotedAsin": "advertised_sku", "promotedSku": "advertised_sku",
+        "keywordText": "targeting", "targetingText": "targeting", "targetingExpression": "targeting"}
 
 
 def _ratio(a: str, b: str, times: str = "") -> str:
     return f"CASE WHEN coalesce(sum({b}), 0) = 0 THEN NULL ELSE CAST(coalesce(sum({a}), 0) AS DOUBLE){times} / CAST(sum({b}) AS DOUBLE) END"
 
 
-def _column_sql(c: str) -> str:
+def _column_sql(c: str, display: bool) -> str:
+    if c in REACH:
+        return f"any_value({c})"
     ratios = {"clickThroughRate": ("clicks", "impressions"), "costPerClick": ("cost", "clicks"),
-              "viewabilityRate": ("viewable", "impressions"), "video5SecondViewRate": ("video5SecondViews", "impressions"),
+              "viewabilityRate": ("viewable", "impressions"), "viewClickThroughRate": ("clicks", "viewable"),
+              "video5SecondViewRate": ("video5SecondViews", "impressions"),
               "newToBrandPurchasesRate": ("newToBrandPurchases", "impressions")}
     ratios |= {f"acosClicks{n}d": ("cost", f"sales{n}d") for n in DAYS} | {f"roasClicks{n}d": (f"sales{n}d", "cost") for n in DAYS}
     if c in ratios:
         return _ratio(*ratios[c])
-    if c.endswith("Percentage"):
-        m = c.removesuffix("Percentage")
-        base = {"newToBrandPurchases": "purchases14d", "newToBrandSales": "sales14d", "newToBrandUnitsSold": "unitsSoldClicks14d"}[m]
-        return _ratio(m, base, " * 100.0")
+    brand = ("newToBrandPurchases", "newToBrandSales", "newToBrandUnitsSold")
+    if "Percentage" in c:
+        m = c.removesuffix("14d").removesuffix("Percentage")
+        return _ratio(m, dict(zip(brand, ("purchases14d", "sales14d", "unitsSoldClicks14d")))[m], " * 100.0")
     same = {"spend": "cost", "purchases": "purchases14d", "purchasesClicks": "purchases14d", "purchasesPromoted": "purchasesSameSku14d",
             "sales": "sales14d", "salesClicks": "sales14d", "salesPromoted": "attributedSalesSameSku14d",
-            "unitsSold": "unitsSoldClicks14d", "unitsSoldClicks": "unitsSoldClicks14d",
-            **{f"{m}Clicks": m for m in ("newToBrandPurchases", "newToBrandSales", "newToBrandUnitsSold")}}
+            "unitsSold": "unitsSoldClicks14d", "unitsSoldClicks": "unitsSoldClicks14d", "impressionsViews": "viewable",
+            "purchasesPromotedClicks": "purchasesSameSku14d", "salesPromotedClicks": "attributedSalesSameSku14d",
+            "orders14d": "purchases14d", "ordersClicks14d": "purchases14d", "salesClicks14d": "sales14d",
+            "unitsSold14d": "unitsSoldClicks14d", **{f"{m}Clicks": m for m in brand}, **{f"{m}14d": m for m in brand}}
+    by_view = {"purchases": "v_purchases", "sales": "v_sales", "unitsSold": "v_units",
+               **dict(zip(brand, ("v_ntb", "v_ntb_sales", "v_ntb_units")))}
+    total = f"coalesce(sum({same.get(c, c)}), 0)" + (f" + coalesce(sum({by_view[c]}), 0)" if display and c in by_view else "")
     typ = "DOUBLE" if "ales" in c or c in ("cost", "spend") else "BIGINT"
-    return f"CAST(coalesce(sum({same.get(c, c)}), 0) AS {typ})"
+    return f"CAST({total} AS {typ})"
 
 
-def _spec_sql(group_by, columns) -> str:
+def _spec_sql(group_by, columns, display) -> str:
     dims = list(dict.fromkeys(x for g in group_by for x in r.GRAINS[g]))
     names = ", ".join(dims)
     traffic_dims = ", ".join({"advertised_sku": "campaign_id AS advertised_sku", "sku": "NULL AS sku"}.get(x, x) for x in dims)
@@ -129,26 +162,76 @@ def _spec_sql(group_by, columns) -> str:
         FROM ad_events WHERE event_type IN ('view', 'click')""" + (" AND false" if "sku" in dims else ""),
         # a day and campaign of other events alone has a row of zeros too
         "quiet": f"SELECT DISTINCT day AS date, {traffic_dims} FROM ad_events" + (" WHERE false" if "sku" in dims else ""),
-        "facts": f"SELECT * FROM quiet UNION ALL BY NAME SELECT * FROM shown UNION ALL BY NAME SELECT click_day AS date, * EXCLUDE (click_day) FROM won",
     }
-    cols = ", ".join(f"date" if c == "date" else f"{_DIM[c]} AS {c}" if c in _DIM else f"{_column_sql(c)} AS {c}" for c in columns)
-    return with_views(f"SELECT {cols} FROM facts GROUP BY date, {names}", "ad_events", "ad_purchases", "attributed", extra=extra)
+    parts = ["SELECT * FROM quiet", "SELECT * FROM shown", "SELECT click_day AS date, * EXCLUDE (click_day) FROM won"]
+    if display:  # purchases without a click in 14 days go to the last view of these days
+        extra["seen"] = f"""SELECT user_id, ts AS seen_at, day, {traffic_dims} FROM ad_events WHERE event_type = 'view'"""
+        extra["by_view"] = f"""SELECT v.day AS date, {", ".join("v." + x for x in dims)}, 1 AS v_purchases, b.sales AS v_sales, b.units AS v_units,
+            CAST(b.ntb AS INTEGER) AS v_ntb, CASE WHEN b.ntb THEN b.sales ELSE 0 END AS v_ntb_sales, CASE WHEN b.ntb THEN b.units ELSE 0 END AS v_ntb_units
+          FROM bought b ASOF JOIN seen v ON b.user_id = v.user_id AND b.ts >= v.seen_at
+          WHERE date_diff('microsecond', v.seen_at, b.ts) <= 14 * 86400000000
+            AND b.event_id NOT IN (SELECT event_id FROM attributed WHERE lag_us <= 14 * 86400000000)"""
+        parts.append("SELECT * FROM by_view")
+    extra["facts"] = " UNION ALL BY NAME ".join(parts)
+    source = "facts"
+    if set(columns) & set(REACH):  # every user counts on the first day of the row's dimensions
+        extra["firsts"] = f"""SELECT {names}, day, row_number() OVER (PARTITION BY {names}, user_id ORDER BY day) = 1 AND user_id IS NOT NULL AS new
+          FROM (SELECT user_id, day, {traffic_dims} FROM ad_events WHERE event_type IN ('view', 'click'))"""
+        extra["reach"] = f"""SELECT date, {names}, coalesce(CAST(sum(n) OVER w AS BIGINT), 0) AS cumulativeReach,
+            CASE WHEN coalesce(sum(n) OVER w, 0) = 0 THEN NULL ELSE CAST(sum(i) OVER w AS DOUBLE) / CAST(sum(n) OVER w AS DOUBLE) END AS impressionsFrequencyAverage
+          FROM (SELECT f.date, {", ".join("f." + x for x in dims)}, count(*) FILTER (WHERE new) AS n, count(new) AS i
+                FROM (SELECT DISTINCT date, {names} FROM facts) f LEFT JOIN firsts s
+                  ON s.day = f.date AND {" AND ".join(f"s.{x} IS NOT DISTINCT FROM f.{x}" for x in dims)} GROUP BY ALL)
+          WINDOW w AS (PARTITION BY {names} ORDER BY date)"""
+        source = f"facts JOIN reach USING (date, {names})"
+    cols = ", ".join(f"date" if c == "date" else f"{_DIM[c]} AS {c}" if c in _DIM else f"{_column_sql(c, display)} AS {c}" for c in columns)
+    return with_views(f"SELECT {cols} FROM {source} GROUP BY date, {names}", "ad_events", "ad_purchases", "attributed", extra=extra)
+
+
+def _report(name, without=()) -> r.ReportSpec:
+    group_by, columns = SPECS[name]
+    return r.ReportSpec(group_by, [c for c in columns if c not in without], display="_sd_" in name)
+
+
+def _brand_needed(*specs) -> bool:
+    return any(m.startswith("newToBrand") for s in specs for m in s.needs())
+
+
+def _traffic(spark, d):
+    return fx.ad_events(spark, d).withColumn("advertised_sku", F.col("campaign_id"))
 
 
 def _declared(name):
-    group_by, columns = SPECS[name]
+    spec = _report(name)
 
     def run(spark, d):
-        ev = fx.ad_events(spark, d).withColumn("advertised_sku", F.col("campaign_id"))
-        spec = r.ReportSpec(group_by=group_by, columns=columns)
-        facts = r.ad_facts(ev, r.attribute(_touches(spark, d, ntb=True), CLICK_COLS), spec.dims(), VIEWABLE_AT, FIVE_SECONDS_AT)
-        return r.run_report(facts, spec)
+        ev, dims = _traffic(spark, d), spec.dims()
+        touched = _touches(spark, d, _brand_needed(spec), spec.display)
+        won = (r.attribute_views if spec.display else r.attribute)(touched, CLICK_COLS)
+        facts = r.ad_facts(ev, won, dims, VIEWABLE_AT, FIVE_SECONDS_AT, spec.needs())
+        reach = None
+        if set(spec.columns) & set(REACH):
+            reach = r.cumulative_reach(ev.where(F.col("event_type").isin("view", "click")), key=dims)
+        return r.run_report(facts, spec, summed=True, reach=reach)
     run.__name__ = name
     return run
 
 
 for _name, (_group, _columns) in SPECS.items():
-    register(_name, _spec_sql(_group, _columns), "R1", "R4", *(["R3"] if "product" in _name else []))(_declared(_name))
+    register(_name, _spec_sql(_group, _columns, "_sd_" in _name), "R1", "R4", *(["R3"] if "product" in _name else []),
+             *(["R2"] if "_sd_" in _name else []), *(["R7"] if set(_columns) & set(REACH) else []))(_declared(_name))
+
+_ALL = "\nUNION ALL BY NAME\n".join(
+    f"SELECT '{n}' AS report, * FROM ({_spec_sql(g, [c for c in cols if c not in REACH], '_sd_' in n)})" for n, (g, cols) in SPECS.items())
+
+
+@register("r1_all_reports", _ALL, "R1", "R4")
+def r1_all_reports(spark, d):
+    """Every declared report from one scan of the facts (``run_reports``), one below the other."""
+    specs = {n: _report(n, REACH) for n in SPECS}
+    won = r.attribute_views(_touches(spark, d, ntb=True, views=True), CLICK_COLS)
+    made = r.run_reports(_traffic(spark, d), won, specs, scratch_path(spark, f"reports-{uuid.uuid4().hex}"), VIEWABLE_AT, FIVE_SECONDS_AT)
+    return append_all([df.select(F.lit(n).alias("report"), "*") for n, df in made.items()], allow_missing=True)
 
 
 @register("r5_new_to_brand", with_views("""
