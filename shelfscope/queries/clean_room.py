@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .. import fixtures as fx
-from ..functions.brand import FIXTURE_BRAND_RULES, REFERENCE_BRAND_RULES
+from ..functions.brand import FIXTURE_BRAND_RULES, REFERENCE_BRAND_RULES, classify_indexed
 from ..oracles import clean_room as o
 from ..plans import clean_room as q
 from ..registry import register
@@ -68,3 +70,22 @@ def q3_path_to_purchase_weekly(spark, d):
 @register("q4_subscription_sales", o.subscription_sales_sql(), "Q4", "A11")
 def q4_subscription_sales(spark, d):
     return q.subscription_sales(fx.conversions_all(spark, d))
+
+
+@register("a2_indexed_rules", """
+WITH creatives AS (SELECT p_partkey, p_brand AS advertiser, CASE WHEN p_partkey % 9 <> 0 THEN p_name || ' ' || p_partkey END AS creative,
+                     'cmp ' || upper(p_name) || ' ' || p_size AS campaign FROM part),
+rules AS (SELECT p_partkey AS rule_no, substr(lower(p_name || ' ' || p_partkey), 1 + p_partkey % 7) AS pattern, p_brand || '/' || p_type AS label FROM part),
+texts AS (SELECT DISTINCT lower(creative) AS text FROM creatives UNION SELECT lower(campaign) FROM creatives UNION SELECT lower(advertiser) FROM creatives),
+hits AS (SELECT text, min(rule_no) AS rule_no FROM texts JOIN rules ON contains(text, pattern) GROUP BY text),
+firsts AS (SELECT p_partkey, min(rule_no) AS rule_no FROM creatives JOIN hits ON text IN (lower(advertiser), lower(creative), lower(campaign)) GROUP BY p_partkey)
+SELECT c.*, coalesce(label, 'UNCLASSIFIED') AS brand
+FROM creatives c LEFT JOIN firsts f ON f.p_partkey = c.p_partkey LEFT JOIN rules r ON r.rule_no = f.rule_no""", "A2")
+def a2_indexed_rules(spark, d):
+    """As many rules as parts (a part's name and number, from one of its first letters on), over all parts."""
+    p, name = fx.table(spark, d, "part"), F.concat_ws(" ", "p_name", "p_partkey")
+    creatives = p.select("p_partkey", F.col("p_brand").alias("advertiser"), F.when(F.col("p_partkey") % 9 != 0, name).alias("creative"),
+                         F.concat(F.lit("cmp "), F.upper("p_name"), F.lit(" "), F.col("p_size").cast("string")).alias("campaign"))
+    rules = p.select(F.col("p_partkey").alias("rule_no"), F.concat_ws("/", "p_brand", "p_type").alias("label"),
+                     F.lower(name).substr((F.col("p_partkey") % 7 + 1).cast("int"), F.lit(1000)).alias("pattern"))
+    return classify_indexed(creatives, rules)

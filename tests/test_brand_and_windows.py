@@ -1,6 +1,8 @@
+import random
+
 from pyspark.sql import functions as F
 
-from shelfscope.functions.brand import (FIXTURE_BRAND_RULES, REFERENCE_BRAND_RULES, brand_array, brand_case,
+from shelfscope.functions.brand import (FIXTURE_BRAND_RULES, REFERENCE_BRAND_RULES, brand_array, brand_case, classify_indexed,
                                         map_ad_type)
 from shelfscope.operators.windows import rank_first_touch
 from shelfscope.plans.clean_room import brand_lookup
@@ -58,3 +60,19 @@ def test_long_rule_lists_label_like_a_case_chain(spark):
     a = [r.b for r in df.select(classify_brand(rules).alias("b")).collect()]
     b = [r.b for r in df.select(classify_brand(rules, mode="case").alias("b")).collect()]
     assert a == b == ["Brand120", "Brand007", "UNCLASSIFIED"]
+
+
+def test_indexed_rules_equal_the_case_chain(spark):
+    rnd = random.Random(5)
+    word = lambda n: "".join(rnd.choice("abAB xé") for _ in range(n))
+    rows = [tuple(None if rnd.random() < .1 else word(rnd.randrange(30)) for _ in range(3)) for _ in range(300)]
+    df = spark.createDataFrame(rows + rows[:50] + [("", "", ""), (None, None, None)], "advertiser string, creative string, campaign string")
+    rules = [(word(rnd.randrange(1, 9)).lower(), f"label {i}") for i in range(80)] + [("AB", "upper case never matches"), ("zz", "not there")]
+    rules += [(next(r[0][3:17].lower() for r in rows if r[0] and len(r[0]) > 20), "long")]
+    for some in (rules[:1], rules, rules[40:] + [("", "all")], []):
+        table = spark.createDataFrame([(i, p, lab) for i, (p, lab) in enumerate(some)] + [(99, None, "null")], "rule_no int, pattern string, label string")
+        got = classify_indexed(df.withColumn("brand", F.lit("old")).withColumn("__n", F.lit(1)), table)
+        want = df.withColumn("brand", brand_case(some)).withColumn("__n", F.lit(1))
+        assert got.columns == want.columns or set(got.columns) == set(want.columns)
+        assert got.select(*want.columns).exceptAll(want).isEmpty() and want.exceptAll(got.select(*want.columns)).isEmpty()
+    assert classify_indexed(df.limit(0), table).count() == 0
