@@ -99,7 +99,7 @@ IMPL = {
     "U4": ("GROUP BY as DISTINCT", ["plans.clean_room:creative_dims"]),
     "U5": ("sorted list, greatest", ["operators.setops:sorted_dates"]),
     "A1": ("sum of measures", ["functions.sqlexpr:sums"]),
-    "A2": ("brand classifier", ["functions.brand:classify_brand", "functions.brand:brand_array"]),
+    "A2": ("brand classifier", ["functions.brand:classify_indexed", "functions.brand:classify_brand", "functions.brand:brand_array"]),
     "A3": ("MAX(label) per campaign", ["plans.clean_room:brand_lookup"]),
     "A4": ("reach", ["plans.clean_room:campaign_value"]),
     "A5": ("shoppers", ["plans.clean_room:campaign_value"]),
@@ -129,8 +129,8 @@ IMPL = {
     "Q13": ("promotions tables", ["plans.flat_files:promotions_table", "plans.flat_files:promotions_media"]),
     "Q14": ("sell-in", ["plans.flat_files:sell_in"]),
     "Q15": ("hero mapping", ["plans.flat_files:hero_mapping"]),
-    "R1": ("report spec runner", ["plans.reports:run_report", "plans.reports:ad_facts"]),
-    "R2": ("attribution windows", ["plans.reports:attribute", "plans.reports:last_click_of"]),
+    "R1": ("report spec runner", ["plans.reports:run_report", "plans.reports:run_reports", "plans.reports:ad_facts"]),
+    "R2": ("attribution windows", ["plans.reports:attribute", "plans.reports:attribute_views", "plans.reports:last_touch_of"]),
     "R3": ("same / other item split", ["plans.reports:attributed_sums"]),
     "R4": ("CTR, CPC, ACOS, ROAS", ["plans.reports:run_report"]),
     "R5": ("new-to-brand", ["plans.reports:new_to_brand", "plans.reports:flag_new_to_brand"]),
