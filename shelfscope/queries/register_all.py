@@ -8,3 +8,4 @@ from . import reports  # noqa: F401
 from . import io  # noqa: F401
 from . import landed  # noqa: F401
 from . import stock  # noqa: F401
+from . import documents  # noqa: F401
