@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions.brand import FIXTURE_BRAND_RULES, REFERENCE_BRAND_RULES, classify_indexed
 from ..oracles import clean_room as o
+from ..fixture_sql import with_views
 from ..plans import clean_room as q
+from ..plans import sketches as sk
 from ..registry import register
+from ..session import scratch_path
 
 # The events cover January 2024; one window covers all of it.
 START, END = "2024-01-01", "2024-02-01"
@@ -89,3 +94,27 @@ def a2_indexed_rules(spark, d):
     rules = p.select(F.col("p_partkey").alias("rule_no"), F.concat_ws("/", "p_brand", "p_type").alias("label"),
                      F.lower(name).substr((F.col("p_partkey") % 7 + 1).cast("int"), F.lit(1000)).alias("pattern"))
     return classify_indexed(creatives, rules)
+
+
+SPAN_SQL = f"""SELECT *, DATE '{START}' + INTERVAL (date_diff('day', DATE '{START}', CAST(event_dt AS DATE)) // {WEEK} * {WEEK}) DAY AS lo
+  FROM ad_traffic WHERE event_dt >= TIMESTAMP '{START}' AND event_dt < TIMESTAMP '{END}'"""
+
+
+@register("a4_reach_from_sketches", with_views(f"""
+SELECT CAST(lo AS DATE) AS time_window_start, CAST(least(lo + INTERVAL {WEEK} DAY, DATE '{END}') AS DATE) AS time_window_end,
+  'own' AS kind, ad_product_type, count(DISTINCT user_id) AS reach, CAST(sum(clicks) AS BIGINT) AS clicks FROM span GROUP BY lo, ad_product_type
+UNION ALL SELECT DATE '{START}', DATE '{END}', 'own', ad_product_type, count(DISTINCT user_id), CAST(sum(clicks) AS BIGINT) FROM span GROUP BY ad_product_type
+UNION ALL SELECT DATE '{START}', DATE '{END}', 'shared', NULL, count(*), NULL FROM (
+  SELECT user_id FROM span WHERE user_id IS NOT NULL AND ad_product_type IN ('sponsored_products', 'sponsored_brands') GROUP BY user_id HAVING count(DISTINCT ad_product_type) = 2)
+""", "ad_traffic", extra={"span": SPAN_SQL}), "A4", "A5")
+def a4_reach_from_sketches(spark, d):
+    """Sketches a day and ad type are written once; weeks, the month and the users that two ad types share come from them
+    alone.  The SQL counts exactly, as the sketches do up to 2^14 users of a span (``tests/test_sketches.py`` measures the rest)."""
+    traffic = fx.ad_traffic(spark, d)
+    path = sk.write_daily(sk.daily_reach(traffic, ["ad_product_type"]), scratch_path(spark, f"reach-{uuid.uuid4().hex[:12]}"))
+    daily = spark.read.parquet(path)
+    cols = ["time_window_start", "time_window_end", "kind", "ad_product_type", "reach", "clicks"]
+    weeks, month = (sk.reach_of_spans(daily, ["ad_product_type"], START, END, n, measures=["clicks"]).withColumn("kind", F.lit("own")) for n in (WEEK, None))
+    shared = sk.shared_reach(daily, "ad_product_type", ["sponsored_products", "sponsored_brands"], [], START, END).withColumns(
+        {"kind": F.lit("shared"), "ad_product_type": F.lit(None).cast("string"), "clicks": F.lit(None).cast("long")})
+    return weeks.select(cols).union(month.select(cols)).union(shared.select(cols))
