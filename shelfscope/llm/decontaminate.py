@@ -7,10 +7,13 @@ ending there that occurs in some item.  Whether a window (10 consecutive item
 words; an item of fewer words is one window) ends at a word, and which items
 hold it, follows from that state.
 
-Benchmarks are small next to the corpus.  They are taken in blocks of bounded
-size (``BLOCK_WORDS`` words at a time); each block's automaton is broadcast and
-the documents stream through it without a shuffle.  With several blocks, a
-document's spans of all blocks are united.
+The automata are built in tasks: items are spread by a hash over blocks of
+bounded size (``BLOCK_WORDS``; one longer item is a block of its own), a block is
+one task, and its automaton one row of a table in the shared folder.  The
+documents stream past one block at a time without a shuffle, with that block's
+automaton as the broadcast: what the driver, a worker and a broadcast hold is one
+block, however large the benchmark is.  With several blocks, hits (and only
+they) are written block by block, and a document's spans of all blocks are united.
 
 A document's words become numbers through the items' vocabulary; only runs
 whose neighbouring words are neighbours in some item can hold a window of two or
@@ -19,14 +22,17 @@ more words, and only those runs are streamed.  This narrowing is exact.
 
 from __future__ import annotations
 
+import pickle
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, importable
+from .common import fresh, importable, through_table
 
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000  # words of one block at most (two bytes a word at least)
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -160,17 +166,76 @@ class Automaton:
         return spans, items
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, limit: int):
-    """The items in blocks of at most ``limit`` words (one longer item is a block of its own)."""
-    block, n = [], 0
-    for r in benchmark.select(F.col(f"`{item}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).toLocalIterator():
-        w = words_of(r["t"])
-        if block and n + len(w) > limit:
-            yield block
-            block, n = [], 0
-        block.append((r["i"], w))
-        n += len(w)
-    yield block
+def automata(benchmark: DataFrame, window: int = 10, item: str = "item_id", text: str = "text",
+             block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The table (block, automaton) of the benchmark's items, written to the shared folder; no items: no rows."""
+    importable(benchmark.sparkSession)
+    items = benchmark.select(F.col(f"`{item}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).where("t IS NOT NULL").distinct()
+    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    blocks = 1 if size <= 2 * block_words else -(-size // block_words)  # half full on average
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        one = Automaton([(i, words_of(t)) for i, t in zip(rows["i"], rows["t"])], window)
+        return pd.DataFrame({"block": rows["block"][:1], "automaton": [pickle.dumps(one)]})
+
+    of = F.expr(f"CAST(pmod(xxhash64(i, t), {blocks}) AS INT)")
+    return through_table(items.withColumn("block", of).groupBy("block").applyInPandas(build, "block int, automaton binary"), "automata")
+
+
+_LOADED: dict[int, Automaton] = {}  # a worker keeps the automaton it used last
+
+
+class Block:
+    """One block's automaton, shared with the workers as bytes."""
+
+    def __init__(self, spark: SparkSession, table: DataFrame, block: int):
+        self.data = spark.sparkContext.broadcast(bytes(table.where(F.col("block") == block).first()["automaton"]))
+        self.number = self.data._jbroadcast.id()
+
+    def __getstate__(self):
+        return {"data": self.data, "number": self.number}
+
+    def get(self) -> Automaton:
+        if self.number not in _LOADED:
+            _LOADED.clear()
+            _LOADED[self.number] = pickle.loads(self.data.value)
+        return _LOADED[self.number]
+
+
+def _stream(block: Block | None):
+    """The UDF text -> n_words, spans, items of one block."""
+    @F.pandas_udf("n_words long, spans array<struct<a:long,b:long>>, items array<string>")
+    def stream(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for t in texts:
+            words = words_of(t)
+            spans, items = block.get().scan(words) if block else ([], set())
+            out.append((len(words), [{"a": a, "b": b} for a, b in spans], sorted(x for x in items if x is not None)))
+        return pd.DataFrame(out, columns=["n_words", "spans", "items"])
+    return stream
+
+
+def _hits(docs: DataFrame, table: DataFrame, blocks: list[int], row: str, text: str) -> DataFrame:
+    """Several blocks: (row, spans, items) of the rows with a hit, blocks united.  ``docs`` is a written table with the
+    row number ``row``; each block is one pass over its texts, whose hits are written."""
+    spark, made = docs.sparkSession, []
+
+    @F.pandas_udf("array<struct<a:long,b:long>>")
+    def merged(spans: pd.Series) -> pd.Series:
+        return pd.Series([[{"a": a, "b": b} for a, b in merge([(x["a"], x["b"]) for x in s])] for s in spans])
+
+    for b in blocks:
+        block = Block(spark, table, b)
+        one = docs.select(F.col(row).alias("row"), _stream(block)(F.col(f"`{text}`")).alias("s")).where(F.size("s.spans") > 0)
+        made.append(through_table(one.select("row", "s.spans", "s.items"), "block-hits"))
+        block.data.destroy()
+    # a row has at most one entry a block here
+    return reduce(DataFrame.union, made).groupBy("row").agg(
+        _as_list("spans").alias("spans"), F.array_sort(F.array_distinct(_as_list("items"))).alias("items")).withColumn("spans", merged("spans"))
+
+
+def _as_list(col: str):
+    return F.flatten(F.collect_list(col))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_id", text: str = "text",
@@ -181,29 +246,23 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "do
     and no spans, null or wordless items no windows; repeated items both count.  A kept column named
     like a made one (n_words, spans, items) gives way to it.
     """
-    spark = docs.sparkSession
-    importable(spark)
+    importable(docs.sparkSession)
     names = [c for c in dict.fromkeys((key, *keep)) if c.lower() not in ("n_words", "spans", "items")]
     cols, made = [F.col(f"`{c}`") for c in names], fresh(docs, "_scan")
-    shared = [spark.sparkContext.broadcast(Automaton(b, window)) for b in _blocks(benchmark, item, item_text, block_words)]
-
-    @F.pandas_udf("n_words long, spans array<struct<a:long,b:long>>, items array<string>")
-    def stream(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for t in texts:
-            words = words_of(t)
-            spans, items = [], set()
-            for one in shared:
-                s, i = one.value.scan(words)
-                spans += s
-                items |= i
-            if len(shared) > 1:
-                spans = merge(spans)
-            out.append((len(words), [{"a": a, "b": b} for a, b in spans], sorted(x for x in items if x is not None)))
-        return pd.DataFrame(out, columns=["n_words", "spans", "items"])
-
-    out = docs.select(*cols, stream(F.col(f"`{text}`")).alias(made))
-    return out.select(*cols, *[F.col(made)[c].alias(c) for c in ("n_words", "spans", "items")])
+    table = automata(benchmark, window, item, item_text, block_words)
+    blocks = sorted(r.block for r in table.select("block").collect())
+    if len(blocks) < 2:
+        one = Block(docs.sparkSession, table, blocks[0]) if blocks else None
+        out = docs.select(*cols, _stream(one)(F.col(f"`{text}`")).alias(made))
+        return out.select(*cols, *[F.col(made)[c].alias(c) for c in ("n_words", "spans", "items")])
+    row = fresh(docs, "_row")
+    texts = [] if text in names else [F.col(f"`{text}`")]
+    docs = through_table(docs.select(*cols, *texts, F.monotonically_increasing_id().alias(row)), "numbered")
+    hits = _hits(docs, table, blocks, row, text).select(F.col("row").alias(row), F.struct("spans", "items").alias(made))
+    count = _stream(None)(F.col(f"`{text}`"))["n_words"].alias("n_words")
+    out = docs.join(hits, row, "left")
+    return out.select(*cols, count, F.coalesce(F.col(made)["spans"], F.expr("CAST(array() AS array<struct<a:bigint,b:bigint>>)")).alias("spans"),
+                      F.coalesce(F.col(made)["items"], F.expr("CAST(array() AS array<string>)")).alias("items"))
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -225,19 +284,39 @@ def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_span: int = 1, max_coverage: float = 0.5,
-          text: str = "text") -> DataFrame:
+          text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without benchmark text: spans of at least ``min_span`` words are cut
     out of the text (with the white space and marks between their words), and
     documents with more than ``max_coverage`` of their words in such spans are
     dropped.  All columns are kept; texts without a span stay as they are.
     A column ``n_chars``, if any, follows the new text.
     """
-    spark = docs.sparkSession
-    importable(spark)
-    cols = docs.columns
-    shared = [spark.sparkContext.broadcast(Automaton(b, window)) for b in _blocks(benchmark, "item_id", "text", BLOCK_WORDS)]
+    importable(docs.sparkSession)
+    cols, schema = docs.columns, docs.schema
+    table = automata(benchmark, window, block_words=block_words)
+    blocks = sorted(r.block for r in table.select("block").collect())
+    made = fresh(docs, "_cut")
+    if len(blocks) < 2:
+        cut = _cut(Block(docs.sparkSession, table, blocks[0]) if blocks else None, min_span)
+        out = docs.withColumn(made, cut(F.col(f"`{text}`")))
+    else:
+        row = fresh(docs, "_row")
+        docs = through_table(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+        new = _cut_by_blocks(docs, table, blocks, row, text, min_span).select(F.col("row").alias(row), F.struct("cut", "total", "text").alias(made))
+        new_text = F.when(F.col(made).isNull(), F.col(f"`{text}`")).otherwise(F.col(made)["text"])
+        whole = F.struct(F.coalesce(F.col(made)["cut"], F.lit(0)).alias("cut"), F.coalesce(F.col(made)["total"], F.lit(0)).alias("total"), new_text.alias("text"))
+        out = docs.join(new, row, "left").withColumn(made, whole)
+    out = out.where((F.col(made)["total"] == 0) | (F.col(made)["cut"] <= max_coverage * F.col(made)["total"]))
+    new = {text: F.col(made)["text"]}
+    if "n_chars" in cols:
+        same = F.col(made)["text"].eqNullSafe(F.col(f"`{text}`"))
+        new["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length(F.col(made)["text"])).cast(schema["n_chars"].dataType)
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in cols])
 
-    @F.pandas_udf("keep boolean, text string")
+
+def _cut(block: Block | None, min_span: int):
+    """The UDF text -> words cut, words of the text, the text without spans."""
+    @F.pandas_udf("cut long, total long, text string")
     def cut(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in texts:
@@ -245,21 +324,38 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, min_span: int
             while True:  # the words around a cut become neighbours: look again
                 words = words_of(t)
                 total = len(words) if total is None else total
-                spans = merge([s for one in shared for s in one.value.scan(words)[0] if s[1] - s[0] >= min_span])
+                spans = [s for s in block.get().scan(words)[0] if s[1] - s[0] >= min_span] if block else []
                 if not spans:
                     break
                 cut_words += sum(b - a for a, b in spans)
                 t = remove(t, spans)
-            out.append((not total or cut_words <= max_coverage * total, t))
-        return pd.DataFrame(out, columns=["keep", "text"])
+            out.append((cut_words, total, t))
+        return pd.DataFrame(out, columns=["cut", "total", "text"])
+    return cut
 
-    made = fresh(docs, "_cut")
-    out = docs.withColumn(made, cut(F.col(f"`{text}`"))).where(F.col(made)["keep"])
-    new = {text: F.col(made)["text"]}
-    if "n_chars" in cols:
-        same = F.col(made)["text"].eqNullSafe(F.col(f"`{text}`"))
-        new["n_chars"] = F.when(same, F.col("n_chars")).otherwise(F.length(F.col(made)["text"])).cast(docs.schema["n_chars"].dataType)
-    return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in cols])
+
+def _cut_by_blocks(docs: DataFrame, table: DataFrame, blocks: list[int], row: str, text: str, min_span: int) -> DataFrame:
+    """``_cut`` for several blocks: (row, cut, total, text) of the rows with a span.  A cut makes neighbours of the words around
+    it, so the rows of one round's cuts, and only they, are looked at again in the next."""
+    @F.pandas_udf("cut long, total long, text string")
+    def step(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
+        out = []
+        for t, s in zip(texts, found):
+            spans = [(x["a"], x["b"]) for x in s if x["b"] - x["a"] >= min_span]
+            out.append((sum(b - a for a, b in spans), len(words_of(t)), remove(t, spans) if spans else t))
+        return pd.DataFrame(out, columns=["cut", "total", "text"])
+
+    left, rounds = docs.select(F.col(row).alias("row"), F.col(f"`{text}`").alias("text")), []
+    while True:
+        hits = _hits(left, table, blocks, "row", "text")
+        cut = left.join(hits, "row").select("row", F.lit(len(rounds)).alias("round"), step("text", "spans").alias("s")).where("s.cut > 0")
+        cut = through_table(cut.select("row", "round", "s.cut", "s.total", "s.text"), "cuts")
+        if rounds and cut.isEmpty():
+            break
+        rounds.append(cut)
+        left = cut.select("row", "text")
+    return reduce(DataFrame.union, rounds).groupBy("row").agg(
+        F.sum("cut").alias("cut"), F.min_by("total", "round").alias("total"), F.max_by("text", "round").alias("text"))
 
 
 def remove(text: str, spans: list[tuple[int, int]]) -> str:

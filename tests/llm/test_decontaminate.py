@@ -75,6 +75,23 @@ def test_blocks_of_items_give_the_same(spark):
     assert [tuple(r) for r in one] == [tuple(r) for r in many]
 
 
+def test_automata_are_built_a_block_a_task_and_cut_alike(spark):
+    """Many blocks cut as one does: a cut makes neighbours of the words around it, spans of two blocks may overlap."""
+    rnd = random.Random(3)
+    text = lambda n: " ".join(rnd.choice("abcdefg") for _ in range(n))
+    items = [(i if i else None, text(rnd.choice([0, 9, 14]))) for i in range(12)] + [(30, None), (31, "a b c d e f g a b c d e")]
+    it = spark.createDataFrame([(i, t, "q") for i, t in items], ITEMS)
+    assert d.automata(it, 4, block_words=30).count() > 3 and d.automata(it, 4).count() == 1
+    rows = [(i, text(rnd.choice([5, 60, 200])), 3, "x", "y", "z", 1) for i in range(25)]
+    rows += [(90, "x y " * 30 + "a b c d a b c d e f g a b c d e e f g a", 3, "x", "y", "z", 1), (91, None, None, "x", "y", "z", 1), (92, "", 0, "x", "y", "z", 1)]
+    docs = spark.createDataFrame(rows + rows[:2], DOCS)
+    one = sorted((tuple(r) for r in d.clean(docs, it, window=4, max_coverage=0.9).collect()), key=repr)
+    many = sorted((tuple(r) for r in d.clean(docs, it, window=4, max_coverage=0.9, block_words=30).collect()), key=repr)
+    assert one == many and any(r[1] != dict((x[0], x[1]) for x in rows)[r[0]] for r in one)
+    none = d.clean(docs, it.limit(0), window=4, block_words=30)
+    assert none.count() == docs.count()
+
+
 def test_clean_cuts_spans_and_drops_covered_documents(spark):
     item = "one two three four five six seven eight nine ten eleven"
     keep = "alpha beta gamma " * 10
