@@ -18,7 +18,7 @@ from shelfscope.registry import load_all  # noqa: E402
 
 # id -> (description, "module:function" list)
 IMPL = {
-    "S1": ("gzip JSON report -> rows", ["sources.files:read_report_json"]),
+    "S1": ("gzip JSON report -> rows", ["sources.files:read_report_json", "sources.drift:read_variant_documents"]),
     "S2": ("ORC report", ["sources.files:read_report_orc"]),
     "S3": ("CSV report, skipped rows, file position", ["sources.files:read_report_csv", "sources.splits:CsvFiles", "sources.splits:first_lines"]),
     "S4": ("dispatch on suffix", ["sources.files:read_report"]),
@@ -43,7 +43,7 @@ IMPL = {
     "P11": ("snapshot guard", ["operators.planning:snapshot_is_new"]),
     "P12": ("key batches of 20", ["operators.planning:key_batches", "operators.planning:global_rank"]),
     "P13": ("UK/GB aliasing", ["operators.planning:alias_country"]),
-    "F1": ("structs -> dotted columns", ["operators.normalize:flatten_structs"]),
+    "F1": ("structs -> dotted columns", ["operators.normalize:flatten_structs", "sources.drift:flatten_variant"]),
     "F2": ("first array element flattened", ["operators.normalize:first_elems_flat"]),
     "F3": ("explode array of struct (outer)", ["operators.normalize:explode_struct"]),
     "F4": ("two-level explode", ["operators.normalize:explode_path"]),
