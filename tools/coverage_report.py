@@ -101,7 +101,7 @@ IMPL = {
     "A1": ("sum of measures", ["functions.sqlexpr:sums"]),
     "A2": ("brand classifier", ["functions.brand:classify_indexed", "functions.brand:classify_brand", "functions.brand:brand_array"]),
     "A3": ("MAX(label) per campaign", ["plans.clean_room:brand_lookup"]),
-    "A4": ("reach", ["plans.clean_room:campaign_value"]),
+    "A4": ("reach", ["plans.clean_room:campaign_value", "plans.sketches:reach_of_spans", "plans.sketches:shared_reach"]),
     "A5": ("shoppers", ["plans.clean_room:campaign_value"]),
     "A6": ("orders (conditional count)", ["plans.clean_room:campaign_value"]),
     "A7": ("flight MIN/MAX", ["plans.clean_room:brand_lookup"]),
