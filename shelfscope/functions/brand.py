@@ -111,7 +111,10 @@ def classify_indexed(df: DataFrame, rules: DataFrame, fields: Sequence[str] = BR
     texts; a text looks up its grams, and only rules found there are searched in it.  A
     rule with a gram that no text holds is never searched.  Rows cost a join on
     their fields; work on text is per distinct text, so it does not grow with
-    repeated rows or with rules that share nothing with a text.
+    repeated rows or with rules that share nothing with a text.  Only grams of
+    sizes that some rule is filed under are taken from texts.  All joins are
+    merge joins: the planner sees the size of texts and rules before they are cut
+    into grams, and would send many times that through the driver.
 
     NULL fields match nothing, an empty pattern every text, a NULL pattern
     nothing; of equal ``rule_no`` the smallest label wins; ``out`` replaces a
@@ -122,20 +125,21 @@ def classify_indexed(df: DataFrame, rules: DataFrame, fields: Sequence[str] = BR
     rules = rules.select("rule_no", "pattern", "label").where(F.col("pattern").isNotNull())
     size = "CASE " + " ".join(f"WHEN length(pattern) >= {n} THEN {n}" for n in GRAMS) + " END"
     filed = rules.select("*", F.explode(F.array_distinct(F.expr(_grams("pattern", size)))).alias("__gram"))
-    sizes = ", ".join(_grams("__text", str(n)) for n in GRAMS)
-    held = words.select("__text").distinct().select("__text", F.explode(F.expr(f"array_distinct(concat({sizes}))")).alias("__gram"))
-    held = held.join(filed.select("__gram").distinct(), "__gram", "left_semi")
+    used = rules.agg(F.collect_set(F.expr(size))).scalar()
+    cut = F.concat(*[F.when(F.array_contains(used, F.lit(n)), F.expr(_grams("__text", str(n)))).otherwise(F.array().cast("array<string>")) for n in GRAMS])
+    held = words.select("__text").distinct().select("__text", F.explode(F.array_distinct(cut)).alias("__gram"))
+    held = held.join(filed.select("__gram").distinct().hint("merge"), "__gram", "left_semi")
     often = held.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
     least = F.min(F.struct(F.coalesce(F.col("__n"), F.lit(0)).alias("n"), F.col("__gram").alias("gram"))).alias("__rarest")
-    index = (filed.join(often, "__gram", "left").groupBy("rule_no", "pattern", "label").agg(least).where("__rarest.n > 0")
+    index = (filed.join(often.hint("merge"), "__gram", "left").groupBy("rule_no", "pattern", "label").agg(least).where("__rarest.n > 0")
              .select("rule_no", "pattern", "label", F.col("__rarest.gram").alias("__gram")))
-    hit = held.join(index, "__gram").where(F.contains(F.col("__text"), F.col("pattern")))
+    hit = held.hint("merge").join(index, "__gram").where(F.contains(F.col("__text"), F.col("pattern")))
     first = hit.groupBy("__text").agg(F.min(F.struct("rule_no", "label")).alias("__first"))
-    of_row = words.join(first, "__text").groupBy(*names).agg(F.min("__first")["label"].alias("__label"))
+    of_row = words.hint("merge").join(first, "__text").groupBy(*names).agg(F.min("__first")["label"].alias("__label"))
     same = F.lit(True)
     for f, n in zip(fields, names):
         same = same & F.col(qn(f)).eqNullSafe(F.col(n))
-    labelled = df.drop(*({out} - set(fields))).join(of_row, same, "left")
+    labelled = df.drop(*({out} - set(fields))).join(of_row.hint("merge"), same, "left")
     return labelled.withColumn(out, F.coalesce(F.col("__label"), F.lit(default))).drop("__label", *names)
 
 
