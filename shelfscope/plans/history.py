@@ -4,7 +4,8 @@ A feed hands out the whole dimension again and again.  ``snapshot_history`` turn
 intervals: a version holds from the first snapshot that shows it until the next snapshot that shows another one or
 none.  ``join_valid`` joins facts with the version valid on their day: versions are carried forward into every month
 they touch, so it is an equi-join on key and month, with a few versions each, instead of a range join; a key that
-holds much of the facts is spread over its months, and over more tasks by AQE's skew join.
+holds much of the facts is spread over its months, and over more tasks by AQE's skew join.  It is a merge join: the planner sees
+the size of the versions before they are carried forward, and would send many times that through the driver.
 """
 
 from __future__ import annotations
@@ -52,4 +53,4 @@ def join_valid(facts: DataFrame, history: DataFrame, keys: Sequence[str], day: s
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
-    return f.join(h, cond, how).select(*[f[c] for c in facts.columns], *attributes)
+    return f.join(h.hint("merge"), cond, how).select(*[f[c] for c in facts.columns], *attributes)

@@ -20,3 +20,12 @@ def test_indexed_rules_broadcast_nothing(spark):
     out = classify_indexed(rows, rules)
     assert "Broadcast" not in plan(out)
     assert sorted(x.brand for x in out.collect()) == ["B", "R", "UNCLASSIFIED"]
+
+
+def test_versions_are_not_broadcast_when_carried_forward(spark):
+    day = dt.date(2024, 1, 1)
+    h = spark.createDataFrame([(1, "x", day, None), (None, "y", day, dt.date(2024, 3, 1))], "k int, t string, valid_from date, valid_to date")
+    f = spark.createDataFrame([(1, dt.date(2025, 1, 5)), (None, dt.date(2024, 2, 5)), (None, dt.date(2024, 3, 5))], "k int, day date")
+    out = hist.join_valid(f, h, ["k"], "day")
+    assert "SortMergeJoin" in plan(out) and "Broadcast" not in plan(out)
+    assert sorted(str(x.t) for x in out.collect()) == ["None", "x", "y"]
