@@ -24,11 +24,13 @@ def snapshot_history(snapshots: DataFrame, keys: Sequence[str], date: str, attri
     attributes and keys compare as equal.  Of rows that repeat a key within a snapshot the greatest one counts."""
     version = F.struct(*attributes)
     one = snapshots.groupBy(*keys, date).agg(F.max(version).alias("__v"))
-    # one row a snapshot, numbered; a broadcast only if measured small (AQE)
+    # one row a snapshot, numbered; small beside the keys, which are never broadcast
     dates = snapshots.select(F.col(date).alias("__d")).distinct()
     order = Window.orderBy("__d")
     dates = dates.select("__d", F.row_number().over(order).alias("__n"), F.lead("__d").over(order).alias("__next"))
-    j = one.join(dates, F.col(date) == F.col("__d"))
+    # a number given: AQE merges no tasks, since rows that compress well look like few
+    n = int(snapshots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    j = one.join(F.broadcast(dates), F.col(date) == F.col("__d")).repartition(n, *keys)
     by = Window.partitionBy(*keys).orderBy("__n")
     same = (F.lag("__n").over(by) == F.col("__n") - 1) & F.lag("__v").over(by).eqNullSafe(F.col("__v"))
     j = j.withColumn("__new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1))

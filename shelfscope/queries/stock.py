@@ -90,7 +90,9 @@ hist AS (SELECT item, item_type, item_size, valid_from, q.day AS valid_to FROM (
 
 
 def _history(spark, d):
-    p = fx.table(spark, d, "part").withColumn("day", F.explode(F.expr(SNAPSHOT_DAYS)))
+    # a small file is one split: its rows are spread before each becomes many (a number given: AQE merges none)
+    p = fx.table(spark, d, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    p = p.withColumn("day", F.explode(F.expr(SNAPSHOT_DAYS)))
     n, key = (F.year("day") - 1992) * 4 + F.quarter("day") - 1, F.col("p_partkey")
     p = p.withColumn("n", n).where(F.expr("(p_partkey + n div 4) % 7 <> 0"))
     snaps = p.select(F.when(key % 97 != 0, key).alias("item"), "day", F.when(F.expr("(p_partkey + n div 9) % 5 <> 0"), F.col("p_type")).alias("item_type"),

@@ -29,3 +29,10 @@ def test_versions_are_not_broadcast_when_carried_forward(spark):
     out = hist.join_valid(f, h, ["k"], "day")
     assert "SortMergeJoin" in plan(out) and "Broadcast" not in plan(out)
     assert sorted(str(x.t) for x in out.collect()) == ["None", "x", "y"]
+
+
+def test_snapshot_history_broadcasts_dates_only_and_keeps_its_tasks(spark):
+    rows = [(k, dt.date(2024, m, 1), "a" if m < 3 else "b") for k in range(50) for m in (1, 2, 3)]
+    out = hist.snapshot_history(spark.createDataFrame(rows, "k int, d date, t string"), ["k"], "d", ["t"])
+    assert "REPARTITION_BY_NUM" in plan(out) and plan(out).split("Final Plan")[0].count("BroadcastExchange") == 1
+    assert out.count() == 100
