@@ -118,15 +118,22 @@ def s10_search_terms_from_json(spark, d):
     return v.own_search_terms(records, own, START, END, COUNTRY, NOW)
 
 
-def _land_documents(rec, path: str, group, key: str) -> None:
-    """One JSON document a group, with all its records in the array under ``key``, as the service hands them out."""
+DOC_RECORDS = 500_000
+
+
+def _land_documents(rec, path: str, group, key: str, rows: int) -> None:
+    """JSON documents with many records in the array under ``key``, as the service hands them out: one a group, or several
+    once the records (``rows`` at most) are more than a document should hold, since a task writes a document whole."""
+    parts = max(1, -(-rows // DOC_RECORDS))
     items = rec.select(group.alias("doc"), F.to_json(F.struct(*rec.columns)).alias("value"))
+    items = items.withColumn("doc", F.concat_ws("-", "doc", F.pmod(F.xxhash64("value"), F.lit(parts)).cast("string")))
+    # a number given: a document's lines stay in one task, and tasks follow the documents
+    n = max(int(rec.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * parts)
     w = Window.partitionBy("doc")
-    items = items.withColumn("nth", F.row_number().over(w.orderBy("value"))).withColumn("n", F.count("*").over(w))
+    items = items.repartition(n, "doc").withColumn("nth", F.row_number().over(w.orderBy("value"))).withColumn("n", F.count("*").over(w))
     head = '{"reportSpecification":{"reportOptions":{"reportPeriod":"WEEK"}},"%s":[\n' % key
     line = F.concat(F.when(F.col("nth") == 1, head).otherwise(","), F.col("value"), F.when(F.col("nth") == F.col("n"), "]}").otherwise(""))
-    n = int(rec.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number given: a document's lines stay in one task
-    (items.select("doc", "nth", line.alias("value")).repartition(n, "doc").sortWithinPartitions("doc", "nth").select("doc", "value")
+    (items.select("doc", "nth", line.alias("value")).sortWithinPartitions("doc", "nth").select("doc", "value")
         .write.partitionBy("doc").text(path))
 
 
@@ -136,7 +143,8 @@ def s10_search_terms_documents(spark, d):
     from .vendor import END, OWN_MIN_SIZE, START
     path = _scratch(spark, "landing-documents")
     rec = fx.search_terms_payload(spark, d)
-    _land_documents(rec, path, F.split(F.coalesce("departmentName", F.lit("")), " ")[0], "dataByDepartmentAndSearchTerm")
+    _land_documents(rec, path, F.split(F.coalesce("departmentName", F.lit("")), " ")[0], "dataByDepartmentAndSearchTerm",
+                    fx.table(spark, d, "lineitem").count())
     own = fx.table(spark, d, "part").where(F.col("p_size") > OWN_MIN_SIZE).select(
         F.col("p_partkey").cast("string").alias("asin"))
     return v.own_search_terms(src.read_search_terms(spark, path), own, START, END, COUNTRY, NOW)
@@ -148,7 +156,7 @@ def s1_vendor_report_documents(spark, d):
     path = _scratch(spark, "landing-sales-documents")
     rec = fx.vendor_sales_records(spark, d)
     schema = rec.select(F.array(F.struct(*rec.columns)).alias("salesByAsin")).schema
-    _land_documents(rec, path, F.pmod(F.xxhash64("asin"), F.lit(4)).cast("string"), "salesByAsin")
+    _land_documents(rec, path, F.pmod(F.xxhash64("asin"), F.lit(4)).cast("string"), "salesByAsin", fx.table(spark, d, "lineitem").count())
     return v.vendor_report(src.read_report_json(spark, path, key="salesByAsin", schema=schema), COUNTRY, NOW)
 
 

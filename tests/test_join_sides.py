@@ -36,3 +36,17 @@ def test_snapshot_history_broadcasts_dates_only_and_keeps_its_tasks(spark):
     out = hist.snapshot_history(spark.createDataFrame(rows, "k int, d date, t string"), ["k"], "d", ["t"])
     assert "REPARTITION_BY_NUM" in plan(out) and plan(out).split("Final Plan")[0].count("BroadcastExchange") == 1
     assert out.count() == 100
+
+
+def test_large_groups_become_several_documents(spark, tmp_dir, monkeypatch):
+    from shelfscope.queries import io
+    from shelfscope.sources.files import read_report_json
+    monkeypatch.setattr(io, "DOC_RECORDS", 100)
+    rec = spark.range(1000).selectExpr("id", "concat('\"', id, '}') AS text")
+    io._land_documents(rec, f"{tmp_dir}/docs", F.lit("one"), "rows", 1000)
+    docs = [json.load(open(f)) for f in glob.glob(f"{tmp_dir}/docs/doc=*/part-*")]
+    assert len(docs) == 10 and max(len(x["rows"]) for x in docs) < 200
+    assert sorted(x["id"] for d in docs for x in d["rows"]) == list(range(1000))
+    schema = rec.select(F.array(F.struct(*rec.columns)).alias("rows")).schema
+    back = read_report_json(spark, f"{tmp_dir}/docs", key="rows", schema=schema)
+    assert sorted(tuple(x) for x in back.collect()) == sorted(tuple(x) for x in rec.collect())
