@@ -34,11 +34,17 @@ def campaign_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*", (F.col("event_id") % n).alias("campaign_no"), F.floor(F.col("event_id") / n).alias("campaign_round"))
 
 
+def _on_campaign(events: DataFrame, parts: DataFrame) -> DataFrame:
+    """Events with their campaign's part.  A merge join: campaigns grow with the data, and the size of a compressed
+    file makes them look small enough for a broadcast, one for each use, which all pass through the driver."""
+    return events.join(parts.hint("merge"), F.col("p_partkey") == F.col("campaign_no"))
+
+
 def ad_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1: one row per event, attached to its campaign's part."""
     e = campaign_events(spark, sf_dir)
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-    j = e.join(p, F.col("p_partkey") == F.col("campaign_no"))
+    j = _on_campaign(e, p)
     two_cur = "(p_partkey % 10 = 0 AND campaign_round % 2 = 1)"
     return j.selectExpr(
         "event_id", "ts AS event_dt", "event_type", "value",
@@ -255,7 +261,7 @@ def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     others buy the item of the next campaign number (``bought_item``)."""
     e = campaign_events(spark, sf_dir)
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    j = e.join(p, F.col("p_partkey") == F.col("campaign_no"))
+    j = _on_campaign(e, p)
     prog = F.get_json_object("props", "$.k").cast("int")
     place = F.element_at(F.array(*[F.lit(x) for x in PLACEMENTS]), (prog % len(PLACEMENTS) + 1).cast("int"))
     return j.select(

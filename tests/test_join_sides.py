@@ -38,6 +38,15 @@ def test_snapshot_history_broadcasts_dates_only_and_keeps_its_tasks(spark):
     assert out.count() == 100
 
 
+def test_campaigns_are_not_broadcast(spark, tmp_dir):
+    spark.range(20).selectExpr("id AS event_id", "timestamp'2024-01-01 00:00:00' AS ts", "id % 3 AS user_id", "'click' AS event_type", "1.0D AS value",
+                               "'{\"k\": 5}' AS props").write.parquet(f"{tmp_dir}/events.parquet")
+    spark.range(4).selectExpr("id AS p_partkey", "'red ring' AS p_name", "'b' AS p_brand", "'t' AS p_type").write.parquet(f"{tmp_dir}/part.parquet")
+    for df in (fx.ad_events(spark, tmp_dir), fx.ad_base(spark, tmp_dir)):
+        assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
+        assert df.count() == 20
+
+
 def test_large_groups_become_several_documents(spark, tmp_dir, monkeypatch):
     from shelfscope.queries import io
     from shelfscope.sources.files import read_report_json
