@@ -27,6 +27,7 @@ from ..operators.setops import union_facts
 
 WINDOW_DAYS = (1, 7, 14, 30)
 DAY_US = 86400 * 1000000
+SLICES = 64
 
 
 def _lag_us(start: str, end: str) -> Column:
@@ -524,18 +525,28 @@ def market_insight(sales: DataFrame, dims: Sequence[str], period: str = "period"
 
 
 def repeat_purchase(orders: DataFrame, item: str, customer: str, order: str, revenue: str,
-                    period: str = "period") -> DataFrame:
+                    period: str = "period", tasks: int | None = None) -> DataFrame:
     """Per item and period: orders, unique customers, share of
     customers who ordered more than once, revenue from those customers and
-    its share of revenue.  Per-customer counts first, then a second
-    aggregate."""
-    per_c = orders.groupBy(period, item, customer).agg(
-        F.count_distinct(order).alias("__orders"), F.sum(revenue).alias("__rev"))
-    g = per_c.groupBy(period, item).agg(
-        F.sum("__orders").alias("ORDERS"), F.count(F.lit(1)).alias("UNIQUECUSTOMERS"),
-        F.count_if(F.col("__orders") > 1).alias("__repeat"),
-        F.sum(F.when(F.col("__orders") > 1, F.col("__rev"))).alias("__rep_rev"),
-        F.sum("__rev").alias("__rev"))
+    its share of revenue.
+
+    Rows are summed by order, then by customer, then by slices of an item's
+    customers (``SLICES``, so that an item that everybody buys is many tasks' work) and
+    last by item, in ``tasks`` tasks each time (the session's shuffle partitions
+    if not given).  Almost every row is a group of its own until the last sum, so
+    nothing is summed before a shuffle.  Orders that come partitioned by ``order``
+    (from a join, say) are not shuffled for the first sum."""
+    n = tasks or int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_o = orders.groupBy(period, item, customer, order).agg(F.sum(revenue).alias("__rev"))
+    per_o = per_o.withColumn("__slice", F.pmod(F.xxhash64(customer), F.lit(SLICES))).repartition(n, period, item, "__slice")
+    per_c = per_o.groupBy(period, item, "__slice", customer).agg(F.count(order).alias("__orders"), F.sum("__rev").alias("__rev"))
+    again = F.col("__orders") > 1
+    part = per_c.groupBy(period, item, "__slice").agg(
+        F.sum("__orders").alias("__orders"), F.count(F.lit(1)).alias("__customers"), F.count_if(again).alias("__repeat"),
+        F.sum(F.when(again, F.col("__rev"))).alias("__rep_rev"), F.sum("__rev").alias("__rev"))
+    g = part.repartition(n, period, item).groupBy(period, item).agg(
+        F.sum("__orders").alias("ORDERS"), F.sum("__customers").alias("UNIQUECUSTOMERS"), F.sum("__repeat").alias("__repeat"),
+        F.sum("__rep_rev").alias("__rep_rev"), F.sum("__rev").alias("__rev"))
     return g.select(period, item, "ORDERS", "UNIQUECUSTOMERS",
                     F.try_divide(F.col("__repeat") * 100.0, F.col("UNIQUECUSTOMERS")).alias("REPEATCUSTOMERSPCTTOTAL"),
                     F.coalesce(F.col("__rep_rev"), F.lit(0).cast(g.schema["__rep_rev"].dataType)).cast("double")

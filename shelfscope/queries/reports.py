@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..fixture_sql import with_views
+from ..operators.joins import tasks_for
 from ..operators.planning import last_saturday
 from ..operators.setops import append_all
 from ..plans import reports as r
@@ -367,11 +368,12 @@ FROM c GROUP BY 1, 2""", "R11")
 def r11_repeat_purchase(spark, d):
     li = fx.table(spark, d, "lineitem")
     o = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    s = li.join(o, li.l_orderkey == o.o_orderkey).select(
+    n = tasks_for(li)
+    s = li.repartition(n, "l_orderkey").hint("merge").join(o.repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         last_saturday(F.col("l_shipdate").cast("date")).alias("period"), F.col("l_partkey").alias("item"),
         F.col("o_custkey").alias("customer"), "l_orderkey",
         F.col("l_extendedprice").cast("decimal(18,2)").alias("revenue"))
-    return r.repeat_purchase(s, "item", "customer", "l_orderkey", "revenue")
+    return r.repeat_purchase(s, "item", "customer", "l_orderkey", "revenue", tasks=n)
 
 
 @register("r12_search_term_ranks", """

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from shelfscope import fixtures as fx
 from shelfscope.functions.brand import classify_indexed
 from shelfscope.plans import history as hist
+from shelfscope.plans import reports
+from shelfscope.queries import reports as queries
 
 
 def plan(df):
@@ -59,3 +61,21 @@ def test_large_groups_become_several_documents(spark, tmp_dir, monkeypatch):
     schema = rec.select(F.array(F.struct(*rec.columns)).alias("rows")).schema
     back = read_report_json(spark, f"{tmp_dir}/docs", key="rows", schema=schema)
     assert sorted(tuple(x) for x in back.collect()) == sorted(tuple(x) for x in rec.collect())
+
+
+def test_repeat_purchase_spreads_rows_over_tasks_that_follow_the_input(spark):
+    from shelfscope.operators.joins import tasks_for
+    assert tasks_for(spark.range(1000), rows=10) == 100
+    assert tasks_for(spark.range(0)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = [(1, "a", c, o, 1.0) for c in (1, 2, None) for o in (10, 10, None)] + [(1, "a", 3, o, 2.0) for o in (20, 21)] + [(None, None, 9, 1, 3.0)]
+    df = spark.createDataFrame(rows, "period int, item string, customer int, o int, rev double")
+    out = reports.repeat_purchase(df, "item", "customer", "o", "rev", tasks=37)
+    text = plan(out)
+    assert text.count("37), REPARTITION_BY_NUM") == 2
+    got = {x.item: tuple(x)[2:] for x in out.collect()}
+    assert got == {"a": (5, 4, 25.0, 4.0, 4.0 * 100 / 13), None: (1, 1, 0.0, 0.0, 0.0)}
+
+
+def test_r11_neither_broadcasts_orders_nor_sums_in_the_scan(spark):
+    text = plan(queries.r11_repeat_purchase(spark, "/root/testdata/sf0.001"))
+    assert "Broadcast" not in text and text.count("REPARTITION_BY_NUM") == 4
