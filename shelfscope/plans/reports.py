@@ -500,28 +500,37 @@ MARKET_METRICS = ["dollar_volume", "units", "dollar_volume_yago", "units_yago",
                   "units_yago_change", "dollar_volume_share"]
 
 
-def market_insight(sales: DataFrame, dims: Sequence[str], period: str = "period", months_back: int = 12) -> DataFrame:
+def market_insight(sales: DataFrame, dims: Sequence[str], period: str = "period", months_back: int = 12,
+                   tasks: int | None = None) -> DataFrame:
     """Value and units per period (a day or the first day of a month) and
     dimensions, the same ``months_back`` months before, change, and share of the
     period's value.
 
-    The year-ago values come from an equi-join of the aggregate with itself on
-    the shifted period (NULL when it has no row), the period's total from an
-    aggregate joined back, so no window holds a whole period.  NULL dimensions are values."""
-    g = sales.groupBy(period, *dims).agg(F.sum("value").alias("dollar_volume"), F.sum("units").alias("units"))
-    ago = g.select(*[F.col(c).alias(f"__{c}") for c in (period, *dims)], F.col("dollar_volume").alias("dollar_volume_yago"),
-                   F.col("units").alias("units_yago"))
-    same = F.add_months(F.col(period), -months_back) == F.col(f"__{period}")
-    for c in dims:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    total = g.groupBy(F.col(period).alias("__of")).agg(F.sum("dollar_volume").alias("__tot"))
-    j = g.join(ago, same, "left").join(total, F.col(period).eqNullSafe(F.col("__of")), "left")
+    The year-ago values come from a window over the periods of the same
+    dimensions, whose frame is the one shifted period (NULL when it has no row);
+    the period's total from an aggregate joined back, so no window holds a whole
+    period.  NULL dimensions are values.
+
+    ``tasks``: for grains so fine that summing before the shuffle saves little,
+    the sales go once, by their dimensions, to so many tasks that sum them and
+    look back; else they are summed first."""
+    s = sales if tasks is None else sales.repartition(tasks, *dims)
+    g = s.groupBy(period, *dims).agg(F.sum("value").alias("dollar_volume"), F.sum("units").alias("units"))
+    # both sums in one value: the totals read the same columns as the rows, so both share the sales' shuffle
+    total = g.groupBy(F.col(period).alias("__of")).agg(F.array(
+        F.sum("dollar_volume").cast("double"), F.sum(F.col("units").cast("double"))).alias("__tot"))
+    by = ", ".join(f"`{c}`" for c in dims)
+    back = f"INTERVAL '{months_back}' MONTH PRECEDING"
+    ago = (f"CASE WHEN `{period}` IS NOT NULL THEN max({{}}) OVER (PARTITION BY {by} ORDER BY `{period}` "
+           f"RANGE BETWEEN {back} AND {back}) END")
+    g = g.select("*", F.expr(ago.format("dollar_volume")).alias("dollar_volume_yago"), F.expr(ago.format("units")).alias("units_yago"))
+    j = g.join(F.broadcast(total), F.col(period).eqNullSafe(F.col("__of")), "left")  # one row a period
     dv, u = F.col("dollar_volume").cast("double"), F.col("units").cast("double")
     dvy, uy = F.col("dollar_volume_yago").cast("double"), F.col("units_yago").cast("double")
     return j.select(period, *dims, dv.alias("dollar_volume"), u.alias("units"), dvy.alias("dollar_volume_yago"),
                     uy.alias("units_yago"), F.try_divide(dv - dvy, dvy).alias("dollar_volume_yago_change"),
                     F.try_divide(u - uy, uy).alias("units_yago_change"),
-                    F.try_divide(dv, F.col("__tot").cast("double")).alias("dollar_volume_share"))
+                    F.try_divide(dv, F.col("__tot")[0]).alias("dollar_volume_share"))
 
 
 def repeat_purchase(orders: DataFrame, item: str, customer: str, order: str, revenue: str,

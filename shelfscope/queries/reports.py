@@ -344,13 +344,18 @@ FROM g LEFT JOIN g y ON y.period = CAST(g.period - INTERVAL 12 MONTH AS DATE)
 def r9_market_insight_daily(spark, d):
     # every eleventh part is not in the catalog: its brand and department are NULL
     p = fx.table(spark, d, "part").where(F.col("p_partkey") % 11 != 0).select("p_partkey", "p_brand", "p_type")
-    s = (fx.table(spark, d, "lineitem").join(fx.table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(fx.table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    li = fx.table(spark, d, "lineitem")
+    n = tasks_for(li)
+    # orders find their customer before the lines do, and a nation is a number until its name is a dimension
+    o = (fx.table(spark, d, "orders").repartition(n, "o_custkey").hint("merge")
+         .join(fx.table(spark, d, "customer").repartition(n, "c_custkey"), F.col("o_custkey") == F.col("c_custkey"))
+         .select("o_orderkey", "c_mktsegment", "c_nationkey"))
+    s = (li.repartition(n, "l_orderkey").hint("merge").join(o.repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+         .repartition(n, "l_partkey").hint("merge").join(p.repartition(n, "p_partkey"), F.col("l_partkey") == F.col("p_partkey"), "left")
          .join(fx.table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-         .join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
          .select(F.col("l_shipdate").cast("date").alias("period"), *[F.col(src).alias(c) for c, src in DAY_DIMS.items()],
                  F.col("l_extendedprice").cast("decimal(18,2)").alias("value"), F.col("l_quantity").cast("bigint").alias("units")))
-    return r.market_insight(s, list(DAY_DIMS))
+    return r.market_insight(s, list(DAY_DIMS), tasks=n)
 
 
 @register("r11_repeat_purchase", """

@@ -79,3 +79,27 @@ def test_repeat_purchase_spreads_rows_over_tasks_that_follow_the_input(spark):
 def test_r11_neither_broadcasts_orders_nor_sums_in_the_scan(spark):
     text = plan(queries.r11_repeat_purchase(spark, "/root/testdata/sf0.001"))
     assert "Broadcast" not in text and text.count("REPARTITION_BY_NUM") == 4
+
+
+def test_market_insight_shuffles_fine_grains_once(spark):
+    day = dt.date
+    rows = [(day(2023, 2, 28), "a", 1, 2), (day(2023, 2, 28), "a", 3, 2), (day(2024, 2, 28), "a", 6, 1), (day(2024, 2, 29), "a", 2, 1),
+            (day(2024, 2, 29), None, 2, 5), (day(2023, 2, 27), "a", 9, 9), (None, "a", 5, 5), (day(2025, 2, 28), None, 0, 0), (day(2026, 2, 28), None, 1, 1)]
+    df = spark.createDataFrame(rows, "period date, d string, value int, units int").withColumn("value", F.col("value").cast("decimal(18,2)"))
+    for tasks in (None, 5):
+        out = reports.market_insight(df, ["d"], tasks=tasks)
+        assert "SortMergeJoin" not in plan(out)
+        got = {(str(x.period), x.d): tuple(x)[2:] for x in out.collect()}
+        assert got == {("2023-02-28", "a"): (4, 4, None, None, None, None, 1), ("2024-02-28", "a"): (6, 1, 4, 4, 0.5, -0.75, 1),
+                       ("2024-02-29", "a"): (2, 1, 4, 4, -0.5, -0.75, 0.5), ("2024-02-29", None): (2, 5, None, None, None, None, 0.5),
+                       ("2023-02-27", "a"): (9, 9, None, None, None, None, 1), ("None", "a"): (5, 5, None, None, None, None, 1),
+                       ("2025-02-28", None): (0, 0, None, None, None, None, None),
+                       ("2026-02-28", None): (1, 1, 0, 0, None, None, 1)}
+
+
+def test_r9_daily_moves_lines_three_times(spark):
+    """To their orders, to their parts and to their dimensions; the totals read the last shuffle again."""
+    out = queries.r9_market_insight_daily(spark, "/root/testdata/sf0.001")
+    out.collect()
+    text = plan(out).split("Initial Plan")[0]
+    assert "ReusedExchange" in text and "part" in text and text.count("parquet [l_") == 1
