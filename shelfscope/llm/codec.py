@@ -219,14 +219,14 @@ def _decode(payloads: list[bytes], n_ids: list[int]) -> list[np.ndarray]:
         rest = np.flatnonzero(miss)
         before = w21.take(rest).astype(np.int64)
         left = (1 << ONE) - before
-        inner = (value.take(rest) - (before << TOP)) // left
+        inner = ((value.take(rest) - (before << TOP)) // left).astype(np.int32)
         row = rest * ROW
-        b, step = np.zeros(len(rest), np.int64), 256
-        while step:  # the last bucket that begins at or below the value
-            to = np.minimum(b + step, N_BUCKETS - 1)
-            b = np.where(model.flat_cum.take(row + to) <= inner, to, b)
+        at, step = row.copy(), 256
+        while step:  # the last bucket that begins at or below the value (the row's end is above any: no step leaves the row)
+            at += (model.flat_cum.take(at + step) <= inner) * step
             step >>= 1
-        base, end = model.flat_cum.take(row + b), model.flat_cum.take(row + b + 1)
+        b = at - row
+        base, end = model.flat_cum.take(at), model.flat_cum.take(at + 1)
         cum[rest] = ((before << TOP) + left * base).astype(np.uint64)
         freq[rest] = (left * (end - base)).astype(np.uint64)
         model.flat_counts[rest * N_BUCKETS + b] += 1

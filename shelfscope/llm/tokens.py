@@ -16,8 +16,8 @@ sum with one row per file.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import uuid
 from itertools import chain
 
@@ -35,7 +35,11 @@ CACHE_WORDS = 800_000        # a worker's memory of encoded words: about 200 byt
 PART = 1 << 21               # characters encoded at once
 END = 2
 _TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
-_ODD = re.compile("[\x00\x1c-\x1f]|<\\|")
+_ODD = ("<|", "\x00", "\x1c", "\x1d", "\x1e", "\x1f")
+# how a tokenizer must cut texts so that a word of letters is one piece for its model
+_CUTS = ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "Removed", True)
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level models show as themselves
+_BYTES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _SHOWN)} | {32: 32}  # words are put apart by blanks
 
 
 class Encoder:
@@ -57,6 +61,29 @@ class Encoder:
         self.mark = self._ids("\x00")
         self.words: dict[str, bytes] = {}
         self.split = len(self.mark) == 1 and self._ids("a \x00 b") == [*self._ids("a"), *self.mark, *self._ids("b")]
+        self.model, self.ends = self._plain_model(path)
+
+    def _plain_model(self, path: str):
+        """The tokenizer's model alone, and which ids end a word; (None, None) if it cuts or changes texts in any
+        other way than into words of letters, lower-cased and as bytes."""
+        from tokenizers import Tokenizer, pre_tokenizers
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, steps = spec["model"], [spec["normalizer"] or {}, spec["pre_tokenizer"] or {}]
+        changes = [(x["type"], x.get("pattern"), x.get("content")) for x in steps[0].get("normalizers", [])]
+        cuts = steps[1].get("pretokenizers", [])
+        known = (model["type"] == "BPE" and model.get("end_of_word_suffix") and not model.get("dropout")
+                 and changes == [("NFC", None, None), ("Replace", {"Regex": "\\s+"}, " "), ("Lowercase", None, None)]
+                 and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
+                 and (cuts[0]["pattern"].get("Regex"), cuts[0]["behavior"], cuts[0]["invert"]) == _CUTS
+                 and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"])
+        if not known or spec["post_processor"]:
+            return None, None
+        plain = Tokenizer(self.tok.model)
+        plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        ends = np.zeros(1 << 16, bool)
+        ends[[i for t, i in model["vocab"].items() if t.endswith(model["end_of_word_suffix"])]] = True
+        return plain, ends
 
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
@@ -74,7 +101,22 @@ class Encoder:
                 ask.add(w[len(core):])
             else:
                 ask.add(w)
-        words = sorted(ask.difference(self.words))  # difference_update would walk through all the words known
+        words = ask.difference(self.words)  # difference_update would walk through all the words known
+        if self.model is not None:
+            plain = sorted(w for w in words if w.isalpha() and (w.isascii() or max(w) < "\u0100"))
+            words.difference_update(plain)
+            for i in range(0, len(plain), 20_000):
+                part = plain[i:i + 20_000]
+                text = " ".join(part).lower()
+                if not text.isascii():
+                    text = text.encode().decode("latin-1").translate(_BYTES)
+                ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u2")
+                at = np.flatnonzero(self.ends[ids]) + 1
+                if len(at) != len(part) or at[-1] != len(ids):
+                    raise ValueError("the model cuts words of letters")
+                raw, cuts = ids.tobytes(), [0, *(2 * at).tolist()]
+                self.words.update((w, raw[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
+        words = sorted(words)
         for i in range(0, len(words), 20_000):
             part = words[i:i + 20_000]
             got = self.tok.encode_batch_fast([" \x00 ".join(part)], add_special_tokens=False)[0].ids
@@ -93,7 +135,7 @@ class Encoder:
         for i, t in enumerate(texts):
             t = t or ""
             out.append(b"")
-            if not self.split or _ODD.search(t):
+            if not self.split or any(map(t.__contains__, _ODD)):
                 out[i] = np.array(self._ids(t), dtype="<u2").tobytes() + self.end
                 continue
             try:  # beyond Latin-1, lower-casing a text may differ from lower-casing each character

@@ -74,3 +74,25 @@ def test_repeated_rows_and_empty_table(spark):
     got = sorted(tuple(r) for r in tokens.query(df).select("doc_id", "start", "n_tokens", "ids_crc32").collect())
     assert got == sorted(_want([(1, "a b")] * 5 + [(2, "c")]))
     assert tokens.query(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_words_of_latin_letters_skip_the_normalizer_with_equal_ids():
+    rs = np.random.RandomState(3)
+    letters = [c for c in map(chr, range(256)) if c.isalpha()]
+    words = ["".join(rs.choice(letters, n)) for n in rs.randint(1, 14, 3000)] + letters + ["ß" * 40, "ªº", "naïve", "Œuvre", "ﬁn", "Ǆ", "x²", "don't"]
+    enc = tokens.Encoder(PATH)
+    asked = []
+    whole = enc.tok
+
+    class Spy:
+        def encode_batch_fast(self, texts, **kw):
+            asked.extend(texts[0].split(" \x00 "))
+            return whole.encode_batch_fast(texts, **kw)
+
+        def encode(self, *a, **kw):
+            return whole.encode(*a, **kw)
+
+    enc.tok = Spy()
+    for text, raw in zip([*words, " ".join(words)], enc.encode([*words, " ".join(words)])):
+        assert np.frombuffer(raw, "<u2").tolist() == enc._ids(text) + [tokens.END], text
+    assert not [w for w in asked if w.isalpha() and max(w) < "Ā"] and "x²" in asked
