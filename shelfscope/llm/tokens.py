@@ -103,10 +103,10 @@ class Encoder:
                 ask.add(w)
         words = ask.difference(self.words)  # difference_update would walk through all the words known
         if self.model is not None:
-            plain = sorted(w for w in words if w.isalpha() and (w.isascii() or max(w) < "\u0100"))
-            words.difference_update(plain)
-            for i in range(0, len(plain), 20_000):
-                part = plain[i:i + 20_000]
+            letters = sorted(filter(str.isalpha, words))
+            ascii_, latin = [w for w in letters if w.isascii()], [w for w in letters if not w.isascii() and max(w) < "\u0100"]
+            words.difference_update(ascii_, latin)
+            for part in [g[i:i + 20_000] for g in (ascii_, latin) for i in range(0, len(g), 20_000)]:
                 text = " ".join(part).lower()
                 if not text.isascii():
                     text = text.encode().decode("latin-1").translate(_BYTES)
