@@ -27,15 +27,17 @@ import numpy as np
 
 BLOCK_IDS = 4096
 LANES = 4096
+ENCODED, NEAR = 2048, 128           # lanes encoded at once, and in bulk
 MAGIC = b"SSTB\x01\x00\x00\x00"
 HEAD = struct.Struct("<8sQIIIII")   # magic, ids before in the file, ids, pieces, crc of ids, crc of pieces, crc of payload
 PIECE = np.dtype([("row", "<i8"), ("doc", "<i8"), ("null", "u1"), ("n", "<u4")])
 
+STEP = 8                            # a bucket is found among every so many first
 SLOTS = 1024                        # entries of each prediction table
 REBUILD = {16, 32, 64, 128}         # the order-0 table follows the counts after so many ids, and then every 256
 ONE, TOP = 15, 16                   # bits of the shares of the orders, and of the order-0 table
 START2, START1, LEAST, MOST, RATE = 8192, 4096, 64, 31000, 5
-_U = np.uint64
+_U, _U32 = np.uint64, np.uint32
 _FULL, _FLOOR, _BELOW = _U((1 << 63) - 1), _U(1 << 47), _U((1 << 47) - 1)
 _WORD, _KEEP, _ALL = _U(16), _U(47), _U(ONE + TOP)
 
@@ -53,56 +55,26 @@ def _buckets():
 
 
 BUCKET, FIRST, WIDTH = _buckets()
-WIDTH_U = WIDTH.astype(np.uint64)
+WIDTH_U, FIRST_16 = np.append(WIDTH, 0).astype(np.uint64), np.append(FIRST, 0).astype(np.uint16)  # and of no bucket
+BUCKET_16, WIDTH_8 = BUCKET.astype(np.uint16), WIDTH.astype(np.uint8)
 N_BUCKETS = len(FIRST)
 ROW = N_BUCKETS + 1
 
 
-class _Model:
-    """The state of many blocks, one lane each."""
-
-    def __init__(self, lanes: int):
-        self.at = np.arange(lanes, dtype=np.int32) * SLOTS
-        self.one, self.two = (np.zeros(lanes * SLOTS, np.uint16) for _ in range(2))
-        self.rate2, self.rate1 = np.full(lanes, START2, np.int32), np.full(lanes, START1, np.int32)
-        self.counts = np.zeros((lanes, N_BUCKETS), np.int32)
-        self.flat_counts = self.counts.reshape(-1)
-        self.cum = np.empty((lanes, ROW), np.int32)
-        self.flat_cum = self.cum.reshape(-1)
-        self.last1, self.last2 = (np.zeros(lanes, np.int32) for _ in range(2))
-        self.rebuild(lanes)
-
-    def rebuild(self, n: int) -> None:
-        """Shares of 2**TOP, at least 1 for every bucket."""
-        total = np.cumsum(self.counts[:n], axis=1, dtype=np.uint32)
-        total *= np.uint32(12)
-        total += np.arange(1, ROW, dtype=np.uint32)
-        scale = (np.float64((1 << TOP) - N_BUCKETS) * (1 << 8) / total[:, -1:]).astype(np.uint32)  # 8 bits of fraction
-        self.cum[:n, 0] = 0
-        self.cum[:n, 1:] = ((total * scale) >> np.uint32(8)) + np.arange(1, ROW, dtype=np.uint32)
-        self.cum[:n, -1] = 1 << TOP
-
-    def predict(self, t: int, n: int) -> None:
-        """Candidates and shares of orders 2 and 1."""
-        if t in REBUILD or not t % 256 and t:
-            self.rebuild(n)
-        a = self.last1[:n]
-        self.s1 = ((a * 40503) >> 4 & (SLOTS - 1)) + self.at[:n]
-        self.s2 = (((a * 28657) ^ (self.last2[:n] * 40499)) >> 5 & (SLOTS - 1)) + self.at[:n]
-        self.c1, self.c2 = self.one.take(self.s1), self.two.take(self.s2)
-        self.w2 = self.rate2[:n]
-        self.w1 = (((1 << ONE) - self.w2) * self.rate1[:n]) >> ONE
-
-    def learn(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, n: int) -> None:
-        """hit1: where order 1 was right and order 2 wrong."""
-        self.one[self.s1] = x
-        self.two[self.s2] = x
-        r1 = self.rate1[:n]
-        r1 += ((hit1 * (MOST - LEAST) + LEAST - r1) >> RATE) * ~hit2
-        r2 = self.rate2[:n]
-        r2 += (hit2 * (MOST - LEAST) + LEAST - r2) >> RATE
-        self.last2[:n] = self.last1[:n]
-        self.last1[:n] = x
+def _slots(last1: np.ndarray, last2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of orders 1 and 2 after these ids."""
+    return (last1 * 40503) >> 4 & (SLOTS - 1), ((last1 * 28657) ^ (last2 * 40499)) >> 5 & (SLOTS - 1)
+
+
+def _rebuild(counts: np.ndarray, cum: np.ndarray) -> None:
+    """Shares of 2**TOP, at least 1 for every bucket."""
+    total = np.cumsum(counts, axis=1, dtype=np.uint32)
+    total *= np.uint32(12)
+    total += np.arange(1, ROW, dtype=np.uint32)
+    scale = (np.float64((1 << TOP) - N_BUCKETS) * (1 << 8) / total[:, -1:]).astype(np.uint32)  # 8 bits of fraction
+    cum[:, 0] = 0
+    cum[:, 1:] = ((total * scale) >> np.uint32(8)) + np.arange(1, ROW, dtype=np.uint32)
+    cum[:, -1] = 1 << TOP
 
 
 def _lanes_at(sizes: np.ndarray) -> list[int]:
@@ -113,61 +85,134 @@ def _lanes_at(sizes: np.ndarray) -> list[int]:
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Blocks of 1 to BLOCK_IDS ids below 65536 -> payloads."""
     out: list[bytes] = []
-    for i in range(0, len(blocks), LANES):
-        out += _encode(blocks[i:i + LANES])
+    for part in range(parts := -(-len(blocks) // ENCODED)):
+        out += _encode(blocks[len(blocks) * part // parts:len(blocks) * (part + 1) // parts])
     return out
 
 
+def _follows(ids: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Where an id equals the one that the row's last equal slot held (0 before there was one)."""
+    rows, steps = ids.shape
+    slots = np.sort(slots.astype(np.uint32) << _U32(12) | np.arange(steps, dtype=np.uint32), axis=1)
+    at = (slots & _U32(BLOCK_IDS - 1)) + np.arange(rows)[:, None] * steps
+    slots >>= _U32(12)
+    x = ids.take(at)
+    hit = np.empty((rows, steps), bool)
+    hit[:, 0] = x[:, 0] == 0
+    hit[:, 1:] = x[:, 1:] == x[:, :-1] * (slots[:, 1:] == slots[:, :-1])
+    out = np.empty(rows * steps, bool)
+    out[at] = hit
+    return out.reshape(rows, steps)
+
+
+def _hits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where orders 2 and 1 are right; rows are blocks.  All ids are known, so nothing waits for the id before."""
+    last1, last2 = np.zeros((2, *ids.shape), np.int32)
+    last1[:, 1:] = ids[:, :-1]
+    last2[:, 2:] = ids[:, :-2]
+    slot1, slot2 = _slots(last1, last2)
+    return _follows(ids, slot2), _follows(ids, slot1)
+
+
+def _rates(hit: np.ndarray, start: int, held: np.ndarray | None) -> np.ndarray:
+    """The rate before each position; it stays where ``held``."""
+    goal = hit * np.int16(MOST - LEAST) + np.int16(LEAST)
+    moves = None if held is None else held.view(np.int8).astype(np.int16) - np.int16(1)
+    out = np.empty((len(hit) + 1, hit.shape[1]), np.int16)
+    out[0] = start
+    step, rate = np.empty(hit.shape[1], np.int16), np.int16(RATE)
+    for t in range(len(hit)):
+        np.subtract(goal[t], out[t], out=step)
+        np.right_shift(step, rate, out=step)
+        if moves is not None:
+            np.bitwise_and(step, moves[t], out=step)
+        np.add(out[t], step, out=out[t + 1])
+    return out[:-1]
+
+
+def _shares(ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, rate2: np.ndarray, rate1: np.ndarray):
+    """Each id's begin and width in the range, and the bits and place within its bucket; columns are blocks."""
+    steps, lanes = ids.shape
+    begin, width = (np.empty((steps, lanes), np.uint32) for _ in range(2))
+    miss = ~(hit2 | hit1)
+    bucket = BUCKET_16.take(ids)
+    bits, place = WIDTH_8.take(bucket) * miss, (ids - FIRST_16.take(bucket)) * miss
+    counts, cum = np.zeros((lanes, N_BUCKETS), np.int32), np.empty((lanes, ROW), np.int32)
+    lane = np.arange(lanes, dtype=np.int32)
+    turns = [0, *(t for t in range(1, steps) if t in REBUILD or not t % 256), steps]
+    for a, b in zip(turns, turns[1:]):
+        _rebuild(counts, cum)
+        own = bucket[a:b].astype(np.int32)
+        at = own + lane * np.int32(ROW)
+        base, end = cum.take(at).astype(np.uint32), cum.take(at + np.int32(1)).astype(np.uint32)
+        counts += np.bincount((own + lane * np.int32(N_BUCKETS))[miss[a:b]], minlength=lanes * N_BUCKETS).reshape(lanes, N_BUCKETS)
+        w2 = rate2[a:b].astype(np.uint32)
+        w1 = ((_U32(1 << ONE) - w2) * rate1[a:b].astype(np.uint32)) >> _U32(ONE)
+        before = w2 + w1
+        left = _U32(1 << ONE) - before
+        h2, h1 = hit2[a:b], hit1[a:b]
+        begin[a:b] = np.where(miss[a:b], (before << _U32(TOP)) + left * base, (w2 * h1) << _U32(TOP))
+        width[a:b] = np.where(miss[a:b], left * (end - base), np.where(h2, w2, w1) << _U32(TOP))
+    return begin, width, bits, place
+
+
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     sizes = np.array([len(blocks[i]) for i in order], dtype=np.int64)
     lanes, steps = len(blocks), int(sizes[0])
-    ids = np.zeros((steps, lanes), np.uint16)
+    rows = np.zeros((lanes, steps), np.uint16)
     for lane, i in enumerate(order):
-        ids[:len(blocks[i]), lane] = blocks[i]
+        rows[lane, :len(blocks[i])] = blocks[i]
+    ids = np.ascontiguousarray(rows.T)
+    hit2, hit1 = (np.empty((steps, lanes), bool) for _ in range(2))
+    for i in range(0, lanes, NEAR):  # groups of lanes whose tables stay in the processor's cache
+        two, one = _hits(rows[i:i + NEAR])
+        hit2[:, i:i + NEAR], hit1[:, i:i + NEAR] = two.T, (one > two).T
+    del rows
+    rate2, rate1 = _rates(hit2, START2, None), _rates(hit1, START1, hit2)
+    begin, width = (np.empty((steps, lanes), np.uint32) for _ in range(2))
+    bits, place = np.empty((steps, lanes), np.uint8), np.empty((steps, lanes), np.uint16)
+    for i in range(0, lanes, NEAR):
+        own = (slice(None), slice(i, i + NEAR))
+        begin[own], width[own], bits[own], place[own] = _shares(ids[own], hit2[own], hit1[own], rate2[own], rate1[own])
+    del ids, hit2, hit1, rate2, rate1
     cap = 3 * steps + 8
-    words = np.zeros(lanes * cap, np.uint32)
+    words = np.empty(lanes * cap, np.uint32)
     pos = np.arange(lanes, dtype=np.int64) * cap
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, _FULL)
-    model = _Model(lanes)
-    for t, n in enumerate(_lanes_at(sizes)):
-        x = ids[t, :n]
-        model.predict(t, n)
-        w2, w1 = model.w2, model.w1
-        hit2 = model.c2 == x
-        hit1 = (model.c1 == x) > hit2
-        miss = ~(hit1 | hit2)
-        cum = (np.where(hit2, 0, w2) << TOP).astype(np.uint64)
-        freq = (np.where(hit2, w2, w1) << TOP).astype(np.uint64)
-        rest = np.flatnonzero(miss)
-        v = x.take(rest)
-        b = BUCKET.take(v)
-        at = rest * ROW + b
-        base, end = model.flat_cum.take(at), model.flat_cum.take(at + 1)
-        before = (w2 + w1).take(rest).astype(np.uint64)
-        left = _U(1 << ONE) - before
-        cum[rest] = (before << _U(TOP)) + left * base.astype(np.uint64)
-        freq[rest] = left * (end - base).astype(np.uint64)
-        model.flat_counts[rest * N_BUCKETS + b] += 1
-        lo, rg = low[:n], rng[:n]
-        rg >>= _ALL
-        cum *= rg
-        lo += cum
-        rg *= freq
-        r = rg.take(rest) >> WIDTH_U.take(b)
-        rg[rest] = r
-        lo[rest] += r * (v - FIRST.take(b)).astype(np.uint64)
-        small = np.flatnonzero(rg < _FLOOR)
-        while len(small):
-            value = lo.take(small)
-            p = pos.take(small)
-            words[p] = value >> _KEEP
-            pos[small] = p + 1
-            lo[small] = (value & _BELOW) << _WORD
-            r = rg.take(small) << _WORD
-            rg[small] = r
-            small = small[r < _FLOOR]
-        model.learn(x, hit2, hit1, n)
+    reach = _lanes_at(sizes)
+    for a in range(0, steps, 16):
+        some = [x[a:a + 16].astype(np.uint64) for x in (begin, width, bits, place)]
+        for cum, freq, shift, off, n in zip(*some, reach[a:a + 16]):
+            lo, rg, p = low[:n], rng[:n], pos[:n]
+            cum, freq, shift, off = cum[:n], freq[:n], shift[:n], off[:n]
+            rg >>= _ALL
+            cum *= rg
+            lo += cum
+            rg *= freq
+            rg >>= shift
+            off *= rg
+            lo += off
+            # a word is written for every lane, and stays where one is due
+            words[p] = (lo >> _KEEP).astype(np.uint32)
+            due = (rg < _FLOOR).astype(np.uint64)
+            p += due.view(np.int64)
+            keep = due - _U(1)
+            keep |= _BELOW
+            lo &= keep
+            due <<= _U(4)
+            lo <<= due
+            rg <<= due
+            small = np.flatnonzero(rg < _FLOOR)
+            while len(small):
+                value = lo.take(small)
+                q = pos.take(small)
+                words[q] = value >> _KEEP
+                pos[small] = q + 1
+                lo[small] = (value & _BELOW) << _WORD
+                r = rg.take(small) << _WORD
+                rg[small] = r
+                small = small[r < _FLOOR]
     out: list = [b""] * lanes
     for lane, i in enumerate(order):
         end = int(low[lane])
@@ -195,60 +240,107 @@ def _decode(payloads: list[bytes], n_ids: list[int]) -> list[np.ndarray]:
     parts = [np.frombuffer(payloads[i], "<u2") for i in order]
     pos = np.cumsum([0, *map(len, parts[:-1])]).astype(np.int64)
     words = np.concatenate([*parts, np.zeros(4, "<u2")])
-    w0, w1, w2, w3 = (words[pos + i].astype(np.uint64) for i in range(4))
-    code = (w0 << _U(47)) | (w1 << _U(31)) | (w2 << _U(15)) | (w3 >> _U(1))
-    bit = w3 & _U(1)  # 63 bits are in the coder: of every fourth word, the last bit waits
+    code = np.zeros(lanes, np.uint64)  # 63 bits are in the coder, the last one waits
+    for i in range(4):
+        code = code << _WORD | words[pos + i]
     pos += 4
     rng = np.full(lanes, _FULL)
-    model = _Model(lanes)
+    lane = np.arange(lanes)
+    slots, rows = lane * SLOTS, lane * N_BUCKETS
+    one, two = (np.zeros(lanes * SLOTS, np.uint16) for _ in range(2))
+    rate2, rate1 = np.full(lanes, START2, np.int32), np.full(lanes, START1, np.int32)
+    last1, last2 = (np.zeros(lanes, np.int32) for _ in range(2))
+    # of the order-0 table, 2**TOP is 0 here, the begin of the next row; every STEP-th entry also lies in a row of its own
+    counts, cum = np.zeros((lanes, N_BUCKETS), np.int32), np.zeros(lanes * N_BUCKETS + 1, np.uint16)
+    coarse = np.empty((N_BUCKETS // STEP - 1, lanes), np.uint16)
+    seen = np.empty((256, lanes), np.uint16)  # buckets since the table was built; N_BUCKETS: another order was right
+    built = 0
     ids = np.zeros((steps, lanes), np.uint16)
     for t, n in enumerate(_lanes_at(sizes)):
-        model.predict(t, n)
-        w2, w1 = model.w2, model.w1
-        cd, rg = code[:n], rng[:n]
+        if t in REBUILD or not t % 256:
+            for i in range(0, n, NEAR):
+                j = min(i + NEAR, n)
+                if t:
+                    own = seen[:t - built, i:j] + np.arange(j - i, dtype=np.int32) * ROW
+                    counts[i:j] += np.bincount(own.ravel(), minlength=(j - i) * ROW).reshape(j - i, ROW)[:, :-1]
+                table = np.empty((j - i, ROW), np.int32)
+                _rebuild(counts[i:j], table)
+                table = table[:, :-1].astype(np.uint16)
+                cum[i * N_BUCKETS:j * N_BUCKETS] = table.ravel()
+                coarse[:, i:j] = table[:, STEP::STEP].T
+            built = t
+        cd, rg, p = code[:n], rng[:n], pos[:n]
+        s1, s2 = (s + slots[:n] for s in _slots(last1[:n], last2[:n]))
+        c1, c2 = one.take(s1), two.take(s2)
+        w2, r1 = rate2[:n], rate1[:n]
+        w1 = ((1 << ONE) - w2) * r1
+        w1 >>= ONE
         rg >>= _ALL
-        value = (cd // rg).astype(np.int64)
+        twice = rg << _U(1)
+        value = (cd // twice).astype(np.int32)
         share = value >> TOP
-        hit2 = share < w2
-        w21 = w2 + w1
-        miss = share >= w21
-        hit1 = ~(hit2 | miss)
-        cum = (np.where(hit2, 0, w2) << TOP).astype(np.uint64)
-        freq = (np.where(hit2, w2, w1) << TOP).astype(np.uint64)
-        x = np.where(hit2, model.c2, model.c1)
-        rest = np.flatnonzero(miss)
-        before = w21.take(rest).astype(np.int64)
+        before = w2 + w1
+        hit2, miss = share < w2, share >= before
+        # order 0 for every lane: where another order is right, its outcome is dropped
         left = (1 << ONE) - before
-        inner = ((value.take(rest) - (before << TOP)) // left).astype(np.int32)
-        row = rest * ROW
-        at, step = row.copy(), 256
-        while step:  # the last bucket that begins at or below the value (the row's end is above any: no step leaves the row)
-            at += (model.flat_cum.take(at + step) <= inner) * step
-            step >>= 1
-        b = at - row
-        base, end = model.flat_cum.take(at), model.flat_cum.take(at + 1)
-        cum[rest] = ((before << TOP) + left * base).astype(np.uint64)
-        freq[rest] = (left * (end - base)).astype(np.uint64)
-        model.flat_counts[rest * N_BUCKETS + b] += 1
-        cum *= rg
-        cd -= cum
-        rg *= freq
-        r = rg.take(rest) >> WIDTH_U.take(b)
-        below = cd.take(rest) // r
-        cd[rest] -= below * r
-        rg[rest] = r
-        x[rest] = FIRST.take(b) + below.astype(np.int64)
+        before <<= TOP
+        value -= before
+        inner = (value.view(np.uint32) // left.view(np.uint32)).astype(np.uint16)
+        at = np.add.reduce((coarse[:, :n] <= inner).view(np.uint8), axis=0, dtype=np.uint8) * np.int64(STEP)
+        at += rows[:n]
+        step = STEP // 2
+        while step:
+            at += (cum[step:].take(at) <= inner) * step
+            step //= 2
+        base = cum.take(at)
+        span = cum[1:].take(at) - base
+        at -= rows[:n]
+        b = np.where(miss, at, N_BUCKETS)
+        seen[t - built, :n] = b
+        before += left * base
+        begin = np.where(miss, before, np.where(hit2, 0, w2 << TOP))
+        width = np.where(miss, left * span, np.where(hit2, w2, w1) << TOP)
+        twice *= begin.astype(np.uint64)
+        cd -= twice
+        rg *= width.astype(np.uint64)
+        rg >>= WIDTH_U.take(b)
+        np.left_shift(rg, _U(1), out=twice)
+        below = cd // twice
+        twice *= below
+        cd -= twice
+        x = np.where(miss, FIRST_16.take(b) + below.astype(np.uint16), np.where(hit2, c2, c1))
+        # the next word is read for every lane, and goes in where one is due
+        due = (rg < _FLOOR).astype(np.uint64)
+        word = words.take(p) * due
+        p += due.view(np.int64)
+        due <<= _U(4)
+        cd <<= due
+        cd |= word
+        rg <<= due
         small = np.flatnonzero(rg < _FLOOR)
         while len(small):
-            p = pos.take(small)
-            w = words.take(p, mode="clip").astype(np.uint64)
-            cd[small] = (cd.take(small) << _WORD) | (bit.take(small) << _U(15)) | (w >> _U(1))
-            bit[small] = w & _U(1)
-            pos[small] = p + 1
+            q = pos.take(small)
+            cd[small] = cd.take(small) << _WORD | words.take(q)
+            pos[small] = q + 1
             r = rg.take(small) << _WORD
             rg[small] = r
             small = small[r < _FLOOR]
-        model.learn(x, hit2, hit1, n)
+        one[s1] = x
+        two[s2] = x
+        hit1 = ~(hit2 | miss)
+        move = hit1 * np.int32(MOST - LEAST)
+        move += LEAST
+        move -= r1
+        move >>= RATE
+        move *= ~hit2
+        r1 += move
+        move = hit2 * np.int32(MOST - LEAST)
+        move += LEAST
+        move -= w2
+        move >>= RATE
+        w2 += move
+        last2[:n] = last1[:n]
+        last1[:n] = x
         ids[t, :n] = x
     out: list = [None] * lanes
     for lane, i in enumerate(order):

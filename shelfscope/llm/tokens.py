@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -32,10 +32,10 @@ from . import codec
 from .common import importable, partitions
 
 CACHE_WORDS = 800_000        # a worker's memory of encoded words: about 200 bytes each
-PART = 1 << 21               # characters encoded at once
+PART = 1 << 23               # bytes of text encoded at once, or one text
 END = 2
-_TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
-_ODD = ("<|", "\x00", "\x1c", "\x1d", "\x1e", "\x1f")
+_TAIL = r"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)(\s|$)"  # an apostrophe may begin 's or 't
+_ODD = "<\\||[\\x00\\x1c-\\x1f]"
 # how a tokenizer must cut texts so that a word of letters is one piece for its model
 _CUTS = ("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "Removed", True)
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level models show as themselves
@@ -57,12 +57,17 @@ class Encoder:
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.end = np.array([end], dtype="<u2").tobytes()
+        self.end = np.array([end], dtype="<u2")
         self.mark = self._ids("\x00")
-        self.words: dict[str, bytes] = {}
+        self._forget()
         self.split = len(self.mark) == 1 and self._ids("a \x00 b") == [*self._ids("a"), *self.mark, *self._ids("b")]
         self.model, self.ends = self._plain_model(path)
 
+    def _forget(self) -> None:
+        """Word n's ids are pool[stops[n]:stops[n + 1]]."""
+        self.words: dict[str, int] = {}
+        self.pool, self.stops = np.zeros(0, "<u2"), np.zeros(1, np.int64)
+
     def _plain_model(self, path: str):
         """The tokenizer's model alone, and which ids end a word; (None, None) if it cuts or changes texts in any
         other way than into words of letters, lower-cased and as bytes."""
@@ -80,7 +85,7 @@ class Encoder:
         if not known or spec["post_processor"]:
             return None, None
         plain = Tokenizer(self.tok.model)
-        plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         ends = np.zeros(1 << 16, bool)
         ends[[i for t, i in model["vocab"].items() if t.endswith(model["end_of_word_suffix"])]] = True
         return plain, ends
@@ -88,24 +93,20 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, new: set[str]) -> None:
-        """Put the ids of new words into the cache.  Marks behind a word's last
-        letter or digit are tokens of their own, so a word is learnt as its
-        core and its tail, which most new words share with others."""
-        whole, ask = [], set()
-        for w in new:
-            core = w.rstrip(_TAIL)
-            if core and len(core) < len(w) and core[-1].isalnum() and core[-1] < "\u0100":
-                whole.append((w, core, w[len(core):]))
-                ask.add(core)
-                ask.add(w[len(core):])
-            else:
-                ask.add(w)
-        words = ask.difference(self.words)  # difference_update would walk through all the words known
+    def _learn(self, new: list[str]) -> None:
+        """Put the ids of new words into the cache."""
+        learnt = [self.pool]
+
+        def keep(part: list[str], ids: np.ndarray, stops: np.ndarray) -> None:
+            self.words.update(zip(part, range(len(self.words), len(self.words) + len(part))))
+            self.stops = np.concatenate((self.stops, self.stops[-1] + stops))
+            learnt.append(ids)
+
+        rest = new
         if self.model is not None:
-            letters = sorted(filter(str.isalpha, words))
-            ascii_, latin = [w for w in letters if w.isascii()], [w for w in letters if not w.isascii() and max(w) < "\u0100"]
-            words.difference_update(ascii_, latin)
+            rest, ascii_, latin = [], [], []
+            for w in new:
+                (rest if not w.isalpha() else ascii_ if w.isascii() else latin if max(w) < "\u0100" else rest).append(w)
             for part in [g[i:i + 20_000] for g in (ascii_, latin) for i in range(0, len(g), 20_000)]:
                 text = " ".join(part).lower()
                 if not text.isascii():
@@ -114,44 +115,68 @@ class Encoder:
                 at = np.flatnonzero(self.ends[ids]) + 1
                 if len(at) != len(part) or at[-1] != len(ids):
                     raise ValueError("the model cuts words of letters")
-                raw, cuts = ids.tobytes(), [0, *(2 * at).tolist()]
-                self.words.update((w, raw[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
-        words = sorted(words)
-        for i in range(0, len(words), 20_000):
-            part = words[i:i + 20_000]
+                keep(part, ids, at)
+        for i in range(0, len(rest), 20_000):
+            part = rest[i:i + 20_000]
             got = self.tok.encode_batch_fast([" \x00 ".join(part)], add_special_tokens=False)[0].ids
             ids = np.array(got, dtype="<u2")
-            at = np.flatnonzero(ids == self.mark[0])
+            mark = ids == self.mark[0]
+            at = np.flatnonzero(mark)
             if len(at) != len(part) - 1:
                 raise ValueError("the separator is part of a word")
-            raw, cuts = ids.tobytes(), [-1, *at.tolist(), len(ids)]
-            self.words.update((w, raw[2 * a + 2:2 * b]) for w, a, b in zip(part, cuts, cuts[1:]))
-        self.words.update((w, self.words[core] + self.words[tail]) for w, core, tail in whole)
+            keep(part, ids[~mark], np.append(at, len(ids)) - np.arange(len(part)))
+        self.pool = np.concatenate(learnt)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian 16-bit numbers."""
-        out: list[bytes] = []
-        plain: list[tuple[int, list[str]]] = []
-        for i, t in enumerate(texts):
-            t = t or ""
-            out.append(b"")
-            if not self.split or any(map(t.__contains__, _ODD)):
-                out[i] = np.array(self._ids(t), dtype="<u2").tobytes() + self.end
-                continue
-            try:  # beyond Latin-1, lower-casing a text may differ from lower-casing each character
-                t.encode("latin-1")
-                t = t.lower()
-            except UnicodeEncodeError:
-                pass
-            plain.append((i, t.split()))
+        import pyarrow as pa
+        ids, n = self.encode_column(pa.array(texts, pa.large_string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(n)[:-1])]
+
+    def encode_column(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of an Arrow array's texts in a row, the end id behind each, and their number for each text.
+        Arrow splits the texts and numbers their distinct words, so that Python looks at each of these once."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        texts = texts.fill_null("")
+        odd = pc.match_substring_regex(texts, _ODD) if self.split else pa.repeat(True, len(texts))
+        rest = pc.filter(texts, odd).to_pylist()
+        if rest:
+            texts = pc.if_else(odd, "", texts)
+        # beyond Latin-1, lower-casing a text may differ from lower-casing each character
+        texts = pc.if_else(pc.match_substring_regex(texts, "[^\\x00-\\xff]"), texts, pc.utf8_lower(texts))
+        if self.model is not None:  # marks behind a word's last letter or digit are tokens of their own
+            texts = pc.replace_substring_regex(texts, _TAIL, "\\1 \\2\\3")
+        lists = pc.utf8_split_whitespace(texts)
+        coded = pc.dictionary_encode(lists.flatten())
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        new = set(chain.from_iterable(w for _, w in plain)).difference(self.words)
-        self._learn(new)
-        get = self.words.__getitem__
-        for i, w in plain:
-            out[i] = b"".join(map(get, w)) + self.end
-        return out
+            self._forget()
+        known = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            learn = [words[i] for i in new.tolist()]
+            self._learn(learn)
+            known[new] = np.fromiter(map(self.words.__getitem__, learn), np.int64, len(new))
+        # entries: the distinct words, the end, the texts that went through the library whole with their ends
+        whole = [self.end, *(np.array([*self._ids(t), self.end[0]], "<u2") for t in rest)]
+        pool = np.concatenate((self.pool, *whole))
+        start = np.concatenate((self.stops[known], len(self.pool) + np.cumsum([0, *map(len, whole[:-1])])))
+        size = np.concatenate((self.stops[known + 1] - self.stops[known], [len(x) for x in whole]))
+        last = np.full(len(texts), len(words), np.int32)
+        last[odd.to_numpy(zero_copy_only=False)] = np.arange(len(words) + 1, len(start))
+        per_text = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(per_text + 1) - 1
+        order = np.empty(len(coded) + len(texts), np.int32)
+        inner = np.ones(len(order), bool)
+        inner[ends] = False
+        order[inner] = coded.indices.to_numpy()
+        order[ends] = last
+        n = size.take(order)
+        stop = np.cumsum(n)
+        at = np.repeat(start.take(order) - (stop - n), n)
+        at += np.arange(len(at))
+        return pool.take(at), np.diff(stop.take(ends), prepend=0)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -167,16 +192,17 @@ def encoder(path: str, end: int) -> Encoder:
 def _writer(path: str, end: int):
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         file_no, enc = TaskContext.get().partitionId(), encoder(path, end)
         ids, pieces = [], []           # of blocks not yet written
         waiting, row, start, block_no = 0, 0, 0, 0
 
         def flush(last: bool):
             nonlocal ids, pieces, waiting, start, block_no
-            flat = np.concatenate([np.frombuffer(b"".join(ids), "<u2"), np.zeros(0, "<u2")])
+            flat = np.concatenate(ids)
             whole = len(flat) if last else len(flat) // codec.BLOCK_IDS * codec.BLOCK_IDS
             blocks = [flat[i:min(i + codec.BLOCK_IDS, whole)] for i in range(0, whole, codec.BLOCK_IDS)]
-            table = np.array(pieces, dtype=codec.PIECE)
+            table = np.concatenate(pieces)
             ends = np.cumsum(table["n"].astype(np.int64))
             out, first = [], 0
             for k, (b, payload) in enumerate(zip(blocks, codec.encode(blocks))):
@@ -189,30 +215,30 @@ def _writer(path: str, end: int):
                 out.append((file_no, block_no, codec.frame(start, b, own, payload)))
                 block_no += 1
                 start += len(b)
-            ids = [flat[whole:].tobytes()]
+            ids = [flat[whole:].copy()]
             rest = table[first:].copy()
             if len(rest):
                 rest["n"] = np.diff(np.concatenate(([whole], ends[first:])))
-            pieces = [tuple(p) for p in rest]
+            pieces = [rest]
             waiting = len(flat) - whole
             return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
                                                pa.array([x[2] for x in out], pa.binary())], names=["file_no", "block_no", "frame"])
 
         for batch in batches:
-            docs, texts = batch.column(0), batch.column(1).to_pylist()
+            docs, texts = batch.column(0), batch.column(1)
             null = docs.is_null().to_numpy(zero_copy_only=False)
             docs = docs.fill_null(0).to_numpy(zero_copy_only=False)
+            size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
             i = 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (size < PART or j == i):
-                    size += len(texts[j] or "")
-                    j += 1
-                for k, raw in zip(range(i, j), enc.encode(texts[i:j])):
-                    ids.append(raw)
-                    pieces.append((row, int(docs[k]), int(null[k]), len(raw) // 2))
-                    waiting += len(raw) // 2
-                    row += 1
+            while i < len(docs):
+                j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + PART, side="right")))
+                flat, n = enc.encode_column(texts.slice(i, j - i))
+                ids.append(flat)
+                table = np.empty(j - i, codec.PIECE)
+                table["row"], table["doc"], table["null"], table["n"] = np.arange(row, row + j - i), docs[i:j], null[i:j], n
+                pieces.append(table)
+                waiting += len(flat)
+                row += j - i
                 i = j
                 if waiting >= codec.BLOCK_IDS * codec.LANES:
                     yield flush(False)
