@@ -56,7 +56,7 @@ def _buckets():
 
 BUCKET, FIRST, WIDTH = _buckets()
 WIDTH_U, FIRST_16 = np.append(WIDTH, 0).astype(np.uint64), np.append(FIRST, 0).astype(np.uint16)  # and of no bucket
-BUCKET_16, WIDTH_8 = BUCKET.astype(np.uint16), WIDTH.astype(np.uint8)
+BUCKET_16, WIDTH_8 = BUCKET.astype(np.uint16), np.append(WIDTH, 0).astype(np.uint8)
 N_BUCKETS = len(FIRST)
 ROW = N_BUCKETS + 1
 
@@ -135,24 +135,26 @@ def _shares(ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, rate2: np.ndarr
     steps, lanes = ids.shape
     begin, width = (np.empty((steps, lanes), np.uint32) for _ in range(2))
     miss = ~(hit2 | hit1)
-    bucket = BUCKET_16.take(ids)
-    bits, place = WIDTH_8.take(bucket) * miss, (ids - FIRST_16.take(bucket)) * miss
+    bucket = np.where(miss, BUCKET_16.take(ids), np.uint16(N_BUCKETS))
+    bits, place = WIDTH_8.take(bucket), (ids - FIRST_16.take(bucket)) * miss
     counts, cum = np.zeros((lanes, N_BUCKETS), np.int32), np.empty((lanes, ROW), np.int32)
-    lane = np.arange(lanes, dtype=np.int32)
+    shares = np.zeros(lanes * ROW + 1, np.uint32)
+    lane = np.arange(lanes) * ROW
     turns = [0, *(t for t in range(1, steps) if t in REBUILD or not t % 256), steps]
     for a, b in zip(turns, turns[1:]):
         _rebuild(counts, cum)
-        own = bucket[a:b].astype(np.int32)
-        at = own + lane * np.int32(ROW)
-        base, end = cum.take(at).astype(np.uint32), cum.take(at + np.int32(1)).astype(np.uint32)
-        counts += np.bincount((own + lane * np.int32(N_BUCKETS))[miss[a:b]], minlength=lanes * N_BUCKETS).reshape(lanes, N_BUCKETS)
+        shares[:-1] = cum.ravel()
+        at = bucket[a:b] + lane
+        base, span = shares.take(at), shares[1:].take(at)
+        span -= base
+        counts += np.bincount(at.ravel(), minlength=lanes * ROW).reshape(lanes, ROW)[:, :-1]
         w2 = rate2[a:b].astype(np.uint32)
         w1 = ((_U32(1 << ONE) - w2) * rate1[a:b].astype(np.uint32)) >> _U32(ONE)
         before = w2 + w1
         left = _U32(1 << ONE) - before
         h2, h1 = hit2[a:b], hit1[a:b]
         begin[a:b] = np.where(miss[a:b], (before << _U32(TOP)) + left * base, (w2 * h1) << _U32(TOP))
-        width[a:b] = np.where(miss[a:b], left * (end - base), np.where(h2, w2, w1) << _U32(TOP))
+        width[a:b] = np.where(miss[a:b], left * span, np.where(h2, w2, w1) << _U32(TOP))
     return begin, width, bits, place
 
 
@@ -176,9 +178,8 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
         own = (slice(None), slice(i, i + NEAR))
         begin[own], width[own], bits[own], place[own] = _shares(ids[own], hit2[own], hit1[own], rate2[own], rate1[own])
     del ids, hit2, hit1, rate2, rate1
-    cap = 3 * steps + 8
-    words = np.empty(lanes * cap, np.uint32)
-    pos = np.arange(lanes, dtype=np.int64) * cap
+    words = np.empty((3 * steps + 8) * lanes, np.uint32)  # the lanes' first words, their second, ...: lanes advance much alike
+    pos = np.arange(lanes)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, _FULL)
     reach = _lanes_at(sizes)
     for a in range(0, steps, 16):
@@ -196,7 +197,7 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
             # a word is written for every lane, and stays where one is due
             words[p] = (lo >> _KEEP).astype(np.uint32)
             due = (rg < _FLOOR).astype(np.uint64)
-            p += due.view(np.int64)
+            p += due.view(np.int64) * lanes
             keep = due - _U(1)
             keep |= _BELOW
             lo &= keep
@@ -208,15 +209,19 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
                 value = lo.take(small)
                 q = pos.take(small)
                 words[q] = value >> _KEEP
-                pos[small] = q + 1
+                pos[small] = q + lanes
                 lo[small] = (value & _BELOW) << _WORD
                 r = rg.take(small) << _WORD
                 rg[small] = r
                 small = small[r < _FLOOR]
     out: list = [b""] * lanes
+    most = pos // lanes
+    words = words.reshape(-1, lanes)[:most.max()]
     for lane, i in enumerate(order):
+        if not lane % NEAR:
+            near = np.ascontiguousarray(words[:, lane:lane + NEAR].T)
         end = int(low[lane])
-        w = np.concatenate((words[lane * cap:pos[lane]], [end >> 47, (end >> 31) & 0xFFFF, (end >> 15) & 0xFFFF,
+        w = np.concatenate((near[lane % NEAR, :most[lane]], [end >> 47, (end >> 31) & 0xFFFF, (end >> 15) & 0xFFFF,
                                                           (end << 1) & 0xFFFF])).astype(np.int64)
         while (over := np.flatnonzero(w[1:] >> 16)).size:  # carries go into the word before
             carry = w[over + 1] >> 16
@@ -237,13 +242,18 @@ def _decode(payloads: list[bytes], n_ids: list[int]) -> list[np.ndarray]:
     order = np.argsort([-n for n in n_ids], kind="stable")
     sizes = np.array([n_ids[i] for i in order], dtype=np.int64)
     lanes, steps = len(payloads), int(sizes[0])
-    parts = [np.frombuffer(payloads[i], "<u2") for i in order]
-    pos = np.cumsum([0, *map(len, parts[:-1])]).astype(np.int64)
-    words = np.concatenate([*parts, np.zeros(4, "<u2")])
+    words = np.zeros((max(map(len, payloads)) // 2 + 4, lanes), "<u2")  # the lanes' first words, their second, ...
+    for i in range(0, lanes, NEAR):
+        parts = [np.frombuffer(payloads[k], "<u2") for k in order[i:i + NEAR]]
+        near = np.zeros((len(parts), max(map(len, parts))), "<u2")
+        for k, x in enumerate(parts):
+            near[k, :len(x)] = x
+        words[:near.shape[1], i:i + NEAR] = near.T
     code = np.zeros(lanes, np.uint64)  # 63 bits are in the coder, the last one waits
-    for i in range(4):
-        code = code << _WORD | words[pos + i]
-    pos += 4
+    for x in words[:4]:
+        code = code << _WORD | x
+    words = words.reshape(-1)
+    pos = np.arange(lanes) + 4 * lanes
     rng = np.full(lanes, _FULL)
     lane = np.arange(lanes)
     slots, rows = lane * SLOTS, lane * N_BUCKETS
@@ -312,7 +322,7 @@ def _decode(payloads: list[bytes], n_ids: list[int]) -> list[np.ndarray]:
         # the next word is read for every lane, and goes in where one is due
         due = (rg < _FLOOR).astype(np.uint64)
         word = words.take(p) * due
-        p += due.view(np.int64)
+        p += due.view(np.int64) * lanes
         due <<= _U(4)
         cd <<= due
         cd |= word
@@ -321,7 +331,7 @@ def _decode(payloads: list[bytes], n_ids: list[int]) -> list[np.ndarray]:
         while len(small):
             q = pos.take(small)
             cd[small] = cd.take(small) << _WORD | words.take(q)
-            pos[small] = q + 1
+            pos[small] = q + lanes
             r = rg.take(small) << _WORD
             rg[small] = r
             small = small[r < _FLOOR]
@@ -344,7 +354,9 @@ def _decode(payloads: list[bytes], n_ids: list[int]) -> list[np.ndarray]:
         ids[t, :n] = x
     out: list = [None] * lanes
     for lane, i in enumerate(order):
-        out[i] = ids[:sizes[lane], lane].astype(np.int32)
+        if not lane % NEAR:
+            near = ids[:, lane:lane + NEAR].T.astype(np.int32)
+        out[i] = near[lane % NEAR, :sizes[lane]]
     return out
 
 

@@ -96,3 +96,37 @@ def test_words_of_latin_letters_skip_the_normalizer_with_equal_ids():
     for text, raw in zip([*words, " ".join(words)], enc.encode([*words, " ".join(words)])):
         assert np.frombuffer(raw, "<u2").tolist() == enc._ids(text) + [tokens.END], text
     assert not [w for w in asked if w.isalpha() and max(w) < "Ā"] and "x²" in asked
+
+
+def test_marks_behind_words_are_split_off_with_equal_ids():
+    rs = np.random.RandomState(5)
+    bits = ["word", "Word", "école", "ÉCOLE", "x1", "½", "²", "日本", "Σας", "ẖ", "H̱", "İ", "'s", "'", "’", ",", ".", "...", '."', "(", ")", "<", "|", "_", "-",
+            "̸", " ", "  ", "\n", " ", "\xa0", "\x85", "á", "K", "\\1", "$", "%", "`", "~", "\t", "ß", "ÿ", "×", "µ", "<|", "\x1f"]
+    texts = ["".join(bits[i] for i in rs.randint(0, len(bits) - 2 * (k % 9 != 0), rs.randint(0, 14))) for k in range(4000)]
+    enc = tokens.Encoder(PATH)
+    assert enc.model is not None
+    for text, raw in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(raw, "<u2").tolist() == enc._ids(text) + [tokens.END], text
+    enc = tokens.Encoder(PATH)
+    enc.encode(["Alpha, alpha. alpha; (alpha) alpha!\nalpha"] * 3)
+    assert set(enc.words) == {"alpha", ",", ".", ";", "!", "(alpha", ")"}  # one entry for a word, whatever mark follows
+
+
+def test_words_are_learnt_anew_when_the_cache_is_full(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 3)
+    enc = tokens.Encoder(PATH)
+    for text in ("one two three four", "five, one", "", "six", "four two x\x00y"):
+        assert np.frombuffer(enc.encode([text, text])[1], "<u2").tolist() == enc._ids(text) + [tokens.END]
+    assert len(enc.words) < 8
+
+
+def test_groups_of_blocks_do_not_matter(monkeypatch):
+    rs = np.random.RandomState(6)
+    blocks = [rs.randint(0, rs.choice([2, 300, 65536]), n) for n in (*rs.randint(1, 700, 150), 4096)]
+    blocks += [np.concatenate((np.zeros(900, int), rs.randint(0, 65536, 100), np.zeros(300, int)))]  # many words at once
+    sizes, payloads = [len(b) for b in blocks], codec.encode(blocks)
+    monkeypatch.setattr(codec, "ENCODED", 40)
+    monkeypatch.setattr(codec, "NEAR", 7)
+    assert codec.encode(blocks) == payloads
+    for got, want in zip(codec.decode(payloads, sizes), blocks):
+        assert (got == want).all()
