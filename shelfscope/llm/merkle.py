@@ -109,7 +109,7 @@ def _expand(leaves: pa.Table, fetched: pa.Table, levels: int) -> pa.Table:
             return tops
         if (level, i) not in rests:
             start = i // ARITY * ARITY
-            at = nodes[level]
+            at = nodes.get(level, {})  # a run of one node has no siblings to fetch
             side = [[at[j] for j in range(a, b)] for a, b in ((start, i), (i + 1, min(start + ARITY, width(n, level))))]
             up = rest(level + 1, i // ARITY)
             rests[level, i] = (["".join(side[0]), *up[0]], ["".join(side[1]), *up[1]])

@@ -93,6 +93,19 @@ def test_small_leaf_partitions_need_upper_passes(spark, levels):
         assert h("".join(s.before + s.after for s in g.proof)) == want[r[0]][4]
 
 
+@pytest.mark.parametrize("n", [513, 576, 4097])
+def test_a_lone_last_node_above_its_leaf_partition(spark, n):
+    """Above the last leaf partition's top a run may be one node: no sibling is fetched at that level."""
+    rows = rows_of(n, "en") + rows_of(3, "de", 10000)
+    df = spark.createDataFrame([(i, r[2], r[0], leaf(*r)) for i, r in enumerate(rows)], "id long, group string, key long, leaf string").repartition(5)
+    got = {r.id: r for r in m.prove(df, 1).collect()}
+    want = {r[0]: r for r in brute(rows)}
+    assert len(got) == len(rows)
+    for i, r in enumerate(rows):
+        assert (got[i].leaf, got[i].subroot, got[i].root) == want[r[0]][1:4]
+        assert h("".join(s.before + s.after for s in got[i].proof)) == want[r[0]][4]
+
+
 def test_fold_and_octopus(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([("x", [("a", "b"), ("", "c")])], "leaf string, proof array<struct<before:string,after:string>>")
