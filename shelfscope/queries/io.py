@@ -14,7 +14,7 @@ from .. import fixtures as fx
 from ..plans import flat_files as ff
 from ..plans import vendor as v
 from ..registry import REGISTRY, register
-from ..session import scratch_path
+from ..session import scratch_path, shuffles_dropped
 from ..sources import files as src
 from ..streaming.ingest import start_ingest
 from .flat_files import _market
@@ -119,22 +119,32 @@ def s10_search_terms_from_json(spark, d):
 
 
 DOC_RECORDS = 500_000
+SLICE_RECORDS = 30_000_000
 
 
-def _land_documents(rec, path: str, group, key: str, rows: int) -> None:
+def _land_documents(rec, path: str, group, key: str, rows: int, by=None, compression: str = "none") -> None:
     """JSON documents with many records in the array under ``key``, as the service hands them out: one a group, or several
-    once the records (``rows`` at most) are more than a document should hold, since a task writes a document whole."""
-    parts = max(1, -(-rows // DOC_RECORDS))
-    items = rec.select(group.alias("doc"), F.to_json(F.struct(*rec.columns)).alias("value"))
-    items = items.withColumn("doc", F.concat_ws("-", "doc", F.pmod(F.xxhash64("value"), F.lit(parts)).cast("string")))
+    once the records (``rows`` at most) are more than a document should hold, since a task writes a document whole.
+
+    Documents are dealt by the columns ``by`` (else all).  Beyond SLICE_RECORDS they are written in slices, a write each
+    that makes its own records and drops its shuffles, so the disk holds one slice's shuffles beside the documents."""
+    spark, by = rec.sparkSession, by or rec.columns
+    parts, slices = max(1, -(-rows // DOC_RECORDS)), max(1, -(-rows // SLICE_RECORDS))
+    part = F.pmod(F.xxhash64(*by), F.lit(parts))
     # a number given: a document's lines stay in one task, and tasks follow the documents
-    n = max(int(rec.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * parts)
+    n = -(-max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * parts) // slices)
     w = Window.partitionBy("doc")
-    items = items.repartition(n, "doc").withColumn("nth", F.row_number().over(w.orderBy("value"))).withColumn("n", F.count("*").over(w))
     head = '{"reportSpecification":{"reportOptions":{"reportPeriod":"WEEK"}},"%s":[\n' % key
-    line = F.concat(F.when(F.col("nth") == 1, head).otherwise(","), F.col("value"), F.when(F.col("nth") == F.col("n"), "]}").otherwise(""))
-    (items.select("doc", "nth", line.alias("value")).sortWithinPartitions("doc", "nth").select("doc", "value")
-        .write.partitionBy("doc").text(path))
+    value = F.to_json("record")
+    line = F.concat(F.when(F.col("nth") == 1, head).otherwise(","), value, F.when(F.col("nth") == F.col("n"), "]}").otherwise(""))
+    with shuffles_dropped(spark):
+        for k in range(slices):
+            some = rec.where(F.pmod(part, F.lit(slices)) == k) if slices > 1 else rec
+            items = some.select(F.concat_ws("-", group, part.cast("string")).alias("doc"), F.struct(*rec.columns).alias("record"))
+            items = items.repartition(n, "doc").withColumn("nth", F.row_number().over(w.orderBy(F.xxhash64(*[f"record.`{c}`" for c in by])))).withColumn("n", F.count("*").over(w))
+            # columns are dealt and sorted, they become text as they are written
+            (items.sortWithinPartitions("doc", "nth").select("doc", line.alias("value"))
+                .write.mode("append").option("compression", compression).partitionBy("doc").text(path))
 
 
 @register("s10_search_terms_documents", Q7_SQL, "S10", "S1", "Q7")
@@ -152,11 +162,12 @@ def s10_search_terms_documents(spark, d):
 
 @register("s1_vendor_report_documents", Q5_SQL, "S1", "Q5")
 def s1_vendor_report_documents(spark, d):
-    """The vendor report as documents of many records, under the schema of the document."""
+    """The vendor report as documents of many records (gzip, as the service sends them), under the schema of the document."""
     path = _scratch(spark, "landing-sales-documents")
     rec = fx.vendor_sales_records(spark, d)
     schema = rec.select(F.array(F.struct(*rec.columns)).alias("salesByAsin")).schema
-    _land_documents(rec, path, F.pmod(F.xxhash64("asin"), F.lit(4)).cast("string"), "salesByAsin", fx.table(spark, d, "lineitem").count())
+    _land_documents(rec, path, F.pmod(F.xxhash64("asin"), F.lit(4)).cast("string"), "salesByAsin", fx.table(spark, d, "lineitem").count(),
+                    by=["asin", "startDate"], compression="gzip")
     return v.vendor_report(src.read_report_json(spark, path, key="salesByAsin", schema=schema), COUNTRY, NOW)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -90,3 +91,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     cluster): used for written intermediate tables and stream checkpoints."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Writes made within drop their shuffle files as they end.  Else these stay until the driver happens to collect its
+    garbage, so a job of several writes holds the shuffles of all.  A write plans its own query: nothing reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)

@@ -8,7 +8,8 @@ summary; summaries, one row a split, are combined in file order on the driver, w
 Then every piece knows its start, and elements or rows come out of the written table in any order and number of tasks; those
 that run over the end of a piece are put together by one small aggregate.  The sources are read once.
 
-Nothing reads a file as a whole.  A compressed file that Spark can't split is one split.
+Nothing reads a file as a whole.  A compressed file that Spark can't split is one split.  A gzip document's start is
+known, so its elements come straight out of one stream over it, and its text is not written again.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from urllib.parse import unquote
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -169,42 +170,44 @@ def _json_starts(rows, base: int) -> dict[tuple[str, int], tuple[int, int, bool,
     return out
 
 
-def _json_elements(starts: dict, base: int, pieces: bool):
-    """Whole elements of each piece, or (``pieces``) the parts of those that run over one of its ends, numbered 0
+def _json_of(starts: dict, base: int, path, block, offset, quotes, r, low, after, raw):
+    """A piece's whole elements, and the parts of those that run over one of its ends, numbered 0
     where the element begins and -1 else: an end comes before the next beginning."""
-    def of(path, block, offset, quotes, r, low, after, raw):
-        h, depth, inside, opened = starts[path, block]
-        data = np.frombuffer(raw, np.uint8)
-        at, kind, seen, _ = _events(data)
-        outside = (seen + quotes + h) % 2 == 0
-        at, kind = at[outside], kind[outside]
-        if inside:
-            inside = depth + low[h] >= base
-        elif 0 <= opened < offset:
-            inside = depth + after[h] >= base
-        start = depth + r[h]
-        depths = start + np.cumsum(kind)
-        first = 0
-        if not inside and offset <= opened < offset + len(data):
-            first, inside, start = int(np.searchsorted(at, opened - offset, side="right")), True, base
-        if not inside:
-            return [], []
-        left = np.flatnonzero(depths[first:] < base)
-        last = first + int(left[0]) if len(left) else len(at)
-        a, k, d = at[first:last], kind[first:last], depths[first:last]
-        opens, ends = a[(k == OPEN) & (d == base + 1)].tolist(), (a[(k == CLOSE) & (d == base)] + 1).tolist()
-        parts = []
-        if start > base:  # an element from before
-            parts.append((-1, raw[:ends[0]] if ends else raw))
-            ends = ends[1:]
-        if len(opens) > len(ends):
-            parts.append((0, raw[opens[-1]:]))
-        return [raw[i:j] for i, j in zip(opens, ends)], parts
+    h, depth, inside, opened = starts[path, block]
+    data = np.frombuffer(raw, np.uint8)
+    at, kind, seen, _ = _events(data)
+    outside = (seen + quotes + h) % 2 == 0
+    at, kind = at[outside], kind[outside]
+    if inside:
+        inside = depth + low[h] >= base
+    elif 0 <= opened < offset:
+        inside = depth + after[h] >= base
+    start = depth + r[h]
+    depths = start + np.cumsum(kind)
+    first = 0
+    if not inside and offset <= opened < offset + len(data):
+        first, inside, start = int(np.searchsorted(at, opened - offset, side="right")), True, base
+    if not inside:
+        return [], []
+    left = np.flatnonzero(depths[first:] < base)
+    last = first + int(left[0]) if len(left) else len(at)
+    a, k, d = at[first:last], kind[first:last], depths[first:last]
+    opens, ends = a[(k == OPEN) & (d == base + 1)].tolist(), (a[(k == CLOSE) & (d == base)] + 1).tolist()
+    parts = []
+    if start > base:  # an element from before
+        parts.append((-1, raw[:ends[0]] if ends else raw))
+        ends = ends[1:]
+    if len(opens) > len(ends):
+        parts.append((0, raw[opens[-1]:]))
+    return [raw[i:j] for i, j in zip(opens, ends)], parts
+
 
+def _json_elements(starts: dict, base: int, pieces: bool):
+    """Whole elements of each piece, or (``pieces``) the parts of those that run over one of its ends."""
     def run(batches):
         for b in batches:
             for path, block, seq, offset, quotes, r, low, after, raw in zip(*(c.to_pylist() for c in b.columns)):
-                whole, parts = of(path, block, offset, quotes, r, low, after, raw)
+                whole, parts = _json_of(starts, base, path, block, offset, quotes, r, low, after, raw)
                 got = parts if pieces else [(0, x) for x in whole]
                 if got:
                     n = len(got)
@@ -214,15 +217,63 @@ def _json_elements(starts: dict, base: int, pieces: bool):
     return run
 
 
+_ONE_SPLIT = r"\.(gz|deflate)$"
+
+
+def _json_streamed(key: str | None, base: int):
+    """The elements of documents of one split each, in one pass: pieces as ``_json_pieces`` gives them, each looked at when it comes."""
+    pieces = _json_pieces(key)
+
+    def elements(path, got):
+        return pa.RecordBatch.from_arrays([pa.array([path] * len(got)), pa.array(got, pa.binary())], names=["path", "element"])
+
+    def run(batches):
+        path, row, part = None, None, []
+
+        def finish():
+            if path is None:
+                return
+            _json_starts([Row(path=path, block=0, end=Row(**row["end"]))], base)  # one that ends inside a value fails
+            if part:
+                yield elements(path, [b"".join(part)])
+        for b in pieces(batches):
+            now = b.to_pylist()[0]
+            if now["path"] != path:
+                yield from finish()
+                path, part = now["path"], []
+            row, end = now, now["end"]
+            opened = end["found"][0] if end["depth"][0] == base - 1 else -1
+            whole, parts = _json_of({(path, 0): (0, 0, False, opened)}, base, *(row[k] for k in ("path", "block", "offset", "quotes", "r", "low", "after", "data")))
+            for begins, text in parts:  # an end comes before the next beginning
+                if begins == 0 and part:
+                    whole.append(b"".join(part))
+                    part = []
+                part.append(text)
+            if whole:
+                yield elements(path, whole)
+        yield from finish()
+    return run
+
+
 def json_elements(spark: SparkSession, paths: str | Sequence[str], key: str | None) -> DataFrame:
     """The objects and arrays in the array under the top-level ``key`` of each document (``key`` None: the document is the
     array), one row each: path and element (JSON text).  A document is one file of any size and layout; one without the key, and
     an empty one, give no rows; elements that are plain values are left out; of a repeated key the first array
-    counts.  A document that ends inside a value fails.  The pass over the text runs when this is called."""
+    counts.  A document that ends inside a value fails.  The pass over the text runs when this is called; gzip documents, a split
+    each, are streamed through once whenever the rows are read."""
     if key is not None and re.search(r'["\\}]', key):
         raise ValueError("keys with quotes, backslashes or closing braces are not supported")
     base = 1 if key is None else 2
-    table = _written(_text(spark, paths, "}").mapInArrow(_json_pieces(key), JSON_TABLE), "json-pieces")
+    source = _text(spark, paths, "}")
+    kinds = {bool(re.search(_ONE_SPLIT, f.lower())) for f in source.inputFiles()}
+    plain, zipped = source, source
+    if len(kinds) == 2:
+        plain, zipped = (source.where(F.lower("path").rlike(_ONE_SPLIT) == x) for x in (False, True))
+    streamed = (zipped.mapInArrow(_json_streamed(key, base), "path string, element binary")
+                .select("path", F.col("element").cast("string").alias("element")))
+    if kinds == {True}:
+        return streamed
+    table = _written(plain.mapInArrow(_json_pieces(key), JSON_TABLE), "json-pieces")
     starts = _json_starts(table.groupBy("path", "block").agg(F.max_by("end", "seq").alias("end")).collect(), base)
     rows = table.select("path", "block", "seq", "offset", "quotes", "r", "low", "after", "data")
     schema = "path string, block long, seq long, part int, element binary"
@@ -232,8 +283,9 @@ def json_elements(spark: SparkSession, paths: str | Sequence[str], key: str | No
     in_file = Window.partitionBy("path").orderBy("block", "seq", "part")
     parts = (parts.select("path", "block", "seq", "part", text, F.sum(F.col("part") + 1).over(in_file).alias("nth"))
              .groupBy("path", "nth").agg(F.sort_array(F.collect_list(F.struct("block", "seq", "element"))).alias("parts")))
-    return (rows.mapInArrow(_json_elements(starts, base, False), schema).select("path", text)
-            .union(parts.select("path", F.array_join(F.transform("parts", lambda p: p["element"]), ""))))
+    out = (rows.mapInArrow(_json_elements(starts, base, False), schema).select("path", text)
+           .union(parts.select("path", F.array_join(F.transform("parts", lambda p: p["element"]), ""))))
+    return out.union(streamed) if True in kinds else out
 
 
 # ---------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 import datetime as dt
 import glob
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -63,6 +64,42 @@ def test_large_groups_become_several_documents(spark, tmp_dir, monkeypatch):
     assert sorted(tuple(x) for x in back.collect()) == sorted(tuple(x) for x in rec.collect())
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_documents_are_landed_in_slices_that_leave_no_shuffles(spark, tmp_dir, monkeypatch):
+    from shelfscope.queries import io
+    from shelfscope.sources.files import read_report_json
+    monkeypatch.setattr(io, "DOC_RECORDS", 100)
+    monkeypatch.setattr(io, "SLICE_RECORDS", 300)
+    rec = spark.range(2000).selectExpr("id % 1000 AS id", "id AS x").groupBy("id").agg(F.sum("x").alias("x"))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept, before = spark.conf.get(key, None), shuffle_files(spark)
+    io._land_documents(rec, f"{tmp_dir}/docs", F.when(F.col("id") > 500, "two").otherwise("one"), "rows", 1000, by=["id"], compression="gzip")
+    until = time.time() + 20  # files go in the background
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before and spark.conf.get(key, None) == kept
+    files = glob.glob(f"{tmp_dir}/docs/doc=*/part-*")
+    assert len(files) == 20 and all(f.endswith(".gz") for f in files)
+    schema = rec.select(F.array(F.struct(*rec.columns)).alias("rows")).schema
+    back = read_report_json(spark, f"{tmp_dir}/docs", key="rows", schema=schema)
+    assert sorted(tuple(x) for x in back.collect()) == sorted(tuple(x) for x in rec.collect())
+
+
+def test_vendor_report_documents_are_gzip_and_not_written_again(spark, tmp_dir, monkeypatch):
+    from shelfscope.queries import io
+    from shelfscope.sources import splits
+    monkeypatch.setattr(io, "_scratch", lambda _, name: f"{tmp_dir}/{name}")
+    monkeypatch.setattr(splits, "_written", lambda *_: 1 / 0)
+    out = io.s1_vendor_report_documents(spark, "/root/testdata/sf0.001")
+    assert all(f.endswith(".gz") for f in glob.glob(f"{tmp_dir}/landing-sales-documents/doc=*/part-*"))
+    want = fx.vendor_sales_records(spark, "/root/testdata/sf0.001")
+    assert out.count() == want.count() > 0
+
+
 def test_repeat_purchase_spreads_rows_over_tasks_that_follow_the_input(spark):
     from shelfscope.operators.joins import tasks_for
     assert tasks_for(spark.range(1000), rows=10) == 100

@@ -75,6 +75,35 @@ def test_document_that_is_an_array_gz_empty_and_without_key(small_splits, tmp_di
         sp.json_elements(small_splits, f"{tmp_dir}/cut.json", "rows")
 
 
+@pytest.mark.parametrize("key", ["dataBy", None])
+def test_gzip_documents_are_streamed_and_not_written_again(small_splits, tmp_dir, monkeypatch, key):
+    """Several files a task, elements over the ends of pieces; beside plain documents only those are written."""
+    import gzip
+    r = random.Random(7)
+    os.mkdir(f"{tmp_dir}/z")
+    docs = []
+    for k in range(6):
+        items = [element(r) for _ in range((0, 1, 60, 40, 90, 3)[k])]
+        doc = {"spec": {"list": [{"id": 5}], "dataBy": {"no": [1]}}, "dataBy": items, "tail": [{"id": 9}, "}"], "in": {"dataBy": [{"id": -2}]}}
+        with gzip.open(f"{tmp_dir}/z/d{k}.json.gz", "wt") as f:
+            json.dump(dict(reversed(list(doc.items()))) if k % 2 else doc, f, indent=k or None) if key else json.dump(items, f, indent=k or None)
+        docs += items
+    written = []
+    real = sp._written
+    monkeypatch.setattr(sp, "_written", lambda df, name: written.append(real(df, name)) or written[-1])
+    same = lambda xs: sorted(json.dumps(x, sort_keys=True) for x in xs)
+    got = lambda: same(json.loads(x.element) for x in sp.json_elements(small_splits, f"{tmp_dir}/z", key).collect())
+    assert got() == same(docs) and not written
+    more = [element(r) for _ in range(30)]
+    with open(f"{tmp_dir}/z/plain.json", "w") as f:
+        json.dump({"dataBy": more} if key else more, f)
+    assert got() == same(docs + more) and {x.path[-10:] for x in written[0].select("path").distinct().collect()} == {"plain.json"}
+    with gzip.open(f"{tmp_dir}/cut.json.gz", "wt") as f:
+        f.write(json.dumps({"dataBy": docs} if key else docs)[:2500])
+    with pytest.raises(Exception, match="ends inside"):
+        sp.json_elements(small_splits, f"{tmp_dir}/cut.json.gz", key).collect()
+
+
 def test_search_terms_document_equals_whole_file_reader(small_splits, tmp_dir):
     rows = [{"departmentName": f"d{i % 3}", "searchTerm": f'te"rm}} {i}', "searchFrequencyRank": i, "clickedAsin": f"A{i}", "clickShare": i / 7,
              "other": {"deep": ["}", {"x": 1}]}} for i in range(300)]
